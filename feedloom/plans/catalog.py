@@ -140,6 +140,9 @@ def q_dedupe_keys_docs(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.dedupe_keys(d, _benchmark_seen(spark, sf)).select("feed_url", "pos", "url", "title", "accepted")
 
 
+from feedloom.plans import queries_state  # noqa: E402,F401  (registers state queries)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -236,12 +236,69 @@ def v_feeds() -> str:
     return f"""v_feeds AS (
   SELECT 'https://' || source || '.example.org/feed' AS feed_url,
          ({n} % 4 <> 0) AS enabled,
-         CASE WHEN {n} % 3 = 1 THEN TIMESTAMP '2024-01-15 18:00:00'
-              WHEN {n} % 3 = 2 THEN TIMESTAMP '2024-01-15 06:00:00' END AS down_until,
+         CASE WHEN {n} % 3 = 1 THEN TIMESTAMP '2024-01-31 06:00:00'
+              WHEN {n} % 3 = 2 THEN TIMESTAMP '2024-01-30 18:00:00' END AS down_until,
          CASE WHEN {n} % 3 <> 0 THEN 5 ELSE 0 END AS failure_count,
-         CASE WHEN {n} % 5 = 0 THEN TIMESTAMP '2024-01-15 11:00:00' + to_minutes({n}) END AS requested_at
+         CASE WHEN {n} % 5 = 0 THEN TIMESTAMP '2024-01-30 23:00:00' + to_minutes({n}) END AS requested_at
   FROM (SELECT DISTINCT source FROM documents))"""
 
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def with_rec(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+def queue_fold(log: str, out: str) -> str:
+    """F1 as a recursive CTE: one step per event, in (ts, seq) order per item."""
+    e, f = "e", "f"
+    E = f"({e}.action = 'enqueue')"
+    C = (f"({e}.action = 'claim' AND {f}.ex AND ({f}.state = 'QUEUED' OR ({f}.state = 'LEASED' "
+         f"AND {f}.lease_until IS NOT NULL AND {f}.lease_until <= {e}.ts)))")
+    OK = f"({f}.ex AND {f}.lease_owner IS NOT NULL AND {f}.lease_owner = {e}.worker)"
+    CP, RL, FL = (f"({e}.action = 'complete' AND {OK})", f"({e}.action = 'release' AND {OK})",
+                  f"({e}.action = 'fail' AND {OK})")
+    CLR = f"({E} OR {CP} OR {RL} OR {FL})"
+    ANY = f"({E} OR {C} OR {CP} OR {RL} OR {FL})"
+    return f"""{out}_ev AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY ts, seq) AS rn, action, worker, ts,
+         lease_until, {trim_space("coalesce(reason, '')")} AS reason FROM {log}),
+{out}_f(item_id, rn, ex, state, lease_owner, lease_until, delivery_count, enqueued_at, done_at, last_error, updated_at) AS (
+  SELECT DISTINCT item_id, CAST(0 AS BIGINT), false, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+         CAST(NULL AS TIMESTAMP), 0, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR),
+         CAST(NULL AS TIMESTAMP) FROM {out}_ev
+  UNION ALL
+  SELECT {f}.item_id, {e}.rn, {f}.ex OR {E},
+    CASE WHEN {E} THEN 'QUEUED' WHEN {C} THEN 'LEASED' WHEN {CP} OR {FL} THEN 'DONE' WHEN {RL} THEN 'QUEUED' ELSE {f}.state END,
+    CASE WHEN {CLR} THEN NULL WHEN {C} THEN {e}.worker ELSE {f}.lease_owner END,
+    CASE WHEN {CLR} THEN NULL WHEN {C} THEN {e}.lease_until ELSE {f}.lease_until END,
+    CASE WHEN {C} THEN {f}.delivery_count + 1 WHEN {E} AND NOT {f}.ex THEN 0 ELSE {f}.delivery_count END,
+    CASE WHEN {E} AND NOT {f}.ex THEN {e}.ts ELSE {f}.enqueued_at END,
+    CASE WHEN {CP} OR {FL} THEN coalesce({f}.done_at, {e}.ts) ELSE {f}.done_at END,
+    CASE WHEN {E} OR {C} OR {CP} THEN '' WHEN {RL} OR {FL} THEN {e}.reason ELSE {f}.last_error END,
+    CASE WHEN {ANY} THEN {e}.ts ELSE {f}.updated_at END
+  FROM {out}_f {f} JOIN {out}_ev {e} ON {e}.item_id = {f}.item_id AND {e}.rn = {f}.rn + 1),
+{out} AS (
+  SELECT item_id, state, lease_owner, lease_until, CAST(delivery_count AS INTEGER) AS delivery_count,
+         enqueued_at, done_at, last_error, updated_at
+  FROM {out}_f WHERE ex QUALIFY rn = max(rn) OVER (PARTITION BY item_id))"""
+
+
+def status_fold(log: str, out: str) -> str:
+    """F2 as a sequential recursive CTE (independent of the aggregate rule)."""
+    g = "(e.status IN ('ANALYZED', 'FAILED') AND f.status = 'DISPATCHED')"
+    return f"""{out}_ev AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY ts, seq) AS rn, ts, status, error FROM {log}),
+{out}_f(item_id, rn, status, last_error, status_at, dispatched_at) AS (
+  SELECT DISTINCT item_id, CAST(0 AS BIGINT), 'NEW', '', CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP) FROM {out}_ev
+  UNION ALL
+  SELECT f.item_id, e.rn,
+    CASE WHEN {g} THEN f.status ELSE e.status END,
+    CASE WHEN {g} THEN f.last_error ELSE coalesce(e.error, '') END,
+    CASE WHEN {g} THEN f.status_at ELSE e.ts END,
+    CASE WHEN e.status = 'DISPATCHED' THEN e.ts ELSE f.dispatched_at END
+  FROM {out}_f f JOIN {out}_ev e ON e.item_id = f.item_id AND e.rn = f.rn + 1),
+{out} AS (SELECT item_id, status, last_error, status_at, dispatched_at FROM {out}_f
+  WHERE rn > 0 QUALIFY rn = max(rn) OVER (PARTITION BY item_id))"""

@@ -18,8 +18,8 @@ from feedloom.sources.tables import read_pages, read_table
 # Clock values of the fixtures: every job takes ``now`` explicitly.
 NOW_ITEMS = "2024-01-02 00:00:00"       # poll time of the page items
 STORED_BEFORE = "2024-01-01 02:00:00"   # page items published earlier were stored by older polls
-NOW_EVENTS = "2024-01-15 12:00:00"      # monitor clock over the event-derived state
-LOG_CUTOFF = "2024-01-31 00:00:00"      # queue log folded up to here
+NOW_EVENTS = "2024-01-31 00:00:00"      # monitor clock: after the last event at every scale
+LOG_CUTOFF = NOW_EVENTS                 # queue logs are folded up to the monitor clock
 
 ACTION_RAW = {"signup": "enqueue", "click": "claim", "view": "complete",
               "error": "release", "purchase": "fail"}
@@ -145,8 +145,8 @@ def v_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/feed")).alias("feed_url"),
         (n % 4 != 0).alias("enabled"),
-        F.when(n % 3 == 1, ts_lit("2024-01-15 18:00:00"))
-        .when(n % 3 == 2, ts_lit("2024-01-15 06:00:00")).alias("down_until"),
+        F.when(n % 3 == 1, ts_lit("2024-01-31 06:00:00"))
+        .when(n % 3 == 2, ts_lit("2024-01-30 18:00:00")).alias("down_until"),
         F.when(n % 3 != 0, F.lit(5)).otherwise(F.lit(0)).alias("failure_count"),
-        F.when(n % 5 == 0, ts_lit("2024-01-15 11:00:00") + F.make_dt_interval(mins=n)).alias("requested_at"),
+        F.when(n % 5 == 0, ts_lit("2024-01-30 23:00:00") + F.make_dt_interval(mins=n)).alias("requested_at"),
     )
