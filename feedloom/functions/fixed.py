@@ -114,3 +114,58 @@ TIME_LAYOUTS = [
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd HH:mm:ss",
 ]
+
+# --- fixed values: extraction prompts (Python format fields in braces) ------
+SYSTEM_MESSAGE = "Sei un analizzatore annunci lavoro. Rispondi solo JSON valido."
+PROMPT_FULL = """Analizza il seguente annuncio lavoro e restituisci SOLO JSON valido con i campi:
+job_category, role, company, seniority, location, remote_type, tech_stack (array), tags (array), contract_type, salary, language, summary_it, confidence.
+Lingua output: italiano.
+Regola anti-allucinazioni (obbligatoria): usa solo informazioni esplicitamente presenti in titolo/descrizione/link forniti.
+NON inferire da conoscenza esterna e NON inventare valori mancanti.
+Se un campo non è chiaramente presente usa stringa vuota (o array vuoto).
+Campi da valorizzare con massima priorita' (se presenti): seniority, location, contract_type, salary, tech_stack.
+Mantieni tech_stack breve: massimo 8 tecnologie reali, senza inventare valori.
+tags: array di 3-6 tag distintivi, minuscoli, senza #, max 24 caratteri per tag (es: go, kubernetes, remote, fintech, full-time).
+summary_it: una sola frase, massimo 220 caratteri.
+confidence: numero tra 0 e 1 (0 = molto incerto, 1 = molto sicuro).
+Per job_category usa SOLO una di queste categorie esatte:
+{categories}
+Se non è classificabile, usa esattamente: Altri ruoli.
+
+Titolo: {title}
+URL: {url}
+Descrizione: {description}
+Contenuto pagina sorgente (estratto): {excerpt}
+Link estratti: {links}
+Immagini estratte: {images}"""
+PROMPT_COMPACT = """Restituisci SOLO 1 riga JSON valida (nessun markdown, nessun testo extra) con questi campi:
+job_category,role,company,seniority,location,remote_type,tech_stack,tags,contract_type,salary,language,summary_it,confidence
+Vincoli:
+- job_category deve essere una di: {categories}
+- usa SOLO informazioni esplicitamente presenti nel testo fornito
+- non inventare: se non chiaro/menzionato usa stringa vuota o array vuoto
+- tech_stack massimo 8 elementi
+- tags: 3-6 valori lowercase, senza #, max 24 caratteri ciascuno
+- summary_it massimo 220 caratteri
+- confidence deve essere un numero tra 0 e 1
+
+Titolo: {title}
+URL: {url}
+Descrizione: {description}
+Contenuto pagina sorgente (estratto): {excerpt}"""
+# Template variables a user prompt template may use ({{.Name}} syntax).
+TEMPLATE_VARIABLES = ["AllowedCategories", "Title", "URL", "Description", "SourcePageText",
+                      "LinksCSV", "ImagesCSV"]
+EXCERPT_MISSING = "N/D"
+
+# --- fixed values: model-call error classes, checked in this order ---------
+ERROR_CLASSES = [
+    ("timeout", ["deadline exceeded", "timeout"]),
+    ("connection_refused", ["connection refused"]),
+    ("dns_error", ["no such host"]),
+    ("tls_error", ["tls"]),
+]
+DEFAULT_ERROR_CLASS = "llm_request_failed"
+SAMPLER_INIT_ERROR = "failed to initialize samplers"
+TRUNCATED_JSON_ERROR = "unexpected end of json input"
+MISSING_REQUIRED = "missing required analyzed fields"

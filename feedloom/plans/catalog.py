@@ -141,6 +141,7 @@ def q_dedupe_keys_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 from feedloom.plans import queries_state  # noqa: E402,F401  (registers state queries)
+from feedloom.plans import queries_extract  # noqa: E402,F401  (registers extraction queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

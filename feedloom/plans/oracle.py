@@ -302,3 +302,81 @@ def status_fold(log: str, out: str) -> str:
   FROM {out}_f f JOIN {out}_ev e ON e.item_id = f.item_id AND e.rn = f.rn + 1),
 {out} AS (SELECT item_id, status, last_error, status_at, dispatched_at FROM {out}_f
   WHERE rn > 0 QUALIFY rn = max(rn) OVER (PARTITION BY item_id))"""
+
+
+def _arr(values: list) -> str:
+    return "[" + ", ".join(q(v) for v in values) + "]"
+
+
+def _pick(values: list, idx: str) -> str:
+    return f"{_arr(values)}[({idx}) % {len(values)} + 1]"
+
+
+def v_responses() -> str:
+    k = "doc_id % 11"
+    sen = f"CASE WHEN {k} = 1 THEN 'N/A' ELSE {_pick(V.RESP_SENIORITY, 'doc_id')} END"
+    loc = f"CASE WHEN {k} = 1 THEN 'unknown' ELSE {_pick(V.RESP_LOCATION, 'doc_id')} END"
+    con = f"CASE WHEN {k} = 1 THEN 'tbd' ELSE {_pick(V.RESP_CONTRACT, 'doc_id')} END"
+    sal = f"CASE WHEN {k} = 1 THEN 'n/a' WHEN {k} = 8 THEN 'competitive' ELSE {_pick(V.RESP_SALARY, 'doc_id')} END"
+    stack = f"CASE WHEN {k} = 1 THEN '[\"none\"]' ELSE {_pick(V.RESP_STACK, 'doc_id')} END"
+    role = f"CASE WHEN {k} = 4 THEN '42' ELSE '\"Engineer ' || CAST(doc_id AS VARCHAR) || '\"' END"
+    company = f"CASE WHEN {k} = 5 THEN '' ELSE ',\"company\":\"Company ' || source || '\"' END"
+    lang = "CASE WHEN doc_id % 3 <> 0 THEN lang ELSE '' END"
+    full = (f"'{{\"job_category\":\"' || {_pick(V.RESP_CATEGORIES, 'doc_id')} || '\",\"role\":' || {role} || {company}"
+            f" || ',\"seniority\":\"' || {sen} || '\",\"location\":\"' || {loc} || '\",\"remote_type\":\"remote\",\"tech_stack\":'"
+            f" || {stack} || ',\"tags\":' || {_pick(V.RESP_TAGS, 'doc_id')} || ',\"contract_type\":\"' || {con}"
+            f" || '\",\"salary\":\"' || {sal} || '\",\"language\":\"' || {lang} || '\",\"summary_it\":\"Sintesi '"
+            f" || CAST(doc_id AS VARCHAR) || '\",\"confidence\":' || {_pick(V.RESP_CONFIDENCE, k)} || '}}'")
+    return f"""v_responses AS (
+  SELECT CAST(doc_id AS VARCHAR) AS item_id,
+         CASE WHEN {k} = 6 THEN substr({full}, 1, 60)
+              WHEN {k} = 7 THEN '```json' || chr(10) || {full} || chr(10) || '```'
+              ELSE {full} END AS content
+  FROM documents)"""
+
+
+def v_doc_raw() -> str:
+    url = "'https://' || source || '.example.org/job/' || CAST(doc_id AS VARCHAR)"
+    return f"""v_doc_raw AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, '' AS guid, {url} AS url, source AS source_label,
+         substr(split_part(text, chr(10), 1), 1, 60) AS title, text AS description,
+         [{url}, {url} || '#apply', ' ', {url}] AS links,
+         ['https://img.example.org/' || source || '.png'] AS image_urls,
+         CASE WHEN doc_id % 3 = 0 THEN '' ELSE substr(text, 1, 3000) END AS excerpt
+  FROM documents)"""
+
+
+def strip_fence(x: str) -> str:
+    t = trim_space(f"coalesce({x}, '')")
+    t = f"regexp_replace(regexp_replace(regexp_replace({t}, '^```json', ''), '^```', ''), '```$', '')"
+    return trim_space(t)
+
+
+def stable_distinct(lst: str) -> str:
+    return f"list_filter({lst}, lambda x, i: NOT list_contains({lst}[1:i - 1], x))"
+
+
+def norm_tag(x: str) -> str:
+    return f"lower(regexp_replace(coalesce({x}, ''), '[^\\p{{L}}\\p{{Nd}}]', '', 'g'))"
+
+
+def sanitize_tags(lst: str) -> str:
+    a = f"list_transform(list_filter(list_transform(coalesce({lst}, [])[1:6], lambda x: {norm_tag('x')}), lambda x: x <> ''), lambda x: substr(x, 1, 24))"
+    return stable_distinct(a)
+
+
+def sanitize_stack(lst: str) -> str:
+    a = f"list_filter(list_transform(coalesce({lst}, [])[1:8], lambda x: {sanitize_unknown('x')}), lambda x: x <> '')"
+    return (f"list_filter({a}, lambda x, i: NOT list_contains(list_transform({a}[1:i - 1], lambda y: lower(y)), lower(x)))")
+
+
+def has_clear_salary(x: str) -> str:
+    s = sanitize_unknown(x)
+    vague = "|".join(fixed.VAGUE_SALARY_TOKENS)
+    return f"({s} <> '' AND NOT regexp_matches(lower({s}), '{vague}') AND regexp_matches({s}, '[0-9€$£]'))"
+
+
+def category(x: str) -> str:
+    k = "lower(" + trim_space("coalesce(" + x + ", '')") + ")"
+    arms = " ".join(f"WHEN {q(a)} THEN {q(v)}" for a, v in fixed.CATEGORY_ALIASES.items())
+    return f"CASE {k} {arms} ELSE {q(fixed.DEFAULT_CATEGORY)} END"

@@ -150,3 +150,63 @@ def v_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 3 != 0, F.lit(5)).otherwise(F.lit(0)).alias("failure_count"),
         F.when(n % 5 == 0, ts_lit("2024-01-30 23:00:00") + F.make_dt_interval(mins=n)).alias("requested_at"),
     )
+
+
+# ---------------------------------------------------------------- responses / prompts
+RESP_CATEGORIES = ["Programmazione", "marketing", "devops/sysadmin", "other roles", "Design", "", "Jobs",
+                   "Data science"]
+RESP_SENIORITY = ["Senior", "Junior", "n/a", "", "Mid"]
+RESP_LOCATION = ["Remote", "Milano", "unknown", "Roma (RM)", "-", "Torino", ""]
+RESP_CONTRACT = ["Full-time", "", "tbd", "Contract"]
+RESP_SALARY = ["50k-60k EUR", "competitive", "", "RAL 40.000", "depends on experience", "$100k"]
+RESP_STACK = ['["Go","go","Kubernetes","n/a","Python","SQL","Rust","Java","Scala"]', "[]",
+              '["Node JS","C#","ci_cd"]']
+RESP_TAGS = ['["remote-eu","full time","go_lang","#Go","","x","y"]', '["Fintech","fintech"]', "[]", "null"]
+RESP_CONFIDENCE = ["2", "0.75", '"alta"', '"85%"', "0.8", "0.8", "0.8", "0.8", "0.8", '"bogus"', '"1,5"']
+
+
+def _pick(values: list, idx) -> F.Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)).cast("int") + 1)
+
+
+def v_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model responses, one per document: JSON text with injected faults by
+    doc_id mod 11 (1 placeholders, 2/3/9/10 confidence text, 4 numeric role,
+    5 no company, 6 truncated, 7 code fence, 8 vague salary)."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    k = F.col("doc_id") % 11
+    ph = k == 1
+    sen = F.when(ph, "N/A").otherwise(_pick(RESP_SENIORITY, F.col("doc_id")))
+    loc = F.when(ph, "unknown").otherwise(_pick(RESP_LOCATION, F.col("doc_id")))
+    con = F.when(ph, "tbd").otherwise(_pick(RESP_CONTRACT, F.col("doc_id")))
+    sal = F.when(ph, "n/a").when(k == 8, "competitive").otherwise(_pick(RESP_SALARY, F.col("doc_id")))
+    stack = F.when(ph, '["none"]').otherwise(_pick(RESP_STACK, F.col("doc_id")))
+    role = F.when(k == 4, F.lit("42")).otherwise(F.concat(F.lit('"Engineer '), F.col("doc_id").cast("string"), F.lit('"')))
+    company = F.when(k == 5, F.lit("")).otherwise(F.concat(F.lit(',"company":"Company '), F.col("source"), F.lit('"')))
+    lang = F.when(F.col("doc_id") % 3 != 0, F.col("lang")).otherwise(F.lit(""))
+    full = F.concat(
+        F.lit('{"job_category":"'), _pick(RESP_CATEGORIES, F.col("doc_id")), F.lit('","role":'), role, company,
+        F.lit(',"seniority":"'), sen, F.lit('","location":"'), loc, F.lit('","remote_type":"remote","tech_stack":'),
+        stack, F.lit(',"tags":'), _pick(RESP_TAGS, F.col("doc_id")), F.lit(',"contract_type":"'), con,
+        F.lit('","salary":"'), sal, F.lit('","language":"'), lang, F.lit('","summary_it":"Sintesi '),
+        F.col("doc_id").cast("string"), F.lit('","confidence":'), _pick(RESP_CONFIDENCE, k), F.lit("}"))
+    content = (F.when(k == 6, F.substring(full, 1, 60))
+               .when(k == 7, F.concat(F.lit("```json\n"), full, F.lit("\n```")))
+               .otherwise(full))
+    return d.select(F.col("doc_id").cast("string").alias("item_id"), content.alias("content"))
+
+
+def v_doc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw items for documents (id = doc_id): what prompts and conform read.
+    ``excerpt`` is blank for every third document."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/job/"), F.col("doc_id").cast("string"))
+    return d.select(
+        F.col("doc_id").cast("string").alias("id"), F.lit("").alias("guid"), url.alias("url"),
+        F.col("source").alias("source_label"),
+        F.substring(F.split(F.col("text"), "\n", 2).getItem(0), 1, 60).alias("title"),
+        F.col("text").alias("description"),
+        F.array(url, F.concat(url, F.lit("#apply")), F.lit(" "), url).alias("links"),
+        F.array(F.concat(F.lit("https://img.example.org/"), F.col("source"), F.lit(".png"))).alias("image_urls"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(
+            F.substring(F.col("text"), 1, 3000)).alias("excerpt"))
