@@ -169,3 +169,14 @@ DEFAULT_ERROR_CLASS = "llm_request_failed"
 SAMPLER_INIT_ERROR = "failed to initialize samplers"
 TRUNCATED_JSON_ERROR = "unexpected end of json input"
 MISSING_REQUIRED = "missing required analyzed fields"
+
+# --- fixed values: message layouts -------------------------------------------
+DEFAULT_LAYOUT_HEADER = "*RWCT-JOBS*"
+CHAT_FRAME_TOP = "┏" + "━" * 22
+CHAT_FRAME_BOTTOM = "┗" + "━" * 22
+CHAT_ROLE, CHAT_COMPANY, CHAT_LOCATION, CHAT_SALARY = "┃ 🚀 ", "┃ 🏢 ", "┃ 🏠 ", "┃ 💰 "
+CHAT_STACK, CHAT_SUMMARY = "🧩 *Stack:*", "📝 *Sintesi:*  "
+CHAT_SENIORITY, CHAT_CONTRACT, CHAT_LANGUAGE, CHAT_RANK = "├ 📈 ", "├ 🏷 ", "├ 🌍 ", "└ ⭐ "
+CHAT_TAGS, CHAT_APPLY = "🏷", "🔗 [candidati]"
+FILE_SEPARATOR = "\n\n---\n\n"
+PARSE_ENTITIES_ERROR = "can't parse entities"

@@ -143,6 +143,7 @@ def q_dedupe_keys_docs(spark: SparkSession, sf: str) -> DataFrame:
 from feedloom.plans import queries_state  # noqa: E402,F401  (registers state queries)
 from feedloom.plans import queries_extract  # noqa: E402,F401  (registers extraction queries)
 from feedloom.plans import queries_enrich  # noqa: E402,F401  (registers enrichment queries)
+from feedloom.plans import queries_publish  # noqa: E402,F401  (registers publish queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -380,3 +380,37 @@ def category(x: str) -> str:
     k = "lower(" + trim_space("coalesce(" + x + ", '')") + ")"
     arms = " ".join(f"WHEN {q(a)} THEN {q(v)}" for a, v in fixed.CATEGORY_ALIASES.items())
     return f"CASE {k} {arms} ELSE {q(fixed.DEFAULT_CATEGORY)} END"
+
+
+def _list_lit(lst: list) -> str:
+    return "CAST([" + ", ".join(q(x) for x in lst) + "] AS VARCHAR[])"
+
+
+def _pick_list(lists: list, idx: str) -> str:
+    return "[" + ", ".join(_list_lit(x) for x in lists) + f"][({idx}) % {len(lists)} + 1]"
+
+
+def v_analyzed() -> str:
+    url = "'https://' || source || '.example.org/job/' || CAST(doc_id AS VARCHAR)"
+    score = "(doc_id % 6) * 20"
+    return f"""v_analyzed AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, source AS source_label, {url} AS source_url,
+    'Title ' || CAST(doc_id AS VARCHAR) AS title,
+    {_pick(['Programmazione', 'Devops & Sysadmin', 'Marketing', 'Altri ruoli'], 'doc_id')} AS job_category,
+    CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'Dev_' || CAST(doc_id AS VARCHAR) || ' *lead*' END AS role,
+    'ACME [' || source || ']' AS company,
+    {_pick(V.AN_SENIORITY, 'doc_id')} AS seniority, {_pick(V.AN_LOCATION, 'doc_id')} AS location,
+    'remote' AS remote_type, {_pick(V.AN_CONTRACT, 'doc_id')} AS contract_type, {_pick(V.AN_SALARY, 'doc_id')} AS salary,
+    CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'Sintesi `x` ' || CAST(doc_id AS VARCHAR) END AS summary_it,
+    lang AS language, {_pick_list(V.AN_STACKS, 'doc_id')} AS tech_stack, {_pick_list(V.AN_TAGS, 'doc_id')} AS tags,
+    CASE WHEN doc_id % 4 = 0 THEN CAST([] AS VARCHAR[]) ELSE [{url}, {url} || '/apply'] END AS original_links,
+    CASE WHEN doc_id % 5 = 0 THEN ['https://img.example.org/' || source || '.png'] ELSE CAST([] AS VARCHAR[]) END AS original_images,
+    CAST({score} AS INTEGER) AS job_post_quality_score,
+    CASE WHEN {score} >= 90 THEN 'A' WHEN {score} >= 70 THEN 'B' WHEN {score} >= 50 THEN 'C' ELSE 'D' END AS job_post_quality_rank,
+    round((doc_id % 100) / 100.0, 2) AS confidence,
+    TIMESTAMP '2024-01-02 00:00:00' + to_seconds(doc_id) AS created_at
+  FROM documents)"""
+
+
+def md(x: str) -> str:
+    return f"regexp_replace(coalesce({x}, ''), '([\\\\_*\\[`])', '\\\\\\1', 'g')"

@@ -210,3 +210,43 @@ def v_doc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.concat(F.lit("https://img.example.org/"), F.col("source"), F.lit(".png"))).alias("image_urls"),
         F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(
             F.substring(F.col("text"), 1, 3000)).alias("excerpt"))
+
+
+AN_SENIORITY, AN_LOCATION, AN_CONTRACT, AN_SALARY = ["Senior", "", "Junior"], ["Remote", "Milano"], \
+    ["Full-time", ""], ["50k", "", "$100k"]
+AN_STACKS = [["Node JS", "C#", "ci_cd"], [], ["Go"]]
+AN_TAGS = [["remote-eu", "full time", "go_lang"], ["x_y"], [], ["#Go", "go"]]
+
+
+def _pick_list(lists: list, idx) -> F.Column:
+    arrs = [F.array(*[F.lit(x) for x in lst]) if lst else F.array().cast("array<string>") for lst in lists]
+    return F.element_at(F.array(*arrs), (idx % len(lists)).cast("int") + 1)
+
+
+def v_analyzed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Analysed items (one per document) with markdown-sensitive text for rendering."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    i = F.col("doc_id")
+    url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/job/"), i.cast("string"))
+    score = (i % 6) * 20
+    return d.select(
+        i.cast("string").alias("id"), F.col("source").alias("source_label"), url.alias("source_url"),
+        F.concat(F.lit("Title "), i.cast("string")).alias("title"),
+        _pick(["Programmazione", "Devops & Sysadmin", "Marketing", "Altri ruoli"], i).alias("job_category"),
+        F.when(i % 10 == 0, F.lit("")).otherwise(F.concat(F.lit("Dev_"), i.cast("string"), F.lit(" *lead*"))).alias("role"),
+        F.concat(F.lit("ACME ["), F.col("source"), F.lit("]")).alias("company"),
+        _pick(AN_SENIORITY, i).alias("seniority"), _pick(AN_LOCATION, i).alias("location"),
+        F.lit("remote").alias("remote_type"), _pick(AN_CONTRACT, i).alias("contract_type"),
+        _pick(AN_SALARY, i).alias("salary"),
+        F.when(i % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("Sintesi `x` "), i.cast("string"))).alias("summary_it"),
+        F.col("lang").alias("language"),
+        _pick_list(AN_STACKS, i).alias("tech_stack"), _pick_list(AN_TAGS, i).alias("tags"),
+        F.when(i % 4 == 0, F.array().cast("array<string>")).otherwise(
+            F.array(url, F.concat(url, F.lit("/apply")))).alias("original_links"),
+        F.when(i % 5 == 0, F.array(F.concat(F.lit("https://img.example.org/"), F.col("source"), F.lit(".png"))))
+        .otherwise(F.array().cast("array<string>")).alias("original_images"),
+        score.cast("int").alias("job_post_quality_score"),
+        F.when(score >= 90, "A").when(score >= 70, "B").when(score >= 50, "C").otherwise("D").alias("job_post_quality_rank"),
+        F.round((i % 100) / 100.0, 2).alias("confidence"),
+        (ts_lit("2024-01-02 00:00:00") + F.make_dt_interval(secs=i)).alias("created_at"),
+    )
