@@ -144,6 +144,7 @@ from feedloom.plans import queries_state  # noqa: E402,F401  (registers state qu
 from feedloom.plans import queries_extract  # noqa: E402,F401  (registers extraction queries)
 from feedloom.plans import queries_enrich  # noqa: E402,F401  (registers enrichment queries)
 from feedloom.plans import queries_publish  # noqa: E402,F401  (registers publish queries)
+from feedloom.plans import queries_sources  # noqa: E402,F401  (registers source queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
