@@ -218,14 +218,16 @@ def page_markdown(pages: DataFrame, max_chars: int = 2500) -> DataFrame:
     """C4: main block -> markdown; else whole page; else text; with a status."""
     best = main_content(page_blocks(pages)).select("page_id", F.col("block_html"))
     j = pages.select("page_id", "url", "html").join(best, "page_id", "left")
-    focused = html_to_markdown(F.col("block_html"), max_chars)
+    # each candidate is computed once, later ones only when earlier ones are empty
+    j = j.select("page_id", "url", "html", T.valid_feed_url(F.col("url")).alias("_valid"),
+                 html_to_markdown(F.col("block_html"), max_chars).alias("_focused"))
     whole = html_to_markdown(F.col("html"), max_chars)
     text = T.normalize_markdown(T.html_to_text(F.col("html")), max_chars)
-    valid = T.valid_feed_url(F.col("url"))
-    md = F.when(~valid, F.lit("")).otherwise(
-        F.coalesce(F.nullif(focused, F.lit("")), F.nullif(whole, F.lit("")), text))
-    status = F.when(~valid, "invalid_url").when(md == "", "empty").otherwise("ok")
-    return j.select("page_id", "url", md.alias("markdown"), status.alias("status"))
+    md = F.when(~F.col("_valid"), F.lit("")).when(F.col("_focused") != "", F.col("_focused")).otherwise(
+        T._let(whole, lambda w: F.when(w != "", w).otherwise(text)))
+    j = j.select("page_id", "url", "_valid", md.alias("markdown"))
+    status = F.when(~F.col("_valid"), "invalid_url").when(F.col("markdown") == "", "empty").otherwise("ok")
+    return j.select("page_id", "url", "markdown", status.alias("status"))
 
 
 # ---------------------------------------------------------------- C1 / C5
@@ -236,12 +238,15 @@ def page_excerpt_basic(items: DataFrame, pages: DataFrame, max_chars: int = 2500
     j = items.join(p, items["url"] == p["_purl"], "left")
     scheme_ok = F.lower(F.regexp_extract(T.trim_space(F.col("url")), "^([A-Za-z][A-Za-z0-9+.\\-]*):", 1)).isin(
         "http", "https")
-    text = T.clamp_text(T.html_to_text(F.col("_html")), max_chars)
-    reason = (F.when(~scheme_ok, F.lit("unsupported_scheme"))
+    # the page text is computed once (its own projection), then tested and used
+    j = j.select(*items.columns, "_purl", scheme_ok.alias("_sok"),
+                 T.clamp_text(T.html_to_text(F.col("_html")), max_chars).alias("_txt"))
+    reason = (F.when(~F.col("_sok"), F.lit("unsupported_scheme"))
               .when(F.col("_purl").isNull(), F.lit("fetch_failed"))
-              .when(text == "", F.lit("empty_text")).otherwise(F.lit("")))
-    return j.select(*items.columns, F.when(reason == "", text).otherwise(F.lit("")).alias("excerpt"),
-                    reason.alias("excerpt_reason"))
+              .when(F.col("_txt") == "", F.lit("empty_text")).otherwise(F.lit("")))
+    j = j.select(*items.columns, "_txt", reason.alias("excerpt_reason"))
+    return j.select(*items.columns, F.when(F.col("excerpt_reason") == "", F.col("_txt")).otherwise(F.lit(""))
+                    .alias("excerpt"), "excerpt_reason")
 
 
 def page_excerpt(items: DataFrame, pages: DataFrame, mode: str = "basic", min_chars: int = 220,

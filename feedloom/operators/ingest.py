@@ -100,6 +100,9 @@ def ingest_items(batch: DataFrame, stored: DataFrame | None, now, max_per_feed:
 
 
 # ---------------------------------------------------------------- E2 / E4
+LAST_ROUNDS = [0]  # rounds used by the latest dedupe_keys call (diagnostics)
+
+
 def item_keys(df: DataFrame, guid="guid", url="url", title="title") -> DataFrame:
     """The dedupe keys of each row as typed strings: guid (when non-blank), url, title."""
     g = T.trim_space(F.coalesce(F.col(guid), F.lit("")))
@@ -135,8 +138,9 @@ def dedupe_keys(batch: DataFrame, seen: DataFrame | None = None, order: tuple =
     rounds without pairwise expansion: a row that holds the minimum
     undecided order for all of its keys is accepted; rows sharing a key with
     an accepted row are rejected.  The first undecided row is always
-    accepted, so the loop ends; there is no round cap.  The undecided set is
-    checkpointed each round to cut lineage.
+    accepted, so the loop ends; there is no round cap.  Each round writes
+    one checkpointed decision table (reliable storage in the cluster's
+    checkpoint folder), which cuts lineage and survives lost executors.
 
     Returns ``batch`` plus ``accepted`` (boolean).
     """
@@ -161,13 +165,20 @@ def dedupe_keys(batch: DataFrame, seen: DataFrame | None = None, order: tuple =
             break
         rounds += 1
         kmin = undecided.groupBy("key").agg(F.min("_ord").alias("_kmin"))
-        acc = (undecided.join(kmin, "key")
-               .groupBy("_rid").agg(F.bool_and(F.col("_ord") == F.col("_kmin")).alias("_ok"))
-               .filter("_ok").select("_rid")).checkpoint()
-        accepted_parts.append(acc)
-        acc_keys = undecided.join(acc, "_rid", "left_semi").select("key").distinct()
-        rej = undecided.join(acc_keys, "key", "left_semi").select("_rid").distinct()
-        undecided = undecided.join(rej, "_rid", "left_anti").checkpoint()
+        okr = (undecided.join(kmin, "key")
+               .groupBy("_rid").agg(F.bool_and(F.col("_ord") == F.col("_kmin")).alias("_ok")))
+        acc_keys = undecided.join(okr.filter("_ok"), "_rid", "left_semi").select("key").distinct()
+        rej = (undecided.join(acc_keys, "key", "left_semi").select("_rid").distinct()
+               .withColumn("_rej", F.lit(True)))
+        # one table per round holds the decisions; a single checkpoint job
+        state = (undecided.join(okr, "_rid", "left").join(rej, "_rid", "left")
+                 .select("_rid", "_ord", "key",
+                         F.when(F.col("_ok"), F.lit("acc")).when(F.col("_rej"), F.lit("rej"))
+                         .otherwise(F.lit("und")).alias("_state"))
+                 .checkpoint())
+        accepted_parts.append(state.filter(F.col("_state") == "acc").select("_rid").distinct())
+        undecided = state.filter(F.col("_state") == "und").drop("_state")
+        LAST_ROUNDS[0] = rounds
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError("dedupe_keys did not converge within max_rounds")
     if accepted_parts:

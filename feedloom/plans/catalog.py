@@ -133,7 +133,26 @@ def _benchmark_seen(spark, sf):
     return b.select(F.concat(F.lit("t:"), T.normalize_title("t")).alias("key")).distinct()
 
 
-@register("dedupe_keys_docs")
+def _sql_dedupe_keys() -> str:
+    title = "substr(split_part(text, chr(10), 1), 1, 60)"
+    g = O.trim_space("coalesce(guid, '')")
+    return O.with_rec(O.v_doc_items(), f"""seen AS (SELECT DISTINCT 't:' || {O.norm_title(title)} AS key FROM benchmark),
+k AS (SELECT feed_url, pos, url, title, row_number() OVER (ORDER BY feed_url, pos) AS rn,
+        list_filter([CASE WHEN {g} <> '' THEN 'g:' || {g} END, 'u:' || {O.norm_url('url')},
+                     't:' || {O.norm_title('title')}], lambda x: x IS NOT NULL) AS keys FROM v_doc_items),
+ks AS (SELECT k.*, EXISTS (SELECT 1 FROM seen WHERE list_contains(k.keys, seen.key)) AS is_seen FROM k),
+g(rn, acc_keys, accepted) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST(NULL AS BOOLEAN)
+  UNION ALL
+  SELECT ks.rn,
+    CASE WHEN NOT ks.is_seen AND NOT list_has_any(g.acc_keys, ks.keys) THEN list_concat(g.acc_keys, ks.keys)
+         ELSE g.acc_keys END,
+    NOT ks.is_seen AND NOT list_has_any(g.acc_keys, ks.keys)
+  FROM g JOIN ks ON ks.rn = g.rn + 1)""") + """
+SELECT ks.feed_url, ks.pos, ks.url, ks.title, g.accepted FROM ks JOIN g USING (rn)"""
+
+
+@register("dedupe_keys_docs", _sql_dedupe_keys)
 def q_dedupe_keys_docs(spark: SparkSession, sf: str) -> DataFrame:
     """E2 greedy three-key dedupe over document items; seen keys from ``benchmark``."""
     d = V.v_doc_items(spark, sf)
