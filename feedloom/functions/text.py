@@ -144,7 +144,7 @@ def source_label(c) -> Column:
     def rule(t, p):
         host = F.replace(F.regexp_replace(F.lower(_host_of(p)), "^www\\.", ""), F.lit("."), F.lit("_"))
         segs = F.filter(F.split(F.btrim(p["p4"], F.lit("/")), "/"), lambda s: trim_space(s) != "")
-        last = F.lower(F.coalesce(F.element_at(segs, -1), F.lit("")))
+        last = F.lower(F.coalesce(F.try_element_at(segs, F.lit(-1)), F.lit("")))
         last = F.regexp_replace(F.regexp_replace(last, "\\.rss$", ""), "\\.xml$", "")
         last = F.btrim(F.regexp_replace(last, "[^a-z0-9]+", "_"), F.lit("_"))
         label = _let(F.struct(host.alias("h"), last.alias("l")), lambda hl: F.when(

@@ -264,22 +264,32 @@ def enqueue_counters(log: DataFrame) -> DataFrame:
 def feed_admin(changes: DataFrame, feeds: DataFrame) -> DataFrame:
     """apply admin changes (add / enable / disable / remove / seed) to feeds.
 
-    The latest change per feed wins; ``seed`` only inserts a missing feed
-    (it never re-enables); ``add`` inserts or re-enables.  Full outer join
-    rewrites the dimension.
+    Sequential meaning: add creates or re-enables; enable/disable act only on
+    an existing feed; remove deletes; seed creates a missing feed enabled and
+    never re-enables an existing one.  As aggregates per feed: after the last
+    remove the feed is gone until the first add/seed re-creates it; the
+    value is then the last add/enable/disable from the (re)creation on, else
+    true; a feed never removed keeps its initial value unless such an op
+    follows.  Two partial-aggregate passes, no per-feed buffering.
     """
-    last = changes.groupBy("feed_url").agg(F.max(F.struct("ts", "op")).alias("_c")).select(
-        "feed_url", F.col("_c.op").alias("op"))
-    j = feeds.select("feed_url", "enabled").join(last, "feed_url", "full_outer")
-    op = F.col("op")
-    enabled = (F.when(op == "remove", F.lit(None).cast("boolean"))
-               .when(op.isin("add", "enable"), F.lit(True))
-               .when(op == "disable", F.lit(False))
-               .when(op == "seed", F.coalesce(F.col("enabled"), F.lit(True)))
-               .otherwise(F.col("enabled")))
-    exists = F.col("enabled").isNotNull()
-    keep = (op.isNull() & exists) | op.isin("add", "seed") | (op.isin("enable", "disable") & exists)
-    return j.filter(keep).select("feed_url", enabled.alias("enabled"))
+    op, ts = F.col("op"), F.col("ts")
+    r = changes.groupBy("feed_url").agg(F.max(F.when(op == "remove", ts)).alias("_r"))
+    c = changes.join(r, "feed_url").filter(F.col("_r").isNull() | (ts > F.col("_r")))
+    setter = op.isin("add", "enable", "disable")
+    agg = c.groupBy("feed_url").agg(
+        F.min(F.when(op.isin("add", "seed"), ts)).alias("_c"),
+        F.max(F.when(setter, F.struct(ts.alias("t"), op.alias("o")))).alias("_last"))
+    agg = r.join(agg, "feed_url", "left")
+    j = feeds.select("feed_url", F.col("enabled").alias("_e0")).join(agg, "feed_url", "full_outer")
+    removed = F.col("_r").isNotNull()
+    base_exists = ~removed & F.col("_e0").isNotNull()
+    # last setter from the creation on (for a re-created feed) or overall (for an existing one)
+    last_after_create = F.when(F.col("_last.t") >= F.col("_c"), F.col("_last.o"))
+    val_existing = F.when(F.col("_last").isNotNull(), F.col("_last.o") != "disable").otherwise(F.col("_e0"))
+    val_created = F.when(last_after_create.isNotNull(), last_after_create != "disable").otherwise(F.lit(True))
+    exists = base_exists | F.col("_c").isNotNull()
+    enabled = F.when(base_exists, val_existing).otherwise(val_created)
+    return j.filter(exists).select("feed_url", enabled.alias("enabled"))
 
 
 # ---------------------------------------------------------------- F12

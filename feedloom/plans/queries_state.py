@@ -189,17 +189,26 @@ def _admin_changes(spark, sf):
                     F.element_at(V._map_lit(_ADMIN_OPS), F.col("event_type")).alias("op"))
 
 
-@register("feed_admin", lambda: _w(O.v_feeds()) + f""", c AS (
+@register("feed_admin", lambda: _w(O.v_feeds(), rec=True) + f""", c AS (
   SELECT 'https://src' || CAST(user_id % 23 AS VARCHAR) || '.example.org/feed' AS feed_url,
          {{'ts': CAST(ts AS TIMESTAMP), 'event_id': event_id}} AS ts, {O._map_case('event_type', _ADMIN_OPS)} AS op
   FROM events),
-l AS (SELECT feed_url, max({{'ts': ts, 'op': op}}).op AS op FROM c GROUP BY feed_url),
-j AS (SELECT coalesce(f.feed_url, l.feed_url) AS feed_url, f.enabled, l.op FROM v_feeds f FULL OUTER JOIN l USING (feed_url))
-SELECT feed_url,
-  CASE WHEN op = 'remove' THEN NULL WHEN op IN ('add', 'enable') THEN true WHEN op = 'disable' THEN false
-       WHEN op = 'seed' THEN coalesce(enabled, true) ELSE enabled END AS enabled
-FROM j WHERE (op IS NULL AND enabled IS NOT NULL) OR op IN ('add', 'seed')
-   OR (op IN ('enable', 'disable') AND enabled IS NOT NULL)""")
+cr AS (SELECT *, row_number() OVER (PARTITION BY feed_url ORDER BY ts) AS rn FROM c),
+init AS (SELECT coalesce(f.feed_url, k.feed_url) AS feed_url, f.enabled AS e0
+         FROM v_feeds f FULL OUTER JOIN (SELECT DISTINCT feed_url FROM c) k USING (feed_url)),
+fo(feed_url, rn, ex, en) AS (
+  SELECT feed_url, CAST(0 AS BIGINT), e0 IS NOT NULL, e0 FROM init
+  UNION ALL
+  SELECT fo.feed_url, cr.rn,
+    CASE WHEN cr.op IN ('add', 'seed') THEN true WHEN cr.op = 'remove' THEN false ELSE fo.ex END,
+    CASE WHEN cr.op = 'add' THEN true
+         WHEN cr.op = 'seed' THEN CASE WHEN fo.ex THEN fo.en ELSE true END
+         WHEN cr.op = 'remove' THEN NULL
+         WHEN cr.op IN ('enable', 'disable') AND fo.ex THEN cr.op = 'enable'
+         ELSE fo.en END
+  FROM fo JOIN cr ON cr.feed_url = fo.feed_url AND cr.rn = fo.rn + 1),
+fin AS (SELECT * FROM fo QUALIFY rn = max(rn) OVER (PARTITION BY feed_url))
+SELECT feed_url, en AS enabled FROM fin WHERE ex""")
 def q_feed_admin(spark: SparkSession, sf: str) -> DataFrame:
     """admin changes applied to the feed dimension (seed never re-enables)."""
     return L.feed_admin(_admin_changes(spark, sf), V.v_feeds(spark, sf))
