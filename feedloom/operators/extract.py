@@ -267,7 +267,7 @@ def normalize_confidence(v: Column, path: str = "$.confidence") -> Column:
     num_txt = F.regexp_replace(F.replace(text, F.lit(","), F.lit(".")), "%$", "")
     n = F.when(num_txt.rlike(_FLOAT_TEXT), num_txt.try_cast("double"))
     scaled = F.when(text.endswith("%") | (n > 1), n / 100).otherwise(n)
-    clamped = F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0))
+    clamped = F.when(scaled.isNotNull(), F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)))
     from_text = F.when(text == "", F.lit(None).cast("double")).otherwise(
         F.coalesce(F.element_at(labels, text), clamped))
     value = (F.when(t.isNull() | (t == "VOID"), F.lit(0.0))

@@ -169,7 +169,7 @@ def _sql_conform() -> str:
     num_txt = f"regexp_replace(replace({text}, ',', '.'), '%$', '')"
     n = f"CASE WHEN regexp_full_match({num_txt}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST({num_txt} AS DOUBLE) END"
     scaled = f"CASE WHEN ends_with({text}, '%') OR ({n}) > 1 THEN ({n}) / 100 ELSE ({n}) END"
-    clamped = f"least(greatest({scaled}, 0.0), 1.0)"
+    clamped = f"CASE WHEN ({scaled}) IS NOT NULL THEN least(greatest({scaled}, 0.0), 1.0) END"
     ct = ty("confidence")
     conf = (f"CASE WHEN {ct} IS NULL OR {ct} = 'NULL' THEN 0.0 "
             f"WHEN {ct} IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(json_extract({j}, '$.confidence') AS DOUBLE) "

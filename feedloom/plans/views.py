@@ -17,7 +17,7 @@ from feedloom.sources.tables import read_pages, read_table
 
 # Clock values of the fixtures: every job takes ``now`` explicitly.
 NOW_ITEMS = "2024-01-02 00:00:00"       # poll time of the page items
-STORED_BEFORE = "2024-01-01 02:00:00"   # page items published earlier were stored by older polls
+STORED_BEFORE = "2024-01-01 00:20:00"   # pages 0-19 were stored by older polls (every scale has new ones)
 NOW_EVENTS = "2024-01-31 00:00:00"      # monitor clock: after the last event at every scale
 LOG_CUTOFF = NOW_EVENTS                 # queue logs are folded up to the monitor clock
 
