@@ -35,10 +35,38 @@ def _nat(v):
     return None if v is None or pd.isna(v) else v
 
 
+def queue_step(s: dict | None, iid, a, w, t, lease_until, reason) -> dict | None:
+    """One queue transition (shared by the batch fold and the streaming state)."""
+    if a == "enqueue":
+        if s is None:
+            return {"item_id": iid, "state": "QUEUED", "lease_owner": None, "lease_until": None,
+                    "delivery_count": 0, "enqueued_at": t, "done_at": None, "last_error": "", "updated_at": t}
+        s.update(state="QUEUED", lease_owner=None, lease_until=None, last_error="", updated_at=t)
+        return s
+    if s is None:
+        return None
+    if a == "claim":
+        lu = _nat(s["lease_until"])
+        if s["state"] == "QUEUED" or (s["state"] == "LEASED" and lu is not None and lu <= t):
+            s.update(state="LEASED", lease_owner=w, lease_until=lease_until,
+                     delivery_count=s["delivery_count"] + 1, last_error="", updated_at=t)
+        return s
+    if a in ("complete", "release", "fail") and s["lease_owner"] is not None and s["lease_owner"] == w:
+        why = "" if reason is None else str(reason).strip()
+        done = s["done_at"] if _nat(s["done_at"]) is not None else t
+        if a == "complete":
+            s.update(state="DONE", lease_owner=None, lease_until=None, done_at=done, last_error="", updated_at=t)
+        elif a == "release":
+            s.update(state="QUEUED", lease_owner=None, lease_until=None, last_error=why, updated_at=t)
+        else:
+            s.update(state="DONE", lease_owner=None, lease_until=None, done_at=done, last_error=why, updated_at=t)
+    return s
+
+
 def _fold_queue(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream fold over rows sorted by (item_id, ts, seq)."""
+    """Stream fold over rows sorted by (item_id, ts, seq); state carried across batches."""
     cur = None
-    s = None  # dict state of the current item, None = not enqueued yet
+    s = None  # state of the current item, None = not enqueued yet
     for pdf in batches:
         out = []
         ids = pdf["item_id"].to_numpy()
@@ -48,41 +76,11 @@ def _fold_queue(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lus = pdf["lease_until"].to_numpy()
         rsn = pdf["reason"].to_numpy()
         for i in range(len(pdf)):
-            iid = ids[i]
-            if iid != cur:
+            if ids[i] != cur:
                 if s is not None:
                     out.append(tuple(s[c] for c in _OUT_COLS))
-                cur, s = iid, None
-            a, w, t = acts[i], wks[i], tss[i]
-            if a == "enqueue":
-                if s is None:
-                    s = {"item_id": iid, "state": "QUEUED", "lease_owner": None, "lease_until": None,
-                         "delivery_count": 0, "enqueued_at": t, "done_at": None,
-                         "last_error": "", "updated_at": t}
-                else:
-                    s.update(state="QUEUED", lease_owner=None, lease_until=None, last_error="", updated_at=t)
-            elif s is None:
-                continue
-            elif a == "claim":
-                lu = _nat(s["lease_until"])
-                if s["state"] == "QUEUED" or (s["state"] == "LEASED" and lu is not None and lu <= t):
-                    s.update(state="LEASED", lease_owner=w, lease_until=lus[i],
-                             delivery_count=s["delivery_count"] + 1, last_error="", updated_at=t)
-            elif a in ("complete", "release", "fail"):
-                if s["lease_owner"] is None or s["lease_owner"] != w:
-                    continue
-                reason = "" if rsn[i] is None else str(rsn[i]).strip()
-                if a == "complete":
-                    s.update(state="DONE", lease_owner=None, lease_until=None,
-                             done_at=s["done_at"] if _nat(s["done_at"]) is not None else t,
-                             last_error="", updated_at=t)
-                elif a == "release":
-                    s.update(state="QUEUED", lease_owner=None, lease_until=None,
-                             last_error=reason, updated_at=t)
-                else:
-                    s.update(state="DONE", lease_owner=None, lease_until=None,
-                             done_at=s["done_at"] if _nat(s["done_at"]) is not None else t,
-                             last_error=reason, updated_at=t)
+                cur, s = ids[i], None
+            s = queue_step(s, ids[i], acts[i], wks[i], tss[i], lus[i], rsn[i])
         if out:
             yield _frame(out)
     if s is not None:

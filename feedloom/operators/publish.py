@@ -90,8 +90,21 @@ def render_chat(df: DataFrame) -> Column:
         F.lit("\n\n" + fixed.CHAT_APPLY + "("), _s("source_url"), F.lit(")\n"))
 
 
+LAYOUT_FIELDS = {
+    "source_label": "string", "source_url": "string", "title": "string", "job_category": "string",
+    "role": "string", "company": "string", "summary_it": "string", "seniority": "string", "location": "string",
+    "remote_type": "string", "contract_type": "string", "salary": "string", "language": "string",
+    "tech_stack": "array<string>", "tags": "array<string>", "original_links": "array<string>",
+    "original_images": "array<string>", "job_post_quality_rank": "string", "job_post_quality_score": "int",
+}
+
+
 def render_messages(analyzed: DataFrame, layout: str | Callable[[DataFrame], Column] = "default") -> DataFrame:
-    """One message per analysed item; ``layout`` = default, chat or a function."""
+    """One message per analysed item; ``layout`` = default, chat or a function.
+    Fields the input lacks render as empty."""
+    for name, typ in LAYOUT_FIELDS.items():
+        if name not in analyzed.columns:
+            analyzed = analyzed.withColumn(name, F.lit(None).cast(typ))
     fn = {"default": render_default, "chat": render_chat}.get(layout, layout) if isinstance(layout, str) else layout
     if isinstance(fn, str):
         raise ValueError(f"unknown layout {layout!r}")
