@@ -180,3 +180,16 @@ CHAT_SENIORITY, CHAT_CONTRACT, CHAT_LANGUAGE, CHAT_RANK = "├ 📈 ", "├ 🏷
 CHAT_TAGS, CHAT_APPLY = "🏷", "🔗 [candidati]"
 FILE_SEPARATOR = "\n\n---\n\n"
 PARSE_ENTITIES_ERROR = "can't parse entities"
+
+# --- fixed values: synthetic posting generator pools ------------------------
+SYNTH_COMPANIES = ["Acme Cloud", "Nimbus Labs", "Northstar Data", "Pixel Orbit", "Atlas Metrics"]
+SYNTH_ROLES = ["Senior Go Backend Engineer", "Staff Platform Engineer", "DevOps Engineer (Kubernetes)",
+               "Full-Stack Engineer (Go/React)", "Site Reliability Engineer"]
+SYNTH_REGIONS = ["Worldwide", "EMEA", "US/Canada", "Europe", "LATAM"]
+SYNTH_STACK = ["Go", "PostgreSQL", "Docker", "Kubernetes", "RabbitMQ", "Redis", "Terraform", "AWS", "GCP"]
+SYNTH_CATEGORY = "Programming"
+SYNTH_CONTRACT = "Full-Time"
+SYNTH_JOBS_PATH = "/jobs/"
+SYNTH_DESCRIPTION = ("{company} is looking for a {role} to scale distributed systems used by remote teams "
+                     "across {region}. You will own backend services, CI/CD reliability, and production "
+                     "observability.")

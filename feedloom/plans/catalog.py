@@ -164,6 +164,7 @@ from feedloom.plans import queries_extract  # noqa: E402,F401  (registers extrac
 from feedloom.plans import queries_enrich  # noqa: E402,F401  (registers enrichment queries)
 from feedloom.plans import queries_publish  # noqa: E402,F401  (registers publish queries)
 from feedloom.plans import queries_sources  # noqa: E402,F401  (registers source queries)
+from feedloom.plans import queries_more  # noqa: E402,F401  (registers remaining queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
