@@ -176,14 +176,8 @@ def _named_entity_map() -> Column:
     return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "map<string,string>")
 
 
-_ENTITY_MAP = None
-
-
 def _entity_map() -> Column:
-    global _ENTITY_MAP
-    if _ENTITY_MAP is None:
-        _ENTITY_MAP = _named_entity_map()
-    return _ENTITY_MAP
+    return _named_entity_map()
 
 
 def _numeric_ref(e: Column) -> Column:
