@@ -157,18 +157,28 @@ def encode_payload(raw: DataFrame) -> DataFrame:
 
 def queue_payloads(queue: DataFrame, payload: str = "payload_json", key: str = "item_id") -> tuple[DataFrame, DataFrame]:
     """A5: decode queue payloads to RawItem; blank id falls back to the queue
-    key.  Returns (good, bad); bad rows keep the raw text for diversion."""
-    v = F.try_parse_json(F.col(payload))
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    parsed = F.from_json(F.col(payload), RAW_ITEM_DDL)
-    q = queue.select("*", is_obj.alias("_ok"), parsed.alias("_p"))
+    key.  Returns (good, bad); bad rows keep the raw text for diversion.
+
+    The text is parsed once into a variant column; fields are then read from
+    the binary variant (per-field ``from_json`` would re-parse the text).
+    """
+    q = queue.withColumn("_v", F.try_parse_json(F.col(payload)))
+    q = q.withColumn("_ok", F.coalesce(F.schema_of_variant(F.col("_v")).startswith("OBJECT"), F.lit(False)))
+    v = F.col("_v")
+
+    def s(name):
+        return F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), F.lit(""))
+
+    def a(name):
+        return F.coalesce(F.try_variant_get(v, f"$.{name}", "array<string>"), F.array().cast("array<string>"))
+
     good = q.filter("_ok").select(
-        key, *[F.coalesce(F.col(f"_p.{c}"), F.lit("")).alias(c)
-               for c in ("schema_version", "feed_url", "source_label", "guid", "url", "title", "description")],
-        *[F.coalesce(F.col(f"_p.{c}"), F.array().cast("array<string>")).alias(c) for c in ("links", "image_urls")],
-        F.when(T.trim_space(F.coalesce(F.col("_p.id"), F.lit(""))) != "", F.col("_p.id")).otherwise(F.col(key).cast("string")).alias("id"),
-        parse_times(F.col("_p.published_at")).alias("published_at"),
-        parse_times(F.col("_p.fetched_at")).alias("fetched_at"))
+        key, *[s(c).alias(c) for c in ("schema_version", "feed_url", "source_label", "guid", "url", "title",
+                                       "description")],
+        *[a(c).alias(c) for c in ("links", "image_urls")],
+        F.when(T.trim_space(s("id")) != "", s("id")).otherwise(F.col(key).cast("string")).alias("id"),
+        parse_times(F.try_variant_get(v, "$.published_at", "string")).alias("published_at"),
+        parse_times(F.try_variant_get(v, "$.fetched_at", "string")).alias("fetched_at"))
     bad = q.filter(~F.col("_ok")).select(key, F.col(payload).alias("raw_payload"),
                                         F.lit("invalid_raw_payload").alias("reason"))
     return good, bad
