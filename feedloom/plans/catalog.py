@@ -89,8 +89,8 @@ firsts AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY id ORDER BY
 fresh AS (SELECT * FROM firsts WHERE id NOT IN (SELECT id FROM stored)),
 capped AS (SELECT * FROM fresh QUALIFY row_number() OVER (PARTITION BY feed_url ORDER BY pos) <= 100)""") + """
 SELECT source_label, count(*) AS n_items,
-       sum(CASE WHEN links = '' THEN 0 ELSE len(string_split(links, ' ')) END) AS n_links,
-       sum(CASE WHEN image_urls = '' THEN 0 ELSE len(string_split(image_urls, ' ')) END) AS n_images,
+       CAST(sum(CASE WHEN links = '' THEN 0 ELSE len(string_split(links, ' ')) END) AS BIGINT) AS n_links,
+       CAST(sum(CASE WHEN image_urls = '' THEN 0 ELSE len(string_split(image_urls, ' ')) END) AS BIGINT) AS n_images,
        max(published_at) AS last_published
 FROM capped GROUP BY source_label""")
 def q_label_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +100,7 @@ def q_label_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("page_text", lambda: f"""SELECT page_id, url, {O.html_to_text('substr(html, 1, 262144)')} AS text,
-  length({O.html_to_text('substr(html, 1, 262144)')}) AS n_chars FROM pages""")
+  CAST(length({O.html_to_text('substr(html, 1, 262144)')}) AS INTEGER) AS n_chars FROM pages""")
 def q_page_text(spark: SparkSession, sf: str) -> DataFrame:
     """A4 + B9 + B10: page body (256 KiB cap) to plain text."""
     p = read_pages(spark, sf)

@@ -127,7 +127,7 @@ def q_error_classes(spark: SparkSession, sf: str) -> DataFrame:
          CAST(event_id % 500 AS BIGINT) AS completion_tokens FROM events WHERE event_type IN ('view', 'click')),
 u AS (SELECT model, 'input' AS token_type, prompt_tokens AS tokens FROM c
       UNION ALL SELECT model, 'output', completion_tokens FROM c)
-SELECT model, token_type, sum(tokens) AS tokens, count(*) AS calls, round(avg(tokens), 6) AS mean_tokens
+SELECT model, token_type, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS calls, round(avg(tokens), 6) AS mean_tokens
 FROM u WHERE tokens > 0 GROUP BY model, token_type""")
 def q_token_usage(spark: SparkSession, sf: str) -> DataFrame:
     """Token totals per model and direction."""

@@ -430,7 +430,7 @@ def q_lane_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("board_lanes", lambda: _w(AQ, DQ, O.v_status(), rec=True) + ", b AS (" + _board_sql() + ")\n" + """
-SELECT *, row_number() OVER (PARTITION BY lane ORDER BY priority, fifo_ts NULLS FIRST, created_at NULLS FIRST, id) AS rank
+SELECT *, CAST(row_number() OVER (PARTITION BY lane ORDER BY priority, fifo_ts NULLS FIRST, created_at NULLS FIRST, id) AS INTEGER) AS rank
 FROM b WHERE lane <> '' QUALIFY rank <= 20""")
 def q_board_lanes(spark: SparkSession, sf: str) -> DataFrame:
     """H2: per-lane top 20 board items (two-stage skew-safe ranking)."""
@@ -565,7 +565,7 @@ def q_delete_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("backoff_plan", lambda: _w(O.v_status()) + """
-SELECT id, a AS attempt, 2.0 * pow(2, a - 1) AS delay_s, created_at + to_microseconds(CAST(2.0 * pow(2, a - 1) * 1e6 AS BIGINT)) AS retry_at
+SELECT id, CAST(a AS INTEGER) AS attempt, 2.0 * pow(2, a - 1) AS delay_s, created_at + to_microseconds(CAST(2.0 * pow(2, a - 1) * 1e6 AS BIGINT)) AS retry_at
 FROM v_status, range(1, 4) t(a) WHERE status = 'FAILED'""")
 def q_backoff_plan(spark: SparkSession, sf: str) -> DataFrame:
     """H8: retry plan (3 attempts, 2 s base, doubling) for failed items."""
