@@ -269,9 +269,9 @@ def feed_list(spark, csv: str, path: str | None = None) -> DataFrame:
     parts = [x for x in (csv or "").split(",")]
     first = spark.createDataFrame([(i, p) for i, p in enumerate(parts)], "pos long, line string")
     if path:
-        lines = (spark.read.text(path).withColumn("_id", F.monotonically_increasing_id())
-                 .select((F.lit(len(parts)) + F.row_number().over(Window.orderBy("_id"))).alias("pos"),
-                         F.col("value").alias("line")))
+        # file order without a global window: the id increases with partition and row
+        lines = spark.read.text(path).select(
+            (F.lit(len(parts)) + F.monotonically_increasing_id()).alias("pos"), F.col("value").alias("line"))
         first = first.unionByName(lines)
     cleaned = first.select("pos", T.trim_space(F.col("line")).alias("feed_url"))
     cleaned = cleaned.filter((F.col("feed_url") != "") & ~F.col("feed_url").startswith("#"))

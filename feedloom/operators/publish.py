@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import fixed
 from feedloom.functions import text as T
 from feedloom.operators.extract import go_json_escape
-from feedloom.session import ts_lit
+from feedloom.session import checkpoint_dir, ts_lit
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -180,17 +180,40 @@ def item_export(items: DataFrame, analyzed: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- H6
-def pace(queue: DataFrame, per_min: int, dest: str = "dest", ready: str = "ready_at", key: str = "item_id") -> DataFrame:
+def pace(queue: DataFrame, per_min: int, dest: str = "dest", ready: str = "ready_at", key: str = "item_id",
+         partitions: int | None = None) -> DataFrame:
     """H6: token bucket (burst 1): send_i = max(ready_i, send_{i-1} + spacing).
 
-    Closed form send_i = i*spacing + max_{j<=i}(ready_j - j*spacing), a
-    running max per destination in (ready, key) order.
+    Closed form send_i = i*spacing + max_{j<=i}(ready_j - j*spacing): a rank
+    and a running max per destination in (ready, key) order, computed as a
+    distributed scan so one destination holding most messages is never one
+    task: range-partition by (dest, ready, key) (a hot destination spans many
+    partitions) and checkpoint it; per (partition, dest) take the count and
+    the local max of (ready - j*spacing); a window over that small summary
+    gives each partition's rank offset and the max carried in; a window per
+    (partition, dest) finishes.
     """
     per_min = per_min if per_min >= 1 else 10
-    spacing_us = int(60_000_000 // per_min)
-    w = Window.partitionBy(dest).orderBy(F.col(ready), F.col(key))
-    r = F.unix_micros(F.col(ready).cast("timestamp"))
-    q = queue.withColumn("_i", F.row_number().over(w) - 1)
-    q = q.withColumn("_m", F.max(r - F.col("_i") * spacing_us).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    send = F.timestamp_micros(F.col("_i") * spacing_us + F.col("_m")).cast("timestamp_ntz")
-    return q.withColumn("send_at", send).drop("_i", "_m")
+    dt_us = int(60_000_000 // per_min)
+    spark = queue.sparkSession
+    checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r_us = F.unix_micros(F.col(ready).cast("timestamp"))
+    part = (queue.repartitionByRange(n, F.col(dest), F.col(ready), F.col(key))
+            .withColumn("_pid", F.spark_partition_id()).withColumn("_r", r_us).checkpoint())
+    w_local = Window.partitionBy("_pid", dest).orderBy(F.col(ready), F.col(key))
+    local = part.withColumn("_j", F.row_number().over(w_local) - 1)
+    summary = (local.groupBy("_pid", dest)
+               .agg(F.count(F.lit(1)).alias("_c"), F.max(F.col("_r") - F.col("_j") * dt_us).alias("_lm")))
+    w_sum = Window.partitionBy(dest).orderBy("_pid")
+    before = w_sum.rowsBetween(Window.unboundedPreceding, -1)
+    summary = (summary.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+               .withColumn("_carry", F.max(F.col("_lm") - F.col("_off") * dt_us).over(before))
+               .select("_pid", dest, "_off", "_carry"))
+    j = local.join(summary, ["_pid", dest])
+    i = F.col("_off") + F.col("_j")
+    run = F.max(F.col("_r") - (F.col("_off") + F.col("_j")) * dt_us).over(
+        w_local.rowsBetween(Window.unboundedPreceding, 0))
+    m = F.greatest(run, F.coalesce(F.col("_carry"), run))
+    send = F.timestamp_micros(i * dt_us + m).cast("timestamp_ntz")
+    return j.withColumn("send_at", send).drop("_pid", "_r", "_j", "_off", "_carry")

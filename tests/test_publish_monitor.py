@@ -114,3 +114,19 @@ def test_hybrid_excerpt(spark):
     assert got[1].excerpt.startswith("word word") and got[2].excerpt.startswith("# T")
     assert got[3].excerpt == "" and "basic: fetch_failed" in got[3].excerpt_reason
     assert {r.excerpt for r in N.page_excerpt(items, pages, "off").collect()} == {""}
+
+
+def test_pace_hot_destination_spans_partitions(spark):
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(f"{i:04d}", "hot" if i % 10 else "cold", t0 + dt.timedelta(seconds=rnd.randint(0, 300)))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "item_id string, dest string, ready_at timestamp_ntz")
+    out = P.pace(df, 20, partitions=7)
+    got = {r.item_id: r.send_at for r in out.collect()}
+    for d in ("hot", "cold"):
+        last = None
+        for iid, _, ready in sorted([r for r in rows if r[1] == d], key=lambda r: (r[2], r[0])):
+            send = ready if last is None else max(ready, last + dt.timedelta(seconds=3))
+            assert got[iid] == send, (d, iid)
+            last = send
