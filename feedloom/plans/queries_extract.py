@@ -84,9 +84,31 @@ def q_request_timeouts(spark: SparkSession, sf: str) -> DataFrame:
     return X.request_timeout(p, 512).select("item_id", "timeout_s")
 
 
-@register("request_bodies")
+def _json_lit(obj) -> str:
+    """A literal JSON value as a DuckDB struct/list expression with sorted keys."""
+    if isinstance(obj, dict):
+        return "{" + ", ".join(f"{O.q(k)}: {_json_lit(obj[k])}" for k in sorted(obj)) + "}"
+    if isinstance(obj, list):
+        return "[" + ", ".join(_json_lit(v) for v in obj) + "]"
+    if isinstance(obj, bool):
+        return "true" if obj else "false"
+    if isinstance(obj, str):
+        return O.q(obj)
+    return str(obj)
+
+
+def _sql_request_bodies() -> str:
+    schema = _json_lit(X.response_schema())
+    body = (f"to_json({{'json_schema': {schema}, 'max_tokens': 512, 'messages': [{{'content': {O.q(fixed.SYSTEM_MESSAGE)}, "
+            f"'role': 'system'}}, {{'content': prompt, 'role': 'user'}}], 'model': 'local-model', "
+            f"'response_format': {{'schema': {schema}, 'type': 'json_schema'}}, 'temperature': 0.1}})")
+    esc = f"replace(replace(replace(CAST({body} AS VARCHAR), '&', '\\u0026'), '<', '\\u003c'), '>', '\\u003e')"
+    return O.with_(O.v_doc_raw(), "p AS (" + _sql_prompts(False) + ")") + f"SELECT item_id, {esc} AS body FROM p"
+
+
+@register("request_bodies", _sql_request_bodies)
 def q_request_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    """Strict-schema chat request bodies (checked by unit tests and JSON parse)."""
+    """Strict-schema chat request bodies (sorted keys, Go-style escaping of & < >)."""
     p = X.build_prompts(V.v_doc_raw(spark, sf)).select(F.col("id").alias("item_id"), "prompt")
     return X.request_body(p, "local-model", 512, strict=True).select("item_id", "body")
 
