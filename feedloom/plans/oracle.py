@@ -342,7 +342,7 @@ def v_doc_raw() -> str:
          substr(split_part(text, chr(10), 1), 1, 60) AS title, text AS description,
          [{url}, {url} || '#apply', ' ', {url}] AS links,
          ['https://img.example.org/' || source || '.png'] AS image_urls,
-         CASE WHEN doc_id % 3 = 0 THEN '' ELSE substr(text, 1, 3000) END AS excerpt
+         CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS excerpt
   FROM documents)"""
 
 

@@ -209,7 +209,7 @@ def v_doc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(url, F.concat(url, F.lit("#apply")), F.lit(" "), url).alias("links"),
         F.array(F.concat(F.lit("https://img.example.org/"), F.col("source"), F.lit(".png"))).alias("image_urls"),
         F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(
-            F.substring(F.col("text"), 1, 3000)).alias("excerpt"))
+            F.col("text")).alias("excerpt"))
 
 
 AN_SENIORITY, AN_LOCATION, AN_CONTRACT, AN_SALARY = ["Senior", "", "Junior"], ["Remote", "Milano"], \
