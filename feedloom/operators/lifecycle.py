@@ -14,11 +14,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
-from feedloom.session import ts_lit
+from feedloom.session import checkpoint_dir, ts_lit
 
 LOG_COLUMNS = ["item_id", "ts", "seq", "action", "worker", "lease_until", "reason"]
 
@@ -95,7 +95,36 @@ def _frame(rows) -> pd.DataFrame:
     return df
 
 
-def queue_snapshot(log: DataFrame, partitions: int | None = None) -> DataFrame:
+def _fold_sorted(src: DataFrame, key: str, parts: int) -> DataFrame:
+    return (src.repartition(parts, key).sortWithinPartitions(key, "ts", "seq")
+            .mapInPandas(_fold_queue, SNAPSHOT_SCHEMA))
+
+
+def enqueue_segments(log: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Tag each event with the seq of the latest enqueue at or before it (null
+    before the first enqueue), as a distributed scan: range-partition by
+    (item, ts, seq) and checkpoint; running max inside (partition, item);
+    the carry from earlier partitions comes from a small per-(partition,
+    item) summary.  A hot item spans many partitions, never one task."""
+    spark = log.sparkSession
+    checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = (log.repartitionByRange(n, "item_id", "ts", "seq")
+            .withColumn("_pid", F.spark_partition_id()).checkpoint())
+    mark = F.when(F.col("action") == "enqueue", F.struct("ts", "seq"))
+    w = Window.partitionBy("_pid", "item_id").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    local = part.withColumn("_m", F.max(mark).over(w))
+    summary = local.groupBy("_pid", "item_id").agg(F.max(mark).alias("_last"))
+    ws = Window.partitionBy("item_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("_carry", F.max("_last").over(ws)).select("_pid", "item_id", "_carry")
+    j = local.join(summary, ["_pid", "item_id"])
+    seg = F.coalesce(F.col("_m"), F.col("_carry"))
+    return j.withColumn("seg", F.when(seg.isNotNull(), F.concat_ws(
+        ":", F.lpad(F.unix_micros(seg["ts"].cast("timestamp")).cast("string"), 20, "0"),
+        F.lpad(seg["seq"].cast("string"), 20, "0")))).drop("_pid", "_m", "_carry")
+
+
+def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: bool = True) -> DataFrame:
     """fold a queue transition log into one snapshot row per item.
 
     Log columns: item_id, ts, seq, action (enqueue|claim|complete|release|
@@ -103,12 +132,33 @@ def queue_snapshot(log: DataFrame, partitions: int | None = None) -> DataFrame:
     QUEUED keeping enqueued_at/delivery_count/done_at; claim only when
     QUEUED or the lease expired (``lease_until <= ts``), +1 delivery; complete
     / release / fail only by the lease owner.  Items never enqueued give no row.
+
+    An enqueue resets the lease control; only counters cross it (delivery
+    count adds up, enqueued_at and done_at are the first ones).  So with
+    ``segmented`` the log is cut at enqueues (:func:`enqueue_segments`),
+    every (item, segment) is folded on its own, and the segments are
+    combined with aggregates: an item with a huge history is spread over its
+    segments instead of one task.
     """
     src = log.select(*LOG_COLUMNS)
     parts = partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (src.repartition(parts, "item_id")
-            .sortWithinPartitions("item_id", "ts", "seq")
-            .mapInPandas(_fold_queue, SNAPSHOT_SCHEMA))
+    if not segmented:
+        return _fold_sorted(src, "item_id", parts)
+    seg = enqueue_segments(src, parts).filter(F.col("seg").isNotNull())
+    keyed = seg.withColumn("_item", F.col("item_id")).withColumn(
+        "item_id", F.concat_ws("\u0001", F.col("item_id"), F.col("seg").cast("string")))
+    folded = _fold_sorted(keyed.select(*LOG_COLUMNS), "item_id", parts)
+    # the segment key is "<ts micros>:<seq>" zero-padded, so it sorts in (ts, seq) order
+    folded = folded.withColumn("_item", F.split(F.col("item_id"), "\u0001").getItem(0)).withColumn(
+        "_seg", F.split(F.col("item_id"), "\u0001").getItem(1))
+    last = F.max_by(F.struct("state", "lease_owner", "lease_until", "last_error", "updated_at"), F.col("_seg"))
+    agg = folded.groupBy("_item").agg(
+        last.alias("_l"), F.sum("delivery_count").cast("int").alias("delivery_count"),
+        F.min("enqueued_at").alias("enqueued_at"), F.min("done_at").alias("done_at"))
+    return agg.select(F.col("_item").alias("item_id"), F.col("_l.state").alias("state"),
+                      F.col("_l.lease_owner").alias("lease_owner"), F.col("_l.lease_until").alias("lease_until"),
+                      "delivery_count", "enqueued_at", "done_at", F.col("_l.last_error").alias("last_error"),
+                      F.col("_l.updated_at").alias("updated_at"))
 
 
 # ---------------------------------------------------------------- F2
