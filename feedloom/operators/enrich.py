@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
+from feedloom.session import ship_package
 
 # --- fixed values: noise elements removed before choosing a block ----------
 NOISE_TAGS = {"script", "style", "noscript", "svg", "path", "head", "meta", "link", "iframe",
@@ -166,6 +167,7 @@ def _blocks_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def page_blocks(pages: DataFrame) -> DataFrame:
     """Candidate main-content blocks, one row per (page, candidate)."""
+    ship_package(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInPandas(_blocks_batches, BLOCK_SCHEMA)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import fixed
 from feedloom.functions import text as T
-from feedloom.session import ts_lit
+from feedloom.session import ship_package, ts_lit
 
 CATEGORIES_CSV = ", ".join(fixed.ALLOWED_CATEGORIES)
 
@@ -181,6 +181,8 @@ def complete(prompts: DataFrame, batch_fn: Callable[[pd.DataFrame], pd.DataFrame
     Without it, responses come from an offline table joined on item_id.
     """
     if batch_fn is not None:
+        ship_package(prompts.sparkSession)
+
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 yield batch_fn(b)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
-from feedloom.session import checkpoint_dir, ts_lit
+from feedloom.session import checkpoint_dir, ship_package, ts_lit
 
 LOG_COLUMNS = ["item_id", "ts", "seq", "action", "worker", "lease_until", "reason"]
 
@@ -96,6 +96,7 @@ def _frame(rows) -> pd.DataFrame:
 
 
 def _fold_sorted(src: DataFrame, key: str, parts: int) -> DataFrame:
+    ship_package(src.sparkSession)
     return (src.repartition(parts, key).sortWithinPartitions(key, "ts", "seq")
             .mapInPandas(_fold_queue, SNAPSHOT_SCHEMA))
 

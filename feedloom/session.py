@@ -59,3 +59,34 @@ def ts_lit(value) -> Column:
     if isinstance(value, _dt.datetime):
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(str(value)).cast("timestamp_ntz")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedloom`` importable in Python workers (executors).
+
+    Stages that run Python (``mapInPandas``, ``applyInPandasWithState``)
+    unpickle functions by module reference, so the package is zipped once
+    per application and distributed with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    import feedloom
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(feedloom.__file__)))
+    staging = tempfile.mkdtemp(prefix="feedloom-pkg-")  # driver-side staging only; Spark copies it out
+    path = os.path.join(staging, "feedloom.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(os.path.join(root, "feedloom")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

@@ -19,7 +19,7 @@ from feedloom.operators import ingest
 from feedloom.operators import lifecycle as L
 from feedloom.operators import monitor as M
 from feedloom.operators import publish as P
-from feedloom.session import checkpoint_dir
+from feedloom.session import checkpoint_dir, ship_package
 from feedloom.sources import feeds as S
 
 
@@ -114,6 +114,7 @@ def stream_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour") ->
     mode: update.
     """
     STATE_TTL_MS[0] = ttl_hours * 3600 * 1000
+    ship_package(log.sparkSession)
     out_schema = "item_id string, " + ", ".join(
         f"{f} {'timestamp' if f.endswith(('_at', '_until')) else ('int' if f == 'delivery_count' else 'string')}"
         for f in _STATE_FIELDS)
