@@ -125,7 +125,11 @@ def enqueue_segments(log: DataFrame, partitions: int | None = None) -> DataFrame
         F.lpad(seg["seq"].cast("string"), 20, "0")))).drop("_pid", "_m", "_carry")
 
 
-def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: bool = True) -> DataFrame:
+HOT_ITEM_EVENTS = 200_000  # items with more log events than this take the segmented path
+
+
+def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: bool = True,
+                   hot_threshold: int | None = None) -> DataFrame:
     """fold a queue transition log into one snapshot row per item.
 
     Log columns: item_id, ts, seq, action (enqueue|claim|complete|release|
@@ -139,12 +143,22 @@ def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: boo
     ``segmented`` the log is cut at enqueues (:func:`enqueue_segments`),
     every (item, segment) is folded on its own, and the segments are
     combined with aggregates: an item with a huge history is spread over its
-    segments instead of one task.
+    segments instead of one task.  Only hot items (more than
+    ``hot_threshold`` events, found with one partial count) take that path;
+    the others are folded directly.  The hot set has at most
+    rows / threshold keys.
     """
     src = log.select(*LOG_COLUMNS)
     parts = partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not segmented:
         return _fold_sorted(src, "item_id", parts)
+    limit = HOT_ITEM_EVENTS if hot_threshold is None else hot_threshold
+    hot = src.groupBy("item_id").count().filter(F.col("count") > limit).select("item_id")
+    cold = _fold_sorted(src.join(hot, "item_id", "left_anti"), "item_id", parts)
+    return cold.unionByName(_segmented_fold(src.join(hot, "item_id", "left_semi"), parts))
+
+
+def _segmented_fold(src: DataFrame, parts: int) -> DataFrame:
     seg = enqueue_segments(src, parts).filter(F.col("seg").isNotNull())
     keyed = seg.withColumn("_item", F.col("item_id")).withColumn(
         "item_id", F.concat_ws("\u0001", F.col("item_id"), F.col("seg").cast("string")))

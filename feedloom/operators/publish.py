@@ -180,8 +180,37 @@ def item_export(items: DataFrame, analyzed: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- H6
+HOT_DEST_ROWS = 200_000  # destinations with more queued rows than this take the scan path
+
+
 def pace(queue: DataFrame, per_min: int, dest: str = "dest", ready: str = "ready_at", key: str = "item_id",
-         partitions: int | None = None) -> DataFrame:
+         partitions: int | None = None, hot_threshold: int | None = None) -> DataFrame:
+    """H6: token bucket (burst 1) send times; see :func:`_pace_scan`.
+
+    One partial count finds hot destinations (more than ``hot_threshold``
+    rows; at most rows / threshold of them): those use the distributed scan,
+    the rest a running window per destination.
+    """
+    limit = HOT_DEST_ROWS if hot_threshold is None else hot_threshold
+    hot = queue.groupBy(dest).count().filter(F.col("count") > limit).select(dest)
+    cold = _pace_window(queue.join(hot, dest, "left_anti"), per_min, dest, ready, key)
+    hotp = _pace_scan(queue.join(hot, dest, "left_semi"), per_min, dest, ready, key, partitions)
+    return cold.unionByName(hotp)
+
+
+def _pace_window(queue: DataFrame, per_min: int, dest: str, ready: str, key: str) -> DataFrame:
+    per_min = per_min if per_min >= 1 else 10
+    dt_us = int(60_000_000 // per_min)
+    w = Window.partitionBy(dest).orderBy(F.col(ready), F.col(key))
+    r = F.unix_micros(F.col(ready).cast("timestamp"))
+    q = queue.withColumn("_i", F.row_number().over(w) - 1)
+    q = q.withColumn("_m", F.max(r - F.col("_i") * dt_us).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    send = F.timestamp_micros(F.col("_i") * dt_us + F.col("_m")).cast("timestamp_ntz")
+    return q.withColumn("send_at", send).drop("_i", "_m")
+
+
+def _pace_scan(queue: DataFrame, per_min: int, dest: str = "dest", ready: str = "ready_at", key: str = "item_id",
+               partitions: int | None = None) -> DataFrame:
     """H6: token bucket (burst 1): send_i = max(ready_i, send_{i-1} + spacing).
 
     Closed form send_i = i*spacing + max_{j<=i}(ready_j - j*spacing): a rank

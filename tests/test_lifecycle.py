@@ -68,7 +68,7 @@ def test_queue_fold_matches_loop_random(spark):
             t = T0 + dt.timedelta(seconds=rnd.randint(0, 500))
             rows.append((f"i{item}", t, len(rows), rnd.choice(["enqueue", "claim", "complete", "release", "fail"]),
                          rnd.choice(["w1", "w2"]), t + dt.timedelta(seconds=rnd.randint(10, 100)), f"e{k}"))
-    got = {r.item_id: r for r in L.queue_snapshot(_log(spark, rows), partitions=3).collect()}
+    got = {r.item_id: r for r in L.queue_snapshot(_log(spark, rows), partitions=3, hot_threshold=50).collect()}
     plain = {r.item_id: r for r in L.queue_snapshot(_log(spark, rows), partitions=3, segmented=False).collect()}
     assert {k: tuple(v) for k, v in got.items()} == {k: tuple(v) for k, v in plain.items()}
     for item in {r[0] for r in rows}:

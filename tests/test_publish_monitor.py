@@ -122,7 +122,7 @@ def test_pace_hot_destination_spans_partitions(spark):
     rows = [(f"{i:04d}", "hot" if i % 10 else "cold", t0 + dt.timedelta(seconds=rnd.randint(0, 300)))
             for i in range(400)]
     df = spark.createDataFrame(rows, "item_id string, dest string, ready_at timestamp_ntz")
-    out = P.pace(df, 20, partitions=7)
+    out = P.pace(df, 20, partitions=7, hot_threshold=100)
     got = {r.item_id: r.send_at for r in out.collect()}
     for d in ("hot", "cold"):
         last = None
