@@ -71,16 +71,16 @@ def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
 
     Two stages so a huge group is never ranked in one task: rank inside
     ``(group, hash bucket)`` and keep ``n`` each, then rank the at most
-    ``n * buckets`` survivors per group.  Ties are broken by every column.
+    ``n * buckets`` survivors per group.  Ties are broken by a hash of the row.
     """
-    tie = [F.col(c) for c in df.columns]
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
-    w1 = Window.partitionBy(*group, "_b").orderBy(*order, *tie)
-    stage1 = (df.withColumn("_b", bucket)
+    # one row hash: spreads a group over buckets and breaks ties deterministically
+    h = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
+    w1 = Window.partitionBy(*group, "_b").orderBy(*order, F.col("_h"))
+    stage1 = (h.withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
               .withColumn("_r1", F.row_number().over(w1))
               .filter(F.col("_r1") <= n).drop("_r1", "_b"))
-    w2 = Window.partitionBy(*group).orderBy(*order, *tie)
-    out = stage1.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= n)
+    w2 = Window.partitionBy(*group).orderBy(*order, F.col("_h"))
+    out = stage1.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= n).drop("_h")
     if rank_col:
         return out.withColumnRenamed("_rn", rank_col)
     return out.drop("_rn")
