@@ -346,3 +346,27 @@ def extract_counters(extractions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg("duration_ms"), 6).alias("mean_ms"),
         F.percentile_approx("duration_ms", 0.95, 10000).alias("p95_ms"))
+
+
+def sla_duplicates(outcomes: DataFrame, ts: str = "published") -> DataFrame:
+    """Weekly duplicate share of ingest outcomes (target <= 0.1 %)."""
+    wk = F.date_trunc("week", F.col(ts)).cast("timestamp_ntz")
+    agg = outcomes.groupBy(wk.alias("week")).agg(
+        F.count(F.lit(1)).alias("items"), F.count_if(F.col("outcome") == "duplicate").alias("duplicates"))
+    return agg.withColumn("duplicate_share", F.round(F.col("duplicates") / F.col("items"), 6))
+
+
+def sla_quality(analyzed: DataFrame) -> DataFrame:
+    """Required-field completeness (role, company, location or remote
+    type, summary) and link / image coverage of analysed items (>= 95 %)."""
+    def filled(c):
+        return T.trim_space(F.coalesce(F.col(c), F.lit(""))) != ""
+    complete = filled("role") & filled("company") & (filled("location") | filled("remote_type")) & filled("summary_it")
+    agg = analyzed.agg(
+        F.count(F.lit(1)).alias("items"), F.count_if(complete).alias("complete"),
+        F.count_if(F.size(F.coalesce(F.col("original_links"), F.array().cast("array<string>"))) > 0).alias("with_links"),
+        F.count_if(F.size(F.coalesce(F.col("original_images"), F.array().cast("array<string>"))) > 0)
+        .alias("with_images"))
+    return agg.select("*", F.round(F.col("complete") / F.col("items"), 6).alias("completeness"),
+                      F.round(F.col("with_links") / F.col("items"), 6).alias("link_coverage"),
+                      F.round(F.col("with_images") / F.col("items"), 6).alias("image_coverage"))

@@ -143,3 +143,32 @@ def q_extract_counters(spark: SparkSession, sf: str) -> DataFrame:
     r = ex.select(F.when(F.col("excerpt_reason") == "", "ok").otherwise(F.col("excerpt_reason")).alias("result"),
                   (F.length("excerpt") / 10).cast("int").alias("duration_ms"))
     return M.extract_counters(r)
+
+
+@register("sla_duplicates", lambda: O.with_(O.v_doc_items()) + f""", h AS (
+  SELECT published, row_number() OVER (PARTITION BY {O.item_hash('guid', 'url', 'title')} ORDER BY feed_url, pos) AS rn
+  FROM v_doc_items)
+SELECT date_trunc('week', published) AS week, count(*) AS items, count(*) FILTER (WHERE rn > 1) AS duplicates,
+       round(count(*) FILTER (WHERE rn > 1) / count(*), 6) AS duplicate_share FROM h GROUP BY 1""")
+def q_sla_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly duplicate share from the hash dedupe of document items."""
+    d = V.v_doc_items(spark, sf).select(T.item_hash("guid", "url", "title").alias("id"), "feed_url", "pos",
+                                         "published")
+    firsts = ingest.dedupe_hash(d).select("id", "feed_url", "pos", F.lit(True).alias("_first"))
+    o = d.join(firsts, ["id", "feed_url", "pos"], "left").select(
+        "published", F.when(F.col("_first"), "enqueued").otherwise("duplicate").alias("outcome"))
+    return M.sla_duplicates(o)
+
+
+@register("sla_quality", lambda: O.with_(O.v_analyzed()) + f""", c AS (SELECT
+  count(*) AS items,
+  count(*) FILTER (WHERE {O.trim_space("coalesce(role, '')")} <> '' AND {O.trim_space("coalesce(company, '')")} <> ''
+    AND ({O.trim_space("coalesce(location, '')")} <> '' OR {O.trim_space("coalesce(remote_type, '')")} <> '')
+    AND {O.trim_space("coalesce(summary_it, '')")} <> '') AS complete,
+  count(*) FILTER (WHERE len(original_links) > 0) AS with_links,
+  count(*) FILTER (WHERE len(original_images) > 0) AS with_images FROM v_analyzed)
+SELECT *, round(complete / items, 6) AS completeness, round(with_links / items, 6) AS link_coverage,
+       round(with_images / items, 6) AS image_coverage FROM c""")
+def q_sla_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Completeness and link/image coverage of analysed items."""
+    return M.sla_quality(V.v_analyzed(spark, sf))
