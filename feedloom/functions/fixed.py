@@ -171,7 +171,9 @@ TRUNCATED_JSON_ERROR = "unexpected end of json input"
 MISSING_REQUIRED = "missing required analyzed fields"
 
 # --- fixed values: message layouts -------------------------------------------
-DEFAULT_LAYOUT_HEADER = "*RWCT-JOBS*"
+# The first line of the default layout is deployment branding: a parameter
+# of render_default; this neutral value is only its default.
+DEFAULT_LAYOUT_HEADER = "*JOB-FEED*"
 CHAT_FRAME_TOP = "┏" + "━" * 22
 CHAT_FRAME_BOTTOM = "┗" + "━" * 22
 CHAT_ROLE, CHAT_COMPANY, CHAT_LOCATION, CHAT_SALARY = "┃ 🚀 ", "┃ 🏢 ", "┃ 🏠 ", "┃ 💰 "

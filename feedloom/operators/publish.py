@@ -35,9 +35,9 @@ def md(c: Column) -> Column:
 
 
 # ---------------------------------------------------------------- C16
-def render_default(df: DataFrame) -> Column:
-    """The default layout (label, first link, category, role @ company,
-    summary, fields, stack, tags, links, images, source link)."""
+def render_default(df: DataFrame, header: str = fixed.DEFAULT_LAYOUT_HEADER) -> Column:
+    """The default layout (header line, label, first link, category,
+    role @ company, summary, fields, stack, tags, links, images, source link)."""
     links, images, tags, stack = _a("original_links"), _a("original_images"), _a("tags"), _a("tech_stack")
     first = F.when(F.size(links) > 0, F.element_at(links, 1)).otherwise(_s("source_url"))
     tags_line = F.when(F.size(tags) > 0, F.concat(
@@ -50,7 +50,7 @@ def render_default(df: DataFrame) -> Column:
         F.lit("\n*Immagini*\n"),
         F.array_join(F.transform(images, lambda i: F.concat(F.lit("- "), i, F.lit("\n"))), ""))).otherwise(F.lit(""))
     return F.concat(
-        F.lit(fixed.DEFAULT_LAYOUT_HEADER + "\n"), md(_s("source_label")), F.lit("\n\n"), first,
+        F.lit(header + "\n"), md(_s("source_label")), F.lit("\n\n"), first,
         F.lit("\n\n*Categoria:* "), md(_s("job_category")),
         F.lit("\n*"), md(_s("role")), F.lit("* @ *"), md(_s("company")), F.lit("*\n"), md(_s("summary_it")),
         F.lit("\n\n- Seniority: "), md(_s("seniority")),

@@ -33,7 +33,7 @@ def test_chat_hashtags(spark):
 
 def test_default_layout(spark):
     m = P.render_messages(_analyzed(spark), "default").collect()[0].message
-    assert m.startswith("*RWCT-JOBS*\nsrc\\_a\n\nhttps://x/1\n\n*Categoria:* Programmazione\n")
+    assert m.startswith("*JOB-FEED*\nsrc\\_a\n\nhttps://x/1\n\n*Categoria:* Programmazione\n")
     assert "- Stack: Node JS, C#, ci\\_cd\n- Tags: #remote-eu #full time #go\\_lang\n" in m
     assert "*Link Originali*\n- https://x/1\n" in m and "*Immagini*" not in m
 
