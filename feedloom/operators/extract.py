@@ -260,10 +260,10 @@ def _vtype(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
-def normalize_confidence(v: Column, path: str = "$.confidence") -> Column:
+def normalize_confidence(v: Column, path: str = "$.confidence", vtype: Column | None = None) -> Column:
     """struct(value, ok).  Number passes; label map; '%'/',' text parsed,
     /100 when '%' or > 1, clamped; other text fails; missing/null -> 0."""
-    t = _vtype(v, path)
+    t = _vtype(v, path) if vtype is None else vtype
     text = F.lower(T.trim_space(F.try_variant_get(v, path, "string")))
     labels = F.create_map(*[x for k, n in fixed.CONFIDENCE_LABELS.items() for x in (F.lit(k), F.lit(n))])
     num_txt = F.regexp_replace(F.replace(text, F.lit(","), F.lit(".")), "%$", "")
@@ -278,15 +278,13 @@ def normalize_confidence(v: Column, path: str = "$.confidence") -> Column:
     return F.struct(value.alias("value"), value.isNotNull().alias("ok"))
 
 
-def _str_field(v: Column, name: str):
-    t = _vtype(v, f"$.{name}")
+def _str_field(v: Column, name: str, t: Column):
     ok = t.isNull() | t.isin("STRING", "VOID")
     val = F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), F.lit(""))
     return F.when(t == "STRING", val).otherwise(F.lit("")), ok
 
 
-def _arr_field(v: Column, name: str):
-    t = _vtype(v, f"$.{name}")
+def _arr_field(v: Column, name: str, t: Column):
     ok = t.isNull() | t.isin("VOID", "ARRAY<STRING>", "ARRAY<VOID>")
     arr = F.transform(F.coalesce(F.try_variant_get(v, f"$.{name}", "array<string>"),
                                  F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")))
@@ -307,18 +305,21 @@ def conform(responses: DataFrame, items: DataFrame, now) -> DataFrame:
     r = responses.select("item_id", T.strip_code_fence(F.col("content")).alias("_c"), "content")
     r = r.withColumn("_v", F.try_parse_json(F.col("_c")))
     v = F.col("_v")
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    sel = [F.col("item_id"), F.col("_c"), is_obj.alias("_obj")]
+    # the variant type of every field is computed once, in its own projection
+    fields = _STR_FIELDS + ["tech_stack", "tags", "confidence"]
+    r = r.select("item_id", "_c", "_v", F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+                 .alias("_obj"), *[_vtype(v, f"$.{f}").alias(f"_t_{f}") for f in fields])
+    sel = [F.col("item_id"), F.col("_c"), F.col("_obj")]
     oks = []
     for f in _STR_FIELDS:
-        val, ok = _str_field(v, f)
+        val, ok = _str_field(v, f, F.col(f"_t_{f}"))
         sel += [val.alias(f)]
         oks.append(ok)
     for f in ("tech_stack", "tags"):
-        val, ok = _arr_field(v, f)
+        val, ok = _arr_field(v, f, F.col(f"_t_{f}"))
         sel += [val.alias(f)]
         oks.append(ok)
-    conf = normalize_confidence(v)
+    conf = normalize_confidence(v, vtype=F.col("_t_confidence"))
     types_ok = functools.reduce(lambda a, b: a & b, oks + [conf["ok"]])
     sel += [conf["value"].alias("_conf"), types_ok.alias("_types_ok")]
     p = r.select(*sel)
