@@ -22,6 +22,32 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_MEMO: dict = {}
+
+
+def memo(fn):
+    """Reuse a built expression when a rule is called with column names.
+
+    Building the larger rules takes thousands of Py4J calls; Columns are
+    immutable unresolved expressions, so the same one can serve every query
+    of the application (keyed per SparkContext).
+    """
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        plain = all(a is None or isinstance(a, (str, int, float, bool)) for a in list(args) + list(kwargs.values()))
+        if not plain:
+            return fn(*args, **kwargs)
+        from pyspark import SparkContext
+        sc = SparkContext._active_spark_context
+        key = (fn.__name__, id(sc), args, tuple(sorted(kwargs.items())))
+        if key not in _MEMO:
+            _MEMO[key] = fn(*args, **kwargs)
+        return _MEMO[key]
+    return wrapper
+
+
 def _lit_re(p: str) -> Column:
     return F.lit(p)
 
@@ -37,6 +63,7 @@ def collapse_space(c) -> Column:
 
 
 # ---------------------------------------------------------------- B1
+@memo
 def normalize_title(c) -> Column:
     """B1: lower, trim, collapse Unicode white space runs to one blank."""
     return collapse_space(F.lower(F.coalesce(_c(c), F.lit(""))))
@@ -107,6 +134,7 @@ def _rebuild_parts(p: Column) -> Column:
     )
 
 
+@memo
 def normalize_url(c) -> Column:
     """B2: trim; drop the fragment; lower-case scheme; escape the path.
 
@@ -118,6 +146,7 @@ def normalize_url(c) -> Column:
 
 
 # ---------------------------------------------------------------- B3
+@memo
 def item_hash(guid, url, title) -> Column:
     """Hex sha1 of trim(guid) | normalize_url(url) | normalize_title(title)."""
     return F.sha1(F.concat_ws(
@@ -139,6 +168,7 @@ def url_host(c) -> Column:
     return _let(_url_parts(_c(c)), _host_of)
 
 
+@memo
 def source_label(c) -> Column:
     """Host (lower, no ``www.``, dots to ``_``) + ``_`` + last path segment."""
     def rule(t, p):
@@ -154,6 +184,7 @@ def source_label(c) -> Column:
 
 
 # ---------------------------------------------------------------- B5
+@memo
 def valid_feed_url(c) -> Column:
     """Scheme is http or https."""
     t = trim_space(F.coalesce(_c(c), F.lit("")))
@@ -196,6 +227,7 @@ def _numeric_ref(e: Column) -> Column:
     return _let(num, rule)
 
 
+@memo
 def html_unescape(c) -> Column:
     """One pass over named and numeric character references.
 
@@ -218,6 +250,7 @@ def html_unescape(c) -> Column:
 
 
 # ---------------------------------------------------------------- B6
+@memo
 def clean_link(c) -> Column:
     """Trim, unescape, ``//x`` -> ``https://x``; needs scheme and host; no fragment.
 
@@ -244,6 +277,7 @@ def _clean_set(arr: Column) -> Column:
                                                   lambda x: x.isNotNull())))
 
 
+@memo
 def extract_links(link, description, content=None, enclosures=None) -> Column:
     """Item link + every href in description/content + enclosure urls; sorted set."""
     blob = F.concat_ws("\n", F.coalesce(_c(description), F.lit("")),
@@ -255,6 +289,7 @@ def extract_links(link, description, content=None, enclosures=None) -> Column:
     return _clean_set(F.concat(*parts))
 
 
+@memo
 def extract_images(description, content=None, enclosures=None) -> Column:
     """Every src in description/content + image enclosures; sorted set."""
     blob = F.concat_ws("\n", F.coalesce(_c(description), F.lit("")),
@@ -276,6 +311,7 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(c, "(?s)<[^>]+>", " ")
 
 
+@memo
 def html_to_text(c) -> Column:
     """Blank -> ''; drop script/style/tags; unescape; collapse white space."""
     c = F.coalesce(_c(c), F.lit(""))

@@ -34,13 +34,15 @@ def raw_items(batch: DataFrame, now) -> DataFrame:
         F.lit("v1").alias("schema_version"),
         T.item_hash("guid", "url", "title").alias("id"),
         T.trim_space(F.col("feed_url")).alias("feed_url"),
-        T.source_label(F.col("feed_url")).alias("source_label"),
+        T.source_label("feed_url").alias("source_label"),
         T.trim_space(F.coalesce(F.col("guid"), F.lit(""))).alias("guid"),
         T.trim_space(F.coalesce(F.col("url"), F.lit(""))).alias("url"),
         T.trim_space(F.coalesce(F.col("title"), F.lit(""))).alias("title"),
         T.trim_space(F.coalesce(F.col("description"), F.lit(""))).alias("description"),
-        T.extract_links(F.col("url"), F.col("description"), content, enc).alias("links"),
-        T.extract_images(F.col("description"), content, enc).alias("image_urls"),
+        T.extract_links("url", "description", "content" if content is not None else None,
+                        "enclosures" if enc is not None else None).alias("links"),
+        T.extract_images("description", "content" if content is not None else None,
+                         "enclosures" if enc is not None else None).alias("image_urls"),
         (F.coalesce(published, now) if published is not None else now).alias("published_at"),
         now.alias("fetched_at"),
         F.col("pos"),
