@@ -232,7 +232,7 @@ v_status AS (
 
 
 def v_feeds() -> str:
-    n = r"CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER)"
+    n = r"CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT)"
     return f"""v_feeds AS (
   SELECT 'https://' || source || '.example.org/feed' AS feed_url,
          ({n} % 4 <> 0) AS enabled,

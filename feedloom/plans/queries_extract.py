@@ -259,8 +259,8 @@ def q_fallback_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Second-pass requests for sampler-init 400s and truncated JSON (rows-only check)."""
     r = V.v_responses(spark, sf)
     calls = r.select("item_id", "content", F.lit(None).cast("string").alias("finish_reason"),
-                     F.when(F.col("item_id").cast("int") % 13 == 0, F.lit(400)).alias("status_code"),
-                     F.when(F.col("item_id").cast("int") % 13 == 0,
+                     F.when(F.col("item_id").cast("long") % 13 == 0, F.lit(400)).alias("status_code"),
+                     F.when(F.col("item_id").cast("long") % 13 == 0,
                             F.lit('{"error":"Failed to initialize samplers"}')).alias("body"))
     items = V.v_doc_raw(spark, sf).withColumnRenamed("id", "item_id")
     return X.fallback_requests(calls, items, "local-model", 512)

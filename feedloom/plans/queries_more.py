@@ -113,9 +113,9 @@ def _analyzed_log(spark, sf):
     a = V.v_analyzed(spark, sf).select("id", "job_category", "role", "company", "created_at")
     older = a.select("id", F.lit("").alias("job_category"), F.lit("old").alias("role"), "company",
                      (F.col("created_at") - F.make_dt_interval(days=F.lit(1))).alias("created_at"))
-    blank = a.filter(F.col("id").cast("int") % 3 == 0).select(F.lit(" ").alias("id"), "job_category", "role",
+    blank = a.filter(F.col("id").cast("long") % 3 == 0).select(F.lit(" ").alias("id"), "job_category", "role",
                                                             "company", "created_at")
-    newer_blank_cat = a.filter(F.col("id").cast("int") % 5 == 0).select(
+    newer_blank_cat = a.filter(F.col("id").cast("long") % 5 == 0).select(
         "id", F.lit(" ").alias("job_category"), "role", "company",
         (F.col("created_at") + F.make_dt_interval(days=F.lit(1))).alias("created_at"))
     return a.unionByName(older).unionByName(blank).unionByName(newer_blank_cat)
@@ -124,8 +124,8 @@ def _analyzed_log(spark, sf):
 @register("analyzed_projection", lambda: O.with_(O.v_analyzed()) + """, a AS (SELECT id, job_category, role, company, created_at FROM v_analyzed),
 lg AS (SELECT * FROM a
   UNION ALL SELECT id, '', 'old', company, created_at - INTERVAL 1 DAY FROM a
-  UNION ALL SELECT ' ', job_category, role, company, created_at FROM a WHERE CAST(id AS INTEGER) % 3 = 0
-  UNION ALL SELECT id, ' ', role, company, created_at + INTERVAL 1 DAY FROM a WHERE CAST(id AS INTEGER) % 5 = 0),
+  UNION ALL SELECT ' ', job_category, role, company, created_at FROM a WHERE CAST(id AS BIGINT) % 3 = 0
+  UNION ALL SELECT id, ' ', role, company, created_at + INTERVAL 1 DAY FROM a WHERE CAST(id AS BIGINT) % 5 = 0),
 l AS (SELECT * FROM lg WHERE trim(id) <> '' QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC) = 1)
 SELECT id, created_at, CASE WHEN trim(job_category) = '' THEN 'Altri ruoli' ELSE trim(job_category) END AS job_category,
   role, company FROM l""")

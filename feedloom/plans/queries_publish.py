@@ -79,7 +79,7 @@ def q_file_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("delivery_requests", lambda: _sql_chat().replace(
-    "SELECT id, ", "SELECT id, CASE WHEN id::INTEGER % 2 = 0 THEN 'Markdown' ELSE '' END AS parse_mode, ", 1).replace(
+    "SELECT id, ", "SELECT id, CASE WHEN id::BIGINT % 2 = 0 THEN 'Markdown' ELSE '' END AS parse_mode, ", 1).replace(
     "FROM v_analyzed", "FROM v_analyzed") .replace("WITH v_analyzed", "WITH v_analyzed", 1)
     .replace("\nSELECT id,", "\n, m AS (SELECT id,", 1) + """)
 SELECT id, parse_mode, replace(replace(replace(CASE WHEN parse_mode <> ''
@@ -89,7 +89,7 @@ SELECT id, parse_mode, replace(replace(replace(CASE WHEN parse_mode <> ''
 def q_delivery_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Chat delivery request bodies (parse_mode only when set)."""
     r = P.render_messages(V.v_analyzed(spark, sf), "chat")
-    pm = F.when(F.col("id").cast("int") % 2 == 0, F.lit("Markdown")).otherwise(F.lit(""))
+    pm = F.when(F.col("id").cast("long") % 2 == 0, F.lit("Markdown")).otherwise(F.lit(""))
     return P.delivery_requests(r, "-100123", parse_mode_col=pm).select("id", "parse_mode", "request", "request_error")
 
 
@@ -99,15 +99,15 @@ _BODIES = ['{"ok":true}', '{"ok":false,"description":"Bad Request: can\'t parse
 
 def _responses(spark, sf):
     a = V.v_analyzed(spark, sf).select("id")
-    i = F.col("id").cast("int")
+    i = F.col("id").cast("long")
     return a.select(F.col("id").alias("item_id"), V._pick(_BODIES, i).alias("body"),
                     F.when(i % 5 == 4, F.lit(429)).otherwise(F.lit(200)).alias("status_code"),
                     F.when(i % 2 == 0, F.lit("Markdown")).otherwise(F.lit("")).alias("parse_mode"))
 
 
 @register("delivery_outcomes", lambda: O.with_(O.v_analyzed()) + f""", r AS (
-  SELECT id AS item_id, {O._pick(_BODIES, 'CAST(id AS INTEGER)')} AS body,
-         CASE WHEN CAST(id AS INTEGER) % 5 = 4 THEN 429 ELSE 200 END AS status_code FROM v_analyzed),
+  SELECT id AS item_id, {O._pick(_BODIES, 'CAST(id AS BIGINT)')} AS body,
+         CASE WHEN CAST(id AS BIGINT) % 5 = 4 THEN 429 ELSE 200 END AS status_code FROM v_analyzed),
 v AS (SELECT *, CASE WHEN json_valid(body) AND json_type(CASE WHEN json_valid(body) THEN body END) = 'OBJECT'
                      THEN body END AS jb FROM r)
 SELECT item_id, body, status_code,
@@ -124,9 +124,9 @@ def q_delivery_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("delivery_fallback", lambda: O.with_(O.v_analyzed()) + f""", r AS (
-  SELECT id AS item_id, {O._pick(_BODIES, 'CAST(id AS INTEGER)')} AS body,
-         CASE WHEN CAST(id AS INTEGER) % 5 = 4 THEN 429 ELSE 200 END AS status_code,
-         CASE WHEN CAST(id AS INTEGER) % 2 = 0 THEN 'Markdown' ELSE '' END AS parse_mode FROM v_analyzed)
+  SELECT id AS item_id, {O._pick(_BODIES, 'CAST(id AS BIGINT)')} AS body,
+         CASE WHEN CAST(id AS BIGINT) % 5 = 4 THEN 429 ELSE 200 END AS status_code,
+         CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'Markdown' ELSE '' END AS parse_mode FROM v_analyzed)
 SELECT item_id FROM r WHERE status_code < 300 AND json_valid(body)
   AND lower(json_extract_string(CASE WHEN json_valid(body) THEN body END, '$.description')) LIKE '%can''t parse entities%' AND parse_mode <> ''""")
 def q_delivery_fallback(spark: SparkSession, sf: str) -> DataFrame:

@@ -88,13 +88,13 @@ def q_claim_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 def _failures(snap: DataFrame) -> DataFrame:
     leased = snap.filter(F.col("state") == "LEASED")
-    return leased.select("item_id", F.when(F.col("item_id").cast("int") % 5 == 0,
+    return leased.select("item_id", F.when(F.col("item_id").cast("long") % 5 == 0,
                                            F.lit("missing required analyzed fields"))
                          .otherwise(F.lit("llm status: 503")).alias("error"))
 
 
 @register("quarantine", lambda: _w(AQ, rec=True) + """, fl AS (
-  SELECT item_id, CASE WHEN CAST(item_id AS INTEGER) % 5 = 0 THEN 'missing required analyzed fields'
+  SELECT item_id, CASE WHEN CAST(item_id AS BIGINT) % 5 = 0 THEN 'missing required analyzed fields'
                        ELSE 'llm status: 503' END AS error FROM aq WHERE state = 'LEASED'),
 j AS (SELECT fl.item_id, fl.error, coalesce(aq.delivery_count, 0) AS dc FROM fl LEFT JOIN aq USING (item_id)),
 d AS (SELECT *, (lower(error) LIKE '%missing required analyzed fields%' OR dc >= 3) AS qq FROM j)
@@ -162,12 +162,12 @@ def q_requeue(spark: SparkSession, sf: str) -> DataFrame:
 
 def _receipts(spark, sf):
     s = V.v_status(spark, sf).filter(F.col("status") == "DISPATCHED")
-    return s.select(F.when(F.col("id").cast("int") % 2 == 0, F.col("id")).otherwise(F.lit("")).alias("item_id"),
+    return s.select(F.when(F.col("id").cast("long") % 2 == 0, F.col("id")).otherwise(F.lit("")).alias("item_id"),
                     "guid", "url", "title", F.col("dispatched_at").alias("processed_at"))
 
 
 @register("apply_receipts", lambda: _w(O.v_status()) + f""", r AS (
-  SELECT CASE WHEN CAST(id AS INTEGER) % 2 = 0 THEN id ELSE '' END AS item_id, guid, url, title,
+  SELECT CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN id ELSE '' END AS item_id, guid, url, title,
          dispatched_at AS processed_at FROM v_status WHERE status = 'DISPATCHED')
 SELECT CASE WHEN {O.trim_space('item_id')} <> '' THEN {O.trim_space('item_id')}
             ELSE {O.item_hash('guid', 'url', 'title')} END AS item_id,

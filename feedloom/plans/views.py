@@ -56,7 +56,7 @@ def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("page_id") % 5 == 0, F.lit("")).otherwise(F.col("page_id").cast("string")).alias("guid"),
         F.col("url"),
         F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1).alias("title"),
-        (ts_lit("2024-01-01 00:00:00") + F.make_dt_interval(mins=F.col("page_id"))).alias("published"),
+        (ts_lit("2024-01-01 00:00:00") + F.make_dt_interval(secs=(F.col("page_id") * 60).cast("decimal(18,6)"))).alias("published"),
     )
     repost = base.filter(F.col("pos") % 7 == 0).select(
         "description", "feed_url",
@@ -83,7 +83,7 @@ def v_doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/"),
                  (F.col("doc_id") % 400).cast("string")).alias("url"),
         F.substring(F.split(F.col("text"), "\n", 2).getItem(0), 1, 60).alias("title"),
-        (ts_lit("2024-01-01 00:00:00") + F.make_dt_interval(secs=F.col("doc_id"))).alias("published"),
+        (ts_lit("2024-01-01 00:00:00") + F.make_dt_interval(secs=F.col("doc_id").cast("decimal(18,6)"))).alias("published"),
     )
 
 
@@ -141,7 +141,7 @@ def v_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed dimension + state + poll requests from the distinct document sources."""
     d = read_table(spark, sf_dir, "documents").select("source").distinct()
-    n = F.regexp_extract("source", "([0-9]+)$", 1).cast("int")
+    n = F.regexp_extract("source", "([0-9]+)$", 1).cast("long")
     return d.select(
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/feed")).alias("feed_url"),
         (n % 4 != 0).alias("enabled"),
@@ -248,5 +248,5 @@ def v_analyzed(spark: SparkSession, sf_dir: str) -> DataFrame:
         score.cast("int").alias("job_post_quality_score"),
         F.when(score >= 90, "A").when(score >= 70, "B").when(score >= 50, "C").otherwise("D").alias("job_post_quality_rank"),
         F.round((i % 100) / 100.0, 2).alias("confidence"),
-        (ts_lit("2024-01-02 00:00:00") + F.make_dt_interval(secs=i)).alias("created_at"),
+        (ts_lit("2024-01-02 00:00:00") + F.make_dt_interval(secs=i.cast("decimal(18,6)"))).alias("created_at"),
     )
