@@ -341,11 +341,16 @@ def sla_report(items: DataFrame, accepted: DataFrame | None = None) -> DataFrame
 
 
 def extract_counters(extractions: DataFrame) -> DataFrame:
-    """Extraction requests by result with duration sketch."""
+    """Extraction requests by result: count and duration mean/min/max."""
     return extractions.groupBy("result").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("duration_ms"), 6).alias("mean_ms"),
-        F.percentile_approx("duration_ms", 0.95, 10000).alias("p95_ms"))
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("duration_ms"), 6).alias("mean_ms"),
+        F.min("duration_ms").alias("min_ms"), F.max("duration_ms").alias("max_ms"))
+
+
+def extract_duration_p95(extractions: DataFrame, accuracy: int = 10000) -> DataFrame:
+    """p95 extraction duration per result with a bounded-memory sketch."""
+    return extractions.groupBy("result").agg(
+        F.percentile_approx("duration_ms", 0.95, accuracy).alias("p95_ms"))
 
 
 def sla_duplicates(outcomes: DataFrame, ts: str = "published") -> DataFrame:

@@ -135,14 +135,30 @@ def q_analyzed_projection(spark: SparkSession, sf: str) -> DataFrame:
                                                                   "company")
 
 
-@register("extract_counters")
-def q_extract_counters(spark: SparkSession, sf: str) -> DataFrame:
-    """Extraction outcomes by result with a duration sketch (duration = text-size proxy)."""
+def _extractions(spark, sf):
     items = V.v_items(spark, sf).select("pos", "url")
     ex = N.page_excerpt_basic(items, read_pages(spark, sf), 2500)
-    r = ex.select(F.when(F.col("excerpt_reason") == "", "ok").otherwise(F.col("excerpt_reason")).alias("result"),
-                  (F.length("excerpt") / 10).cast("int").alias("duration_ms"))
-    return M.extract_counters(r)
+    return ex.select(F.when(F.col("excerpt_reason") == "", "ok").otherwise(F.col("excerpt_reason")).alias("result"),
+                     F.floor(F.length("excerpt") / 10).cast("int").alias("duration_ms"))
+
+
+@register("extract_counters", lambda: O.with_(O.v_items()) + f""", t AS (
+  SELECT i.url, p.url AS purl, {O.clamp(O.html_to_text('substr(p.html, 1, 262144)'), 2500)} AS txt
+  FROM v_items i LEFT JOIN pages p ON p.url = i.url),
+r AS (SELECT CASE WHEN lower(regexp_extract({O.trim_space('url')}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)) NOT IN ('http', 'https')
+  THEN 'unsupported_scheme' WHEN purl IS NULL THEN 'fetch_failed' WHEN txt = '' THEN 'empty_text' ELSE 'ok' END AS result,
+  CASE WHEN purl IS NOT NULL AND txt <> '' THEN CAST(floor(length(txt) / 10) AS INTEGER) ELSE 0 END AS duration_ms FROM t)
+SELECT result, count(*) AS n, round(avg(duration_ms), 6) AS mean_ms, min(duration_ms) AS min_ms,
+       max(duration_ms) AS max_ms FROM r GROUP BY result""")
+def q_extract_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """Extraction outcomes by result (duration = text-size proxy)."""
+    return M.extract_counters(_extractions(spark, sf))
+
+
+@register("extract_duration_p95")
+def q_extract_duration_p95(spark: SparkSession, sf: str) -> DataFrame:
+    """p95 duration per result (sketch; no exact SQL oracle)."""
+    return M.extract_duration_p95(_extractions(spark, sf))
 
 
 @register("sla_duplicates", lambda: O.with_(O.v_doc_items()) + f""", h AS (
