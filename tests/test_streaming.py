@@ -95,3 +95,37 @@ def test_monitor_upsert(spark, tmp_path):
     J.upsert_snapshot(u1, snap, 0)
     got = {r.item_id: r.state for r in J.upsert_snapshot(u2, snap, 1).collect()}
     assert got == {"a": "QUEUED", "b": "DONE"}
+
+
+def test_stream_publish_end_to_end(spark, tmp_path):
+    a = spark.createDataFrame([("1", "Dev", "ACME", "https://x/1"), ("2", "Ops", "B", "https://x/2")],
+                              "item_id string, role string, company string, source_url string")
+    a.write.parquet(str(tmp_path / "land"))
+    items = spark.createDataFrame([("1", "DISPATCHED", None), ("2", "ANALYZED", None)],
+                                  "id string, status string, dispatched_at timestamp_ntz")
+    src = spark.readStream.schema(a.schema).parquet(str(tmp_path / "land"))
+    out = str(tmp_path / "out")
+    q = J.stream_publish(src, items, out, name=f"pub-{tmp_path.name}", now="2024-01-01 00:00:00")
+    q.awaitTermination(120)
+    body = "".join(r.value for r in spark.read.text(out, wholetext=True).collect())
+    assert "[candidati](https://x/2)" in body and "https://x/1" not in body
+
+
+def test_stream_monitor_end_to_end(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("x", t0, 0, "enqueue", "w", t0, ""), ("x", t0 + dt.timedelta(seconds=1), 1, "claim", "w",
+                                                      t0 + dt.timedelta(minutes=2), ""),
+            ("y", t0, 2, "enqueue", "w", t0, "")]
+    log = spark.createDataFrame(rows, "item_id string, ts timestamp_ntz, seq long, action string, worker string, "
+                                      "lease_until timestamp_ntz, reason string")
+    log.write.parquet(str(tmp_path / "log"))
+    src = spark.readStream.schema(log.schema).parquet(str(tmp_path / "log"))
+    dq = spark.createDataFrame([], "item_id string, state string, enqueued_at timestamp_ntz")
+    items = spark.createDataFrame([("x", "NEW", None), ("y", "NEW", None)],
+                                  "id string, status string, analyzed_enqueued_at timestamp_ntz")
+    out = str(tmp_path / "mon")
+    q = J.stream_monitor(J.stream_queue(src), dq, items, out, name=f"mon-{tmp_path.name}")
+    q.awaitTermination(180)
+    g = {(r.metric, r.key): r.n for r in spark.read.parquet(out + "/gauges").collect()}
+    assert g[("queue_items", "analyzer_queue/LEASED")] == 1 and g[("queue_items", "analyzer_queue/QUEUED")] == 1
+    assert g[("item_queue_state", "inflight_raw")] == 1 and g[("item_queue_state", "queued_raw")] == 1
