@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import fixed
 
-# Unicode white space (Java's (?U)\s = White_Space property).
-_WS = "(?U)\\s"
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -48,10 +44,6 @@ def memo(fn):
     return wrapper
 
 
-def _lit_re(p: str) -> Column:
-    return F.lit(p)
-
-
 def trim_space(c) -> Column:
     """Trim Unicode white space on both ends (not only ASCII blanks)."""
     return F.regexp_replace(_c(c), "(?U)^\\s+|\\s+$", "")

@@ -186,14 +186,11 @@ def item_status(log: DataFrame) -> DataFrame:
     latest NEW-or-DISPATCHED write is DISPATCHED, else the latest write.
     Pure partial aggregates: no per-item buffering, skew-safe.
     """
-    key = F.struct("ts", "seq")
     unguarded = F.col("status").isin("NEW", "DISPATCHED")
     agg = log.groupBy("item_id").agg(
         F.max(F.when(unguarded, F.struct("ts", "seq", "status", "error"))).alias("_u"),
         F.max(F.struct("ts", "seq", "status", "error")).alias("_l"),
         F.max(F.when(F.col("status") == "DISPATCHED", F.col("ts"))).alias("dispatched_at"),
-        F.max(F.when(F.col("status") == "NEW", key)).alias("_n"),
-        F.max(F.when(F.col("status") == "DISPATCHED", key)).alias("_d"),
     )
     pinned = F.coalesce(F.col("_u.status") == "DISPATCHED", F.lit(False))
     last = F.when(pinned, F.col("_u")).otherwise(F.col("_l"))
