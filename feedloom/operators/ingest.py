@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
-from feedloom.session import checkpoint_dir, ts_lit
+from feedloom.session import checkpoint_dir, reliable_checkpoint, ts_lit
 
 
 def _opt(df: DataFrame, name: str) -> Column | None:
@@ -159,7 +159,7 @@ def dedupe_keys(batch: DataFrame, seen: DataFrame | None = None, order: tuple =
     undecided = pairs
     if rejected0 is not None:
         undecided = undecided.join(rejected0, "_rid", "left_anti")
-    undecided = undecided.checkpoint()
+    undecided = reliable_checkpoint(undecided)
     accepted_parts = []
     rounds = 0
     while True:
@@ -173,11 +173,11 @@ def dedupe_keys(batch: DataFrame, seen: DataFrame | None = None, order: tuple =
         rej = (undecided.join(acc_keys, "key", "left_semi").select("_rid").distinct()
                .withColumn("_rej", F.lit(True)))
         # one table per round holds the decisions; a single checkpoint job
-        state = (undecided.join(okr, "_rid", "left").join(rej, "_rid", "left")
-                 .select("_rid", "_ord", "key",
-                         F.when(F.col("_ok"), F.lit("acc")).when(F.col("_rej"), F.lit("rej"))
-                         .otherwise(F.lit("und")).alias("_state"))
-                 .checkpoint())
+        state = reliable_checkpoint(
+            undecided.join(okr, "_rid", "left").join(rej, "_rid", "left")
+            .select("_rid", "_ord", "key",
+                    F.when(F.col("_ok"), F.lit("acc")).when(F.col("_rej"), F.lit("rej"))
+                    .otherwise(F.lit("und")).alias("_state")))
         accepted_parts.append(state.filter(F.col("_state") == "acc").select("_rid").distinct())
         undecided = state.filter(F.col("_state") == "und").drop("_state")
         LAST_ROUNDS[0] = rounds

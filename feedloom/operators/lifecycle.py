@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
-from feedloom.session import checkpoint_dir, ship_package, ts_lit
+from feedloom.session import checkpoint_dir, reliable_checkpoint, ship_package, ts_lit
 
 LOG_COLUMNS = ["item_id", "ts", "seq", "action", "worker", "lease_until", "reason"]
 
@@ -110,8 +110,8 @@ def enqueue_segments(log: DataFrame, partitions: int | None = None) -> DataFrame
     spark = log.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = (log.repartitionByRange(n, "item_id", "ts", "seq")
-            .withColumn("_pid", F.spark_partition_id()).checkpoint())
+    part = reliable_checkpoint(log.repartitionByRange(n, "item_id", "ts", "seq")
+                               .withColumn("_pid", F.spark_partition_id()))
     mark = F.when(F.col("action") == "enqueue", F.struct("ts", "seq"))
     w = Window.partitionBy("_pid", "item_id").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     local = part.withColumn("_m", F.max(mark).over(w))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import fixed
 from feedloom.functions import text as T
 from feedloom.operators.extract import go_json_escape
-from feedloom.session import checkpoint_dir, ts_lit
+from feedloom.session import checkpoint_dir, reliable_checkpoint, ts_lit
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -228,8 +228,8 @@ def _pace_scan(queue: DataFrame, per_min: int, dest: str = "dest", ready: str =
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r_us = F.unix_micros(F.col(ready).cast("timestamp"))
-    part = (queue.repartitionByRange(n, F.col(dest), F.col(ready), F.col(key))
-            .withColumn("_pid", F.spark_partition_id()).withColumn("_r", r_us).checkpoint())
+    part = reliable_checkpoint(queue.repartitionByRange(n, F.col(dest), F.col(ready), F.col(key))
+                               .withColumn("_pid", F.spark_partition_id()).withColumn("_r", r_us))
     w_local = Window.partitionBy("_pid", dest).orderBy(F.col(ready), F.col(key))
     local = part.withColumn("_j", F.row_number().over(w_local) - 1)
     summary = (local.groupBy("_pid", dest)

@@ -53,6 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def reliable_checkpoint(df):
+    """Eager reliable checkpoint into the cluster's checkpoint folder (never a
+    local checkpoint): cuts lineage and survives lost executors."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def ts_lit(value) -> Column:
     """A ``timestamp_ntz`` literal from a datetime or ISO text (session zone free)."""
     if isinstance(value, Column):
