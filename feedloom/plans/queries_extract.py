@@ -254,7 +254,29 @@ def q_conform(spark: SparkSession, sf: str) -> DataFrame:
                       (F.round(F.col(k), 6).alias(k) if k == "confidence" else F.col(k)) for k in _CONF_COLS])
 
 
-@register("fallback_requests")
+def _sql_fallback() -> str:
+    def body(prompt_col, max_tokens, sampler):
+        extra = ("'chat_template_kwargs': {'enable_thinking': false}, " if sampler else "")
+        tail = (", 'reasoning_format': 'none'" if sampler else "")
+        j = (f"to_json({{{extra}'max_tokens': {max_tokens}, 'messages': [{{'content': {O.q(fixed.SYSTEM_MESSAGE)}, "
+             f"'role': 'system'}}, {{'content': {prompt_col}, 'role': 'user'}}], 'model': 'local-model'{tail}, "
+             f"'temperature': 0.1}})")
+        return f"replace(replace(replace(CAST({j} AS VARCHAR), '&', '\\u0026'), '<', '\\u003c'), '>', '\\u003e')"
+    bare = "regexp_replace(c2, '\"(?:[^\"\\\\]|\\\\.)*\"', '', 'g')"
+    trunc = (f"(c2 = '' OR length({bare}) - length(regexp_replace({bare}, '[\\[{{]', '', 'g')) > "
+             f"length({bare}) - length(regexp_replace({bare}, '[\\]}}]', '', 'g')) OR contains({bare}, '\"'))")
+    return O.with_(O.v_doc_raw(), O.v_responses(), "pf AS (" + _sql_prompts(False) + ")",
+                   "pc AS (" + _sql_prompts(True) + ")") + f""", c AS (
+  SELECT item_id, content, CASE WHEN CAST(item_id AS BIGINT) % 13 = 0 THEN 400 END AS status_code FROM v_responses),
+t AS (SELECT item_id FROM (SELECT item_id, {O.strip_fence('content')} AS c2 FROM c WHERE status_code IS NULL) WHERE {trunc})
+SELECT item_id, 'sampler_fallback' AS reason, {body('prompt', 512, True)} AS body FROM pf
+WHERE item_id IN (SELECT item_id FROM c WHERE status_code = 400)
+UNION ALL
+SELECT item_id, 'compact_retry' AS reason, {body('prompt', 1024, False)} AS body FROM pc
+WHERE item_id IN (SELECT item_id FROM t)"""
+
+
+@register("fallback_requests", _sql_fallback)
 def q_fallback_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Second-pass requests for sampler-init 400s and truncated JSON (rows-only check)."""
     r = V.v_responses(spark, sf)
