@@ -130,3 +130,18 @@ def test_pace_hot_destination_spans_partitions(spark):
             send = ready if last is None else max(ready, last + dt.timedelta(seconds=3))
             assert got[iid] == send, (d, iid)
             last = send
+
+
+def test_block_selectors_and_scoring(spark):
+    html = ("<body><section class='listing-container big'><p>Related jobs: a b c d e f g h i j k l m n o p</p></section>"
+            "<div id='job_show'><p>Salary 50k</p></div>"
+            "<div data-testid='job-details'><p>Salary 50k</p></div>"
+            "<div class='listing-container'><p>x</p></div></body>")
+    pages = spark.createDataFrame([(1, "https://x/1", html), (2, "https://x/2", "<body><p>only body</p></body>")],
+                                  "page_id long, url string, html string")
+    blocks = {(r.page_id, r.ord): r for r in N.page_blocks(pages).collect()}
+    assert [blocks[(1, i)].selector_rank for i in range(4)] == [1, 3, 4, 7]   # selector order
+    assert blocks[(2, 0)].selector_rank == len(N.SELECTORS)                    # body fallback
+    best = {r.page_id: r for r in N.main_content(N.page_blocks(pages)).collect()}
+    # "related jobs" without "about the job" is penalised; the two salary blocks tie -> first one wins
+    assert best[1].selector_rank == 3 and best[2].text == "only body"
