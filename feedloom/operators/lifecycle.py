@@ -154,6 +154,8 @@ def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: boo
         return _fold_sorted(src, "item_id", parts)
     limit = HOT_ITEM_EVENTS if hot_threshold is None else hot_threshold
     hot = src.groupBy("item_id").count().filter(F.col("count") > limit).select("item_id")
+    if hot.isEmpty():  # one scalar on the driver; the common case needs no segment path
+        return _fold_sorted(src, "item_id", parts)
     cold = _fold_sorted(src.join(hot, "item_id", "left_anti"), "item_id", parts)
     return cold.unionByName(_segmented_fold(src.join(hot, "item_id", "left_semi"), parts))
 

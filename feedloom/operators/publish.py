@@ -193,6 +193,8 @@ def pace(queue: DataFrame, per_min: int, dest: str = "dest", ready: str = "ready
     """
     limit = HOT_DEST_ROWS if hot_threshold is None else hot_threshold
     hot = queue.groupBy(dest).count().filter(F.col("count") > limit).select(dest)
+    if hot.isEmpty():  # one scalar on the driver; no hot destination -> windows only
+        return _pace_window(queue, per_min, dest, ready, key)
     cold = _pace_window(queue.join(hot, dest, "left_anti"), per_min, dest, ready, key)
     hotp = _pace_scan(queue.join(hot, dest, "left_semi"), per_min, dest, ready, key, partitions)
     return cold.unionByName(hotp)
