@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import simhash_vp
+from feedloom.llm import simhash_vp, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,13 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@register
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents without the bytes of repeated 200-byte strings."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return found.select(F.col("did").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
