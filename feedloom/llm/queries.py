@@ -3,10 +3,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import simhash_vp, suffix_dedup
+from feedloom.llm import langid, simhash_vp, suffix_dedup
+from feedloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +31,17 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@register
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document; learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    langs, probs = langid.fit(docs.filter(crc_mod("doc_id", 5) != 0), path)
+    found = langid.identify(docs, langs, probs, path)
+    return found.select(F.col("did").alias("doc_id"), F.coalesce(crc_mod("did", 5) == 0, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
+
+
 @register
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents without the bytes of repeated 200-byte strings."""
