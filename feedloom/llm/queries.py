@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import langid, simhash_vp, suffix_dedup
+from feedloom.llm import decontaminate, langid, mixing, simhash_vp, suffix_dedup
 from feedloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,23 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("did").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register
+def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the mix of sources to flattened weights."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("row.doc_id", "source", "block", "slot", "pos")
+
+
+ORACLES["op8_pfair_mix"] = mixing.MIX_SQL
+
+
+@register
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in whole documents, exactly or within the edit limit."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", F.explode("hits").alias("h")).select(
+        "doc_id", "h.item_id", "h.distance", F.col("h.start").alias("start_byte"), F.col("h.end").alias("end_byte"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
