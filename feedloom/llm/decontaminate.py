@@ -27,7 +27,7 @@ MAX_EDIT = 0.1
 STEPS, NOTES = 48, 9
 SHORT_STEPS = 16
 #: Independent walks.
-FUNCTIONS = 3
+FUNCTIONS = 2
 #: Items below so many bytes are no evidence of a leak and never match.
 MIN_ITEM = 24
 #: Bytes of items in the tasks at a time.
@@ -37,6 +37,8 @@ TEXT_BLOCK, START_BLOCK = 1 << 20, 1 << 18
 
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t\n\v\f\r", bytes(range(97, 123)) + b"     ")
 _BITS = 20
+#: Bytes per gram of the lossless count filter before the exact distance, and bits of its table.
+QGRAM, QBITS = 6, 12
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,6 +47,13 @@ def fold(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
 
 
+def grams(raw: np.ndarray) -> np.ndarray:
+    """Hashed QGRAM-byte grams of a block, one for each byte."""
+    pad = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    g = np.ndarray((len(raw),), dtype="<u8", buffer=pad.data, strides=(1,)) << np.uint64(64 - 8 * QGRAM)
+    return ((g * _MUL) >> np.uint64(64 - QBITS)).astype(np.uint16)
+
+
 def word_starts(raw: np.ndarray) -> np.ndarray:
     inside = (raw != 32) & (raw != 0)
     return np.flatnonzero(inside & ~np.r_[False, inside[:-1]])
@@ -90,6 +99,9 @@ class Items:
         self.max_edit = max_edit
         self.items = [(i, x) for i, x in ((i, fold(t).strip()) for i, t in items) if len(x) >= MIN_ITEM]
         self.walks = []
+        self.tables = np.zeros((len(self.items), 1 << QBITS), dtype=bool)
+        for k, (_, x) in enumerate(self.items):
+            self.tables[k, grams(np.frombuffer(x, dtype=np.uint8))[:len(x) - QGRAM + 1]] = True
         for steps in (STEPS, SHORT_STEPS):
             mine = [k for k, (_, x) in enumerate(self.items) if (len(x) >= STEPS) == (steps == STEPS)]
             if not mine:
@@ -127,7 +139,27 @@ class Items:
                 rep = np.repeat(np.arange(len(who)), n)
                 j = lo[rep] + np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
                 out.append(np.stack([owner[j], at[who[rep]] - offset[j]], axis=1))
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), dtype=np.int64)
+        pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
+        return self.plausible(raw, np.unique(pairs, axis=0)) if len(pairs) else pairs
+
+    def limit(self, k: int) -> int:
+        return int(self.max_edit * len(self.items[k][1]))
+
+    def plausible(self, raw: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """Pairs whose windows hold enough grams of the item.  Each edit spoils
+        at most QGRAM of them, so no pair within the limit is lost."""
+        g, keep = grams(raw), np.zeros(len(pairs), dtype=bool)
+        first = np.flatnonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0]])
+        for i, j in zip(first, np.r_[first[1:], len(pairs)]):
+            k = int(pairs[i, 0])
+            size, slack = len(self.items[k][1]), 2 * (self.limit(k) + 1)
+            need = size - QGRAM + 1 - QGRAM * self.limit(k)
+            reach = np.arange(-slack, size + slack)
+            step = max(1, 4_000_000 // len(reach))
+            for a in range(i, j, step):
+                at = np.clip(pairs[a:min(j, a + step), 1, None] + reach, 0, len(raw) - 1)
+                keep[a:min(j, a + step)] = self.tables[k][g[at]].sum(axis=1) >= need
+        return pairs[keep]
 
 
 def edit_search(pattern: bytes, text: bytes, limit: int) -> tuple[int, int] | None:
@@ -161,7 +193,7 @@ def _hits(items: Items, data: bytes, pairs: np.ndarray) -> list[dict]:
     ranges: list[list[int]] = []
     for k, start in pairs.tolist():  # sorted by item and start
         x = items.items[k][1]
-        slack = int(items.max_edit * len(x)) + 1
+        slack = items.limit(k) + 1
         lo, hi = max(0, start - 2 * slack), start + len(x) + 2 * slack
         if ranges and ranges[-1][0] == k and lo <= ranges[-1][1] + slack:
             ranges[-1][2] = max(hi, ranges[-1][2])
@@ -175,7 +207,7 @@ def _hits(items: Items, data: bytes, pairs: np.ndarray) -> list[dict]:
         if at >= 0:
             found = (0, lo + at, lo + at + len(x))
         else:
-            hit = edit_search(x, window, int(items.max_edit * len(x)))
+            hit = edit_search(x, window, items.limit(k))
             if hit is None:
                 continue
             back = edit_search(x[::-1], window[:hit[1]][::-1], hit[0])
