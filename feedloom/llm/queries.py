@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, langid, mixing, simhash_vp, suffix_dedup
+from feedloom.llm import decontaminate, langid, mixing, simhash_vp, suffix_dedup, token_counts
 from feedloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,13 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@register
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document."""
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select(F.col("did").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 @register
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole document; learned from the rows that are not held out."""
