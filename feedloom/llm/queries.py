@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, langid, mixing, simhash_vp, suffix_dedup, token_counts
+from feedloom.llm import decontaminate, langid, mixing, simhash_vp, spotsigs, suffix_dedup, token_counts, toxicity
 from feedloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,23 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("did").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+@register
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole document, its edited text, and their likeness."""
+    found = spotsigs.edited_neighbours(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("did", "doc_id")
+
+
+@register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole document; learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(crc_mod("doc_id", 3) != 1))
+    return toxicity.score(docs, model).select(
+        F.col("did").alias("doc_id"), F.coalesce(crc_mod("did", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 @register
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole document; learned from the rows that are not held out."""
