@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, langid, mixing, simhash_vp, spotsigs, suffix_dedup, token_counts, toxicity
+from feedloom.llm import (decontaminate, langid, mixing, sentence_spans, simhash_vp, spotsigs, suffix_dedup, token_counts, toxicity,
+                          transcripts)
 from feedloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +46,22 @@ def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("did", "doc_id")
 
 
+@register
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts of all conversations, parsed back into roles and rendered.
+
+    The model learns from four fifths of the conversations; ``n_right`` counts
+    the recovered turns whose role and order are the true ones."""
+    raw = transcripts.transcripts_of(table(spark, sf_dir, "conversations"))
+    model = transcripts.fit(raw.filter(crc_mod("conv_id", 5) != 0))
+    found = transcripts.format_chats(raw.select("conv_id", "part", "text", "roles"), model)
+    got = F.transform("turns", lambda t: t["role"])
+    right = F.size(F.filter(F.arrays_zip(got.alias("g"), F.col("row.roles").alias("r")), lambda x: x["g"] == x["r"]))
+    return found.select("row.conv_id", "row.part", F.coalesce(crc_mod("row.conv_id", 5) == 0, F.lit(False)).alias("held_out"),
+                        F.size("row.roles").alias("n_turns"), F.size("turns").alias("n_found"), right.alias("n_right"),
+                        F.array_join(got, " ").alias("roles"), "rendered")
+
+
 @register
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole document; learned from the rows that are not held out."""
@@ -90,6 +107,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "h.item_id", "h.distance", F.col("h.start").alias("start_byte"), F.col("h.end").alias("end_byte"))
 
 
+@register
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents without the sentences of repeated spans."""
+    return sentence_spans.remove_repeated_spans(table(spark, sf_dir, "documents")).withColumnRenamed("did", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
