@@ -1,13 +1,14 @@
 """Shared pieces of the training-data operators."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import reliable_checkpoint, ship_package
+from feedloom.session import checkpoint_dir, reliable_checkpoint, ship_package
 
 #: Rows handled at a time inside a Python stage; bounds its memory beside the texts themselves.
 SLICE_ROWS = 512
@@ -31,6 +32,18 @@ def keep(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A written Parquet table in the cluster's shared checkpoint folder, for
+    larger intermediate rows (columnar and compressed, unlike a checkpoint).
+    The folder is removed when the application ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/feedloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(did, text)``: the two columns an operator reads, under its own names.
 

@@ -3,10 +3,10 @@
 A repeated string of ``length`` bytes is found in three steps.
 
 1. *Anchors.*  Every window of ``length`` bytes names one ``GRAM``-byte gram
-   inside it: the one whose first eight bytes hash lowest (leftmost on ties).
+   inside it: the one that hashes lowest (leftmost on ties).
    The choice depends on the window alone, so equal windows name equal grams
    at equal offsets.  Neighbouring windows mostly share their gram, so a text
-   turns into about one anchor per 75 bytes: the gram's hash, and the hash of
+   turns into about one anchor per 65 bytes: the gram's hash, and the hash of
    the *segment* that the anchor's windows span.
 2. *Grouping.*  Anchors meet by gram hash.  A gram seen once can have no
    repeated window.  Where all segments of a gram are equal, all its windows
@@ -20,8 +20,9 @@ A repeated string of ``length`` bytes is found in three steps.
 
 A gram with more distinct segments than ``GROUP_LIMIT`` is split exactly: its
 windows are dealt to finer grams by their offset to the anchor (every window
-of one offset range contains the same longer gram), at last to whole windows.
-So no task ever holds an unbounded group, and nothing is dropped.
+of one offset range contains the same longer gram), or, for still larger
+groups, to whole windows.  So no task ever holds an unbounded group, and
+nothing is dropped.
 """
 from __future__ import annotations
 
@@ -33,15 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import arrow_map, corpus, identified, keep, slices
+from feedloom.llm.common import arrow_map, corpus, identified, keep, slices, stored
 
 LENGTH = 200
-GRAM = 64
+GRAM = 48
 #: Bytes hashed at a time in the anchor stage; longer texts are cut into overlapping blocks.
 BLOCK = 1 << 20
-#: Distinct segments of one gram that may meet in one suffix array (about 1.2 MB of text).
-GROUP_LIMIT = 4096
-#: Offset ranges per gram at each level of splitting; the last level is one window each.
+#: Distinct segments of one gram that may meet in one suffix array (about 0.3 MB of text).
+GROUP_LIMIT = 1024
+#: Offset ranges of a gram above the limit; above SPLIT times the limit each window stands alone.
 SPLIT = 8
 #: Bytes of segments sorted at a time.
 SORT_BLOCK = 1 << 20
@@ -75,10 +76,11 @@ def anchors(block: bytes, starts: np.ndarray, lengths: np.ndarray, length: int,
     windows - 1, anchor - first window)``; positions are in the block."""
     n, width = len(block), length - gram + 1
     raw = np.frombuffer(block, dtype=np.uint8)
-    head = np.ndarray((n - 7,), dtype="<u8", buffer=block, strides=(1,)) * np.uint64(_BASE)
-    order = ((head ^ (head >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) & np.uint64(0xFFFFFFFF00000000)
-    order |= np.arange(n - 7, dtype=np.uint64)
-    order = order[:n - gram + 1]
+    up, down = _powers(n + 1)
+    prefix = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_TABLE[raw] * up[:n], out=prefix[1:])
+    hashes = _mix((prefix[gram:] - prefix[:-gram]) * down[:n - gram + 1])
+    order = hashes & np.uint64(0xFFFFFFFF00000000) | np.arange(len(hashes), dtype=np.uint64)
     low, span = order, 1
     while span * 2 <= width:
         low, span = np.minimum(low[:-span], low[span:]), span * 2
@@ -96,10 +98,7 @@ def anchors(block: bytes, starts: np.ndarray, lengths: np.ndarray, length: int,
     use = valid[first]
     first, last = first[use], last[use]
     at = chosen[first].astype(np.int64)
-    up, down = _powers(n + 1)
-    prefix = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_TABLE[raw] * up[:n], out=prefix[1:])
-    key = _mix((prefix[at + gram] - prefix[at]) * down[at])
+    key = hashes[at]
     seg = _mix((prefix[last + length] - prefix[first]) * down[first] + (last - first).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
     return np.searchsorted(starts, first, side="right") - 1, key, seg, first, last - first, at - first
 
@@ -240,24 +239,25 @@ def repeated_starts(segments: list[bytes], length: int) -> list[list[tuple[int,
 
 
 def _sort_stage(length: int):
-    """Rows sorted by ``key``: blocks of whole keys through ``repeated_starts``."""
-    def solve(keys, segs, texts):
-        rows = [(k, s, i, j) for k, s, runs in zip(keys, segs, repeated_starts(texts, length)) for i, j in runs]
+    """Rows sorted by ``gkey``: blocks of whole groups through ``repeated_starts``."""
+    def solve(held, texts):
+        rows = [(k, s, at + i, at + j) for (k, s, at), runs in zip(held, repeated_starts(texts, length)) for i, j in runs]
         cols = list(zip(*rows)) or [[]] * 4
         return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
                                 pa.array(cols[3], pa.int32())], names=["key", "seg", "i", "j"])
 
     def run(batches):
-        keys, segs, texts, total = [], [], [], 0
+        held, texts, total, last = [], [], 0, None
         for b in batches:
-            for k, s, t in zip(*(b.column(c).to_pylist() for c in ("key", "seg", "txt"))):
-                if total >= SORT_BLOCK and k != keys[-1]:
-                    yield solve(keys, segs, texts)
-                    keys, segs, texts, total = [], [], [], 0
-                keys.append(k), segs.append(s), texts.append(t)
+            for g, k, s, at, t in zip(*(b.column(c).to_pylist() for c in ("gkey", "key", "seg", "shift", "txt"))):
+                if total >= SORT_BLOCK and g != last:
+                    yield solve(held, texts)
+                    held, texts, total = [], [], 0
+                held.append((k, s, at)), texts.append(t)
                 total += len(t)
-        if keys:
-            yield solve(keys, segs, texts)
+                last = g
+        if held:
+            yield solve(held, texts)
 
     return run
 
@@ -266,57 +266,49 @@ def _sort_stage(length: int):
 _DOC = ["uid", "th"]
 
 
-def _text_of(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """``rows`` with ``bin``, the bytes of their document (one of equal rows)."""
-    return rows.join(docs.select(*_DOC, F.col("text").cast("binary").alias("bin")), _DOC)
-
-
-def _bytes(start, size):
-    return F.expr(f"substring(bin, cast({start} + 1 as int), cast({size} as int))")
+def _bytes(start: str, size: str):
+    return F.expr(f"substring(txt, cast({start} + 1 as int), cast({size} as int))")
 
 
-def _finer(hot: DataFrame, docs: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
-    """The windows of ``hot`` anchors dealt by offset range to longer grams."""
-    step = -(-(length - gram + 1) // parts)
-    cut = hot.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("t")) \
+def _parts(segs: DataFrame, length: int, gram: int) -> DataFrame:
+    """Segments with their text, cut into ``parts`` offset ranges: windows
+    ``a2..b2`` of the segment, all of which contain the finer gram ``g``."""
+    step = F.ceil(F.lit(length - gram + 1) / F.col("parts"))
+    return segs.select("*", F.explode(F.expr("sequence(0, parts - 1)")).alias("t")) \
         .withColumn("d0", F.col("t") * step).withColumn("d1", F.least(F.col("d0") + step - 1, F.lit(length - gram))) \
-        .withColumn("p", F.col("a") + F.col("off")) \
-        .withColumn("a2", F.greatest(F.col("a"), F.col("p") - F.col("d1"))) \
-        .withColumn("b2", F.least(F.col("a") + F.col("more"), F.col("p") - F.col("d0"))).filter("a2 <= b2")
-    return _text_of(cut, docs).dropDuplicates([*_DOC, "a2", "b2", "t"]).select(
-        *_DOC, F.xxhash64("t", _bytes("p - d0", f"{length} + d0 - d1")).alias("key"),
-        F.xxhash64(_bytes("a2", f"b2 - a2 + {length}")).alias("seg"),
-        F.col("a2").alias("a"), (F.col("b2") - F.col("a2")).cast("short").alias("more"), (F.col("p") - F.col("a2")).cast("short").alias("off"))
+        .withColumn("a2", F.greatest(F.lit(0), F.col("off") - F.col("d1")).cast("int")) \
+        .withColumn("b2", F.least(F.col("more"), F.col("off") - F.col("d0")).cast("int")).filter("a2 <= b2") \
+        .withColumn("part", _bytes("a2", f"b2 - a2 + {length}")).withColumn("g", _bytes("off - d0", f"{length} + d0 - d1"))
 
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Byte intervals ``(uid, th, s, e)`` of ``identified`` rows that are
     covered by a ``length``-byte string that also starts anywhere else."""
     rows = arrow_map(docs.select("uid", "th", "text"), _anchor_stage(length, gram), _ANCHOR)
-    found: list[DataFrame] = []
-    for parts in (SPLIT, length - gram + 1, None):
-        status = keep(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
-                      .filter("n > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed")))
-        met = keep(rows.join(status, "key"))
-        found.append(met.filter("not mixed").select(*_DOC, F.col("a").alias("s"), (F.col("a") + F.col("more") + length).alias("e")))
-        mixed = met.filter("mixed").drop("mixed")
-        distinct = mixed.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_DOC, "a", "more")).alias("one"))
-        sizes = keep(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > group_limit).select("key"))
-        calm = distinct.join(sizes, "key", "left_anti")
-        # a segment that occurs twice repeats whole; the sort finds what different segments share
-        again = calm.filter("n > 1").select("key", "seg", F.lit(0).alias("i"), F.col("one.more").cast("int").alias("j"))
-        fetched = _text_of(calm.select("key", "seg", "one.*"), docs).select("key", "seg", _bytes("a", f"more + {length}").alias("txt"))
-        sorted_runs = arrow_map(fetched.repartition("key").sortWithinPartitions("key"), _sort_stage(length), "key long, seg long, i int, j int")
-        runs = sorted_runs.unionByName(again)
-        found.append(mixed.join(runs, ["key", "seg"]).select(
-            *_DOC, (F.col("a") + F.col("i")).alias("s"), (F.col("a") + F.col("j") + length).alias("e")))
-        if parts is None or sizes.isEmpty():
-            break
-        rows = keep(_finer(mixed.join(sizes, "key", "left_semi"), docs, parts, length, gram))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    status = keep(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
+                  .filter("n > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed")))
+    met = stored(rows.join(status, "key"))
+    alike = met.filter("not mixed").select(*_DOC, F.col("a").alias("s"), (F.col("a") + F.col("more") + length).alias("e"))
+
+    mixed = met.filter("mixed").drop("mixed")
+    distinct = mixed.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_DOC, "a", "more", "off")).alias("one"))
+    hot = keep(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > group_limit))
+    parts = F.when(F.col("m").isNull(), 1).when(F.col("m") <= SPLIT * group_limit, SPLIT).otherwise(length - gram + 1)
+    segs = distinct.select("key", "seg", "one.*").join(hot, "key", "left").withColumn("parts", parts) \
+        .join(docs.select(*_DOC, F.col("text").cast("binary").alias("txt")), _DOC) \
+        .select("key", "seg", "more", "off", "parts", _bytes("a", f"more + {length}").alias("txt"))
+    # a segment that occurs twice repeats whole; the rest finds what different segments share
+    again = distinct.filter("n > 1").select("key", "seg", F.lit(0).alias("i"), F.col("one.more").cast("int").alias("j"))
+    groups = _parts(segs.filter(F.col("parts") <= SPLIT), length, gram) \
+        .select(F.xxhash64("key", "t", "g").alias("gkey"), "key", "seg", F.col("a2").alias("shift"), F.col("part").alias("txt"))
+    sorted_runs = arrow_map(groups.repartition("gkey").sortWithinPartitions("gkey"), _sort_stage(length), "key long, seg long, i int, j int")
+    windows = _parts(segs.filter(F.col("parts") > SPLIT), length, gram) \
+        .select("key", "seg", F.xxhash64("key", "t", "part").alias("w"), F.xxhash64("part").alias("w2"), F.col("a2").alias("i"))
+    twice = windows.groupBy("w", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w", "w2")
+    alone = windows.join(twice, ["w", "w2"]).select("key", "seg", "i", F.col("i").alias("j"))
+    shared = mixed.join(sorted_runs.unionByName(again).unionByName(alone), ["key", "seg"]).select(
+        *_DOC, (F.col("a") + F.col("i")).alias("s"), (F.col("a") + F.col("j") + length).alias("e"))
+    return alike.unionByName(shared)
 
 
 def _cut_stage():

@@ -71,8 +71,9 @@ def test_hot_grams_are_split(spark, monkeypatch):
     rnd = random.Random(13)
     line = " ".join(f"line{i}" for i in range(30))  # 199 bytes and more around many different texts
     texts = [f"{rnd.random()} {rnd.choice(['x', 'yy'])} {line[:rnd.choice([150, 190, 209])]} {rnd.choice(['p', 'q'])} {rnd.random()} end" for _ in range(120)]
-    monkeypatch.setattr(S.repeated_intervals, "__defaults__", (200, 64, 5))
-    check(spark, texts + [None, ""])
+    for limit in (30, 5, 1):  # whole groups, offset ranges, single windows
+        monkeypatch.setattr(S.repeated_intervals, "__defaults__", (200, 48, limit))
+        check(spark, texts + [None, ""])
 
 
 def test_long_text_over_blocks(spark, monkeypatch):
@@ -84,7 +85,7 @@ def test_long_text_over_blocks(spark, monkeypatch):
         monkeypatch.setattr(S, "BLOCK", size)
         import pyarrow as pa
         b = pa.record_batch([pa.array([1]), pa.array([2], pa.int32()), pa.array([long])], names=["uid", "th", "text"])
-        out = [r for x in S._anchor_stage(200, 64)([b]) for r in x.to_pylist()]
+        out = [r for x in S._anchor_stage(200, 48)([b]) for r in x.to_pylist()]
         cover = sorted((r["a"] + i, r["key"]) for r in out for i in range(r["more"] + 1))
         rows.append(cover)
     assert rows[0] == rows[1] and len(rows[0]) == len(bs) - 199
