@@ -1,25 +1,65 @@
-"""Corpus pipeline over ``documents``."""
+"""Corpus pipeline: from raw ``documents`` to a mixed training order.
+
+Every stage works on all rows that its predecessor kept, and all but the last
+return the columns of ``documents``.
+"""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedloom.llm import decontaminate, langid, mixing, simhash_vp, suffix_dedup
+
 
-from feedloom.llm import simhash_vp
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or in no language of the labelled rows, go.
+    A missing ``lang`` becomes the predicted one."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    langs, probs = langid.fit(docs, path)
+    if not langs:
+        return docs.limit(0)  # nothing to tell languages by: every document is undetermined
+    kept = langid.written_in_learned(langid.identify(docs, langs, probs, path, carry=tuple(docs.columns)))
+    return kept.select("row.*", "lang_pred").withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one whose id names the group."""
-    groups = simhash_vp.near_duplicates(docs, shingle=3, max_bits=3)
-    keepers = groups.filter("did = component_id").select("did").distinct()
-    return docs.join(keepers, docs["doc_id"] == keepers["did"], "left_semi")
+    """One document of each SimHash group stays."""
+    return simhash_vp.one_of_each(docs, shingle=3, max_bits=3)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 200-byte strings go; ``text`` and ``n_chars`` follow."""
+    cut = suffix_dedup.remove_repeats(docs, length=200, carry=tuple(c for c in docs.columns if c != "text"))
+    return cut.select("row.*", F.col("kept_text").alias("text")) \
+        .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, whole or slightly edited, go."""
+    found = decontaminate.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.filter(F.size("hits") == 0).select("row.*")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its place in the mix: order by ``(slot, pos)``."""
+    return mixing.mix(docs).select("row.*", "block", "slot", "pos")
 
 
-STAGES = [("simhash_near_dedup", simhash_near_dedup)]
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("mix_sources", mix_sources),
+]
 
-#: SimHash cannot be written in DuckDB SQL.
+#: The stages' models and hashes cannot be written in DuckDB SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

@@ -54,14 +54,14 @@ def corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def identified(docs: DataFrame) -> DataFrame:
+def identified(docs: DataFrame, *more: str) -> DataFrame:
     """``corpus`` rows with a join key ``(uid, th)``.
 
     Equal rows get equal keys: whatever is found for one of them holds for
     all.  Rows that share an id but not a text stay apart by ``th``.
     """
     return docs.select(F.coalesce("did", F.lit(-(2 ** 63)).cast("long")).alias("uid"),
-                       F.hash("text").alias("th"), "did", "text")
+                       F.hash("text").alias("th"), "did", "text", *more)
 
 
 def crc_mod(col: str, n: int) -> Column:

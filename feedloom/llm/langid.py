@@ -30,6 +30,8 @@ MAX_WORD = 48
 PRIOR = 0.1
 #: Distinct words a task remembers before it starts afresh.
 CACHE_WORDS = 400_000
+#: Least log probability per byte of a text in a learned language; texts full of keys and numbers stay above it.
+LEAST_PER_BYTE = -4.0
 #: Share of the evidence that counts, for a score that is not always 0 or 1.
 TEMPER = 0.2
 
@@ -225,10 +227,10 @@ def _score_stage(path: str, langs: list[str], probs: np.ndarray, temper: float):
     def run(batches):
         vocab = vocabulary(path)
         known: dict[str, int] = {}
-        logs = np.zeros((0, len(langs)))
+        logs, sizes = np.zeros((0, len(langs))), np.zeros(0)
         for b in slices(batches):
             if len(known) > CACHE_WORDS:
-                known, logs = {}, np.zeros((0, len(langs)))
+                known, logs, sizes = {}, np.zeros((0, len(langs))), np.zeros(0)
             texts = [WORD.findall(t.lower()) for t in b.column("text").to_pylist()]
             fresh = list({w for ws in texts for w in ws if w not in known})
             if fresh and langs:
@@ -238,18 +240,19 @@ def _score_stage(path: str, langs: list[str], probs: np.ndarray, temper: float):
                 each = log_words(flat, vocab, probs)
                 new = np.stack([np.bincount(owner, weights=each[:, k], minlength=len(fresh)) for k in range(len(langs))], axis=1)
                 known.update(zip(fresh, range(len(logs), len(logs) + len(fresh))))
-                logs = np.concatenate([logs, new])
-            best, scores = [], []
+                logs, sizes = np.concatenate([logs, new]), np.concatenate([sizes, [sum(map(len, ps)) for ps in cut]])
+            best, scores, per_byte = [], [], []
             for ws in texts:
                 if not ws or not langs:
-                    best.append(UNDETERMINED), scores.append(0.0)
+                    best.append(UNDETERMINED), scores.append(0.0), per_byte.append(None)
                     continue
-                s = logs[np.fromiter(map(known.__getitem__, ws), dtype=np.int64, count=len(ws))].sum(axis=0)
+                at = np.fromiter(map(known.__getitem__, ws), dtype=np.int64, count=len(ws))
+                s = logs[at].sum(axis=0)
                 e = np.exp((s - s.max()) * temper)
                 k = int(np.argmax(e))
-                best.append(langs[k]), scores.append(float(e[k] / e.sum()))
-            yield pa.record_batch([b.column("did"), pa.array(best, pa.string()), pa.array(scores, pa.float64()), b.column("row")],
-                                  names=["did", "lang_pred", "score", "row"])
+                best.append(langs[k]), scores.append(float(e[k] / e.sum())), per_byte.append(float(s[k] / sizes[at].sum()))
+            yield pa.record_batch([b.column("did"), pa.array(best, pa.string()), pa.array(scores, pa.float64()),
+                                   pa.array(per_byte, pa.float64()), b.column("row")], names=["did", "lang_pred", "score", "per_byte", "row"])
 
     return run
 
@@ -257,8 +260,9 @@ def _score_stage(path: str, langs: list[str], probs: np.ndarray, temper: float):
 def identify(docs: DataFrame, langs: list[str], probs: np.ndarray, path: str, id_col: str = "doc_id", text_col: str = "text",
              carry: tuple[str, ...] = (), temper: float = TEMPER) -> DataFrame:
     """One row per document: ``did``, ``lang_pred``, ``score`` (the tempered
-    posterior, all languages equally likely beforehand), and ``row``, a struct
-    of the ``carry`` columns.
+    posterior, all languages equally likely beforehand), ``per_byte`` (log
+    probability per byte of words in the predicted language; null if ``und``),
+    and ``row``, a struct of the ``carry`` columns.
 
     The prediction reads nothing but the whole text.  Null texts and texts
     without a letter are ``und`` with score 0; so is everything when no
@@ -268,4 +272,10 @@ def identify(docs: DataFrame, langs: list[str], probs: np.ndarray, path: str, id
     extra = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
     base = docs.select(F.col(id_col).cast("long").alias("did"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), extra.alias("row"))
     kind = base.schema["row"].dataType.simpleString()
-    return arrow_map(base, _score_stage(path, langs, probs, temper), f"did long, lang_pred string, score double, row {kind}")
+    return arrow_map(base, _score_stage(path, langs, probs, temper), f"did long, lang_pred string, score double, per_byte double, row {kind}")
+
+
+def written_in_learned(found: DataFrame) -> DataFrame:
+    """Rows of ``identify`` whose text is in a learned language: it has
+    letters, and its words are not wholly alien to the predicted language."""
+    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("per_byte") >= LEAST_PER_BYTE))

@@ -24,7 +24,7 @@ BLOCK_DOCS = 8
 #: Flattening exponent of the default weights (1: as the corpus, 0: all alike).
 EXPONENT = 0.5
 #: Documents per bucket of the distributed numbering.
-BUCKET_DOCS = 5000
+BUCKET_DOCS = 1000
 
 
 def default_weights(docs: DataFrame, source_col: str = "source", exponent: float = EXPONENT) -> DataFrame:

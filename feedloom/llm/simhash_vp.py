@@ -55,14 +55,16 @@ def simhash(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(did, fp)`` per document; ``fp`` is the SimHash as a signed long.
-    Null and empty texts and texts of white space have fingerprint zero."""
+    """``(did, th, fp)`` per document: id, a hash of the text, and the SimHash
+    as a signed long.  Null and empty texts and texts of white space have
+    fingerprint zero."""
     def run(batches):
         for b in slices(batches):
             fps = np.fromiter((simhash(t, shingle) for t in b.column("text").to_pylist()), dtype=np.uint64, count=b.num_rows)
-            yield pa.record_batch([b.column("did"), pa.array(fps.view(np.int64))], names=["did", "fp"])
+            yield pa.record_batch([b.column("did"), b.column("th"), pa.array(fps.view(np.int64))], names=["did", "th", "fp"])
 
-    return arrow_map(corpus(docs, id_col, text_col), run, "did long, fp long")
+    rows = corpus(docs, id_col, text_col).select("did", F.hash("text").alias("th"), "text")
+    return arrow_map(rows, run, "did long, th int, fp long")
 
 
 # ------------------------------------------------------------------ tree
@@ -232,7 +234,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """One row per document: ``did``, ``fp`` (signed long), ``component_id``.
+    """One row per document: ``did``, ``th`` (hash of its text), ``fp`` (signed
+    long), ``root`` (a fingerprint that names the group) and ``component_id``.
 
     ``component_id`` is the smallest id reachable through pairs of
     fingerprints at most ``max_bits`` apart, the document's own included.
@@ -247,5 +250,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col
     rooted = firsts.join(found.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = keep(rooted.join(least, "root").select("fp", "component_id"))
-    return prints.join(labels, "fp").select("did", "fp", "component_id")
+    labels = keep(rooted.join(least, "root").select("fp", "root", "component_id"))
+    return prints.join(labels, "fp").select("did", "th", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the
+    smallest id (null ids last, then by a hash of the text); of equal rows one."""
+    groups = near_duplicates(docs, shingle, max_bits, id_col, text_col)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("did").isNull().alias("null"), "did", "th")).alias("k")).select("k.did", "k.th")
+    tagged = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("did"),
+                         F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
+    met = tagged.join(first.withColumnsRenamed({"did": "d", "th": "t"}), F.col("did").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left_semi")
+    return met.groupBy("did", "th").agg(F.first("row").alias("row")).select("row.*")

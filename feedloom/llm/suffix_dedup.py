@@ -20,9 +20,9 @@ A repeated string of ``length`` bytes is found in three steps.
 
 A gram with more distinct segments than ``GROUP_LIMIT`` is split exactly: its
 windows are dealt to finer grams by their offset to the anchor (every window
-of one offset range contains the same longer gram), or, for still larger
-groups, to whole windows.  So no task ever holds an unbounded group, and
-nothing is dropped.
+of one offset range contains the same longer gram), and where a finer gram is
+above the limit again, to whole windows.  So no task ever holds an unbounded
+group, and nothing is dropped.
 """
 from __future__ import annotations
 
@@ -42,7 +42,7 @@ GRAM = 48
 BLOCK = 1 << 20
 #: Distinct segments of one gram that may meet in one suffix array (about 0.3 MB of text).
 GROUP_LIMIT = 1024
-#: Offset ranges of a gram above the limit; above SPLIT times the limit each window stands alone.
+#: Offset ranges of a gram above the limit; in ranges that are above it again each window stands alone.
 SPLIT = 8
 #: Bytes of segments sorted at a time.
 SORT_BLOCK = 1 << 20
@@ -293,17 +293,22 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     mixed = met.filter("mixed").drop("mixed")
     distinct = mixed.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_DOC, "a", "more", "off")).alias("one"))
     hot = keep(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > group_limit))
-    parts = F.when(F.col("m").isNull(), 1).when(F.col("m") <= SPLIT * group_limit, SPLIT).otherwise(length - gram + 1)
-    segs = distinct.select("key", "seg", "one.*").join(hot, "key", "left").withColumn("parts", parts) \
+    segs = distinct.select("key", "seg", "one.*").join(hot, "key", "left") \
+        .withColumn("parts", F.when(F.col("m").isNull(), 1).otherwise(SPLIT)) \
         .join(docs.select(*_DOC, F.col("text").cast("binary").alias("txt")), _DOC) \
         .select("key", "seg", "more", "off", "parts", _bytes("a", f"more + {length}").alias("txt"))
     # a segment that occurs twice repeats whole; the rest finds what different segments share
     again = distinct.filter("n > 1").select("key", "seg", F.lit(0).alias("i"), F.col("one.more").cast("int").alias("j"))
-    groups = _parts(segs.filter(F.col("parts") <= SPLIT), length, gram) \
-        .select(F.xxhash64("key", "t", "g").alias("gkey"), "key", "seg", F.col("a2").alias("shift"), F.col("part").alias("txt"))
+    calm = segs.filter("parts = 1").select(F.col("key").alias("gkey"), "key", "seg", F.lit(0).alias("shift"), "txt")
+    fine = stored(_parts(segs.filter("parts > 1"), length, gram).select(
+        F.xxhash64("key", "t", "g").alias("gkey"), "key", "seg", F.col("a2").alias("shift"), F.col("part").alias("txt")))
+    met_again = fine.join(fine.groupBy("gkey").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "gkey")
+    groups = calm.unionByName(met_again.filter(F.col("m") <= group_limit).drop("m"))
     sorted_runs = arrow_map(groups.repartition("gkey").sortWithinPartitions("gkey"), _sort_stage(length), "key long, seg long, i int, j int")
-    windows = _parts(segs.filter(F.col("parts") > SPLIT), length, gram) \
-        .select("key", "seg", F.xxhash64("key", "t", "part").alias("w"), F.xxhash64("part").alias("w2"), F.col("a2").alias("i"))
+    windows = met_again.filter(F.col("m") > group_limit) \
+        .select("key", "seg", "shift", "txt", F.explode(F.expr(f"sequence(0, octet_length(txt) - {length})")).alias("x")) \
+        .select("key", "seg", (F.col("shift") + F.col("x")).alias("i"), _bytes("x", str(length)).alias("window")) \
+        .select("key", "seg", "i", F.xxhash64("window").alias("w"), F.xxhash64(F.lit(1), "window").alias("w2"))
     twice = windows.groupBy("w", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w", "w2")
     alone = windows.join(twice, ["w", "w2"]).select("key", "seg", "i", F.col("i").alias("j"))
     shared = mixed.join(sorted_runs.unionByName(again).unionByName(alone), ["key", "seg"]).select(
@@ -312,13 +317,10 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
 
 
 def _cut_stage():
-    schema = pa.schema([("did", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                        ("kept", pa.binary()), ("kept_sha256", pa.string())])
-
     def run(batches):
         for b in slices(batches):
-            out = []
-            for did, text, spans in zip(*(b.column(c).to_pylist() for c in ("did", "text", "spans"))):
+            sizes, removed, n_spans, rest, digest = [], [], [], [], []
+            for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
                 merged: list[list[int]] = []
                 for x in sorted((s["s"], s["e"]) for s in spans or ()):
@@ -331,24 +333,35 @@ def _cut_stage():
                     kept.append(data[at:s])
                     at = e
                 kept = b"".join([*kept, data[at:]])
-                out.append((did, len(data), len(data) - len(kept), len(merged), kept, hashlib.sha256(kept).hexdigest()))
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                sizes.append(len(data)), removed.append(len(data) - len(kept)), n_spans.append(len(merged))
+                rest.append(kept), digest.append(hashlib.sha256(kept).hexdigest())
+            yield pa.record_batch([b.column("did"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
+                                   pa.array(rest, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in rest], pa.string()),
+                                   pa.array(digest, pa.string()), b.column("row")],
+                                  names=["did", "n_bytes", "n_removed", "n_spans", "kept", "kept_text", "kept_sha256", "row"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Each document without the bytes covered by a repeated ``length``-byte string.
 
     One row per input row: ``did``, ``n_bytes``, ``n_removed``, ``n_spans``,
-    ``kept`` (bytes; a cut may fall inside a character), ``kept_sha256``.
-    Strings are judged on the input; every occurrence goes, overlaps count,
-    matches never cross documents.  Null texts count as empty; texts shorter
-    than ``length`` stay whole; repeated rows are copies of each other and so
-    lose all they share (nothing below ``length`` bytes).  Null ids keep
-    their rows.  An empty table gives no rows.
+    ``kept`` (bytes; a cut may fall inside a character), ``kept_text`` (the
+    whole characters of it), ``kept_sha256``, and ``row``, a struct of the
+    ``carry`` columns.  Strings are judged on the input; every occurrence
+    goes, overlaps count, matches never cross documents.  Null texts count as
+    empty; texts shorter than ``length`` stay whole; repeated rows are copies
+    of each other and so lose all they share.  Null ids keep their rows.  An
+    empty table gives no rows.
     """
     rows = identified(corpus(docs, id_col, text_col))
     spans = repeated_intervals(rows, length).distinct().groupBy(*_DOC).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    joined = rows.join(spans, _DOC, "left").select("did", "text", "spans")
-    return arrow_map(joined, _cut_stage(), "did long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    whole = rows
+    if carry:
+        whole = identified(docs.select(F.col(id_col).cast("long").alias("did"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                                       F.struct(*[docs[c] for c in carry]).alias("row")), "row")
+    joined = whole.join(spans, _DOC, "left").select("did", "text", F.col("row") if carry else F.struct(F.lit(0).alias("none")).alias("row"), "spans")
+    kind = joined.schema["row"].dataType.simpleString()
+    return arrow_map(joined, _cut_stage(), "did long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string, "
+                                           f"kept_sha256 string, row {kind}")
