@@ -195,3 +195,7 @@ SYNTH_JOBS_PATH = "/jobs/"
 SYNTH_DESCRIPTION = ("{company} is looking for a {role} to scale distributed systems used by remote teams "
                      "across {region}. You will own backend services, CI/CD reliability, and production "
                      "observability.")
+
+# --- fixed values: named zones of RFC-822 dates -----------------------------
+ZONE_OFFSETS = {"GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600",
+                "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}

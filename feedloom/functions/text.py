@@ -185,29 +185,47 @@ def valid_feed_url(c) -> Column:
 
 
 # ---------------------------------------------------------------- B9
-_ENTITY_RE = "&(#[0-9]{1,8};?|#[xX][0-9A-Fa-f]{1,8};?|[A-Za-z][A-Za-z0-9]{0,31};)"
+_ENTITY_RE = "&(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+_LEGACY_LONGEST = 6  # longest reference name that may stand without its semicolon
 
 
 def _named_entity_map() -> Column:
     # Built from the HTML5 named character reference table of the Python
-    # standard library (a public rule source), names with their ';'.  One
-    # JSON literal: Catalyst folds it into a constant map once.
+    # standard library (a public rule source).  One JSON literal: Catalyst
+    # folds it into a constant map once.
     import html.entities as he
     import json
 
-    table = {k: v for k, v in he.html5.items() if k.endswith(";")}
+    return F.from_json(F.lit(json.dumps(he.html5, ensure_ascii=False)), "map<string,string>")
+
+
+def _legacy_entity_map() -> Column:
+    """The names that may stand without a semicolon."""
+    import html.entities as he
+    import json
+
+    table = {k: v for k, v in he.html5.items() if not k.endswith(";")}
     return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "map<string,string>")
 
 
-def _entity_map() -> Column:
-    return _named_entity_map()
+def _named_ref(e: Column) -> Column:
+    """A named reference with or without its semicolon; else the longest
+    legacy name that the text begins with; else the text as it is."""
+    name = F.substring(e, 2, 2 ** 31 - 1)
+    found = [F.element_at(_named_entity_map(), name)]
+    for n in range(_LEGACY_LONGEST, 1, -1):
+        found.append(F.when(F.length(name) > n, F.concat(
+            F.element_at(_legacy_entity_map(), F.substring(name, 1, n)), F.substring(name, n + 1, 2 ** 31 - 1))))
+    return F.coalesce(*found, e)
 
 
 def _numeric_ref(e: Column) -> Column:
     digits = F.regexp_extract(e, "^&#([0-9]+);?$", 1)
     hexd = F.regexp_extract(e, "^&#[xX]([0-9A-Fa-f]+);?$", 1)
-    num = F.when(digits != "", F.try_to_number(digits, F.lit("9999999999"))).otherwise(
-        F.conv(F.when(hexd != "", hexd), 16, 10).try_cast("decimal(12,0)")).try_cast("bigint")
+    # any number of digits: leading zeros do not count, and more than ten digits are out of range
+    dec, hx = F.regexp_replace(digits, "^0+(?=.)", ""), F.regexp_replace(hexd, "^0+(?=.)", "")
+    num = F.when((digits != "") & (F.length(dec) <= 10), dec.try_cast("bigint")).when(
+        (hexd != "") & (F.length(hx) <= 10), F.conv(hx, 16, 10).try_cast("bigint"))
     c1 = F.create_map(*[x for k, v in fixed.C1_REPLACEMENTS.items() for x in (F.lit(k), F.lit(v))])
 
     def rule(n):
@@ -231,7 +249,7 @@ def html_unescape(c) -> Column:
         ents = F.regexp_extract_all(c, F.lit("(" + _ENTITY_RE + ")"), F.lit(1))
         decoded = F.transform(ents, lambda e: F.when(
             e.startswith("&#"), _numeric_ref(e)).otherwise(
-            F.coalesce(F.element_at(_entity_map(), F.substring(e, 2, 64)), e)))
+            _named_ref(e)))
 
         def join(ps):
             tail = F.zip_with(decoded, F.slice(ps, 2, F.greatest(F.size(ps) - 1, F.lit(1))),

@@ -1,14 +1,17 @@
 """Page enrichment: basic text excerpts, main-content blocks, markdown.
 
-C1 and C5 are column expressions over an items-pages join.  Finding the
-main content block needs balanced tag matching, which regular expressions
-cannot do, so C2 is a single ``mapInPandas`` stage that tokenises each page
-with the standard-library HTML parser and emits one row per candidate
-block; scoring and choosing (C3) and the markdown rules (B13) are native.
+C1 and C5 are column expressions; the page text is cut to its excerpt before
+the join with the items.  Finding the main content block needs balanced tag
+matching, which regular expressions cannot do, so C2 and C3 are one
+``mapInPandas`` stage: it reads each page once with the standard-library
+tokeniser into a flat event list (no recursion, so depth does not matter),
+finds and scores the candidate blocks, and returns them with the html of the
+best one.  The markdown rules (B13) are native.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
@@ -42,159 +45,182 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
          "source", "track", "wbr"}
 
 
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+# Start tags that end an open element of the given kinds, up to the nearest boundary.
+_IMPLIED = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "p": ({"p"}, {"article", "section", "div", "td", "th", "li", "blockquote", "main", "body", "dd", "button"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}),
+    "option": ({"option"}, {"select", "datalist"}),
+    "dd": ({"dd", "dt"}, {"dl"}),
+    "dt": ({"dd", "dt"}, {"dl"}),
+}
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
+class _Page(HTMLParser):
+    """A page as flat events: ``(kind, value)`` with kind s(tart), e(nd), t(ext)
+    or c(omment).  Nodes are ``[tag, attrs, first event, event behind, parent,
+    inside main]``; noise elements leave no events."""
 
-class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", {}, None)
-        self.cur = self.root
-
-    def handle_starttag(self, tag, attrs):
-        n = _Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
-        self.cur.children.append(n)
-        if tag not in _VOID:
-            self.cur = n
+        self.nodes = [["#root", {}, 0, 0, -1, False]]
+        self.noise = [False]
+        self.open, self.n_open, self.events = [0], Counter(), []
+
+    def handle_starttag(self, tag, attrs, empty=False):
+        closes, bounds = _IMPLIED.get(tag, ((), ()))
+        if any(self.n_open[t] for t in closes):
+            for i in range(len(self.open) - 1, 0, -1):
+                name = self.nodes[self.open[i]][0]
+                if name in closes:
+                    self._close(i)
+                    break
+                if name in bounds:
+                    break
+        parent = self.open[-1]
+        k = len(self.nodes)
+        self.nodes.append([tag, {a: (v or "") for a, v in attrs}, len(self.events), len(self.events), parent,
+                           self.nodes[parent][5] or self.nodes[parent][0] == "main"])
+        self.noise.append(self.noise[parent] or tag in NOISE_TAGS)
+        if not self.noise[k]:
+            self.events.append(("s", k))
+        self.open.append(k)
+        self.n_open[tag] += 1
+        if empty or tag in _VOID:
+            self._close(len(self.open) - 1)
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(_Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+        self.handle_starttag(tag, attrs, empty=True)
+
+    def _close(self, depth):
+        while len(self.open) > depth:
+            k = self.open.pop()
+            self.n_open[self.nodes[k][0]] -= 1
+            if not self.noise[k]:
+                self.events.append(("e", k))
+            self.nodes[k][3] = len(self.events)
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.cur = n.parent
+        if self.n_open[tag]:
+            i = len(self.open) - 1
+            while self.nodes[self.open[i]][0] != tag:
+                i -= 1
+            self._close(i)
 
     def handle_data(self, data):
-        self.cur.children.append(data)
-
-
-def _walk(node):
-    for c in node.children:
-        if isinstance(c, _Node):
-            yield c
-            yield from _walk(c)
-
-
-def _strings(node):
-    for c in node.children:
-        if isinstance(c, str):
-            s = c.strip()
-            if s:
-                yield s
+        if self.noise[self.open[-1]]:
+            return
+        if self.events and self.events[-1][0] == "t":
+            self.events[-1] = ("t", self.events[-1][1] + data)
         else:
-            yield from _strings(c)
-
-
-def _html(node) -> str:
-    if isinstance(node, str):
-        return escape(node, quote=False)
-    attrs = "".join(f' {k}="{escape(v)}"' for k, v in node.attrs.items())
-    if node.tag in _VOID:
-        return f"<{node.tag}{attrs}/>"
-    return f"<{node.tag}{attrs}>" + "".join(_html(c) for c in node.children) + f"</{node.tag}>"
-
-
-def _matches(node, sel: str) -> bool:
-    if sel == "main article":
-        if node.tag != "article":
-            return False
-        p = node.parent
-        while p is not None:
-            if p.tag == "main":
-                return True
-            p = p.parent
-        return False
-    if sel.startswith("#"):
-        return node.attrs.get("id") == sel[1:]
-    if sel.startswith("[data-testid="):
-        return node.attrs.get("data-testid") == "job-details"
-    if "." in sel:
-        tag, cls = sel.split(".", 1)
-        return (not tag or node.tag == tag) and cls in node.attrs.get("class", "").split()
-    return node.tag == sel
-
-
-def _blocks_of(html: str):
-    b = _TreeBuilder()
-    try:
-        b.feed(html or "")
-        b.close()
-    except Exception:  # noqa: BLE001  malformed input -> no blocks
-        return "", []
-    # drop noise subtrees
-    stack = [b.root]
-    while stack:
-        n = stack.pop()
-        n.children = [c for c in n.children if not (isinstance(c, _Node) and c.tag in NOISE_TAGS)]
-        stack.extend(c for c in n.children if isinstance(c, _Node))
-    nodes = list(_walk(b.root))
-    h1 = next((n for n in nodes if n.tag == "h1"), None)
-    title = " ".join(_strings(h1)).strip().lower() if h1 is not None else ""
-    cands = []
-    for rank, sel in enumerate(SELECTORS):
-        cands.extend((rank, n) for n in nodes if _matches(n, sel))
-    if not cands:
-        body = next((n for n in nodes if n.tag == "body"), b.root)
-        cands = [(len(SELECTORS), body)]
-    out = []
-    for ordinal, (rank, n) in enumerate(cands):
-        has_h1 = any(d.tag == "h1" for d in _walk(n))
-        out.append((ordinal, rank, " ".join(_strings(n)), has_h1, _html(n)))
-    return title, out
-
-
-BLOCK_SCHEMA = ("page_id long, url string, ord int, selector_rank int, main_title string, "
-                "text string, has_h1 boolean, block_html string")
-
-
-def _blocks_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            self.events.append(("t", data))
+
+    def handle_comment(self, data):
+        self.events.append(("c", data))
+
+    def done(self):
+        self.close()
+        self._close(1)
+        self.nodes[0][3] = len(self.events)
+        return self
+
+    def strings(self, node) -> str:
+        """The stripped texts below a node, joined by blanks."""
+        return " ".join(x for x in (v.strip() for kind, v in self.events[node[2]:node[3]] if kind == "t") if x)
+
+    def html(self, node) -> str:
+        out = []
+        for kind, v in self.events[node[2]:node[3]]:
+            if kind == "t":
+                out.append(escape(v, quote=False))
+            elif kind == "s":
+                tag, attrs = self.nodes[v][:2]
+                out.append(f"<{tag}" + "".join(f' {a}="{escape(x)}"' for a, x in attrs.items()) + ("/>" if tag in _VOID else ">"))
+            elif kind == "e" and self.nodes[v][0] not in _VOID:
+                out.append(f"</{self.nodes[v][0]}>")
+        return "".join(out)
+
+
+def _rank(node) -> int | None:
+    """The first selector that matches the node."""
+    tag, attrs, _, _, _, in_main = node
+    classes = attrs.get("class", "").split()
+    hits = (tag == "article" and in_main, tag == "section" and "listing-container" in classes,
+            attrs.get("id") == "job-listing-show-container", attrs.get("id") == "job_show",
+            attrs.get("data-testid") == "job-details", tag == "main", tag == "article", "listing-container" in classes)
+    return next((i for i, hit in enumerate(hits) if hit), None)
+
+
+def block_score(text: str, main_title: str, has_h1: bool) -> int:
+    """C3 score: text length plus keyword and heading terms."""
+    low = text.lower()
+    about = "about the job" in low
+    return (len(text) + SCORE_TITLE * bool(main_title and main_title in low) + SCORE_ABOUT * about
+            + SCORE_SALARY * ("salary" in low) + SCORE_JOBTYPE * ("job type" in low) + SCORE_APPLY * ("apply now" in low)
+            + SCORE_RELATED * ("related jobs" in low and not about) + SCORE_H1 * has_h1)
+
+
+def blocks_of(html: str):
+    """``(blocks, best)`` of a page: candidate blocks ``(ord, selector_rank,
+    has_h1, text_len, score)`` in selector order, each element once, and
+    ``(ord, text, html)`` of the first with the highest score from zero up."""
+    page = _Page()
+    page.feed(html)
+    page.done()
+    live = [n for n, noise in zip(page.nodes[1:], page.noise[1:]) if not noise]
+    heads = [n for n in live if n[0] == "h1"]
+    title = page.strings(heads[0]).lower() if heads else ""
+    cands = sorted(((r, i) for i, n in enumerate(live) if (r := _rank(n)) is not None))
+    nodes = [(r, live[i]) for r, i in cands]
+    if not nodes:
+        nodes = [(len(SELECTORS), next((n for n in live if n[0] == "body"), page.nodes[0]))]
+    blocks, best, best_score = [], None, -1
+    for k, (r, n) in enumerate(nodes):
+        text = page.strings(n)
+        has_h1 = any(n[2] < h[2] and h[3] <= n[3] for h in heads)
+        score = block_score(text, title, has_h1)
+        blocks.append((k, r, has_h1, len(text), score))
+        if score > best_score:
+            best, best_score = (k, text, n), score
+    return blocks, (best[0], best[1], page.html(best[2])) if best else (None, None, None)
+
+
+_BLOCKS = "array<struct<ord: int, selector_rank: int, has_h1: boolean, text_len: int, score: int>>"
+_NAMES = ("ord", "selector_rank", "has_h1", "text_len", "score")
+
+
+def _focus_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-            title, blocks = _blocks_of(html)
-            for ordinal, rank, txt, has_h1, bh in blocks:
-                rows.append((pid, url, ordinal, rank, title, txt, has_h1, bh))
-        yield pd.DataFrame(rows, columns=["page_id", "url", "ord", "selector_rank", "main_title",
-                                          "text", "has_h1", "block_html"])
+            blocks, (at, text, block) = blocks_of(html or "")
+            rows.append((pid, url, html, [dict(zip(_NAMES, b)) for b in blocks], at, text, block))
+        out = pd.DataFrame(rows, columns=["page_id", "url", "html", "blocks", "best", "text", "block_html"])
+        yield out.astype({"best": "Int32"})
+
+
+def focused_pages(pages: DataFrame) -> DataFrame:
+    """C2 + C3 in one stage: each page with its candidate ``blocks`` and the
+    ``best`` one's number, ``text`` and ``block_html`` (null when every
+    candidate scores below zero).  No shuffle, one scan."""
+    ship_package(pages.sparkSession)
+    return pages.select("page_id", "url", "html").mapInPandas(
+        _focus_batches, f"page_id long, url string, html string, blocks {_BLOCKS}, best int, text string, block_html string")
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
     """Candidate main-content blocks, one row per (page, candidate)."""
-    ship_package(pages.sparkSession)
-    return pages.select("page_id", "url", "html").mapInPandas(_blocks_batches, BLOCK_SCHEMA)
+    return focused_pages(pages).select("page_id", "url", F.inline("blocks"))
 
 
-def block_score(text: Column, main_title: Column, has_h1: Column) -> Column:
-    """C3 score: text length plus keyword and heading terms."""
-    low = F.lower(text)
-    about = low.contains("about the job")
-    return (F.length(text)
-            + F.when((main_title != "") & low.contains(main_title), SCORE_TITLE).otherwise(0)
-            + F.when(about, SCORE_ABOUT).otherwise(0)
-            + F.when(low.contains("salary"), SCORE_SALARY).otherwise(0)
-            + F.when(low.contains("job type"), SCORE_JOBTYPE).otherwise(0)
-            + F.when(low.contains("apply now"), SCORE_APPLY).otherwise(0)
-            + F.when(low.contains("related jobs") & ~about, SCORE_RELATED).otherwise(0)
-            + F.when(has_h1, SCORE_H1).otherwise(0))
-
-
-def main_content(blocks: DataFrame) -> DataFrame:
-    """Best block per page: highest score, first candidate on ties.
-
-    ``max_by`` is a partial aggregate: no per-page buffering.
-    """
-    scored = blocks.withColumn("score", block_score(F.col("text"), F.col("main_title"), F.col("has_h1")))
-    key = F.struct(F.col("score"), (-F.col("ord")).alias("neg_ord"))
-    best = scored.groupBy("page_id", "url").agg(
-        F.max_by(F.struct("block_html", "text", "score", "selector_rank"), key).alias("b"))
-    return best.select("page_id", "url", "b.block_html", "b.text", "b.score", "b.selector_rank")
+def main_content(pages: DataFrame) -> DataFrame:
+    """Best block per page: highest score, first candidate on ties; pages
+    whose candidates all score below zero have none."""
+    return focused_pages(pages).filter("best is not null").select(
+        "page_id", "url", "block_html", "text", F.element_at("blocks", F.col("best") + 1).alias("b")) \
+        .select("page_id", "url", "block_html", "text", "b.score", "b.selector_rank")
 
 
 # ---------------------------------------------------------------- B13
@@ -218,8 +244,7 @@ def html_to_markdown(c, max_chars: int = 0) -> Column:
 
 def page_markdown(pages: DataFrame, max_chars: int = 2500) -> DataFrame:
     """C4: main block -> markdown; else whole page; else text; with a status."""
-    best = main_content(page_blocks(pages)).select("page_id", F.col("block_html"))
-    j = pages.select("page_id", "url", "html").join(best, "page_id", "left")
+    j = focused_pages(pages)
     # each candidate is computed once, later ones only when earlier ones are empty
     j = j.select("page_id", "url", "html", T.valid_feed_url(F.col("url")).alias("_valid"),
                  html_to_markdown(F.col("block_html"), max_chars).alias("_focused"))
@@ -233,16 +258,29 @@ def page_markdown(pages: DataFrame, max_chars: int = 2500) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C1 / C5
-def page_excerpt_basic(items: DataFrame, pages: DataFrame, max_chars: int = 2500) -> DataFrame:
+def page_excerpts(pages: DataFrame, max_chars: int = 2500, body_bytes: int | None = None) -> DataFrame:
+    """One excerpt per url, from its latest fetch (highest ``page_id``).
+
+    ``body_bytes`` limits the bytes read of a body, as the basic fetch of the
+    reference does (262144); by default whole bodies are read.
+    """
+    html = F.col("html")
+    if body_bytes is not None:
+        cut = F.make_valid_utf8(F.substring(html.cast("binary"), 1, body_bytes).cast("string"))
+        html = F.when(F.octet_length(html) > body_bytes, cut).otherwise(html)
+    # the text is cut to its excerpt before anything is shuffled
+    texts = pages.select("page_id", F.col("url").alias("_purl"), T.clamp_text(T.html_to_text(html), max_chars).alias("_t"))
+    return texts.groupBy("_purl").agg(F.max_by("_t", "page_id").alias("_txt"))
+
+
+def page_excerpt_basic(items: DataFrame, pages: DataFrame, max_chars: int = 2500, body_bytes: int | None = None) -> DataFrame:
     """Fetched page text for each item url (http/https only) clamped to
     ``max_chars``; failures become a reason and the item continues."""
-    p = pages.select(F.col("url").alias("_purl"), F.col("html").alias("_html"))
+    p = page_excerpts(pages, max_chars, body_bytes)
     j = items.join(p, items["url"] == p["_purl"], "left")
     scheme_ok = F.lower(F.regexp_extract(T.trim_space(F.col("url")), "^([A-Za-z][A-Za-z0-9+.\\-]*):", 1)).isin(
         "http", "https")
-    # the page text is computed once (its own projection), then tested and used
-    j = j.select(*items.columns, "_purl", scheme_ok.alias("_sok"),
-                 T.clamp_text(T.html_to_text(F.col("_html")), max_chars).alias("_txt"))
+    j = j.select(*items.columns, "_purl", scheme_ok.alias("_sok"), "_txt")
     reason = (F.when(~F.col("_sok"), F.lit("unsupported_scheme"))
               .when(F.col("_purl").isNull(), F.lit("fetch_failed"))
               .when(F.col("_txt") == "", F.lit("empty_text")).otherwise(F.lit("")))
@@ -266,7 +304,8 @@ def page_excerpt(items: DataFrame, pages: DataFrame, mode: str = "basic", min_ch
     basic = page_excerpt_basic(items, pages, max_chars)
     if mode == "basic":
         return basic
-    md = page_markdown(pages, max_chars).select(F.col("url").alias("_murl"), F.col("markdown"), F.col("status"))
+    md = page_markdown(pages, max_chars).groupBy(F.col("url").alias("_murl")).agg(
+        F.max_by("markdown", "page_id").alias("markdown"), F.max_by("status", "page_id").alias("status"))
     j = basic.join(md, basic["url"] == md["_murl"], "left")
     md_ok = F.coalesce(F.col("markdown"), F.lit("")) != ""
     if mode in ("main", "scrapling"):

@@ -222,31 +222,35 @@ def classify_errors(calls: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C13
-def looks_truncated(content: Column, finish_reason: Column | None = None) -> Column:
-    """Blank, finish_reason 'length', or unbalanced once string literals are removed."""
+RETRY_TOKENS = (512, 1024)  # fixed value: least and most tokens of a compact retry
+
+
+def looks_truncated(content: Column) -> Column:
+    """No JSON value, because the text ends too early: blank, or still
+    inside an object, an array or a string when its literals are removed.
+    The finish reason alone says nothing."""
     c = T.strip_code_fence(content)
     bare = F.regexp_replace(c, '"(?:[^"\\\\]|\\\\.)*"', "")
     opens = F.length(bare) - F.length(F.regexp_replace(bare, "[\\[{]", ""))
     closes = F.length(bare) - F.length(F.regexp_replace(bare, "[\\]}]", ""))
-    t = (c == "") | (opens > closes) | bare.contains('"')
-    if finish_reason is not None:
-        t = t | (F.coalesce(finish_reason, F.lit("")) == "length")
-    return t
+    early = (c == "") | (opens > closes) | bare.contains('"')
+    return F.try_parse_json(c).isNull() & early
 
 
 def fallback_requests(calls: DataFrame, items: DataFrame, model: str, max_tokens: int = 512,
-                      thinking: bool = False) -> DataFrame:
+                      thinking: bool = False, strict: bool = False) -> DataFrame:
     """Second-pass requests: sampler-init 400 -> resend without the strict
-    schema (thinking disabled unless configured on); truncated JSON -> compact
-    prompt with max_tokens = clamp(2 * max, 512, 1024)."""
+    schema (thinking disabled unless configured on); truncated JSON of a call
+    that succeeded (no status, or one below 300) -> compact prompt with
+    max_tokens = clamp(2 * max, RETRY_TOKENS), the schema kept if ``strict``."""
     sampler = calls.filter((F.col("status_code") == 400)
                            & F.lower(F.coalesce(F.col("body"), F.lit(""))).contains(fixed.SAMPLER_INIT_ERROR))
-    trunc = calls.filter(F.col("status_code").isNull() & looks_truncated(F.col("content"), F.col("finish_reason")))
+    trunc = calls.filter((F.coalesce(F.col("status_code"), F.lit(200)) < 300) & looks_truncated(F.col("content")))
     a = build_prompts(items.join(sampler.select("item_id"), "item_id", "left_semi"))
     a = request_body(a, model, max_tokens, thinking=thinking, strict=False, disable_thinking=not thinking)
-    retry_tokens = min(max(2 * max_tokens, 512), 1024)
+    retry_tokens = min(max(2 * max_tokens, RETRY_TOKENS[0]), RETRY_TOKENS[1])
     b = build_prompts(items.join(trunc.select("item_id"), "item_id", "left_semi"), compact=True)
-    b = request_body(b, model, retry_tokens, thinking=thinking)
+    b = request_body(b, model, retry_tokens, thinking=thinking, strict=strict)
     return (a.select("item_id", F.lit("sampler_fallback").alias("reason"), "body")
             .unionByName(b.select("item_id", F.lit("compact_retry").alias("reason"), "body")))
 

@@ -50,42 +50,47 @@ def raw_items(batch: DataFrame, now) -> DataFrame:
 
 
 # ---------------------------------------------------------------- E1
-def dedupe_hash(items: DataFrame, stored: DataFrame | None = None,
-                key: str = "id", order: tuple = ("feed_url", "pos")) -> DataFrame:
-    """First occurrence per ``key`` in ``order`` wins; stored keys are skipped.
+def _tie(df: DataFrame, skip: tuple) -> Column:
+    """One hash of the other columns: breaks ties without carrying them."""
+    rest = [F.col(c) for c in df.columns if c not in skip]
+    return F.xxhash64(*rest) if rest else F.lit(0).cast("long")
+
+
+def first_keys(items: DataFrame, stored: DataFrame | None, key: str, order: tuple) -> DataFrame:
+    """Narrow ``(key, order..., _t)`` of the first occurrence per key.
 
-    ``min(struct(order..., row))`` per key is a partial (map-side) aggregate,
-    so a key repeated in a third of the batch collapses before the shuffle.
+    ``min(struct(order...))`` is a partial (map-side) aggregate over narrow
+    rows, so a key repeated in a third of the batch collapses before the shuffle.
     """
-    rest = [c for c in items.columns if c not in (key, *order)]
-    first = (items.groupBy(key)
-             .agg(F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("_r"))
-             .select(key, "_r.*"))
-    if stored is not None:
-        first = first.join(stored.select(key).distinct(), key, "left_anti")
-    return first.select(*items.columns)
+    narrow = items.select(key, *order, _tie(items, (key, *order)).alias("_t"))
+    first = narrow.groupBy(key).agg(F.min(F.struct(*order, "_t")).alias("_r")).select(key, "_r.*")
+    return first if stored is None else first.join(stored.select(key), key, "left_anti")
+
+
+def rows_of(items: DataFrame, keys: DataFrame, key: str, order: tuple) -> DataFrame:
+    """The whole rows of narrow ``keys``; one semi join, bodies move once."""
+    tied = items.withColumn("_t", _tie(items, (key, *order)))
+    return tied.join(keys.select(key, *order, "_t"), [key, *order, "_t"], "left_semi").select(*items.columns)
+
+
+def dedupe_hash(items: DataFrame, stored: DataFrame | None = None,
+                key: str = "id", order: tuple = ("feed_url", "pos")) -> DataFrame:
+    """First occurrence per ``key`` in ``order`` wins; stored keys are
+    skipped.  ``order`` tells the rows of a batch apart (feed and position)."""
+    return rows_of(items, first_keys(items, stored, key, order), key, order)
 
 
 # ---------------------------------------------------------------- H1 / top-n helper
-def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
-                    buckets: int = 64, rank_col: str | None = None) -> DataFrame:
-    """Keep the first ``n`` rows of every group in ``order``.
+def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int, rank_col: str | None = None) -> DataFrame:
+    """Keep the first ``n`` rows of every group in ``order``; ties go by one row hash.
 
-    Two stages so a huge group is never ranked in one task: rank inside
-    ``(group, hash bucket)`` and keep ``n`` each, then rank the at most
-    ``n * buckets`` survivors per group.  Ties are broken by a hash of the row.
+    ``row_number() <= n`` plans as a window group limit on both sides of the
+    shuffle: each task sends at most ``n`` rows of a group, so no group is
+    ever ranked whole.
     """
-    # one row hash: spreads a group over buckets and breaks ties deterministically
-    h = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
-    w1 = Window.partitionBy(*group, "_b").orderBy(*order, F.col("_h"))
-    stage1 = (h.withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-              .withColumn("_r1", F.row_number().over(w1))
-              .filter(F.col("_r1") <= n).drop("_r1", "_b"))
-    w2 = Window.partitionBy(*group).orderBy(*order, F.col("_h"))
-    out = stage1.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= n).drop("_h")
-    if rank_col:
-        return out.withColumnRenamed("_rn", rank_col)
-    return out.drop("_rn")
+    rn = F.row_number().over(Window.partitionBy(*group).orderBy(*order, F.col("_h")))
+    out = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns])).withColumn("_rn", rn).filter(F.col("_rn") <= n).drop("_h")
+    return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 
 def cap_per_feed(items: DataFrame, n: int, feed: str = "feed_url", pos: str = "pos") -> DataFrame:
@@ -96,9 +101,13 @@ def cap_per_feed(items: DataFrame, n: int, feed: str = "feed_url", pos: str = "p
 
 
 def ingest_items(batch: DataFrame, stored: DataFrame | None, now, max_per_feed: int = 100) -> DataFrame:
-    """Poll path: A3 -> E1 -> H1.  Returns the items to store and enqueue."""
+    """Poll path: A3 -> E1 -> H1.  Returns the items to store and enqueue.
+
+    Dedupe and cap work on narrow keys; the rows follow by one semi join."""
     raw = raw_items(batch, now)
-    return cap_per_feed(dedupe_hash(raw, stored), max_per_feed)
+    order = ("feed_url", "pos")
+    keys = cap_per_feed(first_keys(raw, stored, "id", order), max_per_feed)
+    return rows_of(raw, keys, "id", order)
 
 
 # ---------------------------------------------------------------- E2 / E4
@@ -131,67 +140,62 @@ def seen_keys(pending: DataFrame, processed: DataFrame | None = None) -> DataFra
     return src.select(F.explode(keys).alias("key")).distinct()
 
 
+def _decide(undecided: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round over ``(_rid, key)``: ids to accept now, and the pairs still
+    open.  A row is accepted when it is the first holder of all its keys; rows
+    that share a key with it are rejected."""
+    firsts = undecided.groupBy("key").agg(F.min("_rid").alias("_kmin"))
+    accepted = undecided.join(firsts, "key").groupBy("_rid").agg(F.bool_and(F.col("_rid") == F.col("_kmin")).alias("_ok")) \
+        .filter("_ok").select("_rid")
+    taken = undecided.join(accepted, "_rid", "left_semi").select("key")
+    decided = undecided.join(taken, "key", "left_semi").select("_rid")
+    return accepted, undecided.join(decided, "_rid", "left_anti")
+
+
 def dedupe_keys(batch: DataFrame, seen: DataFrame | None = None, order: tuple = ("feed_url", "pos"),
-                row_id: str = "pos", max_rounds: int | None = None) -> DataFrame:
+                max_rounds: int | None = None) -> DataFrame:
     """Order-dependent greedy dedupe on three keys.
 
     A row is a duplicate when its non-blank guid, its url or its title equals
-    a seen key or a key of a row *accepted* earlier in ``order``.  Solved in
-    rounds without pairwise expansion: a row that holds the minimum
-    undecided order for all of its keys is accepted; rows sharing a key with
-    an accepted row are rejected.  The first undecided row is always
-    accepted, so the loop ends; there is no round cap.  Each round writes
-    one checkpointed decision table (reliable storage in the cluster's
-    checkpoint folder), which cuts lineage and survives lost executors.
+    a seen key or a key of a row *accepted* earlier in ``order``, which also
+    identifies a row: two rows with one order are an error.  Rows that share
+    no key with another are accepted at once and never enter the rounds.  The
+    others are decided in rounds without pairwise expansion, two rounds per
+    checkpoint in reliable storage.  The first open row is always accepted, so
+    the loop ends; there is no round cap.
 
     Returns ``batch`` plus ``accepted`` (boolean).
     """
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    ordered = batch.withColumn("_ord", F.struct(*[F.col(c) for c in order]))
-    keyed = item_keys(ordered)
-    pairs = keyed.select(F.col(row_id).alias("_rid"), "_ord", F.explode("_keys").alias("key"))
+    keyed = item_keys(batch).select(F.struct(*order).alias("_rid"), "_keys")
+    if keyed.groupBy("_rid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+        raise ValueError(f"dedupe_keys: rows with equal {order}")
+    pairs = keyed.select("_rid", F.explode("_keys").alias("key"))
     if seen is not None:
-        hit = pairs.join(seen.select("key"), "key", "left_semi").select("_rid").distinct()
-        rejected0 = hit
-    else:
-        rejected0 = None
-    undecided = pairs
-    if rejected0 is not None:
-        undecided = undecided.join(rejected0, "_rid", "left_anti")
-    undecided = reliable_checkpoint(undecided)
-    accepted_parts = []
-    rounds = 0
-    while True:
-        if undecided.isEmpty():
-            break
-        rounds += 1
-        kmin = undecided.groupBy("key").agg(F.min("_ord").alias("_kmin"))
-        okr = (undecided.join(kmin, "key")
-               .groupBy("_rid").agg(F.bool_and(F.col("_ord") == F.col("_kmin")).alias("_ok")))
-        acc_keys = undecided.join(okr.filter("_ok"), "_rid", "left_semi").select("key").distinct()
-        rej = (undecided.join(acc_keys, "key", "left_semi").select("_rid").distinct()
-               .withColumn("_rej", F.lit(True)))
-        # one table per round holds the decisions; a single checkpoint job
-        state = reliable_checkpoint(
-            undecided.join(okr, "_rid", "left").join(rej, "_rid", "left")
-            .select("_rid", "_ord", "key",
-                    F.when(F.col("_ok"), F.lit("acc")).when(F.col("_rej"), F.lit("rej"))
-                    .otherwise(F.lit("und")).alias("_state")))
-        accepted_parts.append(state.filter(F.col("_state") == "acc").select("_rid").distinct())
-        undecided = state.filter(F.col("_state") == "und").drop("_state")
+        hit = pairs.join(seen.select("key"), "key", "left_semi").select("_rid")
+        pairs = pairs.join(hit, "_rid", "left_anti")
+    shared = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    linked = pairs.join(shared, "key", "left_semi").select("_rid")
+    state = reliable_checkpoint(pairs.join(linked.withColumn("_l", F.lit(True)).distinct(), "_rid", "left")
+                                .select("_rid", F.when(F.col("_l"), F.col("key")).alias("key")).distinct())
+    parts = [state.filter("key is null").select("_rid")]
+    open_, rounds = state.filter("key is not null"), 0
+    while not open_.isEmpty():
+        first, rest = _decide(open_)
+        second, rest = _decide(rest)
+        state = reliable_checkpoint(first.unionByName(second).select("_rid", F.lit(None).cast("string").alias("key")).unionByName(rest))
+        parts.append(state.filter("key is null").select("_rid"))
+        open_, rounds = state.filter("key is not null"), rounds + 2
         LAST_ROUNDS[0] = rounds
-        if max_rounds is not None and rounds >= max_rounds:
+        if max_rounds is not None and rounds >= max_rounds and not open_.isEmpty():
             raise RuntimeError("dedupe_keys did not converge within max_rounds")
-    if accepted_parts:
-        accepted = accepted_parts[0]
-        for a in accepted_parts[1:]:
-            accepted = accepted.unionByName(a)
-    else:
-        accepted = spark.createDataFrame([], "_rid " + dict(batch.dtypes)[row_id])
-    flag = accepted.withColumn("accepted", F.lit(True))
-    return (batch.join(flag, batch[row_id] == flag["_rid"], "left")
-            .drop("_rid").withColumn("accepted", F.coalesce("accepted", F.lit(False))))
+    accepted = parts[0]
+    for p in parts[1:]:
+        accepted = accepted.unionByName(p)
+    flag = accepted.select("_rid.*").withColumn("accepted", F.lit(True))
+    return batch.join(flag, list(order), "left").withColumn("accepted", F.coalesce("accepted", F.lit(False))) \
+        .select(*batch.columns, "accepted")
 
 
 def cold_start(batch: DataFrame, seen: DataFrame | None, n: int,

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
+from feedloom.sources import feeds as S
 from feedloom.session import checkpoint_dir, reliable_checkpoint, ship_package, ts_lit
 
 LOG_COLUMNS = ["item_id", "ts", "seq", "action", "worker", "lease_until", "reason"]
@@ -95,9 +96,10 @@ def _frame(rows) -> pd.DataFrame:
     return df
 
 
-def _fold_sorted(src: DataFrame, key: str, parts: int) -> DataFrame:
+def _fold_sorted(src: DataFrame, key: str) -> DataFrame:
     ship_package(src.sparkSession)
-    return (src.repartition(parts, key).sortWithinPartitions(key, "ts", "seq")
+    # no fixed number of partitions, so that AQE may join small ones
+    return (src.repartition(key).sortWithinPartitions(key, "ts", "seq")
             .mapInPandas(_fold_queue, SNAPSHOT_SCHEMA))
 
 
@@ -125,11 +127,7 @@ def enqueue_segments(log: DataFrame, partitions: int | None = None) -> DataFrame
         F.lpad(seg["seq"].cast("string"), 20, "0")))).drop("_pid", "_m", "_carry")
 
 
-HOT_ITEM_EVENTS = 200_000  # items with more log events than this take the segmented path
-
-
-def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: bool = True,
-                   hot_threshold: int | None = None) -> DataFrame:
+def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: bool = True) -> DataFrame:
     """fold a queue transition log into one snapshot row per item.
 
     Log columns: item_id, ts, seq, action (enqueue|claim|complete|release|
@@ -143,28 +141,21 @@ def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: boo
     ``segmented`` the log is cut at enqueues (:func:`enqueue_segments`),
     every (item, segment) is folded on its own, and the segments are
     combined with aggregates: an item with a huge history is spread over its
-    segments instead of one task.  Only hot items (more than
-    ``hot_threshold`` events, found with one partial count) take that path;
-    the others are folded directly.  The hot set has at most
-    rows / threshold keys.
+    segments instead of one task, and all items take the same way.  Without
+    ``segmented`` each item is folded whole (for logs known to be even).
     """
     src = log.select(*LOG_COLUMNS)
     parts = partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not segmented:
-        return _fold_sorted(src, "item_id", parts)
-    limit = HOT_ITEM_EVENTS if hot_threshold is None else hot_threshold
-    hot = src.groupBy("item_id").count().filter(F.col("count") > limit).select("item_id")
-    if hot.isEmpty():  # one scalar on the driver; the common case needs no segment path
-        return _fold_sorted(src, "item_id", parts)
-    cold = _fold_sorted(src.join(hot, "item_id", "left_anti"), "item_id", parts)
-    return cold.unionByName(_segmented_fold(src.join(hot, "item_id", "left_semi"), parts))
+        return _fold_sorted(src, "item_id")
+    return _segmented_fold(src, parts)
 
 
 def _segmented_fold(src: DataFrame, parts: int) -> DataFrame:
     seg = enqueue_segments(src, parts).filter(F.col("seg").isNotNull())
     keyed = seg.withColumn("_item", F.col("item_id")).withColumn(
         "item_id", F.concat_ws("\u0001", F.col("item_id"), F.col("seg").cast("string")))
-    folded = _fold_sorted(keyed.select(*LOG_COLUMNS), "item_id", parts)
+    folded = _fold_sorted(keyed.select(*LOG_COLUMNS), "item_id")
     # the segment key is "<ts micros>:<seq>" zero-padded, so it sorts in (ts, seq) order
     folded = folded.withColumn("_item", F.split(F.col("item_id"), "\u0001").getItem(0)).withColumn(
         "_seg", F.split(F.col("item_id"), "\u0001").getItem(1))
@@ -182,18 +173,24 @@ def _segmented_fold(src: DataFrame, parts: int) -> DataFrame:
 def item_status(log: DataFrame) -> DataFrame:
     """current status per item from a status-write log.
 
-    Log: item_id, ts, seq, status, error.  NEW (enqueue/requeue) and
-    DISPATCHED writes always apply; ANALYZED / FAILED writes are ignored
-    while the item is DISPATCHED.  Hence the status is DISPATCHED when the
-    latest NEW-or-DISPATCHED write is DISPATCHED, else the latest write.
+    Log: item_id, ts, seq, status, error, and optionally ``requeue``
+    (boolean).  NEW and DISPATCHED writes and requeues (to NEW or ANALYZED)
+    always apply; other ANALYZED / FAILED writes are ignored while the item is
+    DISPATCHED.  Hence the status is DISPATCHED when the latest write that
+    always applies is DISPATCHED, else the latest write.  NEW writes and
+    requeues clear ``dispatched_at``, so a requeued item is sent again.
     Pure partial aggregates: no per-item buffering, skew-safe.
     """
-    unguarded = F.col("status").isin("NEW", "DISPATCHED")
+    clears = F.col("status") == "NEW"
+    if "requeue" in log.columns:
+        clears = clears | F.coalesce(F.col("requeue"), F.lit(False))
+    sent = F.col("status") == "DISPATCHED"
     agg = log.groupBy("item_id").agg(
-        F.max(F.when(unguarded, F.struct("ts", "seq", "status", "error"))).alias("_u"),
+        F.max(F.when(clears | sent, F.struct("ts", "seq", "status", "error"))).alias("_u"),
         F.max(F.struct("ts", "seq", "status", "error")).alias("_l"),
-        F.max(F.when(F.col("status") == "DISPATCHED", F.col("ts"))).alias("dispatched_at"),
-    )
+        F.max(F.when(clears, F.struct("ts", "seq"))).alias("_c"),
+        F.max(F.when(sent, F.struct("ts", "seq"))).alias("_d"),
+    ).withColumn("dispatched_at", F.when(F.col("_c").isNull() | (F.col("_d") > F.col("_c")), F.col("_d.ts")))
     pinned = F.coalesce(F.col("_u.status") == "DISPATCHED", F.lit(False))
     last = F.when(pinned, F.col("_u")).otherwise(F.col("_l"))
     return agg.select(
@@ -260,14 +257,27 @@ def feed_state(outcomes: DataFrame, cooldown_minutes: int) -> DataFrame:
 def requeue(ids: DataFrame, items: DataFrame, now) -> DataFrame:
     """requeue requested items.
 
-    Stored payload non-blank -> dispatch enqueue, status ANALYZED; else a raw
-    enqueue, status NEW.  Both clear dispatched_at and the error.  Unknown ids
-    give a ``not_found`` row.  Output: one plan row per requested id.
+    Stored payload non-blank -> dispatch enqueue of it, status ANALYZED; else a
+    raw enqueue of the raw item rebuilt from the stored columns, status NEW.
+    Both clear dispatched_at and the error and count one enqueue.  Unknown ids
+    give a ``not_found`` row.  Output: one plan row per requested id with the
+    ``payload_json`` to enqueue; :func:`requeue_writes` gives the status writes.
     """
     now = ts_lit(now)
     req = ids.select(T.trim_space(F.col("id")).alias("id")).filter(F.col("id") != "").distinct()
-    j = req.join(items.select("id", "analyzed_payload_json", "status").withColumn("_known", F.lit(True)),
-                 "id", "left")
+
+    def stored(name, default):
+        return F.coalesce(F.col(name), default) if name in items.columns else default
+
+    none = F.array().cast("array<string>")
+    feed = T.trim_space(stored("source_feed_url", F.lit("")))
+    raw = S.encode_payload(items.select(
+        F.lit("v1").alias("schema_version"), "id", feed.alias("feed_url"), T.source_label(feed).alias("source_label"),
+        *[T.trim_space(stored(c, F.lit(""))).alias(c) for c in ("guid", "url", "title", "description")],
+        *[stored(c, none).alias(c) for c in ("links", "image_urls")],
+        *[stored(c, now).alias(c) for c in ("published_at", "fetched_at")],
+        "analyzed_payload_json", "status", F.lit(True).alias("_known")))
+    j = req.join(raw.select("id", "analyzed_payload_json", "status", "payload_json", "_known"), "id", "left")
     has_payload = T.trim_space(F.coalesce(F.col("analyzed_payload_json"), F.lit(""))) != ""
     return j.select(
         "id",
@@ -276,7 +286,16 @@ def requeue(ids: DataFrame, items: DataFrame, now) -> DataFrame:
         F.when(F.col("_known").isNull(), F.lit(None).cast("string"))
         .when(has_payload, F.lit("ANALYZED")).otherwise(F.lit("NEW")).alias("new_status"),
         F.coalesce(F.col("status"), F.lit("")).alias("old_status"),
-        F.when(F.col("_known").isNotNull(), now).alias("enqueued_at"))
+        F.when(F.col("_known").isNotNull(), now).alias("enqueued_at"),
+        F.when(has_payload, F.col("analyzed_payload_json")).otherwise(F.col("payload_json")).alias("payload_json"),
+        F.when(F.col("_known").isNotNull(), 1).otherwise(0).alias("enqueue_count_add"))
+
+
+def requeue_writes(plan: DataFrame, seq: int = 2 ** 62) -> DataFrame:
+    """F6 -> F2: the status writes of a requeue plan, for the status log."""
+    return plan.filter(F.col("new_status").isNotNull()).select(
+        F.col("id").alias("item_id"), F.col("enqueued_at").alias("ts"), F.lit(seq).cast("long").alias("seq"),
+        F.col("new_status").alias("status"), F.lit("").alias("error"), F.lit(True).alias("requeue"))
 
 
 # ---------------------------------------------------------------- F7
@@ -366,7 +385,7 @@ def item_status_lookup(ids: DataFrame, items: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- D5-D8
 def already_seen(batch: DataFrame, keys: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
     """Split a batch into (new, seen) by existence of ``key``."""
-    k = keys.select(key).distinct()
+    k = keys.select(key)
     return batch.join(k, key, "left_anti"), batch.join(k, key, "left_semi")
 
 

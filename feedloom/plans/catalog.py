@@ -99,17 +99,17 @@ def q_label_counts(spark: SparkSession, sf: str) -> DataFrame:
     return label_counts(ingest.ingest_items(batch, _stored_items(spark, sf), V.NOW_ITEMS, 100))
 
 
-@register("page_text", lambda: f"""SELECT page_id, url, {O.html_to_text('substr(html, 1, 262144)')} AS text,
-  CAST(length({O.html_to_text('substr(html, 1, 262144)')}) AS INTEGER) AS n_chars FROM pages""")
+@register("page_text", lambda: f"""SELECT page_id, url, {O.html_to_text('html')} AS text,
+  CAST(length({O.html_to_text('html')}) AS INTEGER) AS n_chars FROM pages""")
 def q_page_text(spark: SparkSession, sf: str) -> DataFrame:
-    """A4 + B9 + B10: page body (256 KiB cap) to plain text."""
+    """A4 + B9 + B10: whole page body to plain text."""
     p = read_pages(spark, sf)
     return p.select("page_id", "url", T.html_to_text("html").alias("text")).withColumn(
         "n_chars", F.length("text"))
 
 
 @register("page_excerpt_clamped", lambda: f"""SELECT page_id,
-  {O.clamp(O.html_to_text('substr(html, 1, 262144)'), 2500)} AS excerpt FROM pages""")
+  {O.clamp(O.html_to_text('html'), 2500)} AS excerpt FROM pages""")
 def q_page_excerpt_clamped(spark: SparkSession, sf: str) -> DataFrame:
     """B11 over B10: excerpt clamped to 2 500 code points."""
     p = read_pages(spark, sf)
@@ -129,12 +129,12 @@ def q_dedupe_hash_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 def _benchmark_seen(spark, sf):
     b = read_table(spark, sf, "benchmark").select(
-        F.substring(F.split(F.col("text"), "\n", 2).getItem(0), 1, 60).alias("t"))
+        F.split(F.col("text"), "\n", 2).getItem(0).alias("t"))
     return b.select(F.concat(F.lit("t:"), T.normalize_title("t")).alias("key")).distinct()
 
 
 def _sql_dedupe_keys() -> str:
-    title = "substr(split_part(text, chr(10), 1), 1, 60)"
+    title = "split_part(text, chr(10), 1)"
     g = O.trim_space("coalesce(guid, '')")
     return O.with_rec(O.v_doc_items(), f"""seen AS (SELECT DISTINCT 't:' || {O.norm_title(title)} AS key FROM benchmark),
 k AS (SELECT feed_url, pos, url, title, row_number() OVER (ORDER BY feed_url, pos) AS rn,

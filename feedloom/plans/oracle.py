@@ -149,19 +149,19 @@ def v_items() -> str:
     origin = r"regexp_extract(url, '^([A-Za-z]+://[^/?#]+)', 1)"
     first = r"regexp_extract(url, '^([A-Za-z]+://[^/?#]+/[^/?#]*)', 1)"
     return f"""v_items_base AS (
-  SELECT CASE WHEN page_id % 6 = 0 THEN substr(html, 1, 262144)
-              ELSE replace(substr(html, 1, 262144), 'href="/', 'href="' || {origin} || '/') END AS description,
+  SELECT CASE WHEN page_id % 6 = 0 THEN html
+              ELSE replace(html, 'href="/', 'href="' || {origin} || '/') END AS description,
          CASE WHEN {first} <> '' THEN {first} ELSE {origin} END AS feed_url,
          page_id AS pos,
          CASE WHEN page_id % 5 = 0 THEN '' ELSE CAST(page_id AS VARCHAR) END AS guid,
          url,
-         regexp_extract(substr(html, 1, 262144), '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
+         regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id) AS published
   FROM pages),
 v_items AS (
   SELECT * FROM v_items_base
   UNION ALL
-  SELECT description, feed_url, pos + 1000000 AS pos, guid, url || '#dup' AS url,
+  SELECT description, feed_url, pos + 1099511627776 AS pos, guid, url || '#dup' AS url,
          '  ' || replace(title, ' ', '   ') || chr(9) AS title, published
   FROM v_items_base WHERE pos % 7 = 0)"""
 
@@ -185,8 +185,8 @@ def raw_items(src: str = "v_items", now: str = V.NOW_ITEMS) -> str:
 def v_doc_items() -> str:
     return """v_doc_items AS (
   SELECT 'https://' || source || '.example.org/feed' AS feed_url, doc_id AS pos, '' AS guid,
-         'https://' || source || '.example.org/' || CAST(doc_id % 400 AS VARCHAR) AS url,
-         substr(split_part(text, chr(10), 1), 1, 60) AS title,
+         'https://' || source || '.example.org/' || CAST(doc_id // 3 AS VARCHAR) AS url,
+         split_part(text, chr(10), 1) AS title,
          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS published
   FROM documents)"""
 
@@ -198,7 +198,7 @@ def _log(name: str, actions: dict, offset: int) -> str:
          'w' || CAST(event_id % 2 AS VARCHAR) AS worker,
          CAST(ts AS TIMESTAMP) + INTERVAL 12 HOUR AS lease_until,
          'error ' || props AS reason
-  FROM events WHERE ts <= {ts(V.LOG_CUTOFF)})"""
+  FROM events)"""
 
 
 def v_log() -> str:
@@ -298,7 +298,7 @@ def status_fold(log: str, out: str) -> str:
     CASE WHEN {g} THEN f.status ELSE e.status END,
     CASE WHEN {g} THEN f.last_error ELSE coalesce(e.error, '') END,
     CASE WHEN {g} THEN f.status_at ELSE e.ts END,
-    CASE WHEN e.status = 'DISPATCHED' THEN e.ts ELSE f.dispatched_at END
+    CASE e.status WHEN 'DISPATCHED' THEN e.ts WHEN 'NEW' THEN NULL ELSE f.dispatched_at END
   FROM {out}_f f JOIN {out}_ev e ON e.item_id = f.item_id AND e.rn = f.rn + 1),
 {out} AS (SELECT item_id, status, last_error, status_at, dispatched_at FROM {out}_f
   WHERE rn > 0 QUALIFY rn = max(rn) OVER (PARTITION BY item_id))"""
@@ -339,7 +339,7 @@ def v_doc_raw() -> str:
     url = "'https://' || source || '.example.org/job/' || CAST(doc_id AS VARCHAR)"
     return f"""v_doc_raw AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, '' AS guid, {url} AS url, source AS source_label,
-         substr(split_part(text, chr(10), 1), 1, 60) AS title, text AS description,
+         split_part(text, chr(10), 1) AS title, text AS description,
          [{url}, {url} || '#apply', ' ', {url}] AS links,
          ['https://img.example.org/' || source || '.png'] AS image_urls,
          CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS excerpt

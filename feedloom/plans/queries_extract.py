@@ -119,17 +119,17 @@ _ERR_MESSAGES = ["context deadline exceeded", "dial tcp 10.0.0.1:8080: connect:
 
 
 def _calls(spark, sf):
-    e = read_table(spark, sf, "events").filter(F.col("event_type") == "error").select("event_id", "user_id")
-    msg = V._pick(_ERR_MESSAGES, F.col("event_id"))
+    e = read_table(spark, sf, "events").select("event_id", "event_type")
+    msg = F.when(F.col("event_type") == "error", V._pick(_ERR_MESSAGES, F.col("event_id"))).otherwise("")
     return e.select(F.col("event_id").cast("string").alias("item_id"), msg.alias("message"),
                     F.when(msg.startswith("llm status"), F.lit(503)).alias("status_code"),
-                    F.when(F.col("event_id") % 7 == 6, F.lit(0)).otherwise(F.lit(1)).alias("n_choices"),
+                    F.when((F.col("event_type") == "error") & (F.col("event_id") % 7 == 6), F.lit(0)).otherwise(F.lit(1)).alias("n_choices"),
                     F.array(F.lit("stop"), F.lit(" length "), F.lit(""), F.lit("stop")).alias("finish_reasons"))
 
 
 @register("error_classes", lambda: f"""WITH c AS (
-  SELECT CAST(event_id AS VARCHAR) AS item_id, {O._pick(_ERR_MESSAGES, 'event_id')} AS message,
-         CASE WHEN event_id % 7 = 6 THEN 0 ELSE 1 END AS n_choices FROM events WHERE event_type = 'error'),
+  SELECT CAST(event_id AS VARCHAR) AS item_id, CASE WHEN event_type = 'error' THEN {O._pick(_ERR_MESSAGES, 'event_id')} ELSE '' END AS message,
+         CASE WHEN event_type = 'error' AND event_id % 7 = 6 THEN 0 ELSE 1 END AS n_choices FROM events),
 m AS (SELECT *, lower({O.trim_space('message')}) AS msg FROM c)
 SELECT item_id, CASE WHEN starts_with(message, 'llm status') THEN 'http_error'
   WHEN msg <> '' AND (msg LIKE '%deadline exceeded%' OR msg LIKE '%timeout%') THEN 'timeout'
@@ -140,20 +140,20 @@ SELECT item_id, CASE WHEN starts_with(message, 'llm status') THEN 'http_error'
   WHEN n_choices = 0 THEN 'response_decode_error' ELSE '' END AS error_type,
   'stop,length' AS finish_reasons FROM m""")
 def q_error_classes(spark: SparkSession, sf: str) -> DataFrame:
-    """Error classes of failed model calls; distinct finish reasons in order."""
+    """Error class of every model call ('' when it did not fail); distinct finish reasons in order."""
     return X.classify_errors(_calls(spark, sf))
 
 
 @register("token_usage", lambda: """WITH c AS (
   SELECT 'model-' || CAST(event_id % 3 AS VARCHAR) AS model, CAST(floor(value * 100) AS BIGINT) AS prompt_tokens,
-         CAST(event_id % 500 AS BIGINT) AS completion_tokens FROM events WHERE event_type IN ('view', 'click')),
+         CAST(event_id % 500 AS BIGINT) AS completion_tokens FROM events),
 u AS (SELECT model, 'input' AS token_type, prompt_tokens AS tokens FROM c
       UNION ALL SELECT model, 'output', completion_tokens FROM c)
 SELECT model, token_type, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS calls, round(avg(tokens), 6) AS mean_tokens
 FROM u WHERE tokens > 0 GROUP BY model, token_type""")
 def q_token_usage(spark: SparkSession, sf: str) -> DataFrame:
     """Token totals per model and direction."""
-    e = read_table(spark, sf, "events").filter(F.col("event_type").isin("view", "click"))
+    e = read_table(spark, sf, "events")
     c = e.select(F.concat(F.lit("model-"), (F.col("event_id") % 3).cast("string")).alias("model"),
                  F.floor(F.col("value") * 100).cast("long").alias("prompt_tokens"),
                  (F.col("event_id") % 500).cast("long").alias("completion_tokens"))

@@ -17,12 +17,15 @@ _XWS = "'^[ \\t\\n\\r]+|[ \\t\\n\\r]+$'"
 
 @register("feed_items_xml", lambda: O.with_(O.v_items()) + f"""
 SELECT feed_url, pos, 0 AS position, regexp_replace(guid, {_XWS}, '', 'g') AS guid,
-       regexp_replace(title, {_XWS}, '', 'g') AS title, url AS link, published FROM v_items""")
+       regexp_replace(title, {_XWS}, '', 'g') AS title, url AS link, published, 0 AS n_content FROM v_items
+UNION ALL SELECT feed_url, pos, 1, '', regexp_replace(title, {_XWS}, '', 'g'), url, NULL,
+       CAST(length(regexp_replace(description, {_XWS}, '', 'g')) AS INTEGER) FROM v_items""")
 def q_feed_items_xml(spark: SparkSession, sf: str) -> DataFrame:
-    """A2 + A3 dates: landed one-entry RSS documents parsed back into entries."""
+    """A2 + A3 dates: landed RSS documents of two entries parsed back into entries."""
     docs = S.rss_document(V.v_items(spark, sf))
     it = S.feed_items(docs, keep=("feed_url", "pos"))
-    return it.select("feed_url", "pos", "position", "guid", "title", "link", "published")
+    return it.select("feed_url", "pos", "position", "guid", "title", "link", "published",
+                     F.length("content").alias("n_content"))
 
 
 _FMT = 6

@@ -147,14 +147,19 @@ def _requeue_ids(spark, sf):
 
 
 @register("requeue", lambda: _w(O.v_status()) + f""", r AS (SELECT DISTINCT CAST(user_id * 67 AS VARCHAR) AS id FROM events),
-j AS (SELECT r.id, s.analyzed_payload_json, s.status, s.id IS NOT NULL AS known FROM r LEFT JOIN v_status s ON s.id = r.id)
+j AS (SELECT r.id, s.analyzed_payload_json, s.status, s.id IS NOT NULL AS known, s.source_feed_url AS feed, s.url, s.title
+  FROM r LEFT JOIN v_status s ON s.id = r.id)
 SELECT id,
   CASE WHEN NOT known THEN 'not_found' WHEN {O.trim_space("coalesce(analyzed_payload_json, '')")} <> ''
        THEN 'dispatch_queue' ELSE 'analyzer_queue' END AS target,
   CASE WHEN NOT known THEN NULL WHEN {O.trim_space("coalesce(analyzed_payload_json, '')")} <> ''
        THEN 'ANALYZED' ELSE 'NEW' END AS new_status,
   coalesce(status, '') AS old_status,
-  CASE WHEN known THEN {TSN} END AS enqueued_at FROM j""")
+  CASE WHEN known THEN {TSN} END AS enqueued_at,
+  CASE WHEN {O.trim_space("coalesce(analyzed_payload_json, '')")} <> '' THEN analyzed_payload_json
+       WHEN known THEN '{{"schema_version":"v1","id":"' || id || '","feed_url":"' || feed || '","source_label":"' || {O.source_label('feed')}
+         || '","url":"' || url || '","title":"' || title || '","published_at":"{NOW[:10]}T{NOW[11:]}Z","fetched_at":"{NOW[:10]}T{NOW[11:]}Z"}}' END AS payload_json,
+  CASE WHEN known THEN 1 ELSE 0 END AS enqueue_count_add FROM j""")
 def q_requeue(spark: SparkSession, sf: str) -> DataFrame:
     """requeue plan: dispatch or raw queue by stored payload; unknown ids flagged."""
     return L.requeue(_requeue_ids(spark, sf), V.v_status(spark, sf), NOW)
@@ -473,23 +478,25 @@ def q_stage_latency(spark: SparkSession, sf: str) -> DataFrame:
     return M.stage_latency(V.v_status(spark, sf))
 
 
-@register("stage_latency_p95")
+@register("stage_latency_p95", lambda: _w(O.v_status(), _lat_sql()) + """
+SELECT stage, count(*) AS n, quantile_disc(s, 0.5) AS p50_s, quantile_disc(s, 0.95) AS p95_s
+FROM d WHERE s IS NOT NULL GROUP BY stage""")
 def q_stage_latency_p95(spark: SparkSession, sf: str) -> DataFrame:
-    """p50/p95 per stage via a bounded sketch (no exact SQL oracle)."""
+    """Exact p50/p95 per stage."""
     return M.stage_latency_p95(V.v_status(spark, sf))
 
 
 @register("sla_report", lambda: _w(O.v_status()) + """
 SELECT week, items, dispatched, dispatched_5m, with_payload,
   CASE WHEN dispatched > 0 THEN round(dispatched_5m / dispatched, 6) END AS share_5m,
-  round(with_payload / items, 6) AS completeness
+  round(with_payload / items, 6) AS payload_share
 FROM (SELECT date_trunc('week', created_at) AS week, count(*) AS items,
         count(*) FILTER (WHERE dispatched_at IS NOT NULL) AS dispatched,
         count(*) FILTER (WHERE dispatched_at IS NOT NULL AND epoch_us(dispatched_at) - epoch_us(created_at) <= 300000000) AS dispatched_5m,
         count(*) FILTER (WHERE trim(coalesce(analyzed_payload_json, '')) <> '') AS with_payload
       FROM v_status GROUP BY 1)""")
 def q_sla_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Weekly SLA ratios (dispatch within 5 minutes, completeness)."""
+    """Weekly SLA ratios (dispatch within 5 minutes, stored payloads)."""
     return M.sla_report(V.v_status(spark, sf))
 
 
@@ -556,12 +563,17 @@ def q_feed_list_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("delete_items", lambda: _w(AQ, O.v_status(), rec=True) + """, r AS (
   SELECT DISTINCT CAST(user_id * 67 AS VARCHAR) AS id FROM events)
-SELECT id FROM r WHERE id NOT IN (SELECT id FROM v_status) AND id NOT IN (SELECT item_id FROM aq)""")
+SELECT 'not_found' AS part, id FROM r WHERE id NOT IN (SELECT id FROM v_status) AND id NOT IN (SELECT item_id FROM aq)
+UNION ALL SELECT 'kept_item', id FROM v_status WHERE id NOT IN (SELECT id FROM r)
+UNION ALL SELECT 'kept_queue', item_id FROM aq WHERE item_id NOT IN (SELECT id FROM r)""")
 def q_delete_items(spark: SparkSession, sf: str) -> DataFrame:
-    """H5: cascade delete over items and the raw queue; returns the unknown ids."""
+    """H5: cascade delete over items and the raw queue: what stays, and the unknown ids."""
     out = L.delete_items(_requeue_ids(spark, sf),
                          {"items": (V.v_status(spark, sf), "id"), "aq": (_aq(spark, sf), "item_id")})
-    return out["not_found"]
+    parts = [out["not_found"].select(F.lit("not_found").alias("part"), "id"),
+             out["items"].select(F.lit("kept_item").alias("part"), "id"),
+             out["aq"].select(F.lit("kept_queue").alias("part"), F.col("item_id").alias("id"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("backoff_plan", lambda: _w(O.v_status()) + """
@@ -574,11 +586,13 @@ def q_backoff_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("cascade_orphans", lambda: _w(AQ, O.v_status(), rec=True) + """
-SELECT item_id FROM aq WHERE item_id NOT IN (SELECT id FROM v_status)""")
+SELECT item_id FROM aq WHERE item_id NOT IN (SELECT id FROM v_status WHERE status <> 'FAILED')
+UNION ALL SELECT 'item:' || id FROM v_status WHERE status <> 'FAILED' AND id NOT IN (SELECT item_id FROM aq)""")
 def q_cascade_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    """H9: raw-queue rows without an item (anomalies)."""
-    q_orph, _ = L.cascade_orphans(V.v_status(spark, sf), _aq(spark, sf).select("item_id"))
-    return q_orph
+    """H9: raw-queue rows without a live item, and live items without a queue row."""
+    live = V.v_status(spark, sf).filter(F.col("status") != "FAILED").select("id")
+    q_orph, i_orph = L.cascade_orphans(live, _aq(spark, sf).select("item_id"))
+    return q_orph.unionByName(i_orph.select(F.concat(F.lit("item:"), "id").alias("item_id")))
 
 
 @register("job_counters", lambda: """

@@ -19,7 +19,6 @@ from feedloom.sources.tables import read_pages, read_table
 NOW_ITEMS = "2024-01-02 00:00:00"       # poll time of the page items
 STORED_BEFORE = "2024-01-01 00:20:00"   # pages 0-19 were stored by older polls (every scale has new ones)
 NOW_EVENTS = "2024-01-31 00:00:00"      # monitor clock: after the last event at every scale
-LOG_CUTOFF = NOW_EVENTS                 # queue logs are folded up to the monitor clock
 
 ACTION_RAW = {"signup": "enqueue", "click": "claim", "view": "complete",
               "error": "release", "purchase": "fail"}
@@ -60,7 +59,7 @@ def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     repost = base.filter(F.col("pos") % 7 == 0).select(
         "description", "feed_url",
-        (F.col("pos") + 1000000).alias("pos"),
+        (F.col("pos") + 2 ** 40).alias("pos"),
         "guid",
         F.concat(F.col("url"), F.lit("#dup")).alias("url"),
         F.concat(F.lit("  "), F.replace(F.col("title"), F.lit(" "), F.lit("   ")), F.lit("\t")).alias("title"),
@@ -72,8 +71,8 @@ def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed items from ``documents``: real exact and near copies.
 
-    guid blank; url = https://<source>.example.org/<doc_id mod 400>;
-    title = first line cut at 60; feed = the document source.
+    guid blank; three neighbouring documents share a url number;
+    title = the whole first line; feed = the document source.
     """
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return d.select(
@@ -81,8 +80,8 @@ def v_doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("pos"),
         F.lit("").alias("guid"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/"),
-                 (F.col("doc_id") % 400).cast("string")).alias("url"),
-        F.substring(F.split(F.col("text"), "\n", 2).getItem(0), 1, 60).alias("title"),
+                 F.floor(F.col("doc_id") / 3).cast("string")).alias("url"),
+        F.split(F.col("text"), "\n", 2).getItem(0).alias("title"),
         (ts_lit("2024-01-01 00:00:00") + F.make_dt_interval(secs=F.col("doc_id").cast("decimal(18,6)"))).alias("published"),
     )
 
@@ -97,7 +96,7 @@ def _log_from_events(spark: SparkSession, sf_dir: str, actions: dict, id_offset:
         F.concat(F.lit("w"), (F.col("event_id") % 2).cast("string")).alias("worker"),
         (F.col("ts").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12))).alias("lease_until"),
         F.concat(F.lit("error "), F.col("props")).alias("reason"),
-    ).filter(F.col("ts") <= ts_lit(LOG_CUTOFF))
+    )
 
 
 def v_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +203,7 @@ def v_doc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         F.col("doc_id").cast("string").alias("id"), F.lit("").alias("guid"), url.alias("url"),
         F.col("source").alias("source_label"),
-        F.substring(F.split(F.col("text"), "\n", 2).getItem(0), 1, 60).alias("title"),
+        F.split(F.col("text"), "\n", 2).getItem(0).alias("title"),
         F.col("text").alias("description"),
         F.array(url, F.concat(url, F.lit("#apply")), F.lit(" "), url).alias("links"),
         F.array(F.concat(F.lit("https://img.example.org/"), F.col("source"), F.lit(".png"))).alias("image_urls"),

@@ -12,13 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions import fixed
 from feedloom.functions import text as T
 from feedloom.operators.extract import go_json_escape
 from feedloom.operators.ingest import feed_list  # noqa: F401  (A1)
 
 RSS_SCHEMA = ("channel struct<title:string, item:array<struct<guid:string, title:string, link:string, "
-              "description:string, pubDate:string, enclosure:array<struct<_url:string, _type:string>>>>>")
-ATOM_SCHEMA = ("title string, entry array<struct<id:string, title:string, link:struct<_href:string>, "
+              "description:string, `content:encoded`:string, pubDate:string, "
+              "enclosure:array<struct<_url:string, _type:string>>>>>")
+ATOM_SCHEMA = ("title string, entry array<struct<id:string, title:string, "
+               "link:array<struct<_href:string, _rel:string, _type:string>>, "
                "summary:string, content:string, published:string, updated:string>>")
 
 
@@ -38,27 +41,39 @@ def rfc1123(ts: Column) -> Column:
 
 
 def parse_rfc1123(c: Column) -> Column:
-    """RFC-1123 / RFC-822 date text -> timestamp_ntz (UTC); weekday stripped first."""
+    """RFC-1123 / RFC-822 date text -> timestamp_ntz (UTC); weekday stripped
+    first, seconds and the zone may be missing or a North American name."""
     t = F.regexp_replace(T.trim_space(F.coalesce(c, F.lit(""))), "^[A-Za-z]{3},\\s*", "")
-    m = F.regexp_extract(t, "^(\\d{1,2}) ([A-Za-z]{3}) (\\d{4}) (\\d{2}:\\d{2}(?::\\d{2})?) ([+-]\\d{4}|GMT|UTC|Z)$", 0)
-    base = F.try_to_timestamp(F.regexp_replace(m, " ([+-]\\d{4}|GMT|UTC|Z)$", ""),
-                              F.lit("d MMM yyyy HH:mm:ss"))
-    off = F.regexp_extract(m, "([+-])(\\d{2})(\\d{2})$", 0)
+    m = F.regexp_extract(t, "^(\\d{1,2}) ([A-Za-z]{3}) (\\d{4}) (\\d{2}:\\d{2}(?::\\d{2})?)( [+-]\\d{4}| [A-Z]{1,4})?$", 0)
+    clock = F.regexp_replace(F.regexp_replace(m, "( [+-]\\d{4}| [A-Z]{1,4})$", ""), "( \\d{2}:\\d{2})$", "$1:00")
+    base = F.try_to_timestamp(clock, F.lit("d MMM yyyy HH:mm:ss"))
+    zone = F.regexp_extract(m, " ([A-Z]{1,4})$", 1)
+    named = F.element_at(F.create_map(*[F.lit(x) for kv in fixed.ZONE_OFFSETS.items() for x in kv]), zone)
+    off = F.coalesce(named, F.regexp_extract(m, "([+-])(\\d{2})(\\d{2})$", 0))
     mins = F.when(off != "", (F.substring(off, 2, 2).cast("int") * 60 + F.substring(off, 4, 2).cast("int"))
                   * F.when(off.startswith("-"), -1).otherwise(1)).otherwise(0)
     return F.when(m != "", (base.cast("timestamp_ntz") - F.make_dt_interval(mins=mins)))
 
 
 def rss_document(items: DataFrame) -> DataFrame:
-    """Render feed items as one-entry RSS documents (landing-file fixture)."""
+    """Render feed items as RSS documents (landing-file fixture).  A second
+    entry without a guid follows, whose content is the item's description."""
     doc = F.concat(
-        F.lit('<rss version="2.0"><channel><title>'), _xml_text(F.col("feed_url")), F.lit("</title><item><guid>"),
+        F.lit('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>'),
+        _xml_text(F.col("feed_url")), F.lit("</title><item><guid>"),
         _xml_text(F.col("guid")), F.lit("</guid><title>"), _xml_text(F.col("title")), F.lit("</title><link>"),
         _xml_text(F.col("url")), F.lit("</link><pubDate>"), rfc1123(F.col("published")),
-        F.lit("</pubDate></item></channel></rss>"))
+        F.lit("</pubDate></item><item><title>"), _xml_text(F.col("title")), F.lit("</title><link>"), _xml_text(F.col("url")),
+        F.lit("</link><content:encoded>"), _xml_text(F.col("description")), F.lit("</content:encoded></item></channel></rss>"))
     return items.select("feed_url", "pos", doc.alias("doc"))
 
 
+def _by_rel(rel: str) -> Column:
+    """An Atom entry's links of a relation; a link without one is an alternate."""
+    links = F.coalesce(F.col("e.link"), F.array().cast("array<struct<_href:string,_rel:string,_type:string>>"))
+    return F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == rel)
+
+
 def feed_items(docs: DataFrame, doc_col: str = "doc", keep: tuple = ("feed_url",)) -> DataFrame:
     """A2: one row per RSS item or Atom entry of each landed document.
 
@@ -75,7 +90,7 @@ def feed_items(docs: DataFrame, doc_col: str = "doc", keep: tuple = ("feed_url",
                    F.coalesce(F.col("e.title"), F.lit("")).alias("title"),
                    F.coalesce(F.col("e.link"), F.lit("")).alias("link"),
                    F.coalesce(F.col("e.description"), F.lit("")).alias("description"),
-                   F.lit("").alias("content"),
+                   F.coalesce(F.col("e.`content:encoded`"), F.lit("")).alias("content"),
                    F.transform(F.coalesce(F.col("e.enclosure"), F.array().cast(
                        "array<struct<_url:string,_type:string>>")),
                        lambda x: F.struct(x["_url"].alias("url"), x["_type"].alias("type"))).alias("enclosures"),
@@ -86,10 +101,12 @@ def feed_items(docs: DataFrame, doc_col: str = "doc", keep: tuple = ("feed_url",
             .select(*keep, "position",
                     F.coalesce(F.col("e.id"), F.lit("")).alias("guid"),
                     F.coalesce(F.col("e.title"), F.lit("")).alias("title"),
-                    F.coalesce(F.col("e.link._href"), F.lit("")).alias("link"),
+                    F.coalesce(F.get(_by_rel("alternate"), F.lit(0))["_href"], F.get(F.col("e.link"), F.lit(0))["_href"],
+                               F.lit("")).alias("link"),
                     F.coalesce(F.col("e.summary"), F.lit("")).alias("description"),
                     F.coalesce(F.col("e.content"), F.lit("")).alias("content"),
-                    F.array().cast("array<struct<url:string,type:string>>").alias("enclosures"),
+                    F.transform(_by_rel("enclosure"), lambda x: F.struct(x["_href"].alias("url"), x["_type"].alias("type")))
+                    .alias("enclosures"),
                     parse_times(F.coalesce(F.col("e.published"), F.col("e.updated"))).alias("published")))
     return rss.unionByName(atom)
 
@@ -162,8 +179,27 @@ def queue_payloads(queue: DataFrame, payload: str = "payload_json", key: str = "
     The text is parsed once into a variant column; fields are then read from
     the binary variant (per-field ``from_json`` would re-parse the text).
     """
-    q = queue.withColumn("_v", F.try_parse_json(F.col(payload)))
-    q = q.withColumn("_ok", F.coalesce(F.schema_of_variant(F.col("_v")).startswith("OBJECT"), F.lit(False)))
+    # a field of another type fails the whole payload, as a typed decoder does; absent and null fields are blank
+    texts = ("schema_version", "id", "traceparent", "tracestate", "feed_url", "source_label", "guid", "url", "title",
+             "description", "published_at", "fetched_at")
+    lists = ("links", "image_urls")
+
+    def decodes(v):
+        def kind(path):
+            return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+
+        typed = F.lit(True)
+        for c in texts:
+            typed = typed & F.coalesce(kind(f"$.{c}").isin("STRING", "VOID"), F.lit(True))
+        for c in lists:
+            typed = typed & F.coalesce(kind(f"$.{c}").isin("ARRAY<STRING>", "ARRAY<VOID>", "VOID"), F.lit(True))
+        # the whole value's schema text settles nearly every row; only odd ones are tested field by field
+        odd = f"[<, `](?:{'|'.join(texts)})`?: (?!STRING|VOID)|[<, `](?:{'|'.join(lists)})`?: (?!ARRAY<STRING>|ARRAY<VOID>|VOID)"
+        return T._let(F.schema_of_variant(v), lambda s: F.when(~F.coalesce(s.startswith("OBJECT"), F.lit(False)), F.lit(False))
+                      .when(~s.rlike(odd), F.lit(True)).otherwise(typed))
+
+    # the text is parsed once for the test, whatever the optimizer does with the filter
+    q = queue.withColumn("_ok", T._let(F.try_parse_json(F.col(payload)), decodes)).withColumn("_v", F.try_parse_json(F.col(payload)))
     v = F.col("_v")
 
     def s(name):
@@ -173,8 +209,8 @@ def queue_payloads(queue: DataFrame, payload: str = "payload_json", key: str = "
         return F.coalesce(F.try_variant_get(v, f"$.{name}", "array<string>"), F.array().cast("array<string>"))
 
     good = q.filter("_ok").select(
-        key, *[s(c).alias(c) for c in ("schema_version", "feed_url", "source_label", "guid", "url", "title",
-                                       "description")],
+        key, *[s(c).alias(c) for c in ("schema_version", "traceparent", "tracestate", "feed_url", "source_label", "guid",
+                                       "url", "title", "description")],
         *[a(c).alias(c) for c in ("links", "image_urls")],
         F.when(T.trim_space(s("id")) != "", s("id")).otherwise(F.col(key).cast("string")).alias("id"),
         parse_times(F.try_variant_get(v, "$.published_at", "string")).alias("published_at"),

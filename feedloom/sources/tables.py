@@ -3,26 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
 
-PAGE_BODY_CAP = 262144  # 256 KiB body cap of the basic page fetch
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters push into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_pages(spark: SparkSession, sf_dir: str, cap: int = PAGE_BODY_CAP) -> DataFrame:
-    """A4: ``(page_id, url, html)`` with the body cut at ``cap`` characters."""
-    p = read_table(spark, sf_dir, "pages")
-    return p.select("page_id", "url", F.substring("html", 1, cap).alias("html"))
+def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: ``(page_id, url, html)``, whole bodies."""
+    return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
 
 
 def write_pages(df: DataFrame, path: str, mode: str = "append") -> None:
-    """A4 sink: page bodies as parquet, partitioned only by what the caller gives."""
-    df.select("url", F.substring("html", 1, PAGE_BODY_CAP).alias("html")).write.mode(mode).parquet(path)
+    """A4 sink: whole page bodies as parquet, partitioned only by what the caller gives."""
+    df.select("url", "html").write.mode(mode).parquet(path)

@@ -19,13 +19,23 @@ from feedloom.operators import ingest
 from feedloom.operators import lifecycle as L
 from feedloom.operators import monitor as M
 from feedloom.operators import publish as P
-from feedloom.session import checkpoint_dir, ship_package
+from feedloom.session import ship_package
 from feedloom.sources import feeds as S
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """Per-stream checkpoint folder inside the shared checkpoint directory."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    """Per-stream checkpoint folder inside ``spark.checkpoint.dir``, which
+    must be set: a folder that changes with every start would replay all."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir, or give the stream a checkpoint location")
+    return f"{folder.rstrip('/')}/streams/{name}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; any other storage error is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 # ---------------------------------------------------------------- J1
@@ -43,8 +53,9 @@ def stream_items(spark: SparkSession, landing: str, max_files_per_trigger: int =
 
 
 # ---------------------------------------------------------------- J2
-def stream_dedupe(items: DataFrame, delay: str = "168 hours", ts: str = "published_at") -> DataFrame:
-    """Hash uniqueness within the retention horizon (state bounded by the watermark)."""
+def stream_dedupe(items: DataFrame, delay: str = "168 hours", ts: str = "fetched_at") -> DataFrame:
+    """Hash uniqueness within the retention horizon (state bounded by the
+    watermark on the arrival time: old-dated and future-dated posts pass)."""
     wm = items.withColumn("_wm", F.col(ts).cast("timestamp")).withWatermark("_wm", delay)
     return wm.dropDuplicatesWithinWatermark(["id"]).drop("_wm")
 
@@ -52,11 +63,9 @@ def stream_dedupe(items: DataFrame, delay: str = "168 hours", ts: str = "publish
 def dedupe_against_store(batch: DataFrame, store_path: str) -> DataFrame:
     """J2 across restarts: anti-join a micro-batch with the stored item ids."""
     spark = batch.sparkSession
-    try:
-        stored = spark.read.parquet(store_path).select("id")
-    except Exception:  # noqa: BLE001  first run: no store yet
+    if not _exists(spark, store_path):  # first run: no store yet
         return batch
-    return batch.join(stored, "id", "left_anti")
+    return batch.join(spark.read.parquet(store_path).select("id"), "id", "left_anti")
 
 
 # ---------------------------------------------------------------- J3
@@ -68,6 +77,13 @@ def stream_minutes(items: DataFrame, ts: str = "created_at", delay: str = "10 mi
             .select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "n"))
 
 
+def stream_rates(items: DataFrame, ts: str = "created_at", delay: str = "10 minutes") -> DataFrame:
+    """Five-minute windows, one a minute, with the count and the rate per minute."""
+    return (items.withColumn("_t", F.col(ts).cast("timestamp")).withWatermark("_t", delay)
+            .groupBy(F.window("_t", "5 minutes", "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.col("w.end").cast("timestamp_ntz").alias("until"), "n", (F.col("n") / 5).alias("per_minute")))
+
+
 # ---------------------------------------------------------------- J4
 QUEUE_STATE_SCHEMA = ("state string, lease_owner string, lease_until timestamp, delivery_count int, "
                       "enqueued_at timestamp, done_at timestamp, last_error string, updated_at timestamp")
@@ -81,7 +97,7 @@ def _ts(v):
     return pd.Timestamp(v).to_pydatetime()
 
 
-def _queue_update(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+def _queue_update(key, pdfs: Iterator[pd.DataFrame], state, ttl_ms: int) -> Iterator[pd.DataFrame]:
     (iid,) = key
     if state.hasTimedOut:
         state.remove()
@@ -96,14 +112,11 @@ def _queue_update(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataF
     if s is None:
         return
     state.update(tuple(_ts(s[f]) if f.endswith(("_at", "_until")) else s[f] for f in _STATE_FIELDS))
-    expire = int(pd.Timestamp(s["updated_at"]).timestamp() * 1000) + STATE_TTL_MS[0]
+    expire = int(pd.Timestamp(s["updated_at"]).timestamp() * 1000) + ttl_ms
     state.setTimeoutTimestamp(max(expire, state.getCurrentWatermarkMs() + 1))
     yield pd.DataFrame([{"item_id": iid, **{f: s[f] for f in _STATE_FIELDS}}])
 
 
-STATE_TTL_MS = [7 * 24 * 3600 * 1000]  # idle keys are dropped after the retention horizon
-
-
 def stream_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour") -> DataFrame:
     """The lease state machine as keyed state (one value per item).
 
@@ -113,7 +126,11 @@ def stream_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour") ->
     watermark passes its last update + ``ttl_hours`` (retention).  Output
     mode: update.
     """
-    STATE_TTL_MS[0] = ttl_hours * 3600 * 1000
+    ttl_ms = ttl_hours * 3600 * 1000  # travels with the function
+
+    def update(key, pdfs, state):
+        return _queue_update(key, pdfs, state, ttl_ms)
+
     ship_package(log.sparkSession)
     out_schema = "item_id string, " + ", ".join(
         f"{f} {'timestamp' if f.endswith(('_at', '_until')) else ('int' if f == 'delivery_count' else 'string')}"
@@ -121,7 +138,7 @@ def stream_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour") ->
     src = log.select("item_id", F.col("ts").cast("timestamp").alias("ts"), "seq", "action", "worker",
                      F.col("lease_until").cast("timestamp").alias("lease_until"), "reason").withWatermark("ts", late)
     return src.groupBy("item_id").applyInPandasWithState(
-        _queue_update, out_schema, QUEUE_STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout)
+        update, out_schema, QUEUE_STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 # ---------------------------------------------------------------- J5
@@ -135,14 +152,14 @@ def publish_batch(batch: DataFrame, batch_id: int, items: DataFrame, out_dir: st
 
 
 def stream_publish(analyzed: DataFrame, items: DataFrame, out_dir: str, name: str = "publish", now=None,
-                   trigger_once: bool = True):
+                   trigger_once: bool = True, checkpoint: str | None = None):
     """Dispatch loop as ``foreachBatch`` with per-batch idempotent files."""
     spark = analyzed.sparkSession
 
     def run(b, bid):
         publish_batch(b.withColumnRenamed("id", "item_id") if "item_id" not in b.columns else b, bid, items,
                       out_dir, now or _dt.datetime.utcnow().replace(microsecond=0))
-    w = analyzed.writeStream.foreachBatch(run).option("checkpointLocation", stream_checkpoint(spark, name))
+    w = analyzed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint or stream_checkpoint(spark, name))
     return (w.trigger(availableNow=True) if trigger_once else w).start()
 
 
@@ -162,12 +179,11 @@ def upsert_snapshot(updates: DataFrame, snap_dir: str, batch_id: int) -> DataFra
     (versioned folders ``v=<batch_id>``; re-running a batch id rewrites the same
     version, so the sink is idempotent)."""
     spark = updates.sparkSession
-    try:
+    prev = None
+    if _exists(spark, snap_dir):
         allv = spark.read.parquet(snap_dir)
         prev_v = allv.filter(F.col("v") < batch_id).agg(F.max("v")).first()[0]
         prev = allv.filter(F.col("v") == prev_v).drop("v") if prev_v is not None else None
-    except Exception:  # noqa: BLE001  first batch: no table yet
-        prev = None
     merged = updates if prev is None else updates.unionByName(
         prev.join(updates.select("item_id"), "item_id", "left_anti"))
     merged.write.mode("overwrite").parquet(f"{snap_dir.rstrip('/')}/v={batch_id}")
@@ -175,7 +191,7 @@ def upsert_snapshot(updates: DataFrame, snap_dir: str, batch_id: int) -> DataFra
 
 
 def stream_monitor(queue_updates: DataFrame, dq: DataFrame, items: DataFrame, out_dir: str,
-                   name: str = "monitor"):
+                   name: str = "monitor", checkpoint: str | None = None):
     """Each micro-batch of J4 updates is upserted into the snapshot table,
     then the gauges (G2, G4, G5) are computed on the whole snapshot."""
     spark = queue_updates.sparkSession
@@ -186,4 +202,4 @@ def stream_monitor(queue_updates: DataFrame, dq: DataFrame, items: DataFrame, ou
         gauges = monitor_batch(snap, dq, items).withColumn("batch_id", F.lit(bid))
         gauges.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/gauges/batch_id={bid}")
     return (queue_updates.writeStream.foreachBatch(run).outputMode("update")
-            .option("checkpointLocation", stream_checkpoint(spark, name)).trigger(availableNow=True).start())
+            .option("checkpointLocation", checkpoint or stream_checkpoint(spark, name)).trigger(availableNow=True).start())

@@ -137,3 +137,10 @@ def test_fallback_requests(spark):
                                   "item_id string, content string, finish_reason string, status_code int, body string")
     t = X.fallback_requests(trunc, items, "m", 700).collect()
     assert t[0].reason == "compact_retry" and json.loads(t[0].body)["max_tokens"] == 1024
+    calls = spark.createDataFrame([("a", '{"role":"x"}', "length", 200, None), ("b", '{"role":"x', "stop", 200, None),
+                                   ("c", '{"role":"x', None, 500, None), ("d", "no json", "stop", 200, None)],
+                                  "item_id string, content string, finish_reason string, status_code int, body string")
+    many = items.limit(1).drop("item_id").crossJoin(calls.select("item_id"))
+    again = X.fallback_requests(calls, many, "m", 300, strict=True).collect()
+    assert [r.item_id for r in again] == ["b"]  # neither a finish reason nor a failed status asks for a retry
+    assert json.loads(again[0].body)["max_tokens"] == 600 and "json_schema" in json.loads(again[0].body)

@@ -1,4 +1,5 @@
 """Ingest: hash dedupe, caps, greedy three-key dedupe vs a sequential loop, cold start, due feeds."""
+import pytest
 import random
 
 from pyspark.sql import functions as F
@@ -102,3 +103,25 @@ def test_retention(spark):
         "id", F.col("created_at").cast("timestamp_ntz").alias("created_at"))
     assert sorted(r.id for r in ingest.retention(df, "2024-01-08 12:00:00", 168).collect()) == ["2", "3"]
     assert ingest.retention(df, "2024-01-08 12:00:00", 0).count() == 3
+
+
+def test_dedupe_keys_positions_restart_per_feed(spark):
+    # equal positions and one guid in two feeds: rows are told apart by (feed, pos)
+    rows = [("f1", 0, "g", "https://x.org/a", "A"), ("f2", 0, "g", "https://x.org/b", "B"), ("f2", 1, "", "https://x.org/c", "C")]
+    got = {(r.feed_url, r.pos): r.accepted for r in ingest.dedupe_keys(_batch(spark, rows), max_rounds=6).collect()}
+    assert got == {("f1", 0): True, ("f2", 0): False, ("f2", 1): True}
+    enq, marked = ingest.cold_start(_batch(spark, rows), None, 5)
+    assert enq.count() == marked.count() == 2
+    with pytest.raises(ValueError):
+        ingest.dedupe_keys(_batch(spark, rows + rows[:1]))
+
+
+def test_no_body_in_the_dedupe_shuffles(spark):
+    import re
+
+    from feedloom.plans import catalog
+    for name in ("label_counts", "ingest_items"):
+        plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        final = plan[plan.index("== Physical Plan =="):]
+        for block in re.findall(r"Exchange hashpartitioning\(feed_url[^\n]*\n[^\n]*\n", final):
+            assert "description" not in block

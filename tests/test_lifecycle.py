@@ -68,7 +68,7 @@ def test_queue_fold_matches_loop_random(spark):
             t = T0 + dt.timedelta(seconds=rnd.randint(0, 500))
             rows.append((f"i{item}", t, len(rows), rnd.choice(["enqueue", "claim", "complete", "release", "fail"]),
                          rnd.choice(["w1", "w2"]), t + dt.timedelta(seconds=rnd.randint(10, 100)), f"e{k}"))
-    got = {r.item_id: r for r in L.queue_snapshot(_log(spark, rows), partitions=3, hot_threshold=50).collect()}
+    got = {r.item_id: r for r in L.queue_snapshot(_log(spark, rows), partitions=3).collect()}
     plain = {r.item_id: r for r in L.queue_snapshot(_log(spark, rows), partitions=3, segmented=False).collect()}
     assert {k: tuple(v) for k, v in got.items()} == {k: tuple(v) for k, v in plain.items()}
     for item in {r[0] for r in rows}:
@@ -139,3 +139,31 @@ def test_backoff(spark):
     f = spark.createDataFrame([("a", T0)], "id string, ts timestamp_ntz")
     got = [r.delay_s for r in L.backoff_plan(f, 3, 2.0).orderBy("attempt").collect()]
     assert got == [2.0, 4.0, 8.0]
+
+
+def test_requeued_item_is_sent_again(spark):
+    items = spark.createDataFrame([("a", "DISPATCHED", '{"id":"a"}', "https://f.example.org/x", "T", "https://x/a"),
+                                   ("b", "DISPATCHED", "", "https://f.example.org/x", "U", "https://x/b")],
+                                  "id string, status string, analyzed_payload_json string, source_feed_url string, title string, url string")
+    ids = spark.createDataFrame([(" a ",), ("b",), ("zz",), ("",)], "id string")
+    plan = L.requeue(ids, items, "2024-01-02 00:00:00")
+    got = {r.id: r for r in plan.collect()}
+    assert set(got) == {"a", "b", "zz"} and got["zz"].target == "not_found" and got["zz"].payload_json is None
+    assert got["a"].payload_json == '{"id":"a"}' and got["a"].new_status == "ANALYZED" and got["a"].enqueue_count_add == 1
+    import json
+    assert json.loads(got["b"].payload_json) == {"schema_version": "v1", "id": "b", "feed_url": "https://f.example.org/x",
+                                                 "source_label": "f_example_org_x", "title": "U", "url": "https://x/b",
+                                                 "published_at": "2024-01-02T00:00:00Z", "fetched_at": "2024-01-02T00:00:00Z"}
+    sec = dt.timedelta(seconds=1)
+    log = spark.createDataFrame([(i, T0 + k * sec, k, s, "", False) for i in "ab" for k, s in enumerate(["NEW", "ANALYZED", "DISPATCHED"])],
+                                "item_id string, ts timestamp_ntz, seq long, status string, error string, requeue boolean")
+    queue = spark.createDataFrame([("a",), ("b",)], "item_id string")
+
+    def skips(lg):
+        status = L.item_status(lg).withColumnRenamed("item_id", "id")
+        return {r.item_id: r.skip for r in L.already_dispatched(queue, status).collect()}
+    assert skips(log) == {"a": True, "b": True}
+    again = log.unionByName(L.requeue_writes(plan))
+    assert skips(again) == {"a": False, "b": False}
+    sent = again.unionByName(log.filter("status = 'DISPATCHED' and item_id = 'a'").withColumn("ts", F.lit("2024-01-03").cast("timestamp_ntz")))
+    assert skips(sent) == {"a": True, "b": False}

@@ -97,7 +97,7 @@ def test_main_content_and_markdown(spark):
             "</main><aside>related jobs</aside><footer>f</footer></body></html>")
     pages = spark.createDataFrame([(1, "https://x/1", html), (2, "ftp://x", "<p>q</p>")],
                                   "page_id long, url string, html string")
-    best = N.main_content(N.page_blocks(pages)).filter("page_id = 1").collect()[0]
+    best = N.main_content(pages).filter("page_id = 1").collect()[0]
     assert best.selector_rank == 0 and "about the job" in best.text.lower()
     md = {r.page_id: r for r in N.page_markdown(pages).collect()}
     assert md[1].status == "ok" and md[1].markdown.startswith("# Go Dev")
@@ -122,7 +122,7 @@ def test_pace_hot_destination_spans_partitions(spark):
     rows = [(f"{i:04d}", "hot" if i % 10 else "cold", t0 + dt.timedelta(seconds=rnd.randint(0, 300)))
             for i in range(400)]
     df = spark.createDataFrame(rows, "item_id string, dest string, ready_at timestamp_ntz")
-    out = P.pace(df, 20, partitions=7, hot_threshold=100)
+    out = P.pace(df, 20, partitions=7)
     got = {r.item_id: r.send_at for r in out.collect()}
     for d in ("hot", "cold"):
         last = None
@@ -142,6 +142,14 @@ def test_block_selectors_and_scoring(spark):
     blocks = {(r.page_id, r.ord): r for r in N.page_blocks(pages).collect()}
     assert [blocks[(1, i)].selector_rank for i in range(4)] == [1, 3, 4, 7]   # selector order
     assert blocks[(2, 0)].selector_rank == len(N.SELECTORS)                    # body fallback
-    best = {r.page_id: r for r in N.main_content(N.page_blocks(pages)).collect()}
+    best = {r.page_id: r for r in N.main_content(pages).collect()}
+    deep = "<body><main>" + "<li><div>" * 3000 + "x" + "<article><p>about the job<p>salary</article></body>"
+    bad = "<article>related jobs</article>"
+    more = spark.createDataFrame([(3, "https://x/3", deep), (4, "https://x/4", bad), (5, "https://x/5", None),
+                                  (6, "https://x/6", "<main><article><p>a<article>b</article></article></main>")], pages.schema)
+    got = {r.page_id: r for r in N.main_content(more).collect()}
+    assert got[3].selector_rank == 5 and got[3].text == "x about the job salary" and 4 not in got
+    assert [(r.ord, r.selector_rank) for r in N.page_blocks(more.filter("page_id = 6")).collect()] == [(0, 0), (1, 0), (2, 5)]
+    assert {r.page_id: r.markdown for r in N.page_markdown(more).collect()}[4] == "related jobs"
     # "related jobs" without "about the job" is penalised; the two salary blocks tie -> first one wins
     assert best[1].selector_rank == 3 and best[2].text == "only body"

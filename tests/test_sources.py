@@ -65,3 +65,40 @@ def test_feed_items_rss_multi(spark):
     rows = S.feed_items(spark.createDataFrame([("f", doc)], "feed_url string, doc string")).orderBy("position").collect()
     assert [(r.position, r.title, r.link) for r in rows] == [(0, "A & B", "https://x/1"), (1, "C", "https://x/2")]
     assert rows[0].enclosures[0].url == "https://x/i.png"
+
+
+def test_feed_items_content_links_and_dates(spark):
+    rss = ('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>t</title>'
+           '<item><title>A</title><link>https://x/1</link><description>d</description>'
+           '<content:encoded>&lt;a href="https://y/1"&gt;y&lt;/a&gt;</content:encoded><pubDate>Mon, 01 Jan 2024 10:00 EST</pubDate></item>'
+           '<item><title>B</title><link>https://x/2</link><pubDate>Tue, 02 Jan 2024 10:00:05 +0100</pubDate></item></channel></rss>')
+    atom = ('<feed xmlns="http://www.w3.org/2005/Atom"><title>t</title><entry><id>e</id><title>C</title>'
+            '<link rel="self" href="https://x/self"/><link rel="alternate" href="https://x/c"/>'
+            '<link rel="enclosure" type="image/png" href="https://x/i.png"/><updated>2024-01-01T10:00:00Z</updated></entry></feed>')
+    df = spark.createDataFrame([("r", rss), ("a", atom)], "feed_url string, doc string")
+    got = {r.title: r for r in S.feed_items(df).collect()}
+    assert got["A"].content == '<a href="https://y/1">y</a>' and got["A"].published == dt.datetime(2024, 1, 1, 15)
+    assert got["B"].content == "" and got["B"].published == dt.datetime(2024, 1, 2, 9, 0, 5)
+    assert got["C"].link == "https://x/c" and [tuple(e) for e in got["C"].enclosures] == [("https://x/i.png", "image/png")]
+
+
+def test_mistyped_payloads_are_diverted(spark):
+    texts = ['{"id":"a","title":"t","links":["x"],"extra":5}', '{"id":"b","title":5}', '{"id":"c","links":"x"}', '{"id":"d","links":[1]}',
+             '{"title":null,"links":null}', '[1]', 'nope', '{"id":"e","more":{"title":5},"links":[]}']
+    q = spark.createDataFrame([(f"k{i}", t) for i, t in enumerate(texts)], "item_id string, payload_json string")
+    good, bad = S.queue_payloads(q)
+    assert {r.item_id: r.id for r in good.collect()} == {"k0": "a", "k4": "k4", "k7": "e"}
+    assert {r.item_id for r in bad.collect()} == {"k1", "k2", "k3", "k5", "k6"}
+
+
+def test_page_bodies_are_whole(spark, tmp_path):
+    from feedloom.operators import enrich as N
+    from feedloom.sources import tables
+    body = "<p>" + "word " * 70_000 + "end</p>"
+    df = spark.createDataFrame([(1, "https://x/1", body), (2, "https://x/1", body.replace("end", "later"))], "page_id long, url string, html string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    pages = tables.read_pages(spark, str(tmp_path))
+    assert {len(r.html) for r in pages.collect()} == {len(body), len(body) + 2}
+    texts = {r._txt[-5:] for r in N.page_excerpts(pages, 0).collect()}
+    assert texts == {"later"}  # one row per url, the latest fetch
+    assert len(N.page_excerpts(pages, 0, body_bytes=262144).collect()[0]._txt) < 262144

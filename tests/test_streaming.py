@@ -105,7 +105,7 @@ def test_stream_publish_end_to_end(spark, tmp_path):
                                   "id string, status string, dispatched_at timestamp_ntz")
     src = spark.readStream.schema(a.schema).parquet(str(tmp_path / "land"))
     out = str(tmp_path / "out")
-    q = J.stream_publish(src, items, out, name=f"pub-{tmp_path.name}", now="2024-01-01 00:00:00")
+    q = J.stream_publish(src, items, out, now="2024-01-01 00:00:00", checkpoint=str(tmp_path / "ck"))
     q.awaitTermination(120)
     body = "".join(r.value for r in spark.read.text(out, wholetext=True).collect())
     assert "[candidati](https://x/2)" in body and "https://x/1" not in body
@@ -124,7 +124,7 @@ def test_stream_monitor_end_to_end(spark, tmp_path):
     items = spark.createDataFrame([("x", "NEW", None), ("y", "NEW", None)],
                                   "id string, status string, analyzed_enqueued_at timestamp_ntz")
     out = str(tmp_path / "mon")
-    q = J.stream_monitor(J.stream_queue(src), dq, items, out, name=f"mon-{tmp_path.name}")
+    q = J.stream_monitor(J.stream_queue(src), dq, items, out, checkpoint=str(tmp_path / "ck"))
     q.awaitTermination(180)
     g = {(r.metric, r.key): r.n for r in spark.read.parquet(out + "/gauges").collect()}
     assert g[("queue_items", "analyzer_queue/LEASED")] == 1 and g[("queue_items", "analyzer_queue/QUEUED")] == 1

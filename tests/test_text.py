@@ -118,3 +118,11 @@ def test_escape_slug_endpoint(spark):
     assert r.e == "a\\_b\\*c\\[d\\`e\\\\f"
     assert r.s == "senior-go-remote-eu-x"
     assert (r.p.host, r.p.port, r.z, r.ok) == ("llama", 8080, None, True)
+
+
+def test_html_unescape_unbounded_and_unterminated(spark):
+    cases = {"&#0000000065;": "A", "&#x000000000041;": "A", "&#99999999999999;": "\ufffd", "&amp x": "& x", "&ampx": "&x", "&copy2024": "\u00a92024",
+             "&notit;": "\u00acit;", "&nosuchname;": "&nosuchname;", "&CounterClockwiseContourIntegral;": "\u2233", "a & b": "a & b"}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r.s: r.u for r in df.select("s", T.html_unescape("s").alias("u")).collect()}
+    assert got == cases
