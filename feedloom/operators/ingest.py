@@ -279,6 +279,12 @@ def feed_list(spark, csv: str, path: str | None = None) -> DataFrame:
         lines = spark.read.text(path).select(
             (F.lit(len(parts)) + F.monotonically_increasing_id()).alias("pos"), F.col("value").alias("line"))
         first = first.unionByName(lines)
-    cleaned = first.select("pos", T.trim_space(F.col("line")).alias("feed_url"))
+    return feed_lines(first)
+
+
+def feed_lines(lines: DataFrame) -> DataFrame:
+    """A1 over ``(pos, line)``: trim; skip blank lines and comments; the first
+    position of each feed."""
+    cleaned = lines.select("pos", T.trim_space(F.col("line")).alias("feed_url"))
     cleaned = cleaned.filter((F.col("feed_url") != "") & ~F.col("feed_url").startswith("#"))
     return cleaned.groupBy("feed_url").agg(F.min("pos").alias("pos")).select("pos", "feed_url")

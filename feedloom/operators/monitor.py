@@ -220,7 +220,7 @@ def runtime_latest(snapshots: DataFrame, now, horizon_minutes: int = 20,
     dflt = (dflt.withColumn("_k", F.lit(1)).join(flag, "_k", "left_anti").drop("_k")
             .select(F.lit(None).cast("string").alias("worker_id"), *cols,
                     F.lit(None).cast("timestamp_ntz").alias("updated_at")))
-    return last.select("worker_id", *cols, "updated_at").unionByName(dflt)
+    return last.select("worker_id", *cols, "updated_at").unionByName(dflt).orderBy(F.desc_nulls_last("updated_at"), "worker_id")
 
 
 # ---------------------------------------------------------------- G8 / G9

@@ -286,3 +286,20 @@ def q_fallback_requests(spark: SparkSession, sf: str) -> DataFrame:
                             F.lit('{"error":"Failed to initialize samplers"}')).alias("body"))
     items = V.v_doc_raw(spark, sf).withColumnRenamed("id", "item_id")
     return X.fallback_requests(calls, items, "local-model", 512)
+
+
+def _echo_client(batch):
+    """A stand-in model client: answers with the prompt's size."""
+    import pandas as pd
+
+    size = batch["prompt"].str.len()
+    return pd.DataFrame({"item_id": batch["item_id"], "content": '{"size":' + size.astype(str) + "}", "finish_reason": "stop",
+                         "prompt_tokens": size, "completion_tokens": 1, "error": ""})
+
+
+@register("complete_batch", lambda: """SELECT CAST(doc_id AS VARCHAR) AS item_id, '{"size":' || length(text) || '}' AS content,
+  'stop' AS finish_reason, length(text) AS prompt_tokens, CAST(1 AS BIGINT) AS completion_tokens, '' AS error FROM documents""")
+def q_complete_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """C11 with a batch client inside the tasks, over whole texts."""
+    p = read_table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("item_id"), F.col("text").alias("prompt"))
+    return X.complete(p, _echo_client)

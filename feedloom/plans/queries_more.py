@@ -192,3 +192,16 @@ SELECT *, round(complete / items, 6) AS completeness, round(with_links / items,
 def q_sla_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Completeness and link/image coverage of analysed items."""
     return M.sla_quality(V.v_analyzed(spark, sf))
+
+
+@register("feed_list", lambda: f"""WITH l AS (SELECT doc_id AS pos, CASE WHEN doc_id % 5 = 0 THEN '# ' || source WHEN doc_id % 7 = 0 THEN '  '
+  ELSE ' https://' || source || '.example.org/' || (doc_id // 2) || '/feed ' END AS line FROM documents)
+SELECT min(pos) AS pos, {O.trim_space('line')} AS feed_url FROM l
+WHERE {O.trim_space('line')} <> '' AND NOT starts_with({O.trim_space('line')}, '#') GROUP BY 2""")
+def q_feed_list(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: a feed list of one line per document: comments and blanks skipped, first position wins."""
+    d = read_table(spark, sf, "documents").select("doc_id", "source")
+    i = F.col("doc_id")
+    line = F.when(i % 5 == 0, F.concat(F.lit("# "), "source")).when(i % 7 == 0, F.lit("  ")).otherwise(
+        F.concat(F.lit(" https://"), "source", F.lit(".example.org/"), F.floor(i / 2).cast("string"), F.lit("/feed ")))
+    return ingest.feed_lines(d.select(i.alias("pos"), line.alias("line")))
