@@ -13,10 +13,13 @@ join brings the two together:
 """
 from __future__ import annotations
 
+import bisect
+import itertools
 import json
 import os
+import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -31,22 +34,28 @@ SLICE_BITS = 11
 _MOST = (1 << (31 - SLICE_BITS)) - 1
 
 #: Pre-token pattern of byte-level BPE, with the white space of the tokenizer's library.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-_FIND = regex.compile(PATTERN)
+_PATTERN = r"'(?:[stmd]|re|ve|ll)| ?{L}+| ?{N}+| ?{O}+|{S}+(?!{T})|{S}+"
+_FIND = regex.compile(_PATTERN.format(L=r"\p{L}", N=r"\p{N}", O=r"[^\p{White_Space}\p{L}\p{N}]", S=r"\p{White_Space}", T=r"\P{White_Space}"))
+#: The same for texts of Latin-1 characters only, in the faster standard library.
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+_FIND_LATIN = re.compile(_PATTERN.format(L=f"[{_L}]", N=f"[{_N}]", O=f"[^{_S}{_L}{_N}]", S=f"[{_S}]", T=f"[^{_S}]"))
 #: What the libraries may class differently, for their Unicode versions differ: texts with such
 #: characters are split by the tokenizer's own pre-tokenizer.
 _RECENT: list = []
 _LOADED: dict[str, "Counting"] = {}
 
 
-def recent() -> regex.Pattern:
+def recent() -> re.Pattern:
     """Characters that ``regex`` takes for letters, numbers or white space and ``unicodedata`` does not, or the reverse."""
     if not _RECENT:
         every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
         odd = set()
         for name, category in (("L", "L"), ("N", "N")):
             odd |= set(regex.findall(rf"\p{{{name}}}", every)) ^ {c for c in every if unicodedata.category(c)[0] == category}
-        _RECENT.append(regex.compile("[" + "".join(map(regex.escape, sorted(odd))) + "]" if odd else r"(?!)"))
+        codes = sorted(map(ord, odd))
+        starts = [c for c in codes if c - 1 not in set(codes[max(0, bisect.bisect_left(codes, c) - 1):bisect.bisect_left(codes, c)])]
+        ranges = zip(starts, [codes[bisect.bisect_left(codes, s) - 1] for s in starts[1:]] + codes[-1:])
+        _RECENT.append(re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in ranges) + "]" if odd else r"(?!)"))
     return _RECENT[0]
 
 
@@ -72,17 +81,23 @@ class Counting:
         self.known = dict(zip(known, self.pieces(known)))
 
     def pieces(self, tokens: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch(tokens, add_special_tokens=False)]
+        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)]
 
     def split(self, text: str) -> list[str]:
-        if self.recent.search(text):
-            return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-        return _FIND.findall(text)
-
-    def pretokens(self, text: str) -> tuple[Counter, int]:
-        """Pre-token frequencies, and the number of added tokens in the text."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            if self.recent.search(text):
+                return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+            return _FIND.findall(text)
+        return _FIND_LATIN.findall(text)
+
+    def pretokens(self, text: str) -> tuple[list[str], int]:
+        """Pre-tokens in order, and the number of added tokens in the text."""
         parts = self.added.split(text) if self.added else [text]
-        return Counter(w for p in parts for w in self.split(p)), len(parts) - 1
+        if len(parts) == 1:
+            return self.split(text), 0
+        return [w for p in parts for w in self.split(p)], len(parts) - 1
 
 
 def counting(path: str) -> Counting:
@@ -98,28 +113,47 @@ def _frequency_stage(path: str):
     def run(batches):
         count = counting(path)
         for b in slices(batches, 1 << SLICE_BITS):
-            rest: dict[str, list[int]] = defaultdict(list)
-            docs = []
-            for at, (did, text) in enumerate(zip(b.column("did").to_pylist(), b.column("text").to_pylist())):
-                freq, n = count.pretokens(text)
-                for w, k in freq.items():
-                    each = count.known.get(w)
-                    if each is not None:
-                        n += each * k
-                        continue
-                    while k > _MOST:
-                        rest[w].append(_MOST << SLICE_BITS | at)
-                        k -= _MOST
-                    rest[w].append(k << SLICE_BITS | at)
-                docs.append({"did": did, "n_bytes": len(text.encode("utf-8", "surrogatepass")), "n": n})
+            number: dict[str, int] = defaultdict(itertools.count().__next__)  # of each pre-token of the slice
+            ids, sizes, extra, n_bytes = [], [], [], []
+            for text in b.column("text").to_pylist():
+                words, n = count.pretokens(text)
+                ids.append(np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words)))
+                sizes.append(len(words)), extra.append(n), n_bytes.append(len(text.encode("utf-8", "surrogatepass")))
+            words = list(number)
+            each = np.fromiter((count.known.get(w, 0) for w in words), dtype=np.int64, count=len(words))
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            flat = np.concatenate(ids)
+            n = np.array(extra) + np.bincount(doc, weights=each[flat], minlength=len(sizes)).astype(np.int64)
+            open_ = each[flat] == 0
+            pair, freq = np.unique(flat[open_] << SLICE_BITS | doc[open_], return_counts=True)
+            while len(pair) and freq.max() > _MOST:  # a frequency beyond the packed size becomes several
+                over = freq > _MOST
+                pair, freq = np.r_[pair, pair[over]], np.r_[np.where(over, freq - _MOST, freq), np.full(over.sum(), _MOST)]
+                order = np.argsort(pair, kind="stable")
+                pair, freq = pair[order], freq[order]
+            word = pair >> SLICE_BITS
+            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, dtype=np.int64)
+            packed = (freq << SLICE_BITS | pair & ((1 << SLICE_BITS) - 1)).astype(np.int32)
             base = b.column("uid")[0].as_py()
-            words = list(rest)
-            ends = np.cumsum([0] + [len(rest[w]) for w in words], dtype=np.int32)
-            flat = np.fromiter((x for w in words for x in rest[w]), dtype=np.int32, count=int(ends[-1]))
-            yield pa.record_batch([pa.array(words, pa.string()), pa.array(np.full(len(words), base)),
-                                   pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.nulls(len(words), schema.field("docs").type)], schema=schema)
+            rows = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(word)].astype(np.int32)), pa.array(packed))
+            names = pa.array([words[i] for i in word[starts].tolist()], pa.string())
+            yield pa.record_batch([names, pa.array(np.full(len(starts), base)), rows, pa.nulls(len(starts), schema.field("docs").type)], schema=schema)
+            docs = pa.StructArray.from_arrays([b.column("did"), pa.array(n_bytes, pa.int64()), pa.array(n)], names=["did", "n_bytes", "n"])
             yield pa.record_batch([pa.array([""]), pa.array([base]), pa.array([None], schema.field("packed").type),
-                                   pa.array([docs], schema.field("docs").type)], schema=schema)
+                                   pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)], schema=schema)
+
+    return run
+
+
+def _word_stage(path: str):
+    """Distinct pre-tokens of each slice, without the vocabulary's own."""
+    def run(batches):
+        count = counting(path)
+        for b in slices(batches, 1 << SLICE_BITS):
+            words: set[str] = set()
+            for text in b.column("text").to_pylist():
+                words.update(count.pretokens(text)[0])
+            yield pa.record_batch([pa.array([w for w in words if w not in count.known], pa.string())], names=["pretoken"])
 
     return run
 
@@ -147,7 +181,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     rows = corpus(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
     freq = arrow_map(rows, _frequency_stage(path),
                      "pretoken string, base long, packed array<int>, docs array<struct<did: bigint, n_bytes: bigint, n: bigint>>")
-    pieces = arrow_map(freq.filter("packed is not null").select("pretoken").distinct(), _piece_stage(path), "pretoken string, pieces long")
+    words = arrow_map(rows.select("text"), _word_stage(path), "pretoken string").distinct()
+    pieces = arrow_map(words, _piece_stage(path), "pretoken string, pieces long")
     mask = (1 << SLICE_BITS) - 1
     # slices' own rows have no pretoken of their own and keep clear of the join's keys
     met = freq.withColumn("pretoken", F.when(F.col("packed").isNotNull(), F.col("pretoken"))).join(pieces, "pretoken", "left")

@@ -25,6 +25,8 @@ def test_pretokens_of_every_character():
     for i in range(0, len(plain), 4000):
         text = "".join(f"a{c} {c}1{c}\n" for c in plain[i:i + 4000])
         assert T._FIND.findall(text) == [text[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(text)]
+    latin = "".join(f"a{c} {c}1{c}{c}b  {c}'s'll\n" for c in map(chr, range(256)))
+    assert T._FIND_LATIN.findall(latin) == T._FIND.findall(latin) == [latin[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(latin)]
     assert count.pretokens("a<|endoftext|>b")[1] == 1
 
 
