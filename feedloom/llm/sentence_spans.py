@@ -9,11 +9,11 @@ that is not the first of its kind goes.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,42 +26,50 @@ SPAN, SPAN_WORDS = 3, 15
 #: divisible by CUT, so that text without full stops has places to meet.
 LONG, CUT = 24, 8
 
-_END = regex.compile(r"(?<=[.!?…。！？]['\")\]»”’]*)\s+|(?<=[。！？])|\n+")
-_WORD = regex.compile(r"\S+")
+_END = re.compile(r"[.!?…]['\")\]»”’]*\s+|[。！？]|\n+")
+_WORD = re.compile(r"\S+")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """``(start, end)`` of the sentences; they tile the text, white space
     behind a sentence belongs to it.  Boundaries depend on nearby text only."""
-    cuts = [m.end() for m in _END.finditer(text)]
-    bounds = sorted({0, len(text), *cuts})
-    out = []
-    for a, b in zip(bounds, bounds[1:]):
-        words = [(m.start(), m.group()) for m in _WORD.finditer(text, a, b)]
-        if len(words) > LONG:
+    out, a = [], 0
+    for b in [*(m.end() for m in _END.finditer(text)), len(text)]:
+        if b <= a:
+            continue
+        # a sentence of so few characters cannot have too many words
+        if b - a > 2 * LONG and len(text[a:b].split()) > LONG:
+            words = [(m.start(), m.group()) for m in _WORD.finditer(text, a, b)]
             inner = [s for (_, w), (s, _) in zip(words, words[1:]) if zlib.crc32(w.encode("utf-8", "surrogatepass")) % CUT == 0]
             edges = [a, *inner, b]
             out += list(zip(edges, edges[1:]))
         else:
             out.append((a, b))
+        a = b
     return out
 
 
 def spans(text: str, parts: list[tuple[int, int]], span: int = SPAN, span_words: int = SPAN_WORDS) -> list[tuple[int, int, bytes]]:
     """``(first sentence, sentences, hash)`` of every span.  Case and white
     space do not count, nor do sentences without a word."""
-    tokens = [text[a:b].lower().split() for a, b in parts]
-    out = []
-    for i in range(len(tokens)):
-        run, words, j = 0, [], i
-        while j < len(tokens) and (run < span or len(words) < span_words):
-            words += tokens[j]
-            run += bool(tokens[j])
+    at, ends, n_words, norm, size, words = [], [], [0], [], 0, 0  # of the sentences with words
+    for i, (a, b) in enumerate(parts):
+        tokens = text[a:b].lower().split()
+        if tokens:
+            data = " ".join(tokens).encode("utf-8", "surrogatepass")
+            at.append(i), norm.append(data)
+            size += len(data) + 1
+            words += len(tokens)
+            ends.append(size), n_words.append(words)
+    whole = b" ".join(norm)
+    out, j, digest = [], 0, xxhash.xxh3_128_digest
+    for i in range(len(at)):  # both bounds move on only
+        j = max(j, i + span)
+        while j <= len(at) and n_words[j] - n_words[i] < span_words:
             j += 1
-        if run < span or len(words) < span_words:
+        if j > len(at):
             break
-        if tokens[i]:
-            out.append((i, j - i, xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))))
+        out.append((at[i], at[j - 1] + 1 - at[i], digest(whole[ends[i - 1] if i else 0:ends[j - 1] - 1])))
     return out
 
 
