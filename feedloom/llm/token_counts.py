@@ -7,9 +7,9 @@ join brings the two together:
 
 * Pre-tokens that are vocabulary entries (at most the vocabulary's size, a
   fixed bound) are joined map-side.  These are the frequent ones.
-* The others are shuffled by pre-token.  A row is one pre-token of one slice
-  of documents with its frequencies in all of them, so even a frequent
-  pre-token has few rows.
+* The others are shuffled once by pre-token, sorted, counted and joined in one
+  pass.  A row is one pre-token of one slice of documents with its frequencies
+  in all of them, so even a frequent pre-token has few rows.
 """
 from __future__ import annotations
 
@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import arrow_map, corpus, slices
 
 #: Documents of a slice; place and frequency are packed in one int.
-SLICE_BITS = 11
+SLICE_BITS = 12
 _MOST = (1 << (31 - SLICE_BITS)) - 1
+#: Documents whose frequencies of one pre-token meet in one task; beyond, a pre-token is counted once per so many.
+GROUP_DOCS = 1 << 24
 
 #: Pre-token pattern of byte-level BPE, with the white space of the tokenizer's library.
 _PATTERN = r"'(?:[stmd]|re|ve|ll)| ?{L}+| ?{N}+| ?{O}+|{S}+(?!{T})|{S}+"
@@ -145,25 +147,21 @@ def _frequency_stage(path: str):
     return run
 
 
-def _word_stage(path: str):
-    """Distinct pre-tokens of each slice, without the vocabulary's own."""
-    def run(batches):
-        count = counting(path)
-        for b in slices(batches, 1 << SLICE_BITS):
-            words: set[str] = set()
-            for text in b.column("text").to_pylist():
-                words.update(count.pretokens(text)[0])
-            yield pa.record_batch([pa.array([w for w in words if w not in count.known], pa.string())], names=["pretoken"])
-
-    return run
-
-
 def _piece_stage(path: str):
+    """Rows sorted by pre-token get its ``pieces``; each pre-token is counted once."""
     def run(batches):
         count = counting(path)
+        last, pieces = None, 0
         for b in slices(batches, 20_000):
-            yield pa.record_batch([b.column("pretoken"), pa.array(count.pieces(b.column("pretoken").to_pylist()), pa.int64())],
-                                  names=["pretoken", "pieces"])
+            words = b.column("pretoken").to_pylist()
+            fresh = list(dict.fromkeys(w for w in words if w is not None and w != last))
+            known = dict(zip(fresh, count.pieces(fresh)))
+            if last is not None:
+                known[last] = pieces
+            if words[-1] is not None:
+                last, pieces = words[-1], known[words[-1]]
+            yield pa.record_batch([b.column("base"), b.column("packed"), b.column("docs"),
+                                   pa.array([None if w is None else known[w] for w in words], pa.int64())], names=["base", "packed", "docs", "pieces"])
 
     return run
 
@@ -179,13 +177,15 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     counting(path)  # a wrong file fails here
     rows = corpus(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
-    freq = arrow_map(rows, _frequency_stage(path),
-                     "pretoken string, base long, packed array<int>, docs array<struct<did: bigint, n_bytes: bigint, n: bigint>>")
-    words = arrow_map(rows.select("text"), _word_stage(path), "pretoken string").distinct()
-    pieces = arrow_map(words, _piece_stage(path), "pretoken string, pieces long")
+    docs_type = "array<struct<did: bigint, n_bytes: bigint, n: bigint>>"
+    freq = arrow_map(rows, _frequency_stage(path), f"pretoken string, base long, packed array<int>, docs {docs_type}")
+    # one task joins a pre-token to the frequencies of at most GROUP_DOCS documents; a slice's own row goes anywhere
+    groups = max(1, -(-rows.count() // GROUP_DOCS))
+    salt = F.when(F.col("packed").isNotNull(), F.pmod(F.xxhash64("base"), F.lit(groups))).otherwise(F.col("base"))
+    dealt = freq.withColumn("pretoken", F.when(F.col("packed").isNotNull(), F.col("pretoken"))) \
+        .repartition("pretoken", salt).sortWithinPartitions("pretoken")
+    met = arrow_map(dealt, _piece_stage(path), f"base long, packed array<int>, docs {docs_type}, pieces long")
     mask = (1 << SLICE_BITS) - 1
-    # slices' own rows have no pretoken of their own and keep clear of the join's keys
-    met = freq.withColumn("pretoken", F.when(F.col("packed").isNotNull(), F.col("pretoken"))).join(pieces, "pretoken", "left")
     rest = met.select("base", "pieces", "docs", F.explode_outer("packed").alias("x"))
     each = rest.select("docs", F.col("base"), (F.col("base") + F.col("x").bitwiseAND(mask)).alias("uid"),
                        (F.shiftright("x", SLICE_BITS) * F.col("pieces")).alias("n"))
