@@ -31,7 +31,7 @@ PRIOR = 0.1
 #: Distinct words a task remembers before it starts afresh.
 CACHE_WORDS = 400_000
 #: Least log probability per byte of a text in a learned language; texts full of keys and numbers stay above it.
-LEAST_PER_BYTE = -4.0
+LEAST_PER_BYTE = -4.2
 #: Share of the evidence that counts, for a score that is not always 0 or 1.
 TEMPER = 0.2
 
