@@ -4,10 +4,13 @@ A random walk reads a string: at step ``t`` it notes the byte under its
 pointer and then, by a coin that depends on ``t`` and on that byte, moves on
 or stays.  Strings at a small edit distance give note sequences at a small
 Hamming distance, so a few sampled notes make a locality-sensitive key.  The
-walk starts at every word of every item and of every document; an equal key
-aligns an item-sized window of the document with the item, and the exact edit
-distance between the two decides.  Each of ``functions`` independent walks
-over each word of the item is one repetition, so an item has many chances.
+walk starts at every word and at hash-chosen bytes of every item and of every
+document; an equal key aligns an item-sized window of the document with the
+item, and the exact edit distance between the two decides.  The chosen bytes
+depend on the text at them alone, so an exact copy shares at least one start
+with its item whatever stands around it and whatever its script.  Each of
+``functions`` independent walks over each start of the item is one
+repetition, so an item has many chances.
 
 Items are a stated query set: they go to the tasks in blocks of at most
 ``ITEM_BLOCK`` bytes, one pass a block, whatever their number.
@@ -23,9 +26,14 @@ from feedloom.llm.common import arrow_map, slices
 
 #: Largest edit distance as a share of the item's bytes.
 MAX_EDIT = 0.1
-#: Steps of a walk and sampled notes per key; items shorter than a walk use the short one.
+#: Steps of a walk and sampled notes per key; items with few or no starts of a whole walk also use the short one.
 STEPS, NOTES = 48, 9
 SHORT_STEPS = 16
+#: Of so many neighbouring bytes the one with the least hash of the GRAM bytes from it is a start; an
+#: item of SHORT_STEPS + NEAR - 1 bytes or more has at least one whose short walk lies inside it.
+NEAR, GRAM = 9, 8
+#: Items below so many bytes use the short walk beside the long one.
+FEW_STARTS = 2 * STEPS
 #: Independent walks.
 FUNCTIONS = 2
 #: Items below so many bytes are no evidence of a leak and never match.
@@ -59,6 +67,35 @@ def word_starts(raw: np.ndarray) -> np.ndarray:
     return np.flatnonzero(inside & ~np.r_[False, inside[:-1]])
 
 
+def chosen_starts(raw: np.ndarray) -> np.ndarray:
+    """Bytes that have the least hash in some window of NEAR bytes with all
+    their grams in the block; equal strings choose equal bytes inside them."""
+    n = len(raw) - GRAM + 1
+    if n < NEAR:
+        return np.zeros(0, dtype=np.int64)
+    h = ((np.ndarray((n,), dtype="<u8", buffer=np.ascontiguousarray(raw).data, strides=(1,)) * _MUL) >> np.uint64(32)).astype(np.uint32)
+    least = _slide(h, np.minimum)  # by window
+    edge = np.zeros(NEAR - 1, dtype=np.uint32)
+    most = _slide(np.concatenate([edge, least, edge]), np.maximum)  # of the windows around a byte; none is above its own hash
+    return np.flatnonzero((most == h) & (raw[:n] != 0))
+
+
+def _slide(x: np.ndarray, fn) -> np.ndarray:
+    """``fn`` over every NEAR values in a row."""
+    size = 1
+    while size < NEAR:
+        step = min(size, NEAR - size)
+        x, size = fn(x[:-step], x[step:]), size + step
+    return x
+
+
+def all_starts(raw: np.ndarray) -> np.ndarray:
+    at = np.zeros(len(raw), dtype=bool)
+    at[word_starts(raw)] = True
+    at[chosen_starts(raw)] = True
+    return np.flatnonzero(at)
+
+
 class Walk:
     """One random walk: coins per step and byte, and the sampled steps."""
 
@@ -103,13 +140,13 @@ class Items:
         for k, (_, x) in enumerate(self.items):
             self.tables[k, grams(np.frombuffer(x, dtype=np.uint8))[:len(x) - QGRAM + 1]] = True
         for steps in (STEPS, SHORT_STEPS):
-            mine = [k for k, (_, x) in enumerate(self.items) if (len(x) >= STEPS) == (steps == STEPS)]
+            mine = [k for k, (_, x) in enumerate(self.items) if (len(x) >= STEPS if steps == STEPS else len(x) < FEW_STARTS)]
             if not mine:
                 continue
             block, owner, offset, at, base = [], [], [], [], 0
             for k in mine:
                 x = self.items[k][1]
-                o = word_starts(np.frombuffer(x, dtype=np.uint8))
+                o = all_starts(np.frombuffer(x, dtype=np.uint8))
                 o = o[(o + steps <= len(x)) | (o == 0)]
                 owner.append(np.full(len(o), k)), offset.append(o), at.append(o + base)
                 block.append(x + bytes(steps))
@@ -236,7 +273,7 @@ def _scan_stage(listed: list[tuple[int, str]], functions: int, max_edit: float):
                 sizes = np.array([len(x) + STEPS for x in folded[i:j]])
                 begin = np.cumsum(sizes) - sizes
                 raw = np.frombuffer(b"".join(x + bytes(STEPS) for x in folded[i:j]), dtype=np.uint8)
-                starts = word_starts(raw)
+                starts = all_starts(raw)
                 # a text of its own beside the block is not needed: pairs carry block positions
                 pairs = items.candidates(raw, starts) if items.walks else np.zeros((0, 2), dtype=np.int64)
                 if len(pairs):

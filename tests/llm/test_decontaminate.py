@@ -78,6 +78,22 @@ def test_recall_and_clean_texts(spark):
     assert len(same) == 4 and all(x == same[0] == [want[0]] for x in same)
 
 
+def test_exact_copies_are_found_whatever_stands_around_them(spark):
+    rnd = random.Random(8)
+    cjk = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(n))
+    thai = lambda n: "".join(chr(rnd.randrange(0x0E01, 0x0E2F)) for _ in range(n))
+    items = [(0, "which river runs through the old town of the capital?"), (1, "日本で一番高い山の名前と、その山がある二つの県の名前を答えなさい。"), (2, "a" * 60)]
+    items += [(10 + n, words(rnd, 40)[:n].replace(" ", "x")) for n in range(24, 120)]
+    items += [(200 + n, cjk(n)) for n in range(8, 40)] + [(300 + n, thai(n)) for n in range(8, 40)]
+    around = [("plain ", " end"), ('he asked "', '" and'), ("(", ")"), ("**", "**"), ("> x\n>", "\n"), ("[", "]("), (cjk(30), cjk(30)), (thai(9), cjk(5)), ("", ""), ("abc", "def")]
+    rows = [(k * 1000 + i, a + t + b) for k, (a, b) in enumerate(around) for i, t in items]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.row.doc_id, h.item_id): (h.distance, h.end - h.start) for r in D.scan(docs, bench).collect() for h in r.hits}
+    byid = dict(items)
+    missed = [d for d, _ in rows if got.get((d, d % 1000)) != (0, len(byid[d % 1000].encode()))]
+    assert not missed, (len(missed), len(rows), missed[:20])
+
+
 def test_item_blocks_and_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(D, "ITEM_BLOCK", 100)
     rnd = random.Random(6)
