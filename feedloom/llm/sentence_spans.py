@@ -1,10 +1,12 @@
 """Removal of sentences in repeated spans of consecutive sentences.
 
-A text is cut into sentences.  From every sentence on, the shortest run of at
-least SPAN sentences with at least SPAN_WORDS words is hashed; equal runs hash
-alike wherever they start.  One aggregate finds each hash's first occurrence,
-one join brings it back to the others, and every sentence covered by a run
-that is not the first of its kind goes.
+A text is cut into sentences.  A run is SPAN consecutive sentences or more
+with SPAN_WORDS words or more.  The shortest run from every sentence on and
+the shortest run up to every sentence are hashed; equal runs hash alike
+wherever they start.  Each sentence of a longer run is in one of these inside
+it, so a repeated run is covered to both its ends.  One aggregate finds each
+hash's first occurrence, one join brings it back to the others, and every
+sentence covered by a run that is not the first of its kind goes.
 """
 from __future__ import annotations
 
@@ -28,6 +30,22 @@ LONG, CUT = 24, 8
 
 _END = re.compile(r"[.!?…]['\")\]»”’]*\s+|[。！？]|\n+")
 _WORD = re.compile(r"\S+")
+# Thai, Lao, Tibetan, Burmese, Khmer, kana, Han: two characters count as one more word
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_CHAR = re.compile(f"[{_UNSPACED}]")
+_UNIT = re.compile(f"[{_UNSPACED}]|[^\\s{_UNSPACED}]+")
+
+
+def n_words(text: str) -> int:
+    """Words between white space, and characters of scripts without spaces by twos."""
+    return len(text.split()) + (0 if text.isascii() else len(_CHAR.findall(text)) // 2)
+
+
+def _cut_here(text: str, start: int, end: int) -> bool:
+    """Whether a long sentence is cut behind this word, or behind this character of a script without spaces."""
+    single = _CHAR.match(text, start)
+    word = text[max(0, start - 1):end] if single else text[start:end]
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % (2 * CUT if single else CUT) == 0
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -38,9 +56,9 @@ def sentences(text: str) -> list[tuple[int, int]]:
         if b <= a:
             continue
         # a sentence of so few characters cannot have too many words
-        if b - a > 2 * LONG and len(text[a:b].split()) > LONG:
-            words = [(m.start(), m.group()) for m in _WORD.finditer(text, a, b)]
-            inner = [s for (_, w), (s, _) in zip(words, words[1:]) if zlib.crc32(w.encode("utf-8", "surrogatepass")) % CUT == 0]
+        if b - a > 2 * LONG and n_words(text[a:b]) > LONG:
+            units = [m.span() for m in (_WORD if text.isascii() else _UNIT).finditer(text, a, b)]
+            inner = [s for (w, e), (s, _) in zip(units, units[1:]) if _cut_here(text, w, e)]
             edges = [a, *inner, b]
             out += list(zip(edges, edges[1:]))
         else:
@@ -50,27 +68,35 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def spans(text: str, parts: list[tuple[int, int]], span: int = SPAN, span_words: int = SPAN_WORDS) -> list[tuple[int, int, bytes]]:
-    """``(first sentence, sentences, hash)`` of every span.  Case and white
-    space do not count, nor do sentences without a word."""
-    at, ends, n_words, norm, size, words = [], [], [0], [], 0, 0  # of the sentences with words
+    """``(first sentence, sentences, hash)`` of every shortest run from and up
+    to a sentence, each once.  Case and white space do not count, nor do
+    sentences without a word."""
+    at, ends, total, norm, size, words = [], [], [0], [], 0, 0  # of the sentences with words
     for i, (a, b) in enumerate(parts):
         tokens = text[a:b].lower().split()
         if tokens:
             data = " ".join(tokens).encode("utf-8", "surrogatepass")
             at.append(i), norm.append(data)
             size += len(data) + 1
-            words += len(tokens)
-            ends.append(size), n_words.append(words)
+            words += n_words(text[a:b])
+            ends.append(size), total.append(words)
     whole = b" ".join(norm)
-    out, j, digest = [], 0, xxhash.xxh3_128_digest
+    runs, j = [], 0
     for i in range(len(at)):  # both bounds move on only
         j = max(j, i + span)
-        while j <= len(at) and n_words[j] - n_words[i] < span_words:
+        while j <= len(at) and total[j] - total[i] < span_words:
             j += 1
         if j > len(at):
             break
-        out.append((at[i], at[j - 1] + 1 - at[i], digest(whole[ends[i - 1] if i else 0:ends[j - 1] - 1])))
-    return out
+        runs.append((i, j))
+    known, i = set(runs), 0
+    for j in range(span, len(at) + 1):
+        while i < j - span and total[j] - total[i + 1] >= span_words:
+            i += 1
+        if total[j] - total[i] >= span_words and (i, j) not in known:
+            runs.append((i, j))
+    digest = xxhash.xxh3_128_digest
+    return [(at[i], at[j - 1] + 1 - at[i], digest(whole[ends[i - 1] if i else 0:ends[j - 1] - 1])) for i, j in runs]
 
 
 def _span_stage(span: int, span_words: int):

@@ -76,6 +76,52 @@ def test_passages_inside_other_sentences_are_caught_and_clean_texts_kept(spark):
     assert all(got[i].n_removed > len(passage) / 2 for i in range(1, 20))
 
 
+def slow_all_runs(texts):
+    """Texts in order of first occurrence without the sentences of any run, of whatever length, that came before."""
+    first, out = {}, []
+    for d, text in enumerate(texts):
+        parts = S.sentences(text)
+        gone = [False] * len(parts)
+        toks = [text[a:b].lower().split() for a, b in parts]
+        size = [S.n_words(text[a:b]) for a, b in parts]
+        for i in range(len(parts)):
+            for j in range(i + 1, len(parts) + 1):
+                if toks[i] and toks[j - 1] and sum(map(bool, toks[i:j])) >= S.SPAN and sum(size[i:j]) >= S.SPAN_WORDS:
+                    if first.setdefault(tuple(w for t in toks[i:j] for w in t), (d, i)) < (d, i):
+                        gone[i:j] = [True] * (j - i)
+        out.append("".join(text[a:b] for (a, b), g in zip(parts, gone) if not g))
+    return out
+
+
+def test_against_all_runs(spark):
+    rnd = random.Random(21)
+    word = lambda: rnd.choice("abcdefgh") + str(rnd.randrange(60))
+    sent = lambda: " ".join(word() for _ in range(rnd.choice([1, 2, 4, 9, 30]))) + rnd.choice([".", "!", "?"])
+    passages = [[sent() for _ in range(rnd.randrange(3, 9))] for _ in range(6)]
+    texts = [" ".join([sent() for _ in range(rnd.randrange(4))] + rnd.choice(passages) + [sent() for _ in range(rnd.randrange(4))]) for _ in range(40)]
+    got = S.remove_repeated_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.kept_text for r in sorted(got, key=lambda r: r.did)] == slow_all_runs(texts)
+
+
+def test_passages_are_removed_to_both_ends_in_all_scripts(spark):
+    rnd = random.Random(22)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    spaced = lambda sizes: "".join(" ".join(word() for _ in range(n)) + ". " for n in sizes)
+    han = lambda sizes: "".join("".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(n)) + "。" for n in sizes)
+    rows, kept = [], []
+    for k, (make, sizes) in enumerate([(spaced, [9, 17, 16, 5, 2, 2]), (spaced, [2, 2, 17, 17, 9, 2, 2]), (han, [14, 20, 9, 12, 5, 3])]):
+        passage = make(sizes)
+        for d in range(2):
+            before, after = make([8, 11, 7]), make([6, 10, 8])
+            rows.append((2 * k + d, before + passage + after))
+            kept.append(before + (passage if d == 0 else "") + after)
+    got = S.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.kept_text for r in sorted(got, key=lambda r: r.did)] == kept
+    text = "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(400))  # without any full stop
+    cut = lambda t: {t[a:b] for a, b in S.sentences(t)}
+    assert len(cut(text) & cut("前" * 5 + text[30:])) > 10
+
+
 def test_empty_table(spark):
     assert S.remove_repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
