@@ -5,7 +5,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.session import checkpoint_dir, reliable_checkpoint, ship_package
@@ -37,11 +37,17 @@ def stored(df: DataFrame) -> DataFrame:
     larger intermediate rows (columnar and compressed, unlike a checkpoint).
     The folder is removed when the application ends."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/feedloom-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the cluster's shared checkpoint folder, removed when the application ends."""
+    path = f"{checkpoint_dir(spark)}/feedloom-{uuid.uuid4().hex}"
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import (decontaminate, langid, mixing, sentence_spans, simhash_vp, spotsigs, suffix_dedup, token_counts, toxicity,
-                          transcripts)
+from feedloom.llm import (decontaminate, langid, mixing, sentence_spans, simhash_vp, spotsigs, suffix_dedup, token_counts, token_files,
+                          toxicity, transcripts)
 from feedloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,13 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeated_spans(table(spark, sf_dir, "documents")).withColumnRenamed("did", "doc_id")
 
 
+@register
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole document, packed into files and read back."""
+    found = token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(F.col("did").alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
