@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import (decontaminate, langid, mixing, sentence_spans, simhash_vp, spotsigs, suffix_dedup, token_counts, token_files,
-                          toxicity, transcripts)
+                          toxicity, transcripts, vector_codes)
 from feedloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,12 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeated_spans(table(spark, sf_dir, "documents")).withColumnRenamed("did", "doc_id")
 
 
+@register
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings, four parts of a byte each."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).withColumnRenamed("vid", "vec_id")
+
+
 @register
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole document, packed into files and read back."""
