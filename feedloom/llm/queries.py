@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import (decontaminate, langid, mixing, sentence_spans, simhash_vp, spotsigs, suffix_dedup, token_counts, token_files,
+from feedloom.llm import (decontaminate, hard_negatives, langid, mixing, sentence_spans, simhash_vp, spotsigs, suffix_dedup, token_counts, token_files,
                           toxicity, transcripts, vector_codes)
 from feedloom.llm.common import crc_mod
 
@@ -113,6 +113,17 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeated_spans(table(spark, sf_dir, "documents")).withColumnRenamed("did", "doc_id")
 
 
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding among all of them."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+ORACLES["op11_hard_negatives"] = hard_negatives.MINE_SQL
+
+
 @register
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all embeddings, four parts of a byte each."""
