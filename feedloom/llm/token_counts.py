@@ -39,7 +39,7 @@ GROUP_DOCS = 1 << 24
 _PATTERN = r"'(?:[stmd]|re|ve|ll)| ?{L}+| ?{N}+| ?{O}+|{S}+(?!{T})|{S}+"
 _FIND = regex.compile(_PATTERN.format(L=r"\p{L}", N=r"\p{N}", O=r"[^\p{White_Space}\p{L}\p{N}]", S=r"\p{White_Space}", T=r"\P{White_Space}"))
 #: The same for texts of Latin-1 characters only, in the faster standard library.
-_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACE = _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 _FIND_LATIN = re.compile(_PATTERN.format(L=f"[{_L}]", N=f"[{_N}]", O=f"[^{_S}{_L}{_N}]", S=f"[{_S}]", T=f"[^{_S}]"))
 #: What the libraries may class differently, for their Unicode versions differ: texts with such
 #: characters are split by the tokenizer's own pre-tokenizer.

@@ -25,7 +25,6 @@ import os
 import re
 import struct
 import zlib
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import arrow_map, corpus, scratch_path, slices, stored
+from feedloom.llm.token_counts import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACE
 
 #: Ids of a block, and text bytes that a shard is meant for.
 BLOCK, SHARD_BYTES = 8192, 64 << 20
@@ -102,12 +102,26 @@ class Shard:
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+class Numbers(dict):
+    """Words numbered as they come; ``new`` holds those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class Encoder:
     """Ids of whole texts as the tokenizer's library gives them.
 
     Where the tokenizer drops white space before it looks for words, a text's
     ids are those of its parts between white space; each distinct part goes
-    through the library once and is remembered for a while."""
+    through the library once and is remembered for a while.  Texts of Latin-1
+    characters are cut into the tokenizer's own words, which repeat more."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -119,16 +133,33 @@ class Encoder:
         self.tokenizer.no_truncation(), self.tokenizer.no_padding()
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.by_words = _drops_space(spec)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.lower = '"Lowercase"' in json.dumps(spec["normalizer"])
+        self.latin = self._latin_words(spec) if self.by_words else None
         self._forget()
 
+    def _latin_words(self, spec: dict) -> re.Pattern | None:
+        """The tokenizer's pattern for the standard library, if the two agree on all Latin-1 characters."""
+        pre = spec["pre_tokenizer"]
+        pattern = (pre.get("pretokenizers") or [pre])[0]["pattern"]["Regex"]
+        for general, known in ((r"\p{L}", LATIN_LETTERS), (r"\p{N}", LATIN_NUMBERS), (r"\s", LATIN_SPACE)):
+            pattern = pattern.replace(general, known)
+        if r"\p" in pattern:
+            return None
+        every = [chr(c) for c in range(256)]
+        probe = "".join(f"a{c}1{c}!{c}{d}'{c}s " for c, d in zip(every, every[1:] + every[:1]))
+        probe = probe.lower() if self.lower else probe
+        found = [m.span() for m in re.finditer(pattern, probe)]
+        return re.compile(pattern) if found == [at for _, at in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)] else None
+
     def _forget(self) -> None:
-        self.number: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.number = Numbers()
         self.size, self.place, self.flat = (np.zeros(1, dtype=np.int64) for _ in range(3))
         self.known = self.used = 0
 
     def _learn(self) -> None:
         """Ids of the words numbered since the last call."""
-        new = list(itertools.islice(self.number, self.known, None))
+        new, self.number.new = self.number.new, []
         if not new:
             return
         found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
@@ -141,25 +172,46 @@ class Encoder:
         self.flat[self.used:self.used + len(ids)] = ids
         self.known, self.used = self.known + len(new), self.used + len(ids)
 
-    def _part(self, text: str) -> np.ndarray:
+    def _words(self, text: str) -> list[str]:
+        if self.latin and (text.isascii() or _is_latin(text)) and not any(a in text for a in self.added):
+            return self.latin.findall(text.lower() if self.lower else text)
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+    def _codes(self, text: str) -> np.ndarray:
+        words = self._words(text)
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int32, count=len(words))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        if not self.by_words:
+            found = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            return np.fromiter(itertools.chain.from_iterable(found), dtype=np.int64, count=int(sizes.sum())), sizes
         if len(self.number) > REMEMBER:
             self._forget()
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        codes = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        parts, words = [], np.zeros(len(texts), dtype=np.int64)
+        for i, text in enumerate(texts):
+            a = 0
+            while len(text) - a > CHUNK and (m := _SPACE.search(text, a + CHUNK)):
+                parts.append(self._codes(text[a:m.start()]))
+                words[i] += len(parts[-1])
+                a = m.end()
+            parts.append(self._codes(text[a:] if a else text))
+            words[i] += len(parts[-1])
         self._learn()
+        codes = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
         sizes = self.size[codes]
-        total = int(sizes.sum())
-        return self.flat[np.repeat(self.place[codes] - np.cumsum(sizes) + sizes, sizes) + np.arange(total)]
+        ends = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.place[codes] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+        return ids, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words)])])
 
-    def encode(self, text: str) -> np.ndarray:
-        if not self.by_words:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int64)
-        parts, a = [], 0
-        while len(text) - a > CHUNK and (m := _SPACE.search(text, a + CHUNK)):
-            parts.append(self._part(text[a:m.start()]))
-            a = m.end()
-        parts.append(self._part(text[a:]))
-        return np.concatenate(parts)
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _room(array: np.ndarray, n: int) -> np.ndarray:
@@ -221,14 +273,15 @@ def _write_stage(path: str, end_id: int, block: int):
             return sections(parts)
 
         for b in slices(batches):
-            for did, text in zip(b.column("did").to_pylist(), b.column("text").to_pylist()):
-                ids = np.append(enc.encode(text), end_id)
-                n_ids += len(ids)
-                doc_ids.append(did or 0), nulls.append(did is None), starts.append(n_ids)
-                waiting.append(ids)
-                n_waiting += len(ids)
-                if n_waiting > 64 * block:
-                    yield blocks(last=False)
+            ids, sizes = enc.encode(b.column("text").to_pylist())
+            waiting.append(np.insert(ids, np.cumsum(sizes), end_id))
+            n_waiting += len(waiting[-1])
+            starts += (n_ids + np.cumsum(sizes + 1)).tolist()
+            n_ids = starts[-1]
+            doc_ids += b.column("did").fill_null(0).to_pylist()
+            nulls += b.column("did").is_null().to_pylist()
+            if n_waiting > 64 * block:
+                yield blocks(last=False)
         yield blocks(last=True)
         places.append(at)
         index = at

@@ -41,13 +41,18 @@ def test_encoder_is_the_library():
     alphabet = "abcXYZ 019.,'\n\t\r\x0b\x0c\x1c\x85\xa0 　ßΣσéé世界ก🙂̸Å " + "   "
     texts = ["".join(rnd.choices(alphabet, k=rnd.randrange(60))) for _ in range(3000)]
     texts += ["", " ", "<|endoftext|>", "a<|startoftext|>b <|endoftext|> c", "it's we'RE ' s", "x" * 3000, "ΑΣ ΑΣ. ΑΣΑ"]
-    for t in texts:
-        assert enc.encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    alphabet = [chr(c) for c in range(256)] * 2 + list("abc's't12.  ")
+    texts += ["".join(rnd.choices(alphabet, k=rnd.randrange(90))) for _ in range(3000)]
+    assert enc.latin
+    ids, sizes = enc.encode(texts)
+    for t, n, e in zip(texts, sizes, np.cumsum(sizes)):
+        assert ids[e - n:e].tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    assert [len(x) for x in enc.encode([])] == [0, 0]
     chunk, T.CHUNK = T.CHUNK, 50  # long texts are cut at white space
     remember, T.REMEMBER = T.REMEMBER, 5
     try:
         for t in (" ".join(texts[:200]), "\n".join(texts[200:400]), "x" * 500):
-            assert enc.encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids
+            assert enc.encode([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
     finally:
         T.CHUNK, T.REMEMBER = chunk, remember
 
