@@ -64,10 +64,12 @@ def identified(docs: DataFrame, *more: str) -> DataFrame:
     """``corpus`` rows with a join key ``(uid, th)``.
 
     Equal rows get equal keys: whatever is found for one of them holds for
-    all.  Rows that share an id but not a text stay apart by ``th``.
+    all.  ``th`` is a 64-bit hash of the text, ``uid`` the id, or, where that
+    is null, a negative number from another hash: rows without ids are as many
+    keys as texts, not one.
     """
-    return docs.select(F.coalesce("did", F.lit(-(2 ** 63)).cast("long")).alias("uid"),
-                       F.hash("text").alias("th"), "did", "text", *more)
+    other = F.xxhash64(F.lit("no id"), "text").bitwiseOR(F.lit(-(2 ** 63)).cast("long"))
+    return docs.select(F.coalesce("did", other).alias("uid"), F.xxhash64("text").alias("th"), "did", "text", *more)
 
 
 def crc_mod(col: str, n: int) -> Column:

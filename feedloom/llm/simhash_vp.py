@@ -63,8 +63,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fps = np.fromiter((simhash(t, shingle) for t in b.column("text").to_pylist()), dtype=np.uint64, count=b.num_rows)
             yield pa.record_batch([b.column("did"), b.column("th"), pa.array(fps.view(np.int64))], names=["did", "th", "fp"])
 
-    rows = corpus(docs, id_col, text_col).select("did", F.hash("text").alias("th"), "text")
-    return arrow_map(rows, run, "did long, th int, fp long")
+    rows = corpus(docs, id_col, text_col).select("did", F.xxhash64("text").alias("th"), "text")
+    return arrow_map(rows, run, "did long, th long, fp long")
 
 
 # ------------------------------------------------------------------ tree
@@ -260,6 +260,6 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: st
     groups = near_duplicates(docs, shingle, max_bits, id_col, text_col)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("did").isNull().alias("null"), "did", "th")).alias("k")).select("k.did", "k.th")
     tagged = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("did"),
-                         F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
+                         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
     met = tagged.join(first.withColumnsRenamed({"did": "d", "th": "t"}), F.col("did").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left_semi")
     return met.groupBy("did", "th").agg(F.first("row").alias("row")).select("row.*")

@@ -103,7 +103,7 @@ def anchors(block: bytes, starts: np.ndarray, lengths: np.ndarray, length: int,
     return np.searchsorted(starts, first, side="right") - 1, key, seg, first, last - first, at - first
 
 
-_ANCHOR = "uid long, th int, key long, seg long, a long, more short, off short"
+_ANCHOR = "uid long, th long, key long, seg long, a long, more short, off short"
 
 
 def _anchor_stage(length: int, gram: int):
