@@ -37,9 +37,9 @@ from feedloom.llm.common import arrow_map, corpus, scratch_path, slices, stored
 from feedloom.llm.token_counts import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACE
 
 #: Ids of a block, and text bytes that a shard is meant for.
-BLOCK, SHARD_BYTES = 8192, 64 << 20
+BLOCK, SHARD_BYTES = 8192, 32 << 20
 #: Words whose ids a task remembers before it forgets them all; characters split at a time.
-REMEMBER, CHUNK = 1 << 20, 1 << 20
+REMEMBER, CHUNK = 1 << 18, 1 << 20
 
 MAGIC = b"FLTOKEN1"
 _HEADER, _FOOTER = "<8s4I", "<5Q8s"
