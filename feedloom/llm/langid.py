@@ -5,7 +5,11 @@ vocabulary.  A word's probability is the sum over all of its segmentations
 into pieces, computed by a forward algorithm; a text's is the product over its
 words.  The piece probabilities are fitted by expectation-maximisation over
 word counts, with the same forward sums and their backward counterpart.  All
-sums run vectorised over the distinct words of equal length.
+sums run vectorised over the distinct words of about one length; pieces of any
+length in the vocabulary count, and words of any length are summed whole.
+
+The background is the same sum under the prior, every piece equally likely:
+a text that no learned language explains better is in none of them.
 """
 from __future__ import annotations
 
@@ -20,18 +24,15 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import arrow_map, keep, slices
 
-#: Labelled rows per language that the fit reads at most, in expectation (chosen by a hash of id and text).
+#: Distinct labelled texts per language that the fit reads at most, in expectation (chosen by a hash of the text).
 FIT_ROWS_PER_LANG = 4000
 ROUNDS = 3
-#: Longest piece and longest word (bytes) of the vectorised sums; longer words are cut into parts of that size.
-MAX_PIECE = 10
-MAX_WORD = 48
+#: Sums over words of more bytes than this are rescaled every RESCALE bytes.
+PLAIN, RESCALE = 48, 16
 #: Pseudo count of every piece in every language.
 PRIOR = 0.1
 #: Distinct words a task remembers before it starts afresh.
 CACHE_WORDS = 400_000
-#: Least log probability per byte of a text in a learned language; texts full of keys and numbers stay above it.
-LEAST_PER_BYTE = -4.2
 #: Share of the evidence that counts, for a score that is not always 0 or 1.
 TEMPER = 0.2
 
@@ -43,43 +44,46 @@ _VOCAB: dict[str, "Vocabulary"] = {}
 
 
 class Vocabulary:
-    """Pieces of up to MAX_PIECE bytes in an open-addressed table keyed by
-    their bytes packed into two words."""
+    """The pieces as a tree of bytes, its edges in an open-addressed table keyed by node and byte."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
             tokens = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-        self.pieces = sorted(t for t in set(tokens) | {bytes([i]) for i in range(256)} if len(t) <= MAX_PIECE)
-        raw = np.frombuffer(b"".join(t.ljust(16, b"\0") for t in self.pieces), dtype="<u8").reshape(-1, 2)
-        keys = self.key(raw[:, 0], raw[:, 1], np.array([len(t) for t in self.pieces], dtype=np.uint64))
+        self.pieces = sorted(set(tokens) | {bytes([i]) for i in range(256)})
+        self.longest = max(map(len, self.pieces))
+        edges: dict[int, int] = {}
+        ends = {}
+        for i, piece in enumerate(self.pieces):
+            node = 0
+            for byte in piece:
+                node = edges.setdefault(node << 8 | byte, len(edges) + 1)
+            ends[node] = i
+        self.piece = np.full(len(edges) + 1, -1, dtype=np.int64)
+        self.piece[list(ends)] = list(ends.values())
+        keys = self.mixed(np.fromiter(edges, dtype=np.uint64, count=len(edges)))
         order = np.argsort(keys)
-        self.keys, self.ids = keys[order], order
-        assert len(np.unique(keys)) == len(keys), "piece keys collide"
+        self.keys, self.nodes = keys[order], np.fromiter(edges.values(), dtype=np.int64, count=len(edges))[order]
         bits = 20
         self.shift = np.uint64(64 - bits)
-        self.first = np.searchsorted(self.keys, np.arange((1 << bits) + 1, dtype=np.uint64) << self.shift if bits < 64 else 0)
+        self.first = np.searchsorted(self.keys, np.arange((1 << bits) + 1, dtype=np.uint64) << self.shift)
         self.first[-1] = len(keys)
-        self.probe = int(np.diff(self.first).max())
 
     @staticmethod
-    def key(lo, hi, size):
-        x = (lo ^ (lo >> np.uint64(31))) * _K1 + (hi ^ (hi >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F) + size * np.uint64(0x165667B19E3779F9)
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ (x >> np.uint64(32))
+    def mixed(keys: np.ndarray) -> np.ndarray:
+        return (keys + np.uint64(1)) * _K1  # odd factor: no two keys meet
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Piece number of each key; -1 where there is none."""
+    def step(self, nodes: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """The node behind each node's edge for a byte; -1 where there is none."""
+        keys = self.mixed(nodes.astype(np.uint64) << np.uint64(8) | data)
         slot = (keys >> self.shift).astype(np.int64)
         at, end = self.first[slot], self.first[slot + 1]
         out = np.full(len(keys), -1, dtype=np.int64)
-        for _ in range(self.probe):
-            live = np.flatnonzero(at < end)
-            if not len(live):
-                break
+        live = np.flatnonzero(at < end)
+        while len(live):
             hit = self.keys[at[live]] == keys[live]
-            out[live[hit]] = self.ids[at[live[hit]]]
+            out[live[hit]] = self.nodes[at[live[hit]]]
             at[live] += 1
-            at[live[hit]] = end[live[hit]]
+            live = live[~hit & (at[live] < end[live])]
         return out
 
 
@@ -89,70 +93,102 @@ def vocabulary(path: str) -> Vocabulary:
     return _VOCAB[path]
 
 
-def parts(word: str) -> list[bytes]:
-    """A lower-cased word with its leading space, cut into parts of at most MAX_WORD bytes."""
-    data = b" " + word.encode("utf-8", "surrogatepass")
-    return [data[i:i + MAX_WORD] for i in range(0, len(data), MAX_WORD)]
-
-
-def lattice(words: list[bytes], vocab: Vocabulary):
-    """Per word length: word numbers and, for each end position, the piece
-    ending there by piece length (-1: none)."""
-    sizes = np.array([len(w) for w in words])
-    for size in np.unique(sizes):
-        idx = np.flatnonzero(sizes == size)
-        raw = np.frombuffer(b"".join(words[i] for i in idx), dtype=np.uint8).reshape(-1, size).astype(np.uint64)
-        found = {}
-        for start in range(size):
-            lo, hi = np.zeros(len(idx), dtype=np.uint64), np.zeros(len(idx), dtype=np.uint64)
-            for n in range(1, min(MAX_PIECE, size - start) + 1):
-                byte = raw[:, start + n - 1]
-                if n <= 8:
-                    lo = lo | byte << np.uint64(8 * (n - 1))
-                else:
-                    hi = hi | byte << np.uint64(8 * (n - 9))
-                found[start, n] = vocab.find(vocab.key(lo, hi, np.uint64(n)))
-        yield int(size), idx, found
-
-
-def forward(size: int, found, probs: np.ndarray):
-    """Forward sums ``alpha[i]`` (words x languages), i = 0..size."""
-    n = len(found[0, 1])
-    alpha = [np.ones((n, probs.shape[1]))] + [np.zeros((n, probs.shape[1])) for _ in range(size)]
-    for i in range(1, size + 1):
-        for k in range(1, min(MAX_PIECE, i) + 1):
-            ids = found[i - k, k]
-            hit = np.flatnonzero(ids >= 0)
-            alpha[i][hit] += alpha[i - k][hit] * probs[ids[hit]]
-    return alpha
+def as_bytes(word: str) -> bytes:
+    """A lower-cased word with its leading space."""
+    return b" " + word.encode("utf-8", "surrogatepass")
+
+
+def classes(words: list[bytes]):
+    """Words of about one length: their numbers, longest first, lengths, and bytes in a zero-filled matrix."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    kind = np.ceil(np.log2(np.maximum(sizes, 8) / 8)).astype(np.int64)
+    for k in np.unique(kind):
+        idx = np.flatnonzero(kind == k)
+        idx = idx[np.argsort(-sizes[idx], kind="stable")]
+        width = int(sizes[idx[0]])
+        raw = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in idx), dtype=np.uint8).reshape(-1, width)
+        yield idx, sizes[idx], raw
+
+
+def lattice(sizes: np.ndarray, raw: np.ndarray, vocab: Vocabulary):
+    """For every place: the pieces that start there, as ``(length, rows, piece numbers)`` by length."""
+    width = raw.shape[1]
+    reach = np.searchsorted(-sizes, -np.arange(width + 1), side="right")  # rows with at least so many bytes
+    for start in range(width):
+        rows, node, out = np.arange(reach[start + 1]), np.zeros(reach[start + 1], dtype=np.int64), []
+        for end in range(start + 1, width + 1):
+            if len(rows) and rows[-1] >= reach[end]:
+                inside = np.searchsorted(rows, reach[end])
+                rows, node = rows[:inside], node[:inside]
+            node = vocab.step(node, raw[rows, end - 1])
+            alive = node >= 0
+            rows, node = rows[alive], node[alive]
+            if not len(rows):
+                break
+            piece = vocab.piece[node]
+            hit = piece >= 0
+            if hit.any():
+                out.append((end - start, rows[hit], piece[hit]))
+        yield start, out
+
+
+def forward(sizes: np.ndarray, width: int, steps, probs: np.ndarray, keep_all: bool = False):
+    """Forward sums.  Each row's log sum at its end, and with ``keep_all`` the sums of
+    all places with the logs of what they were divided by."""
+    n, k = len(sizes), probs.shape[1]
+    alpha, scale, total = {0: np.ones((n, k))}, np.zeros((n, k)), np.zeros((n, k))
+    scales = {}
+    for start, out in steps:
+        if width > PLAIN and start and start % RESCALE == 0:
+            live = sizes > start
+            by = np.where(live[:, None], alpha[start], 1.0)
+            for place in alpha:
+                if place >= start:
+                    alpha[place] /= by
+            scale = scale + np.log(by)
+        scales[start] = scale
+        for size, rows, ids in out:
+            to = alpha.setdefault(start + size, np.zeros((n, k)))
+            to[rows] += alpha[start][rows] * probs[ids]
+        done = np.flatnonzero(sizes == start + 1)
+        if len(done):
+            total[done] = np.log(alpha[start + 1][done]) + scale[done]
+        if not keep_all:
+            del alpha[start], scales[start]
+    return total, alpha, scales
 
 
 def log_words(words: list[bytes], vocab: Vocabulary, probs: np.ndarray) -> np.ndarray:
-    """Log probability of every word part under every language.
-
-    Parts have at most MAX_WORD bytes and single bytes at least the prior's
-    probability, so sums stay above the smallest double."""
+    """Log probability of every word under every language."""
     out = np.zeros((len(words), probs.shape[1]))
-    for size, idx, found in lattice(words, vocab):
-        out[idx] = np.log(np.maximum(forward(size, found, probs)[size], 1e-300))
+    for idx, sizes, raw in classes(words):
+        out[idx] = forward(sizes, raw.shape[1], lattice(sizes, raw, vocab), probs)[0]
     return out
 
 
 def expected(words: list[bytes], counts: np.ndarray, vocab: Vocabulary, probs: np.ndarray) -> np.ndarray:
     """Expected piece counts (pieces x languages) of words counted per language."""
     out = np.zeros_like(probs)
-    for size, idx, found in lattice(words, vocab):
-        alpha = forward(size, found, probs)
-        weight = counts[idx] / np.maximum(alpha[size], 1e-300)
-        beta = [np.zeros_like(weight) for _ in range(size)] + [weight]
-        for i in range(size - 1, -1, -1):
-            for k in range(1, min(MAX_PIECE, size - i) + 1):
-                ids = found[i, k]
-                hit = np.flatnonzero(ids >= 0)
-                step = probs[ids[hit]] * beta[i + k][hit]
-                beta[i][hit] += step
+    for idx, sizes, raw in classes(words):
+        width = raw.shape[1]
+        steps = list(lattice(sizes, raw, vocab))
+        total, alpha, scales = forward(sizes, width, steps, probs, keep_all=True)
+        # backward sums, divided so that with the forward sums they make shares of the word
+        beta = {place: np.zeros((len(idx), probs.shape[1])) for place in range(width + 1)}
+        for place in np.unique(sizes):
+            rows = np.flatnonzero(sizes == place)
+            beta[place][rows] = counts[idx[rows]] * np.exp(scales[place - 1][rows] - total[rows])
+        for start, found in reversed(steps):
+            for size, rows, ids in found:
+                step = probs[ids] * beta[start + size][rows]
+                beta[start][rows] += step
                 for lang in range(probs.shape[1]):
-                    out[:, lang] += np.bincount(ids[hit], weights=alpha[i][hit, lang] * step[:, lang], minlength=len(probs))
+                    out[:, lang] += np.bincount(ids, weights=alpha[start][rows, lang] * step[:, lang], minlength=len(probs))
+            if width > PLAIN and start and start % RESCALE == 0:  # places before this one were not divided by what it was
+                beta[start] *= np.exp(scales[start - 1] - scales[start])
+                for place in range(start + 1, width + 1):
+                    if place in beta and place < start + vocab.longest:
+                        beta[place] *= np.exp(scales[start - 1] - scales[start])
     return out
 
 
@@ -183,8 +219,7 @@ def _expect_stage(path: str, probs: np.ndarray):
             index: dict[bytes, int] = {}
             cells: Counter = Counter()
             for no, word, n in zip(*(b.column(c).to_pylist() for c in ("lang_no", "word", "n"))):
-                for p in parts(word):
-                    cells[index.setdefault(p, len(index)), no] += n
+                cells[index.setdefault(as_bytes(word), len(index)), no] += n
             counts = np.zeros((len(index), probs.shape[1]))
             for (i, no), n in cells.items():
                 counts[i, no] += n
@@ -200,18 +235,20 @@ def fit(labelled: DataFrame, path: str, text_col: str = "text", lang_col: str =
         rows_per_lang: int = FIT_ROWS_PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages and piece probabilities from rows with a non-null language.
 
-    The fit reads a bounded sample: each row is kept with probability
-    ``rows_per_lang`` over its language's count, decided by a hash.  The
-    driver receives one number per piece and language."""
-    rows = labelled.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    The fit reads a bounded sample of the distinct texts: each is kept with
+    probability ``rows_per_lang`` over its language's number of them, decided by
+    a hash; copies count once.  The driver receives one number per piece and
+    language."""
+    rows = labelled.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null") \
+        .withColumn("h", F.xxhash64("text"))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     langs = sorted(sizes)
     vocab = vocabulary(path)
     probs = normalised(np.zeros((len(vocab.pieces), max(1, len(langs)))))
     if not langs:
         return langs, probs
-    share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, rows_per_lang / sizes[k]))]), F.col("lang")), F.lit(0.0))
-    sample = rows.filter((F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000)) < share * 1_000_000))
+    share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, rows_per_lang / max(1, sizes[k])))]), F.col("lang")), F.lit(0.0))
+    sample = rows.filter((F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)).groupBy("h", "lang").agg(F.min("text").alias("text"))
     words = arrow_map(sample, _count_stage({k: i for i, k in enumerate(langs)}), "lang_no int, word string, n long")
     words = keep(words.groupBy("lang_no", "word").agg(F.sum("n").alias("n")))
     for _ in range(rounds):
@@ -226,33 +263,33 @@ def fit(labelled: DataFrame, path: str, text_col: str = "text", lang_col: str =
 def _score_stage(path: str, langs: list[str], probs: np.ndarray, temper: float):
     def run(batches):
         vocab = vocabulary(path)
+        every = np.column_stack([probs, np.full(len(probs), 1 / len(probs))])  # the background last
         known: dict[str, int] = {}
-        logs, sizes = np.zeros((0, len(langs))), np.zeros(0)
+        logs, sizes = np.zeros((0, every.shape[1])), np.zeros(0)
         for b in slices(batches):
             if len(known) > CACHE_WORDS:
-                known, logs, sizes = {}, np.zeros((0, len(langs))), np.zeros(0)
+                known, logs, sizes = {}, np.zeros((0, every.shape[1])), np.zeros(0)
             texts = [WORD.findall(t.lower()) for t in b.column("text").to_pylist()]
             fresh = list({w for ws in texts for w in ws if w not in known})
             if fresh and langs:
-                cut = [parts(w) for w in fresh]
-                flat = [p for ps in cut for p in ps]
-                owner = np.repeat(np.arange(len(cut)), [len(ps) for ps in cut])
-                each = log_words(flat, vocab, probs)
-                new = np.stack([np.bincount(owner, weights=each[:, k], minlength=len(fresh)) for k in range(len(langs))], axis=1)
+                data = [as_bytes(w) for w in fresh]
                 known.update(zip(fresh, range(len(logs), len(logs) + len(fresh))))
-                logs, sizes = np.concatenate([logs, new]), np.concatenate([sizes, [sum(map(len, ps)) for ps in cut]])
-            best, scores, per_byte = [], [], []
+                logs = np.concatenate([logs, log_words(data, vocab, every)])
+                sizes = np.concatenate([sizes, list(map(len, data))])
+            best, scores, per_byte, margin = [], [], [], []
             for ws in texts:
                 if not ws or not langs:
-                    best.append(UNDETERMINED), scores.append(0.0), per_byte.append(None)
+                    best.append(UNDETERMINED), scores.append(0.0), per_byte.append(None), margin.append(None)
                     continue
                 at = np.fromiter(map(known.__getitem__, ws), dtype=np.int64, count=len(ws))
-                s = logs[at].sum(axis=0)
+                sums = logs[at].sum(axis=0)
+                s, size = sums[:-1], float(sizes[at].sum())
                 e = np.exp((s - s.max()) * temper)
                 k = int(np.argmax(e))
-                best.append(langs[k]), scores.append(float(e[k] / e.sum())), per_byte.append(float(s[k] / sizes[at].sum()))
-            yield pa.record_batch([b.column("did"), pa.array(best, pa.string()), pa.array(scores, pa.float64()),
-                                   pa.array(per_byte, pa.float64()), b.column("row")], names=["did", "lang_pred", "score", "per_byte", "row"])
+                best.append(langs[k]), scores.append(float(e[k] / e.sum())), per_byte.append(float(s[k] / size))
+                margin.append(float((s[k] - sums[-1]) / size))
+            yield pa.record_batch([b.column("did"), pa.array(best, pa.string()), pa.array(scores, pa.float64()), pa.array(per_byte, pa.float64()),
+                                   pa.array(margin, pa.float64()), b.column("row")], names=["did", "lang_pred", "score", "per_byte", "margin", "row"])
 
     return run
 
@@ -262,7 +299,8 @@ def identify(docs: DataFrame, langs: list[str], probs: np.ndarray, path: str, id
     """One row per document: ``did``, ``lang_pred``, ``score`` (the tempered
     posterior, all languages equally likely beforehand), ``per_byte`` (log
     probability per byte of words in the predicted language; null if ``und``),
-    and ``row``, a struct of the ``carry`` columns.
+    ``margin`` (by how much that is above the background's) and ``row``, a
+    struct of the ``carry`` columns.
 
     The prediction reads nothing but the whole text.  Null texts and texts
     without a letter are ``und`` with score 0; so is everything when no
@@ -272,10 +310,11 @@ def identify(docs: DataFrame, langs: list[str], probs: np.ndarray, path: str, id
     extra = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
     base = docs.select(F.col(id_col).cast("long").alias("did"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), extra.alias("row"))
     kind = base.schema["row"].dataType.simpleString()
-    return arrow_map(base, _score_stage(path, langs, probs, temper), f"did long, lang_pred string, score double, per_byte double, row {kind}")
+    return arrow_map(base, _score_stage(path, langs, probs, temper), f"did long, lang_pred string, score double, per_byte double, margin double, row {kind}")
 
 
 def written_in_learned(found: DataFrame) -> DataFrame:
-    """Rows of ``identify`` whose text is in a learned language: it has
-    letters, and its words are not wholly alien to the predicted language."""
-    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("per_byte") >= LEAST_PER_BYTE))
+    """Rows of ``identify`` whose text is in a learned language: it has letters,
+    and the predicted language explains its words better than the background,
+    for which every piece of the vocabulary is equally likely."""
+    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("margin") > 0))

@@ -13,7 +13,7 @@ PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def segmentations(word, pieces):
     if not word:
         yield []
-    for n in range(1, min(len(word), L.MAX_PIECE) + 1):
+    for n in range(1, len(word) + 1):
         if word[:n] in pieces:
             for rest in segmentations(word[n:], pieces):
                 yield [word[:n], *rest]
@@ -21,11 +21,47 @@ def segmentations(word, pieces):
 
 def test_vocabulary_lookup():
     v = L.vocabulary(PATH)
-    raw = [p for p in v.pieces[::97]] + [b"zzqqj", b"\xff\xfe\xfd"]
-    packed = np.frombuffer(b"".join(t.ljust(16, b"\0") for t in raw), dtype="<u8").reshape(-1, 2)
-    got = v.find(v.key(packed[:, 0], packed[:, 1], np.array([len(t) for t in raw], dtype=np.uint64)))
     at = {p: i for i, p in enumerate(v.pieces)}
-    assert got.tolist() == [at.get(t, -1) for t in raw]
+    assert v.longest > 30
+    for word in [*v.pieces[::997], max(v.pieces, key=len), b"zzqqj", b"\xff\xfe\xfd", b"a\0b"]:
+        sizes, raw = np.array([len(word)]), np.frombuffer(word, dtype=np.uint8).reshape(1, -1)
+        got = {(start, start + n): ids[0] for start, out in L.lattice(sizes, raw, v) for n, _, ids in out}
+        assert got == {(i, j): at[word[i:j]] for i in range(len(word)) for j in range(i + 1, len(word) + 1) if word[i:j] in at}
+
+
+def plain_sums(word, at, probs):
+    """Forward sums in exact fractions of Python floats' logs: one language."""
+    from fractions import Fraction
+    p = [Fraction(x) for x in probs]
+    a = [Fraction(1)] + [Fraction(0)] * len(word)
+    for i in range(len(word)):
+        for j in range(i + 1, len(word) + 1):
+            if word[i:j] in at:
+                a[j] += a[i] * p[at[word[i:j]]]
+    return a
+
+
+def test_long_words_are_summed_whole():
+    import math
+    v = L.vocabulary(PATH)
+    at = {p: i for i, p in enumerate(v.pieces)}
+    probs = L.normalised(np.random.default_rng(5).random((len(v.pieces), 2)))
+    words = [b" " + b"thingandeberuber" * 13, " 世界你好".encode() * 30, b" " + b"internationalization" * 3, b" a", b" " + b"x" * 48, b" " + b"q" * 63]
+    got = L.log_words(words, v, probs)
+    counts = np.arange(1.0, 13.0).reshape(6, 2)
+    exp = L.expected(words, counts, v, probs)
+    want = np.zeros_like(exp)
+    for i, w in enumerate(words):
+        for k in range(2):
+            a = plain_sums(w, at, probs[:, k])
+            back = plain_sums(w[::-1], {p[::-1]: n for p, n in at.items()}, probs[:, k])[::-1]
+            log = math.log(a[-1].numerator) - math.log(a[-1].denominator)
+            assert abs(got[i, k] - log) < 1e-8 * abs(log)
+            for s in range(len(w)):
+                for e in range(s + 1, len(w) + 1):
+                    if w[s:e] in at:
+                        want[at[w[s:e]], k] += counts[i, k] * float(a[s] * back[e] / a[-1]) * probs[at[w[s:e]], k]
+    assert np.allclose(exp, want)
 
 
 def test_sums_over_all_segmentations():
@@ -68,6 +104,43 @@ def test_edge_cases(spark):
     assert {r.lang_pred for r in L.identify(df, langs, probs, PATH).collect()} == {"und"}
 
 
+OTHERS = {
+    "ru": "Сегодня утром мы вышли из дома и пошли через старый парк к реке, где рыбаки уже давно сидели на берегу.",
+    "el": "Σήμερα το πρωί βγήκαμε από το σπίτι και περπατήσαμε μέσα από το παλιό πάρκο μέχρι το ποτάμι.",
+    "ar": "خرجنا هذا الصباح من البيت ومشينا عبر الحديقة القديمة إلى النهر حيث كان الصيادون يجلسون منذ وقت طويل.",
+    "ko": "오늘 아침 우리는 집을 나와 오래된 공원을 지나 강까지 걸어갔고 낚시꾼들은 이미 오래전부터 앉아 있었다.",
+    "pl": "Dziś rano wyszliśmy z domu i poszliśmy przez stary park nad rzekę, gdzie wędkarze siedzieli już od dawna na brzegu.",
+    "it": "Questa mattina siamo usciti di casa e abbiamo attraversato il vecchio parco fino al fiume, dove i pescatori sedevano già da tempo.",
+    "fi": "Tänä aamuna lähdimme kotoa ja kävelimme vanhan puiston läpi joelle, jossa kalastajat olivat istuneet jo pitkään rannalla.",
+    "tr": "Bu sabah evden çıktık ve eski parkın içinden nehre kadar yürüdük, balıkçılar çoktandır kıyıda oturuyordu.",
+    "hi": "आज सुबह हम घर से निकले और पुराने पार्क से होकर नदी तक गए जहाँ मछुआरे बहुत देर से किनारे पर बैठे थे।",
+    "zh": "今天早上我们走出家门穿过老公园来到河边渔夫们早已坐在岸上",
+    "ja": "今朝私たちは家を出て古い公園を通り川まで歩いた。漁師たちはもうずっと前から岸に座っていた。",
+}
+
+
+def test_texts_in_no_learned_language_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    langs, probs = L.fit(docs, PATH)
+    others = spark.createDataFrame([(i, t, None) for i, t in enumerate(OTHERS.values())] + [(50, "xqzjv wkkqp zzvrx qjxwv " * 5, None)], docs.schema)
+    assert L.written_in_learned(L.identify(others, langs, probs, PATH)).count() == 0
+    written = docs.filter("text rlike '[A-Za-z]'")
+    assert L.written_in_learned(L.identify(written, langs, probs, PATH)).count() >= .99 * written.count()
+
+
+def test_copies_count_once_in_the_fit(spark):
+    texts = [(f"the house number {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(300)] + [("la casa", "es")] * 700 + [("una casa vieja", "es")]
+    df = spark.createDataFrame(texts, "text string, lang string")
+    once = L.fit(df.dropDuplicates(), PATH)
+    assert L.fit(df, PATH)[0] == once[0] and np.allclose(L.fit(df, PATH)[1], once[1])
+
+
+def test_ties_go_to_the_first_language(spark):
+    df = spark.createDataFrame([("same words", "b"), ("same words", "a")], "text string, lang string").selectExpr("1L as doc_id", "*")
+    langs, probs = L.fit(df, PATH)
+    assert [r.lang_pred for r in L.identify(df, langs, probs, PATH).collect()] == ["a", "a"]
+
+
 def test_query_held_out_accuracy(spark):
     got = Q.queries()["op5_language_id"](spark, "/root/testdata/sf0.01").collect()
     docs = {d.doc_id: d for d in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
