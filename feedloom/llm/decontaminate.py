@@ -10,19 +10,21 @@ item, and the exact edit distance between the two decides.  The chosen bytes
 depend on the text at them alone, so an exact copy shares at least one start
 with its item whatever stands around it and whatever its script.  Each of
 ``functions`` independent walks over each start of the item is one
-repetition, so an item has many chances.
+repetition, so an item has many chances.  Items too short for a walk are
+found verbatim, all at once.
 
 Items are a stated query set: they go to the tasks in blocks of at most
 ``ITEM_BLOCK`` bytes, one pass a block, whatever their number.
 """
 from __future__ import annotations
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import arrow_map, slices
+from feedloom.llm.common import arrow_map, slices, stored
 
 #: Largest edit distance as a share of the item's bytes.
 MAX_EDIT = 0.1
@@ -36,10 +38,10 @@ NEAR, GRAM = 9, 8
 FEW_STARTS = 2 * STEPS
 #: Independent walks.
 FUNCTIONS = 2
-#: Items below so many bytes are no evidence of a leak and never match.
+#: Items below so many bytes have too few starts for a walk and are matched verbatim.
 MIN_ITEM = 24
-#: Bytes of items in the tasks at a time.
-ITEM_BLOCK = 8 << 20
+#: Bytes of items in the tasks at a time; an item takes some 4 KB there.
+ITEM_BLOCK = 2 << 20
 #: Document bytes per block and walk starts handled at a time.
 TEXT_BLOCK, START_BLOCK = 1 << 20, 1 << 18
 
@@ -134,7 +136,17 @@ class Items:
 
     def __init__(self, items: list[tuple[int, str]], functions: int, max_edit: float):
         self.max_edit = max_edit
-        self.items = [(i, x) for i, x in ((i, fold(t).strip()) for i, t in items) if len(x) >= MIN_ITEM]
+        folded = [(i, fold(t).strip()) for i, t in items]
+        self.items = [(i, x) for i, x in folded if len(x) >= MIN_ITEM]
+        self.short: dict[str, list[int]] = {}
+        for i, x in folded:
+            if 0 < len(x) < MIN_ITEM:
+                self.short.setdefault(x.decode("latin-1"), []).append(i)
+        self.automaton = ahocorasick.Automaton()
+        for x in self.short:
+            self.automaton.add_word(x, x)
+        if self.short:
+            self.automaton.make_automaton()
         self.walks = []
         self.tables = np.zeros((len(self.items), 1 << QBITS), dtype=bool)
         for k, (_, x) in enumerate(self.items):
@@ -179,6 +191,18 @@ class Items:
         pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
         return self.plausible(raw, np.unique(pairs, axis=0)) if len(pairs) else pairs
 
+    def verbatim(self, data: bytes) -> list[dict]:
+        """The first place of each short item that stands in ``data`` and does not begin or end inside an ASCII word."""
+        found: dict[str, int] = {}
+        if self.short:
+            text = data.decode("latin-1")
+            inside = lambda i: 0 < i < len(text) and text[i - 1].isascii() and text[i - 1].isalnum() and text[i].isascii() and text[i].isalnum()
+            for last, x in self.automaton.iter(text):
+                start = last + 1 - len(x)
+                if x not in found and not inside(start) and not inside(last + 1):
+                    found[x] = start
+        return [{"item_id": i, "distance": 0, "start": a, "end": a + len(x)} for x, a in sorted(found.items()) for i in self.short[x]]
+
     def limit(self, k: int) -> int:
         return int(self.max_edit * len(self.items[k][1]))
 
@@ -284,17 +308,19 @@ def _scan_stage(listed: list[tuple[int, str]], functions: int, max_edit: float):
                         mine = pairs[doc == d] - [0, begin[d]]
                         hits[i + d] = _hits(items, folded[i + d], mine)
                 i = j
+            hits = [h + items.verbatim(x) for h, x in zip(hits, folded)]
             yield pa.record_batch([b.column("row"), b.column("text"), pa.array(hits, _HITS_ARROW)], names=["row", "text", "hits"])
 
     return run
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[list[tuple[int, str]]]:
-    """The items in blocks of about ITEM_BLOCK bytes; each is a bounded read."""
+def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text"):
+    """The items in blocks of about ITEM_BLOCK bytes, each with whether another follows; one block is read at a time."""
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter("t is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // ITEM_BLOCK))
-    return [[(r.i, r.t) for r in rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).orderBy("i", "t").collect()] for k in range(n)]
+    for k in range(n):
+        yield [(r.i, r.t) for r in rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).orderBy("i", "t").collect()], k + 1 < n
 
 
 def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", max_edit: float = MAX_EDIT, functions: int = FUNCTIONS) -> DataFrame:
@@ -302,15 +328,17 @@ def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", max_edit: fl
 
     A hit has ``item_id``, the edit ``distance`` (bytes, after folding A-Z and
     white space), and the byte span ``start``..``end`` of the best match.
-    Null and empty texts have no hits; nor have items that are null or under
-    MIN_ITEM bytes.  Repeated items with one text are reported under each id;
+    Null and empty texts have no hits, nor have null and blank items.  Items
+    under MIN_ITEM bytes are hits where they stand verbatim and not as a part
+    of a longer word or number.  Repeated items with one text are reported under each id;
     repeated documents each keep their row.  An empty table gives no rows.
     """
     kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
                        F.lit(None).cast(_HITS).alias("old"))
     kind = kept.schema["row"].dataType.simpleString()
-    for listed in item_blocks(items):
+    for listed, more in item_blocks(items):
         found = arrow_map(kept.select(F.struct("row", "old").alias("row"), "text"), _scan_stage(listed, functions, max_edit),
                           f"row struct<row: {kind}, old: {_HITS}>, text string, hits {_HITS}")
         kept = found.select("row.row", "text", F.concat(F.coalesce("row.old", F.array().cast(_HITS)), "hits").alias("old"))
+        kept = stored(kept) if more else kept
     return kept.select("row", F.coalesce("old", F.array().cast(_HITS)).alias("hits"))

@@ -6,7 +6,8 @@ node a fingerprint goes to the inner side (distance to the vantage point at
 most ``mu``) or the outer side, and, as a query, also to the other side when
 the triangle inequality allows a partner there (within ``max_bits`` of the
 boundary).  So every pair within ``max_bits`` meets in the home shard of both
-of its members.  Inside a shard the same partition goes on in memory down to
+of its members.  A shard's queries are dealt in blocks, each of which meets its
+home members in one task.  There the same partition goes on in memory down to
 small leaves, which are compared in full.  A shard returns a spanning forest
 of its links, never its pairs; the forests are joined into components by
 alternating star contraction.
@@ -28,10 +29,14 @@ SEED = 42
 #: Fingerprints per shard the router aims at.
 SHARD_TARGET = 20_000
 #: Deepest router: at most 2**MAX_LEVELS shards, and SAMPLE_PER_SHARD times as many sampled fingerprints on the driver.
+#: With more fingerprints shards hold more home members (8 bytes each), and more blocks of queries meet them.
 MAX_LEVELS = 12
 SAMPLE_PER_SHARD = 16
+#: Queries that meet a shard's home members in one task, on average.
+QUERY_BLOCK = 1 << 20
 #: Leaves of the in-memory tree, compared in full.
 LEAF = 192
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def simhash(text: str, shingle: int = 3) -> int:
@@ -161,10 +166,11 @@ class _Forest:
             a, b = lo[~first], hi[~first]
 
 
-def shard_links(fps: np.ndarray, home: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the links between all members of a shard and its home members."""
+def shard_links(fps: np.ndarray, home: np.ndarray, max_bits: int, query: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the links between a shard's queries (all members if
+    not given) and its home members."""
     forest, rng = _Forest(len(fps)), np.random.default_rng(SEED)
-    stack = [(np.arange(len(fps)), np.flatnonzero(home))]
+    stack = [(np.arange(len(fps)) if query is None else np.flatnonzero(query), np.flatnonzero(home))]
     while stack:
         q, h = stack.pop()
         if not len(q) or not len(h):
@@ -194,22 +200,38 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     levels = min(MAX_LEVELS, max(3, int(np.ceil(np.log2(max(1, n / SHARD_TARGET))))))
     bound = SAMPLE_PER_SHARD << levels  # at most 65,536 fingerprints reach the driver
     picked = distinct.orderBy(F.xxhash64("fp"), "fp").limit(bound).collect()
-    tree = router(np.array([r.fp for r in picked], dtype=np.int64).view(np.uint64), levels) if picked else 0
+    sample = np.array([r.fp for r in picked], dtype=np.int64).view(np.uint64)
+    tree = router(sample, levels) if picked else 0
+    blocks = query_blocks(tree, sample, n, max_bits)
 
     def deal(batches):
         for b in batches:
             fps = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            if len(fps):
-                shard, idx, home = route(tree, fps, max_bits)
-                yield pa.record_batch([pa.array(shard), pa.array(fps[idx].view(np.int64)), pa.array(home)], names=["shard", "fp", "home"])
+            if not len(fps):
+                continue
+            shard, idx, home = route(tree, fps, max_bits)
+            block = ((fps[idx] * _MIX) >> np.uint64(32)) % np.uint64(blocks)
+            for k in range(blocks):  # queries in their block, home members in all
+                query = block == k
+                at = np.flatnonzero(query | home)
+                yield pa.record_batch([pa.array(shard[at]), pa.array(np.full(len(at), k, dtype=np.int32)), pa.array(fps[idx[at]].view(np.int64)),
+                                       pa.array(home[at]), pa.array(query[at])], names=["shard", "block", "fp", "home", "query"])
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        u, v = shard_links(pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy(), max_bits)
+        u, v = shard_links(pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy(), max_bits, pdf["query"].to_numpy())
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     ship_package(distinct.sparkSession)
-    return arrow_map(distinct.select("fp"), deal, "shard int, fp long, home boolean") \
-        .groupBy("shard").applyInPandas(search, "u long, v long")
+    return arrow_map(distinct.select("fp"), deal, "shard int, block int, fp long, home boolean, query boolean") \
+        .groupBy("shard", "block").applyInPandas(search, "u long, v long")
+
+
+def query_blocks(tree, sample: np.ndarray, n: int, max_bits: int) -> int:
+    """Blocks of about QUERY_BLOCK queries in the shard that most of the sample visits, at ``n`` fingerprints."""
+    if not len(sample):
+        return 1
+    shard, _, _ = route(tree, sample, max_bits)
+    return max(1, int(np.ceil(np.bincount(shard).max() / len(sample) * n / QUERY_BLOCK)))
 
 
 def components(edges: DataFrame) -> DataFrame:

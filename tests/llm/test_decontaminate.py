@@ -94,12 +94,38 @@ def test_exact_copies_are_found_whatever_stands_around_them(spark):
     assert not missed, (len(missed), len(rows), missed[:20])
 
 
+def test_short_items_are_found_verbatim_and_not_inside_words(spark):
+    items = [(1, "What is 2+2?"), (2, "cat"), (3, "世界"), (4, "7"), (5, " "), (6, "Cat"), (7, "x" * 23)]
+    texts = ["So: what  is 2+2?", "WHAT IS 2+2? what is 2+2?", "concatenate 17 cats", "a cat.", "你好世界人", "7\n", "", "y" + "x" * 23, "(" + "x" * 23 + ")"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: [(h.item_id, h.distance, h.start, h.end) for h in r.hits] for r in D.scan(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {0: [], 1: [(1, 0, 0, 12)], 2: [], 3: [(2, 0, 2, 5), (6, 0, 2, 5)], 4: [(3, 0, 6, 12)], 5: [(4, 0, 0, 1)], 6: [], 7: [], 8: [(7, 0, 1, 24)]}
+
+
+def test_recall_at_the_edit_limit():
+    """Items edited in about a tenth of their bytes: of those still within the limit at least 0.95 are found."""
+    rnd = random.Random(17)
+    found = eligible = 0
+    items = [(i, words(rnd, rnd.choice([6, 12, 25, 50]))) for i in range(150)]
+    table = D.Items(items, D.FUNCTIONS, D.MAX_EDIT)
+    for k, (i, t) in enumerate(items):
+        for _ in range(4):
+            text = D.fold(words(rnd, 15) + " " + edited(rnd, t, .09) + " " + words(rnd, 15))
+            if slow_search(table.items[k][1], text) <= table.limit(k):
+                eligible += 1
+                raw = D.np.frombuffer(text + bytes(D.STEPS), dtype=D.np.uint8)
+                pairs = table.candidates(raw, D.all_starts(raw))
+                found += i in [h["item_id"] for h in D._hits(table, text, pairs)] if len(pairs) else 0
+    assert eligible > 300 and found / eligible >= .95, (found, eligible)
+
+
 def test_item_blocks_and_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(D, "ITEM_BLOCK", 100)
     rnd = random.Random(6)
     items = [(i, words(rnd, 12)) for i in range(9)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    assert sorted(x for b in D.item_blocks(bench) for x in b) == sorted(items)
+    blocks = list(D.item_blocks(bench))
+    assert sorted(x for b, _ in blocks for x in b) == sorted(items) and len(blocks) > 3 and [m for _, m in blocks] == [True] * (len(blocks) - 1) + [False]
     docs = spark.createDataFrame([(i, f"lead in {t} and out") for i, t in items], "doc_id long, text string")
     assert {(r.row.doc_id, tuple(h.item_id for h in r.hits)) for r in D.scan(docs, bench).collect()} == {(i, (i,)) for i, _ in items}
     assert D.scan(docs.limit(0), bench).count() == 0

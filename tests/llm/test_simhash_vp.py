@@ -86,6 +86,18 @@ def test_groups_match_brute_force(spark):
     assert got == set(zip(ids, fps, groups(ids, fps, 3)))
 
 
+def test_queries_in_blocks_lose_no_link(spark, monkeypatch):
+    rnd = random.Random(12)
+    fps = [rnd.getrandbits(64) for _ in range(1500)]
+    fps += [f ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for f in fps[:700]]
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in set(fps)], "fp long")
+    whole = {(r.node, r.root) for r in S.components(S.links(df)).collect()}
+    monkeypatch.setattr(S, "QUERY_BLOCK", 40)
+    made = []
+    monkeypatch.setattr(S, "query_blocks", lambda *a, f=S.query_blocks: made.append(f(*a)) or made[-1])
+    assert {(r.node, r.root) for r in S.components(S.links(df)).collect()} == whole and made[0] > 3
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(df).count() == 0
