@@ -36,8 +36,19 @@ def _nat(v):
     return None if v is None or pd.isna(v) else v
 
 
-def queue_step(s: dict | None, iid, a, w, t, lease_until, reason) -> dict | None:
-    """One queue transition (shared by the batch fold and the streaming state)."""
+POISON, RETRY = "poison_item: analysis_failed: ", "analysis_failed: "
+
+
+def poisoned(error: str, delivery_count: int, max_attempts: int) -> bool:
+    """F4's decision for one failed claim: no further delivery."""
+    return "missing required analyzed fields" in error.strip().lower() or delivery_count >= max_attempts
+
+
+def queue_step(s: dict | None, iid, a, w, t, lease_until, reason, max_attempts: int | None = None) -> dict | None:
+    """One queue transition (shared by the batch fold and the streaming state).
+
+    With ``max_attempts`` a release is a failed claim that F4 decides: the item
+    goes back with its reason, or is quarantined (``DONE``)."""
     if a == "enqueue":
         if s is None:
             return {"item_id": iid, "state": "QUEUED", "lease_owner": None, "lease_until": None,
@@ -54,6 +65,9 @@ def queue_step(s: dict | None, iid, a, w, t, lease_until, reason) -> dict | None
         return s
     if a in ("complete", "release", "fail") and s["lease_owner"] is not None and s["lease_owner"] == w:
         why = "" if reason is None else str(reason).strip()
+        if a == "release" and max_attempts is not None:
+            a = "fail" if poisoned(why, s["delivery_count"], max_attempts) else a
+            why = (POISON if a == "fail" else RETRY) + why
         done = s["done_at"] if _nat(s["done_at"]) is not None else t
         if a == "complete":
             s.update(state="DONE", lease_owner=None, lease_until=None, done_at=done, last_error="", updated_at=t)
