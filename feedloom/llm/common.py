@@ -1,14 +1,13 @@
 """Shared pieces of the training-data operators."""
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import checkpoint_dir, reliable_checkpoint, ship_package
+from feedloom.session import reliable_checkpoint, scratch_path, ship_package
 
 #: Rows handled at a time inside a Python stage; bounds its memory beside the texts themselves.
 SLICE_ROWS = 512
@@ -42,14 +41,6 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def scratch_path(spark: SparkSession) -> str:
-    """A new path in the cluster's shared checkpoint folder, removed when the application ends."""
-    path = f"{checkpoint_dir(spark)}/feedloom-{uuid.uuid4().hex}"
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return path
-
-
 def corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(did, text)``: the two columns an operator reads, under its own names.
 

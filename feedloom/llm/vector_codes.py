@@ -16,6 +16,7 @@ added up; only the codebooks (entries x dimension numbers) reach the driver.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from feedloom.llm.vectors import integer_vectors, matrix
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: List places looked at in a step, vectors searched together, entries that a search may start from.
-STEP, TOGETHER, STARTS = 8, 4096, 16
+STEP, TOGETHER, STARTS = 16, 512, 16
 #: A label with more than this share of the rows counts as hot: there are fewer than 1 / HOT of them.
 HOT = 0.001
 
@@ -36,8 +37,9 @@ class Orchard:
     """Codebook entries, each with the others in order of distance."""
 
     def __init__(self, entries: np.ndarray):
-        # sums of squares below 2 ** 53 are exact as doubles
-        self.entries = entries.astype(np.float64 if entries.shape[1] <= 2048 else np.int64)
+        self.entries = entries.astype(np.int64)
+        self.narrow = entries.astype(np.int32)  # for vectors as near the origin as no distance leaves 31 bits
+        self.reach = math.isqrt((2 ** 31 - 1) // entries.shape[1]) - int(np.abs(entries).max())
         apart = np.stack([((self.entries - e) ** 2).sum(axis=1) for e in self.entries])
         self.order = np.argsort(apart, axis=1, kind="stable")
         self.apart = np.take_along_axis(apart, self.order, axis=1)
@@ -45,14 +47,14 @@ class Orchard:
         self.looked_at = 0  # distances between a vector and an entry
 
     def _distance(self, x: np.ndarray, entry: np.ndarray) -> np.ndarray:
-        away = x - self.entries[entry]
+        away = x - (self.narrow if x.dtype == np.int32 else self.entries)[entry]
         self.looked_at += len(away)
         return np.einsum("ij,ij->i", away, away)
 
     def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of and squared distance to each vector's nearest entry; the lowest index of several."""
         n, k = len(vectors), len(self.entries)
-        x = vectors.astype(self.entries.dtype)
+        x = vectors.astype(np.int32 if n and int(np.abs(vectors).max()) <= self.reach else np.int64)
         seen = np.zeros((n, k), dtype=bool)
         best = np.full(n, self.starts[0])
         dist = self._distance(x, best)
@@ -67,12 +69,12 @@ class Orchard:
             inside = at < k
             at = np.minimum(at, k - 1)
             entry = self.order[b[:, None], at]
-            within = inside & (self.apart[b[:, None], at] <= 4 * near[:, None])
+            within = inside & (self.apart[b[:, None], at] <= 4 * near.astype(np.int64)[:, None])
             row, col = np.nonzero(within & ~seen[at_work[:, None], entry])
             found = entry[row, col]
             seen[at_work[row], found] = True
             # of the entries looked at, the nearest, and of those the lowest
-            d = np.full(entry.shape, np.inf if x.dtype == np.float64 else np.iinfo(np.int64).max, dtype=x.dtype)
+            d = np.full(entry.shape, np.iinfo(x.dtype).max, dtype=x.dtype)
             d[row, col] = self._distance(x[at_work[row]], found)
             least = d.min(axis=1)
             lowest = np.where(d == least[:, None], entry, k).min(axis=1)
