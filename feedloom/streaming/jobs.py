@@ -7,20 +7,18 @@ late data is bounded by watermarks, and sinks are idempotent per batch id.
 
 from __future__ import annotations
 
-import datetime as _dt
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from feedloom.operators import ingest
 from feedloom.operators import lifecycle as L
 from feedloom.operators import monitor as M
 from feedloom.operators import publish as P
-from feedloom.session import ship_package
 from feedloom.sources import feeds as S
+from feedloom.sources.keyed import KeyedTable
+from feedloom.streaming import outbox, queue
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -85,60 +83,16 @@ def stream_rates(items: DataFrame, ts: str = "created_at", delay: str = "10 minu
 
 
 # ---------------------------------------------------------------- J4
-QUEUE_STATE_SCHEMA = ("state string, lease_owner string, lease_until timestamp, delivery_count int, "
-                      "enqueued_at timestamp, done_at timestamp, last_error string, updated_at timestamp")
-_STATE_FIELDS = ["state", "lease_owner", "lease_until", "delivery_count", "enqueued_at", "done_at",
-                 "last_error", "updated_at"]
-
-
-def _ts(v):
-    if v is None or (not isinstance(v, str) and pd.isna(v)):
-        return None
-    return pd.Timestamp(v).to_pydatetime()
-
-
-def _queue_update(key, pdfs: Iterator[pd.DataFrame], state, ttl_ms: int) -> Iterator[pd.DataFrame]:
-    (iid,) = key
-    if state.hasTimedOut:
-        state.remove()
-        return
-    s = None
-    if state.exists:
-        s = dict(zip(_STATE_FIELDS, state.get))
-        s["item_id"] = iid
-    ev = pd.concat(list(pdfs)).sort_values(["ts", "seq"])  # this micro-batch's events of one item
-    for a, w, t, lu, r in zip(ev["action"], ev["worker"], ev["ts"], ev["lease_until"], ev["reason"]):
-        s = L.queue_step(s, iid, a, w, _ts(t), _ts(lu), r)
-    if s is None:
-        return
-    state.update(tuple(_ts(s[f]) if f.endswith(("_at", "_until")) else s[f] for f in _STATE_FIELDS))
-    expire = int(pd.Timestamp(s["updated_at"]).timestamp() * 1000) + ttl_ms
-    state.setTimeoutTimestamp(max(expire, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame([{"item_id": iid, **{f: s[f] for f in _STATE_FIELDS}}])
-
-
-def stream_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour") -> DataFrame:
-    """The lease state machine as keyed state (one value per item).
-
-    Each micro-batch's events of an item are applied in (ts, seq) order on
-    top of the stored state with the same transition as F1.  An event-time
-    watermark (``late``) bounds lateness; an item's state is dropped when the
-    watermark passes its last update + ``ttl_hours`` (retention).  Output
+def stream_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour", max_attempts: int | None = None, hold: bool = False) -> DataFrame:
+    """The lease state machine as keyed state with timers (:mod:`feedloom.streaming.queue`).
+
+    Each micro-batch's events of an item are applied in (ts, seq) order on top
+    of the stored state with the same transition as F1 (and F4 with
+    ``max_attempts``).  Leases run out by the event-time watermark (``late``);
+    an item's state is dropped ``ttl_hours`` after its last update.  Output
     mode: update.
     """
-    ttl_ms = ttl_hours * 3600 * 1000  # travels with the function
-
-    def update(key, pdfs, state):
-        return _queue_update(key, pdfs, state, ttl_ms)
-
-    ship_package(log.sparkSession)
-    out_schema = "item_id string, " + ", ".join(
-        f"{f} {'timestamp' if f.endswith(('_at', '_until')) else ('int' if f == 'delivery_count' else 'string')}"
-        for f in _STATE_FIELDS)
-    src = log.select("item_id", F.col("ts").cast("timestamp").alias("ts"), "seq", "action", "worker",
-                     F.col("lease_until").cast("timestamp").alias("lease_until"), "reason").withWatermark("ts", late)
-    return src.groupBy("item_id").applyInPandasWithState(
-        update, out_schema, QUEUE_STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout)
+    return queue.lease_queue(log, ttl_hours, late, max_attempts, hold)
 
 
 # ---------------------------------------------------------------- J5
@@ -151,15 +105,11 @@ def publish_batch(batch: DataFrame, batch_id: int, items: DataFrame, out_dir: st
     recs.write.mode("overwrite").text(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
 
 
-def stream_publish(analyzed: DataFrame, items: DataFrame, out_dir: str, name: str = "publish", now=None,
+def stream_publish(analyzed: DataFrame, items: DataFrame | Callable[[], DataFrame] | None, out_dir: str, name: str = "publish", now=None,
                    trigger_once: bool = True, checkpoint: str | None = None):
-    """Dispatch loop as ``foreachBatch`` with per-batch idempotent files."""
-    spark = analyzed.sparkSession
-
-    def run(b, bid):
-        publish_batch(b.withColumnRenamed("id", "item_id") if "item_id" not in b.columns else b, bid, items,
-                      out_dir, now or _dt.datetime.utcnow().replace(microsecond=0))
-    w = analyzed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint or stream_checkpoint(spark, name))
+    """Dispatch loop through the transactional outbox (:mod:`feedloom.streaming.outbox`):
+    every item once, across batches, replays and crashes."""
+    w = outbox.stream(analyzed, out_dir, checkpoint or stream_checkpoint(analyzed.sparkSession, name), items, now)
     return (w.trigger(availableNow=True) if trigger_once else w).start()
 
 
@@ -174,20 +124,17 @@ def monitor_batch(aq: DataFrame, dq: DataFrame, items: DataFrame) -> DataFrame:
     return g2.unionByName(g4).unionByName(g5)
 
 
+def snapshot_table(spark: SparkSession, snap_dir: str, schema) -> KeyedTable:
+    """The snapshot as a keyed table: a micro-batch writes its own rows only."""
+    return KeyedTable(spark, snap_dir, schema, "item_id")
+
+
 def upsert_snapshot(updates: DataFrame, snap_dir: str, batch_id: int) -> DataFrame:
-    """Merge updated snapshot rows into the latest version of a snapshot table
-    (versioned folders ``v=<batch_id>``; re-running a batch id rewrites the same
-    version, so the sink is idempotent)."""
-    spark = updates.sparkSession
-    prev = None
-    if _exists(spark, snap_dir):
-        allv = spark.read.parquet(snap_dir)
-        prev_v = allv.filter(F.col("v") < batch_id).agg(F.max("v")).first()[0]
-        prev = allv.filter(F.col("v") == prev_v).drop("v") if prev_v is not None else None
-    merged = updates if prev is None else updates.unionByName(
-        prev.join(updates.select("item_id"), "item_id", "left_anti"))
-    merged.write.mode("overwrite").parquet(f"{snap_dir.rstrip('/')}/v={batch_id}")
-    return spark.read.parquet(f"{snap_dir.rstrip('/')}/v={batch_id}")
+    """Merge updated snapshot rows into the snapshot table, and return it.  A
+    batch id that is in already changes nothing, so the sink is idempotent."""
+    table = snapshot_table(updates.sparkSession, snap_dir, updates.schema)
+    table.upsert(updates, "monitor", batch_id)
+    return table.read()
 
 
 def stream_monitor(queue_updates: DataFrame, dq: DataFrame, items: DataFrame, out_dir: str,
