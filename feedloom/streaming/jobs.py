@@ -18,6 +18,7 @@ from feedloom.operators import monitor as M
 from feedloom.operators import publish as P
 from feedloom.sources import feeds as S
 from feedloom.sources.keyed import KeyedTable
+from feedloom.sources.seen import SeenStore
 from feedloom.streaming import outbox, queue
 
 
@@ -58,12 +59,39 @@ def stream_dedupe(items: DataFrame, delay: str = "168 hours", ts: str = "fetched
     return wm.dropDuplicatesWithinWatermark(["id"]).drop("_wm")
 
 
-def dedupe_against_store(batch: DataFrame, store_path: str) -> DataFrame:
-    """J2 across restarts: anti-join a micro-batch with the stored item ids."""
+def dedupe_against_store(batch: DataFrame, store: str | SeenStore) -> DataFrame:
+    """J2 across restarts: rows of a micro-batch whose ids are not stored, in a
+    :class:`SeenStore` or in a plain table of ids."""
+    if isinstance(store, SeenStore):
+        return store.unseen(batch)
     spark = batch.sparkSession
-    if not _exists(spark, store_path):  # first run: no store yet
+    if not _exists(spark, store):  # first run: no store yet
         return batch
-    return batch.join(spark.read.parquet(store_path).select("id"), "id", "left_anti")
+    return batch.join(spark.read.parquet(store).select("id"), "id", "left_anti")
+
+
+def new_items_once(batch: DataFrame, batch_id: int, store: SeenStore, out_dir: str, ts: str = "fetched_at") -> bool:
+    """J2 body: the batch's new items, one row an id, into the batch's own folder, then
+    their ids into the store.  False, and nothing happens, if this batch was stored before."""
+    if store.keys.committed("items", batch_id):
+        return False
+    order = F.xxhash64(F.to_json(F.struct(*[batch[c] for c in batch.columns])))
+    one = batch.groupBy("id").agg(F.min_by(F.struct(*[batch[c] for c in batch.columns]), order).alias("r")).select("r.*")
+    out = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
+    dedupe_against_store(one, store).write.mode("overwrite").parquet(out)
+    fresh = batch.sparkSession.read.schema(batch.schema).parquet(out)
+    return store.add(fresh.select("id", F.col(ts).cast("timestamp_ntz").alias("seen_at")), "items", batch_id)
+
+
+def stream_new_items(items: DataFrame, store_path: str, out_dir: str, name: str = "items", checkpoint: str | None = None, ts: str = "fetched_at"):
+    """J2 over a store that outlives the stream's state: every id comes out once,
+    whatever is replayed, for as long as the store keeps it (``SeenStore.retain``)."""
+    spark = items.sparkSession
+
+    def run(batch, batch_id):
+        new_items_once(batch, batch_id, SeenStore(spark, store_path), out_dir, ts)
+    return (items.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint or stream_checkpoint(spark, name))
+            .trigger(availableNow=True).start())
 
 
 # ---------------------------------------------------------------- J3
