@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from feedloom.functions import text as T
-from feedloom.session import checkpoint_dir, reliable_checkpoint, ts_lit
+from feedloom.session import checkpoint_dir, reliable_checkpoint, scratch_path, ts_lit
 
 
 def _opt(df: DataFrame, name: str) -> Column | None:
@@ -68,15 +69,22 @@ def first_keys(items: DataFrame, stored: DataFrame | None, key: str, order: tupl
 
 
 def rows_of(items: DataFrame, keys: DataFrame, key: str, order: tuple) -> DataFrame:
-    """The whole rows of narrow ``keys``; one semi join, bodies move once."""
-    tied = items.withColumn("_t", _tie(items, (key, *order)))
-    return tied.join(keys.select(key, *order, "_t"), [key, *order, "_t"], "left_semi").select(*items.columns)
+    """One whole row for each of the narrow ``keys``; one semi join, bodies move once.
+
+    Rows are met by a struct of key, order and tie, which is never null and
+    holds nulls like other values; of equal rows one is kept."""
+    at = F.struct(key, *order, "_t")
+    tied = items.withColumn("_t", _tie(items, (key, *order))).withColumn("_at", at)
+    met = tied.join(keys.select(at.alias("_at")), "_at", "left_semi")
+    one = met.withColumn("_n", F.row_number().over(Window.partitionBy("_at").orderBy("_t")))
+    return one.filter(F.col("_n") == 1).select(*items.columns)
 
 
 def dedupe_hash(items: DataFrame, stored: DataFrame | None = None,
                 key: str = "id", order: tuple = ("feed_url", "pos")) -> DataFrame:
     """First occurrence per ``key`` in ``order`` wins; stored keys are
-    skipped.  ``order`` tells the rows of a batch apart (feed and position)."""
+    skipped.  Nulls come first in order; rows equal in order go by a hash of
+    the others columns, and of equal rows one stays."""
     return rows_of(items, first_keys(items, stored, key, order), key, order)
 
 
@@ -152,50 +160,103 @@ def _decide(undecided: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted, undecided.join(decided, "_rid", "left_anti")
 
 
+def _contract(undecided: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round over ``(_rid, key)`` that decides whole chains.
+
+    A row without earlier rows that share a key is accepted.  A row with exactly
+    one is accepted if that one is not, so along a chain of such rows decisions
+    alternate from its first row on: pointer jumping halves the chains each
+    step.  Rows with several earlier ones, and chains that start at them, stay
+    open unless they share a key with an accepted row."""
+    spark = undecided.sparkSession
+    firsts = undecided.groupBy("key").agg(F.min("_rid").alias("_k1"))
+    met = undecided.join(firsts, "key")
+    seconds = met.filter(F.col("_rid") != F.col("_k1")).groupBy("key").agg(F.min("_rid").alias("_k2"))
+    met = met.join(seconds, "key", "left")
+    before = met.groupBy("_rid").agg(
+        F.bool_or(F.coalesce((F.col("_rid") != F.col("_k1")) & (F.col("_rid") != F.col("_k2")), F.lit(False))).alias("_many"),
+        F.collect_set(F.when(F.col("_rid") == F.col("_k2"), F.col("_k1"))).alias("_before"))  # at most one a key
+    rows = reliable_checkpoint(before.select(
+        "_rid", F.when(~F.col("_many") & (F.size("_before") == 1), F.element_at("_before", 1)).alias("_p"),
+        (~F.col("_many") & (F.size("_before") == 0)).alias("_free")))
+    free = rows.filter("_free").select("_rid")
+    done = scratch_path(spark)
+    links, step = rows.filter("_p is not null").select("_rid", "_p", F.lit(True).alias("_odd")), 0
+    while True:
+        up = links.select(F.col("_rid").alias("_p"), F.col("_p").alias("_pp"), F.col("_odd").alias("_podd"))
+        jumped = reliable_checkpoint(links.join(up, "_p", "left").select(
+            "_rid", F.coalesce("_pp", "_p").alias("_p"), (F.col("_odd") != F.coalesce("_podd", F.lit(False))).alias("_odd"),
+            F.col("_pp").isNotNull().alias("_on")))
+        jumped.filter("not _on").select("_rid", "_p", "_odd").write.parquet(f"{done}/step={step}")
+        # rows at the end of their chain stay, for others jump to them
+        if jumped.filter("_on").isEmpty():
+            break
+        links, step = jumped.drop("_on"), step + 1
+    ends = spark.read.parquet(f"{done}/step={step}").select("_rid", "_p", "_odd")
+    even = ends.join(free.withColumnRenamed("_rid", "_p"), "_p", "left_semi").filter("not _odd").select("_rid")
+    accepted = free.unionByName(even)
+    taken = undecided.join(accepted, "_rid", "left_semi").select("key")
+    decided = undecided.join(taken, "key", "left_semi").select("_rid")
+    return accepted, undecided.join(decided, "_rid", "left_anti")
+
+
 def dedupe_keys(batch: DataFrame, seen: DataFrame | None = None, order: tuple = ("feed_url", "pos"),
                 max_rounds: int | None = None) -> DataFrame:
     """Order-dependent greedy dedupe on three keys.
 
     A row is a duplicate when its non-blank guid, its url or its title equals
-    a seen key or a key of a row *accepted* earlier in ``order``, which also
-    identifies a row: two rows with one order are an error.  Rows that share
-    no key with another are accepted at once and never enter the rounds.  The
-    others are decided in rounds without pairwise expansion, two rounds per
-    checkpoint in reliable storage.  The first open row is always accepted, so
-    the loop ends; there is no round cap.
+    a seen key or a key of a row *accepted* earlier in ``order`` (nulls first,
+    then by a hash of the other columns; of equal rows one is the first and the
+    others its duplicates).  Rows that share no key with another are accepted
+    at once and never enter the rounds.  The others are decided in rounds
+    without pairwise expansion: two plain ones first, which end most cases, then
+    rounds that decide whole chains of rows by pointer jumping.  Each round's
+    decisions are written to one table, its open rows to another.  The first
+    open row is always accepted, so the loop ends; there is no round cap.
 
     Returns ``batch`` plus ``accepted`` (boolean).
     """
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    keyed = item_keys(batch).select(F.struct(*order).alias("_rid"), "_keys")
-    if keyed.groupBy("_rid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
-        raise ValueError(f"dedupe_keys: rows with equal {order}")
-    pairs = keyed.select("_rid", F.explode("_keys").alias("key"))
+    tied = batch.withColumn("_rid", F.struct(*order, _tie(batch, order).alias("_t")))
+    pairs = item_keys(tied).select("_rid", F.explode("_keys").alias("key")).distinct()
     if seen is not None:
         hit = pairs.join(seen.select("key"), "key", "left_semi").select("_rid")
         pairs = pairs.join(hit, "_rid", "left_anti")
     shared = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     linked = pairs.join(shared, "key", "left_semi").select("_rid")
-    state = reliable_checkpoint(pairs.join(linked.withColumn("_l", F.lit(True)).distinct(), "_rid", "left")
-                                .select("_rid", F.when(F.col("_l"), F.col("key")).alias("key")).distinct())
-    parts = [state.filter("key is null").select("_rid")]
-    open_, rounds = state.filter("key is not null"), 0
+    where, rounds = scratch_path(spark), 0
+
+    def written(state: DataFrame) -> DataFrame:
+        """Of rows ``(_rid, key)``, those without a key into the table of decisions; the others, open, read back."""
+        state.withColumn("open", F.col("key").isNotNull()).write.partitionBy("open").parquet(f"{where}/round={rounds}")
+        return spark.read.schema(state.schema).parquet(f"{where}/round={rounds}/open=true") if _there(spark, f"{where}/round={rounds}/open=true") \
+            else spark.createDataFrame([], state.schema)
+
+    none = F.lit(None).cast("string").alias("key")
+    open_ = written(pairs.join(linked.withColumn("_l", F.lit(True)).distinct(), "_rid", "left")
+                    .select("_rid", F.when(F.col("_l"), F.col("key")).alias("key")).distinct())
     while not open_.isEmpty():
-        first, rest = _decide(open_)
-        second, rest = _decide(rest)
-        state = reliable_checkpoint(first.unionByName(second).select("_rid", F.lit(None).cast("string").alias("key")).unionByName(rest))
-        parts.append(state.filter("key is null").select("_rid"))
-        open_, rounds = state.filter("key is not null"), rounds + 2
+        if rounds == 0:
+            first, rest = _decide(open_)
+            second, rest = _decide(rest)
+            accepted, made = first.unionByName(second), 2
+        else:
+            (accepted, rest), made = _contract(open_), 1
+        rounds += made
+        open_ = written(accepted.select("_rid", none).unionByName(rest))
         LAST_ROUNDS[0] = rounds
         if max_rounds is not None and rounds >= max_rounds and not open_.isEmpty():
             raise RuntimeError("dedupe_keys did not converge within max_rounds")
-    accepted = parts[0]
-    for p in parts[1:]:
-        accepted = accepted.unionByName(p)
-    flag = accepted.select("_rid.*").withColumn("accepted", F.lit(True))
-    return batch.join(flag, list(order), "left").withColumn("accepted", F.coalesce("accepted", F.lit(False))) \
-        .select(*batch.columns, "accepted")
+    flag = spark.read.schema(T_.StructType([*pairs.schema.fields, T_.StructField("open", T_.BooleanType())])).parquet(where) \
+        .filter(~F.col("open")).select("_rid").withColumn("accepted", F.lit(True))
+    one = F.row_number().over(Window.partitionBy("_rid").orderBy(F.lit(0))) == 1  # of equal rows
+    return tied.join(flag, "_rid", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)) & one).select(*batch.columns, "accepted")
+
+
+def _there(spark, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def cold_start(batch: DataFrame, seen: DataFrame | None, n: int,

@@ -251,8 +251,9 @@ def with_rec(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
-def queue_fold(log: str, out: str) -> str:
-    """F1 as a recursive CTE: one step per event, in (ts, seq) order per item."""
+def queue_fold(log: str, out: str, max_attempts: int | None = None) -> str:
+    """F1 as a recursive CTE: one step per event, in (ts, seq) order per item.
+    With ``max_attempts`` a release goes through F4."""
     e, f = "e", "f"
     E = f"({e}.action = 'enqueue')"
     C = (f"({e}.action = 'claim' AND {f}.ex AND ({f}.state = 'QUEUED' OR ({f}.state = 'LEASED' "
@@ -260,6 +261,11 @@ def queue_fold(log: str, out: str) -> str:
     OK = f"({f}.ex AND {f}.lease_owner IS NOT NULL AND {f}.lease_owner = {e}.worker)"
     CP, RL, FL = (f"({e}.action = 'complete' AND {OK})", f"({e}.action = 'release' AND {OK})",
                   f"({e}.action = 'fail' AND {OK})")
+    why = f"{e}.reason"
+    if max_attempts is not None:
+        POI = f"({RL} AND (lower({e}.reason) LIKE '%missing required analyzed fields%' OR {f}.delivery_count >= {max_attempts}))"
+        why = (f"(CASE WHEN {POI} THEN 'poison_item: analysis_failed: ' WHEN {RL} THEN 'analysis_failed: ' ELSE '' END || {e}.reason)")
+        RL, FL = f"({RL} AND NOT {POI})", f"({FL} OR {POI})"
     CLR = f"({E} OR {CP} OR {RL} OR {FL})"
     ANY = f"({E} OR {C} OR {CP} OR {RL} OR {FL})"
     return f"""{out}_ev AS (
@@ -277,7 +283,7 @@ def queue_fold(log: str, out: str) -> str:
     CASE WHEN {C} THEN {f}.delivery_count + 1 WHEN {E} AND NOT {f}.ex THEN 0 ELSE {f}.delivery_count END,
     CASE WHEN {E} AND NOT {f}.ex THEN {e}.ts ELSE {f}.enqueued_at END,
     CASE WHEN {CP} OR {FL} THEN coalesce({f}.done_at, {e}.ts) ELSE {f}.done_at END,
-    CASE WHEN {E} OR {C} OR {CP} THEN '' WHEN {RL} OR {FL} THEN {e}.reason ELSE {f}.last_error END,
+    CASE WHEN {E} OR {C} OR {CP} THEN '' WHEN {RL} OR {FL} THEN {why} ELSE {f}.last_error END,
     CASE WHEN {ANY} THEN {e}.ts ELSE {f}.updated_at END
   FROM {out}_f {f} JOIN {out}_ev {e} ON {e}.item_id = {f}.item_id AND {e}.rn = {f}.rn + 1),
 {out} AS (

@@ -1,5 +1,4 @@
 """Ingest: hash dedupe, caps, greedy three-key dedupe vs a sequential loop, cold start, due feeds."""
-import pytest
 import random
 
 from pyspark.sql import functions as F
@@ -112,8 +111,33 @@ def test_dedupe_keys_positions_restart_per_feed(spark):
     assert got == {("f1", 0): True, ("f2", 0): False, ("f2", 1): True}
     enq, marked = ingest.cold_start(_batch(spark, rows), None, 5)
     assert enq.count() == marked.count() == 2
-    with pytest.raises(ValueError):
-        ingest.dedupe_keys(_batch(spark, rows + rows[:1]))
+    twice = sorted((r.feed_url, r.pos, r.accepted) for r in ingest.dedupe_keys(_batch(spark, rows + rows)).collect())
+    assert twice == [("f1", 0, False), ("f1", 0, True), ("f2", 0, False), ("f2", 0, False), ("f2", 1, False), ("f2", 1, True)]
+
+
+def test_long_chains_are_decided_in_few_rounds(spark):
+    rnd = random.Random(4)
+    rows = [("f", i, "", f"https://x.org/{i // 2}", f"T{(i + 1) // 2}") for i in range(1000)]  # one chain in order
+    rows += [("g", i, "", f"https://y.org/{k // 2}", f"U{(k + 1) // 2}") for i, k in enumerate(rnd.sample(range(300), 300))]  # one out of order
+    got = {r.pos: r.accepted for r in ingest.dedupe_keys(_batch(spark, [r for r in rows if r[0] == "f"]), max_rounds=6).collect()}
+    assert got == _seq_dedupe([r for r in rows if r[0] == "f"]) and sum(got.values()) == 500
+    got = {r.pos: r.accepted for r in ingest.dedupe_keys(_batch(spark, [r for r in rows if r[0] == "g"]), max_rounds=12).collect()}
+    assert got == _seq_dedupe([r for r in rows if r[0] == "g"])
+
+
+def test_repeated_rows_and_null_keys(spark):
+    schema = "id string, feed_url string, pos long, v string"
+    same = ("h1", "f1", 0, "a")
+    df = spark.createDataFrame([same, same, ("h1", "f2", 0, "b"), ("h2", None, 3, "c"), ("h2", "f1", 1, "d"), ("h3", "f1", None, "e"), ("h3", "f1", 5, "f"),
+                                (None, "f9", 1, "g"), (None, "f8", 1, "h"), ("h4", None, None, None), ("h4", None, None, None)], schema)
+    got = sorted(((r.id, r.feed_url, r.pos, r.v) for r in ingest.dedupe_hash(df).collect()), key=str)
+    assert got == sorted([same, ("h2", None, 3, "c"), ("h3", "f1", None, "e"), (None, "f8", 1, "h"), ("h4", None, None, None)], key=str)
+    posts = [("f", 0, "", "https://x.org/a", "A")] * 3 + [(None, 4, "", "https://x.org/b", "B"), ("f", None, "", "https://x.org/c", "C"), ("f", 9, "", "https://x.org/c", "D")]
+    raw = spark.createDataFrame([(*p, "text") for p in posts], "feed_url string, pos long, guid string, url string, title string, description string")
+    assert sorted(r.url for r in ingest.ingest_items(raw, None, "2024-01-01 00:00:00").collect()) == [f"https://x.org/{c}" for c in "abcc"]
+    got = sorted((r.url, r.title, r.accepted) for r in ingest.dedupe_keys(_batch(spark, posts)).collect())
+    assert got == [("https://x.org/a", "A", False)] * 2 + [("https://x.org/a", "A", True), ("https://x.org/b", "B", True), ("https://x.org/c", "C", True),
+                                                           ("https://x.org/c", "D", False)]
 
 
 def test_no_body_in_the_dedupe_shuffles(spark):
