@@ -75,8 +75,9 @@ def schedule(quota: DataFrame) -> DataFrame:
     return numbered.join(quota.select("source", "cycle"), "source")
 
 
-def _hashed(id_col: str) -> Column:
-    return F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+def _hashed(id_col: str, text_col: str) -> Column:
+    """MD5 of the id, or of the text's where there is none: rows without ids are not one key."""
+    return F.md5(F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source",
@@ -85,7 +86,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     (number within the source), ``slot`` (place of the block in the mix) and
     ``pos`` (place in the block).  Sorting by ``(slot, pos)`` gives the mix.
 
-    Within a source, documents go by the MD5 of their id, then by id and text
+    Within a source, documents go by the MD5 of their id (without one, of their
+    text's), then by id and text
     (repeated rows in any order, they are alike).  After the first source has
     run dry its slots stay empty and the others keep theirs.  Sources without
     a weight share the smallest quota; weights without documents keep their
@@ -103,7 +105,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     n_buckets = max(1, -(-docs.count() // BUCKET_DOCS))
 
     def tagged(df: DataFrame, *extra: Column) -> DataFrame:
-        return df.select(F.coalesce(F.col(source_col), F.lit("")).alias("source"), _hashed(id_col).alias("md"), *extra) \
+        return df.select(F.coalesce(F.col(source_col), F.lit("")).alias("source"), _hashed(id_col, text_col).alias("md"), *extra) \
             .withColumn("bucket", F.floor(F.conv(F.substring("md", 1, 8), 16, 10).cast("long") * n_buckets / F.lit(2 ** 32)).cast("long"))
 
     before = tagged(docs).groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n")) \
@@ -139,6 +141,6 @@ edf(t, done, pick) AS (
     FROM edf, l WHERE t + 1 < n)),
 plan AS (SELECT names[pick] AS source, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS j FROM edf, l WHERE t >= 0),
 k AS (SELECT doc_id, coalesce(source, '') AS source,
-        row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS k FROM documents)
+        row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), doc_id) - 1 AS k FROM documents)
 SELECT doc_id, k.source, k // {BLOCK_DOCS} AS block, (k // {BLOCK_DOCS} // q) * cyc + slot AS slot, CAST(k % {BLOCK_DOCS} AS INTEGER) AS pos
 FROM k JOIN quota USING (source) JOIN plan ON plan.source = k.source AND plan.j = (k // {BLOCK_DOCS}) % q"""

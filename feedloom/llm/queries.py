@@ -46,6 +46,12 @@ def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("did", "doc_id")
 
 
+@register
+def spotsigs_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second part of op2: groups of documents whose fingerprints are alike, compared within partitions of set length."""
+    return spotsigs.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("did", "doc_id")
+
+
 @register
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts of all conversations, parsed back into roles and rendered.

@@ -35,8 +35,12 @@ con del el las lo los no para pero por se su una y""".split())
 CHAIN = 2
 #: Likeness of near duplicates.
 THRESHOLD = 0.8
+#: Sampled ids per range of documents in id order.
+SAMPLE_PER_RANGE = 16
 #: Sets of one signature compared in one task.
 BUCKET = 500
+#: Values counted before it is asked again whether the threshold is in reach.
+COUNTED = 32
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 
@@ -102,6 +106,29 @@ def _neighbour_stage():
     return run
 
 
+def range_cuts(rows: DataFrame, n: int) -> list[tuple[int, int]]:
+    """At most ``n - 1`` pairs (k, th), ascending, that cut the rows into about equal ranges: quantiles of a sample by hash."""
+    total = rows.count()
+    share = min(1.0, n * SAMPLE_PER_RANGE / max(1, total))
+    picked = rows.select("k", "th").filter(F.pmod(F.xxhash64(F.lit("cut"), "k", "th"), F.lit(1_000_000)) < share * 1_000_000) if share < 1 else rows.select("k", "th")
+    sample = sorted((r.k, r.th) for r in picked.distinct().collect())
+    return sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
+
+
+def _above(cuts: list[tuple[int, int]]):
+    """How many of the cuts are above a row's (k, th): first among every so many, then inside one such block."""
+    if not cuts:
+        return F.lit(0)
+    at = F.struct("k", "th")
+    as_array = lambda cs: F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.lit(h).cast("long").alias("th")) for k, h in cs])
+    size = math.isqrt(len(cuts)) + 1
+    blocks = [cuts[i:i + size] for i in range(0, len(cuts), size)]
+    # the block that holds the last cut at or below the row: cuts of later blocks are above it
+    block = F.greatest(F.lit(0), F.size(F.filter(as_array([b[0] for b in blocks]), lambda c: c <= at)) - 1)
+    behind = F.get(F.array(*[F.lit(len(cuts) - (i + 1) * size if (i + 1) * size < len(cuts) else 0) for i in range(len(blocks))]), block)
+    return (behind + F.size(F.filter(F.get(F.array(*[as_array(b) for b in blocks]), block), lambda c: c > at))).cast("int")
+
+
 def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """Each document against its edited text and its next document.
 
@@ -113,25 +140,25 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``edited_fingerprint``, ``near_edited``, ``near_next``.  Null texts count
     as empty; a lone document is its own next one; an empty table gives no rows.
 
-    Ids are cut into ranges by approximate quantiles; a range is sorted and
-    read through in one task, and the first row of the range that follows is
-    dealt to it as well.  The driver sees one id per range.
+    Rows are cut into ranges of (id, hash of the text) at quantiles of a sample,
+    so that rows without ids are many ranges; a range is sorted and read
+    through in one task, and the first row of the range that follows is dealt
+    to it as well.  The driver sees SAMPLE_PER_RANGE ids per range.
     """
     spark = docs.sparkSession
     rows = corpus(docs, id_col, text_col).withColumn("k", F.coalesce("did", F.lit(-(2 ** 63)).cast("long"))).withColumn("th", F.xxhash64("text"))
     n = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 20_000).alias("c")).first()["c"] if n > 1 else None
-    cuts = sorted(set(cuts or []))
-    bucket = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c > F.col("k"))) if cuts else F.lit(0)
-    dealt = rows.withColumn("bucket", bucket)
+    dealt = rows.withColumn("bucket", _above(range_cuts(rows, n)))
     heads = sorted((r.bucket, r.m.k, r.m.th) for r in dealt.groupBy("bucket").agg(F.max(F.struct("k", "th")).alias("m")).collect())
     if not heads:
         before = F.lit(None).cast("int")
     else:
         # the first row of each range also ends the range before it; the very first one ends the last
-        known = F.create_map(*[F.lit(x).cast(t) for (_, k, th), p in zip(heads, [heads[-1], *heads]) for x, t in ((k, "long"), (p[0], "int"))])
-        first = F.create_map(*[F.lit(x).cast("long") for _, k, th in heads for x in (k, th)])
-        before = F.when(F.element_at(first, F.col("k")) == F.col("th"), F.element_at(known, F.col("k")))
+        known = F.create_map(*[x for (_, k, th), p in zip(heads, [heads[-1], *heads])
+                               for x in (F.struct(F.lit(k).cast("long").alias("k"), F.lit(th).cast("long").alias("th")), F.lit(p[0]).cast("int"))])
+        # only a range's own first row is looked up
+        own = F.get(F.array(*[F.lit(th).cast("long") for th in _by_bucket(heads)]), F.col("bucket")) == F.col("th")
+        before = F.when(own, F.element_at(known, F.struct("k", "th")))
     places = F.array_compact(F.array(F.struct(F.col("bucket").cast("int").alias("bucket"), F.lit(False).alias("tail")),
                                      F.when(before.isNotNull(), F.struct(before.alias("bucket"), F.lit(True).alias("tail")))))
     ranged = dealt.select("did", "k", "th", "text", F.explode(places).alias("p")).select("did", "k", "th", "text", "p.*") \
@@ -140,6 +167,12 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                      "did long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+def _by_bucket(heads: list[tuple[int, int, int]]) -> list[int | None]:
+    """The hash of each range's first row, by range; None for ranges without rows."""
+    found = {b: th for b, _, th in heads}
+    return [found.get(b) for b in range(max(found) + 1)]
+
+
 # ------------------------------------------------------------ near duplicates
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(did, sigs)`` per document; ``sigs`` is the ascending signature array."""
@@ -152,11 +185,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def pruned_jaccard(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
-    """Whether two ascending sets reach the threshold; lengths decide first."""
+    """Whether two ascending sets reach the threshold.  Lengths decide first;
+    then values are counted in blocks, and counting stops as soon as all that is
+    left could not make up for what is missing."""
     if min(len(a), len(b)) < threshold * max(len(a), len(b)):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= threshold * (len(a) + len(b) - both)
+    need = threshold / (1 + threshold) * (len(a) + len(b)) - 1e-9
+    both = i = j = 0
+    while i < len(a) and j < len(b):
+        if both + min(len(a) - i, len(b) - j) < need:
+            return False
+        part = a[i:i + COUNTED]
+        end = int(np.searchsorted(b, part[-1], "right"))
+        both += len(np.intersect1d(part, b[j:end], assume_unique=True))
+        i, j = i + len(part), end
+    return both >= need
 
 
 def _bucket_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:

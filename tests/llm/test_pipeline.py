@@ -2,6 +2,8 @@
 import itertools
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
+
 from feedloom.llm import decontaminate as D
 from feedloom.llm import simhash_vp as S
 
@@ -57,6 +59,19 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert len({(r.slot, r.pos) for r in after}) == len(after)
 
 
+def test_empty_table_and_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns(
+        {c: F.lit(c) for c in ("lang_pred", "row", "did", "score", "kept_text", "hits", "block", "slot", "pos", "th", "fp", "margin")})
+    none = docs.limit(0)
+    for k, (name, stage) in enumerate(P.STAGES):
+        few = stage(spark, docs.limit(60), SF)
+        assert few.columns == docs.columns if k < 4 else sorted(few.columns) == sorted(docs.columns), name
+        rows = few.collect()
+        assert rows and all(r["row"] == "row" and r["lang_pred"] == "lang_pred" for r in rows), name
+        empty = stage(spark, none, SF)
+        assert empty.count() == 0 and sorted(empty.columns) == sorted(docs.columns), name
+
+
 def test_run(spark):
     out = P.run(spark, SF)
     assert out.columns == [*COLUMNS, "block", "slot", "pos"] and out.count() > 50

@@ -2,6 +2,9 @@
 import hashlib
 import itertools
 import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from feedloom.llm import queries as Q
 from feedloom.llm import spotsigs as S
@@ -70,6 +73,43 @@ def test_ties_nulls_and_small_tables(spark):
     assert S.edited_neighbours(df.limit(0)).count() == 0 and S.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_without_ids_are_many_ranges(spark):
+    rows = [(None if i % 3 == 0 else i, f"the word number {i} of it") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = S.corpus(df).withColumn("k", F.coalesce("did", F.lit(-(2 ** 63)).cast("long"))).withColumn("th", F.xxhash64("text"))
+    cuts = S.range_cuts(keyed, 40)
+    found = keyed.select("k", "th", S._above(cuts).alias("b")).collect()
+    assert all(r.b == sum(c > (r.k, r.th) for c in cuts) for r in found)
+    sizes = Counter(r.b for r in found)
+    assert len(sizes) == 40 and max(sizes.values()) < 120
+    got = S.edited_neighbours(df, buckets=40).collect()
+    want = expected([(k, t) for k, _, t in sorted(((r.k, r.th, r.text) for r in keyed.collect()), reverse=True)])
+    assert sorted((r.n_chars, r.edited_sha256) for r in got) == sorted((w[1], w[2]) for w in want)
+
+
+def test_pruned_jaccard_is_exact_and_stops_early(monkeypatch):
+    rnd = random.Random(9)
+    counted = []
+    monkeypatch.setattr(S.np, "intersect1d", lambda *a, f=S.np.intersect1d, **k: counted.append(len(a[0])) or f(*a, **k))
+    for _ in range(300):
+        a, b = (sorted(rnd.sample(range(60), rnd.randrange(1, 50))) for _ in "ab")
+        b = a[:rnd.randrange(1, len(a) + 1)] if rnd.random() < .5 else b
+        assert S.pruned_jaccard(S.np.array(a), S.np.array(b), .8) == (jaccard(set(a), set(b)) >= .8)
+    counted.clear()
+    assert not S.pruned_jaccard(S.np.arange(0, 4000, 2), S.np.arange(1, 4001, 2), .8) and sum(counted) < 600
+
+
+def test_groups_query_on_whole_documents(spark):
+    got = {r.doc_id: r.component_id for r in Q.queries()["spotsigs_groups"](spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    sets, comp = {d.doc_id: slow_signatures(d.text or "") for d in docs}, {d.doc_id: d.doc_id for d in docs}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if comp[a] != comp[b] and jaccard(sets[a], sets[b]) >= .8:
+            lo, hi = sorted((comp[a], comp[b]))
+            comp = {k: lo if c == hi else c for k, c in comp.items()}
+    assert got == comp
+
+
 def test_groups_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(S, "BUCKET", 8)
     rnd = random.Random(2)
