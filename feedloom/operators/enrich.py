@@ -6,7 +6,7 @@ matching, which regular expressions cannot do, so C2 and C3 are one
 ``mapInPandas`` stage: it reads each page once with the standard-library
 tokeniser into a flat event list (no recursion, so depth does not matter),
 finds and scores the candidate blocks, and returns them with the html of the
-best one.  The markdown rules (B13) are native.
+best one.  Markdown (B13) is written from the same events.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
+from feedloom.operators.markdown import to_markdown
 from feedloom.session import ship_package
 
 # --- fixed values: noise elements removed before choosing a block ----------
@@ -63,8 +64,9 @@ class _Page(HTMLParser):
     or c(omment).  Nodes are ``[tag, attrs, first event, event behind, parent,
     inside main]``; noise elements leave no events."""
 
-    def __init__(self):
+    def __init__(self, drop: set = NOISE_TAGS):
         super().__init__(convert_charrefs=True)
+        self.drop = drop
         self.nodes = [["#root", {}, 0, 0, -1, False]]
         self.noise = [False]
         self.open, self.n_open, self.events = [0], Counter(), []
@@ -83,7 +85,7 @@ class _Page(HTMLParser):
         k = len(self.nodes)
         self.nodes.append([tag, {a: (v or "") for a, v in attrs}, len(self.events), len(self.events), parent,
                            self.nodes[parent][5] or self.nodes[parent][0] == "main"])
-        self.noise.append(self.noise[parent] or tag in NOISE_TAGS)
+        self.noise.append(self.noise[parent] or tag in self.drop)
         if not self.noise[k]:
             self.events.append(("s", k))
         self.open.append(k)
@@ -166,9 +168,19 @@ def blocks_of(html: str):
     """``(blocks, best)`` of a page: candidate blocks ``(ord, selector_rank,
     has_h1, text_len, score)`` in selector order, each element once, and
     ``(ord, text, html)`` of the first with the highest score from zero up."""
-    page = _Page()
+    page = _read(html)
+    blocks, best = _choose(page)
+    return blocks, (best[0], best[1], page.html(best[2])) if best else (None, None, None)
+
+
+def _read(html: str, drop: set = NOISE_TAGS) -> _Page:
+    page = _Page(drop)
     page.feed(html)
-    page.done()
+    return page.done()
+
+
+def _choose(page: _Page):
+    """Candidate blocks and ``(ord, text, node)`` of the best."""
     live = [n for n, noise in zip(page.nodes[1:], page.noise[1:]) if not noise]
     heads = [n for n in live if n[0] == "h1"]
     title = page.strings(heads[0]).lower() if heads else ""
@@ -184,7 +196,7 @@ def blocks_of(html: str):
         blocks.append((k, r, has_h1, len(text), score))
         if score > best_score:
             best, best_score = (k, text, n), score
-    return blocks, (best[0], best[1], page.html(best[2])) if best else (None, None, None)
+    return blocks, best
 
 
 _BLOCKS = "array<struct<ord: int, selector_rank: int, has_h1: boolean, text_len: int, score: int>>"
@@ -224,35 +236,31 @@ def main_content(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- B13
-def html_to_markdown(c, max_chars: int = 0) -> Column:
-    """ATX headings, links, emphasis, list items, paragraphs, line breaks;
-    remaining tags dropped; entities decoded; then B12."""
-    s = F.coalesce(T._c(c), F.lit(""))
-    s = F.regexp_replace(s, "(?is)<(script|style)[^>]*>.*?</\\1>", "")
-    for n in range(1, 7):
-        s = F.regexp_replace(s, f"(?is)<h{n}[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n")
-    s = F.regexp_replace(s, "(?is)<a\\s[^>]*?href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>", "[$2]($1)")
-    s = F.regexp_replace(s, "(?is)<(b|strong)(\\s[^>]*)?>(.*?)</\\1>", "**$3**")
-    s = F.regexp_replace(s, "(?is)<(i|em)(\\s[^>]*)?>(.*?)</\\1>", "*$3*")
-    s = F.regexp_replace(s, "(?is)<li(\\s[^>]*)?>", "\n* ")
-    s = F.regexp_replace(s, "(?is)<br\\s*/?>", "  \n")
-    s = F.regexp_replace(s, "(?is)</?p(\\s[^>]*)?>", "\n\n")
-    s = F.regexp_replace(s, "(?s)<[^>]+>", "")
-    s = F.regexp_replace(T.html_unescape(s), "[ \\t]+", " ")
-    return T.normalize_markdown(s, max_chars)
+def markdown_of(html: str) -> str:
+    """Markdown of a whole page or fragment, scripts and styles left out (before B12)."""
+    page = _read(html, {"script", "style"})
+    return to_markdown(page.nodes, page.events)
+
+
+def main_markdown(html: str) -> str:
+    """Markdown of a page's main block; of the whole page where there is none or it is empty."""
+    page = _read(html)
+    best = _choose(page)[1]
+    text = to_markdown(page.nodes, page.events[best[2][2]:best[2][3]]) if best else ""
+    return text or markdown_of(html)
+
+
+def _markdown_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "_md": [main_markdown(h or "") for h in pdf["html"]]})
 
 
 def page_markdown(pages: DataFrame, max_chars: int = 2500) -> DataFrame:
-    """C4: main block -> markdown; else whole page; else text; with a status."""
-    j = focused_pages(pages)
-    # each candidate is computed once, later ones only when earlier ones are empty
-    j = j.select("page_id", "url", "html", T.valid_feed_url(F.col("url")).alias("_valid"),
-                 html_to_markdown(F.col("block_html"), max_chars).alias("_focused"))
-    whole = html_to_markdown(F.col("html"), max_chars)
-    text = T.normalize_markdown(T.html_to_text(F.col("html")), max_chars)
-    md = F.when(~F.col("_valid"), F.lit("")).when(F.col("_focused") != "", F.col("_focused")).otherwise(
-        T._let(whole, lambda w: F.when(w != "", w).otherwise(text)))
-    j = j.select("page_id", "url", "_valid", md.alias("markdown"))
+    """C4: main block -> markdown; else whole page; with a status.  One scan, no shuffle."""
+    ship_package(pages.sparkSession)
+    valid = pages.select("page_id", "url", F.when(T.valid_feed_url(F.col("url")), F.col("html")).alias("html"))
+    j = valid.mapInPandas(_markdown_batches, "page_id long, url string, _md string").select(
+        "page_id", "url", T.valid_feed_url(F.col("url")).alias("_valid"), T.normalize_markdown(F.col("_md"), max_chars).alias("markdown"))
     status = F.when(~F.col("_valid"), "invalid_url").when(F.col("markdown") == "", "empty").otherwise("ok")
     return j.select("page_id", "url", "markdown", status.alias("status"))
 
