@@ -171,15 +171,67 @@ TRUNCATED_JSON_ERROR = "unexpected end of json input"
 MISSING_REQUIRED = "missing required analyzed fields"
 
 # --- fixed values: message layouts -------------------------------------------
-# The first line of the default layout is deployment branding: a parameter
-# of render_default; this neutral value is only its default.
+# The line above the default layout is deployment branding: a parameter of
+# render_default; this neutral value is only its default.
 DEFAULT_LAYOUT_HEADER = "*JOB-FEED*"
-CHAT_FRAME_TOP = "┏" + "━" * 22
-CHAT_FRAME_BOTTOM = "┗" + "━" * 22
-CHAT_ROLE, CHAT_COMPANY, CHAT_LOCATION, CHAT_SALARY = "┃ 🚀 ", "┃ 🏢 ", "┃ 🏠 ", "┃ 💰 "
-CHAT_STACK, CHAT_SUMMARY = "🧩 *Stack:*", "📝 *Sintesi:*  "
-CHAT_SENIORITY, CHAT_CONTRACT, CHAT_LANGUAGE, CHAT_RANK = "├ 📈 ", "├ 🏷 ", "├ 🌍 ", "└ ⭐ "
-CHAT_TAGS, CHAT_APPLY = "🏷", "🔗 [candidati]"
+# The two layouts whole, in the template language of operators/template.py.
+DEFAULT_LAYOUT = """{{md .SourceLabel}}
+
+{{if .OriginalLinks}}{{index .OriginalLinks 0}}{{else}}{{.SourceURL}}{{end}}
+
+*Categoria:* {{md .JobCategory}}
+*{{md .Role}}* @ *{{md .Company}}*
+{{md .SummaryIT}}
+
+- Seniority: {{md .Seniority}}
+- Location: {{md .Location}} ({{md .RemoteType}})
+- Contratto: {{md .ContractType}}
+- Salary: {{md .Salary}}
+- Stack: {{range $i, $v := .TechStack}}{{if $i}}, {{end}}{{md $v}}{{end}}
+{{if .Tags}}- Tags: {{range $i, $t := .Tags}}{{if $i}} {{end}}#{{md $t}}{{end}}
+{{end}}
+
+{{if .OriginalLinks}}
+*Link Originali*
+{{range .OriginalLinks}}- {{.}}
+{{end}}{{end}}
+
+{{if .OriginalImages}}
+*Immagini*
+{{range .OriginalImages}}- {{.}}
+{{end}}{{end}}
+
+[Annuncio originale]({{.SourceURL}})
+"""
+CHAT_LAYOUT = """┏━━━━━━━━━━━━━━━━━━━━━━
+┃ 🚀 *{{ if .Role }}{{ md .Role }}{{ else }}{{ md .Title }}{{ end }}*
+┃ 🏢 {{ md .Company }}
+┃ 🏠 {{ md .Location }}
+┃ 💰 {{ md .Salary }}
+┗━━━━━━━━━━━━━━━━━━━━━━
+
+{{- if .TechStack }}
+
+🧩 *Stack:*{{- range $v := .TechStack }}{{- $tag := tgtag $v }}{{- if $tag }} #{{ $tag }}{{- end }}{{- end }}
+{{- end }}
+
+{{- if .SummaryIT }}
+
+📝 *Sintesi:*  
+{{ md .SummaryIT }}
+{{- end }}
+
+├ 📈 {{ md .Seniority }}
+├ 🏷 {{ md .ContractType }}
+├ 🌍 {{ md .Language }}
+└ ⭐ {{ .JobPostQualityRank }} ({{ .JobPostQualityScore }}/100)
+
+{{- if .Tags }}
+🏷 {{- range $t := .Tags }}{{- $tag := tgtag $t }}{{- if $tag }} #{{ $tag }}{{- end }}{{- end }}
+{{- end }}
+
+🔗 [candidati]({{ .SourceURL }})
+"""
 FILE_SEPARATOR = "\n\n---\n\n"
 PARSE_ENTITIES_ERROR = "can't parse entities"
 

@@ -1,8 +1,8 @@
 """Publishing: message rendering, delivery requests and outcomes, file sink,
 item export, pacing.
 
-Layouts are concatenations of native columns (a user layout is any python
-function ``DataFrame -> Column``).  Delivery requests are a table that a
+Layouts are templates compiled to native columns (a user layout is a template
+or any python function ``DataFrame -> Column``).  Delivery requests are a table that a
 sender job drains; responses come back as a table (no network in core).
 """
 
@@ -15,79 +15,25 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import fixed
 from feedloom.functions import text as T
+from feedloom.operators import template
 from feedloom.operators.extract import go_json_escape
 from feedloom.session import checkpoint_dir, reliable_checkpoint, ts_lit
 
-def _empty() -> Column:
-    return F.array().cast("array<string>")
-
-
-def _s(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
-
-
-def _a(name: str) -> Column:
-    return F.coalesce(F.col(name), _empty())
-
-
-def md(c: Column) -> Column:
-    return T.escape_markdown(c)
-
-
-# ---------------------------------------------------------------- C16
+# ---------------------------------------------------------------- C16 / C17
 def render_default(df: DataFrame, header: str = fixed.DEFAULT_LAYOUT_HEADER) -> Column:
     """The default layout (header line, label, first link, category,
     role @ company, summary, fields, stack, tags, links, images, source link)."""
-    links, images, tags, stack = _a("original_links"), _a("original_images"), _a("tags"), _a("tech_stack")
-    first = F.when(F.size(links) > 0, F.element_at(links, 1)).otherwise(_s("source_url"))
-    tags_line = F.when(F.size(tags) > 0, F.concat(
-        F.lit("- Tags: "), F.array_join(F.transform(tags, lambda t: F.concat(F.lit("#"), md(t))), " "),
-        F.lit("\n"))).otherwise(F.lit(""))
-    links_block = F.when(F.size(links) > 0, F.concat(
-        F.lit("\n*Link Originali*\n"),
-        F.array_join(F.transform(links, lambda l: F.concat(F.lit("- "), l, F.lit("\n"))), ""))).otherwise(F.lit(""))
-    images_block = F.when(F.size(images) > 0, F.concat(
-        F.lit("\n*Immagini*\n"),
-        F.array_join(F.transform(images, lambda i: F.concat(F.lit("- "), i, F.lit("\n"))), ""))).otherwise(F.lit(""))
-    return F.concat(
-        F.lit(header + "\n"), md(_s("source_label")), F.lit("\n\n"), first,
-        F.lit("\n\n*Categoria:* "), md(_s("job_category")),
-        F.lit("\n*"), md(_s("role")), F.lit("* @ *"), md(_s("company")), F.lit("*\n"), md(_s("summary_it")),
-        F.lit("\n\n- Seniority: "), md(_s("seniority")),
-        F.lit("\n- Location: "), md(_s("location")), F.lit(" ("), md(_s("remote_type")), F.lit(")"),
-        F.lit("\n- Contratto: "), md(_s("contract_type")),
-        F.lit("\n- Salary: "), md(_s("salary")),
-        F.lit("\n- Stack: "), F.array_join(F.transform(stack, md), ", "), F.lit("\n"),
-        tags_line, F.lit("\n\n"), links_block, F.lit("\n\n"), images_block,
-        F.lit("\n\n[Annuncio originale]("), _s("source_url"), F.lit(")\n"))
-
-
-# ---------------------------------------------------------------- C17
-def _hashtags(arr: Column) -> Column:
-    tags = F.filter(F.transform(arr, T.normalize_tag), lambda t: t != "")
-    return F.array_join(F.transform(tags, lambda t: F.concat(F.lit(" #"), t)), "")
+    return F.concat(F.lit(header + "\n"), template.compile_template(fixed.DEFAULT_LAYOUT, LAYOUT_FIELDS))
 
 
 def render_chat(df: DataFrame) -> Column:
     """C17: the chat layout (frame, hashtags by B18, summary, rank, apply link)."""
-    stack, tags = _a("tech_stack"), _a("tags")
-    role = F.when(_s("role") != "", md(_s("role"))).otherwise(md(_s("title")))
-    return F.concat(
-        F.lit(fixed.CHAT_FRAME_TOP + "\n" + fixed.CHAT_ROLE + "*"), role,
-        F.lit("*\n" + fixed.CHAT_COMPANY), md(_s("company")),
-        F.lit("\n" + fixed.CHAT_LOCATION), md(_s("location")),
-        F.lit("\n" + fixed.CHAT_SALARY), md(_s("salary")),
-        F.lit("\n" + fixed.CHAT_FRAME_BOTTOM),
-        F.when(F.size(stack) > 0, F.concat(F.lit("\n\n" + fixed.CHAT_STACK), _hashtags(stack))).otherwise(F.lit("")),
-        F.when(_s("summary_it") != "", F.concat(F.lit("\n\n" + fixed.CHAT_SUMMARY + "\n"), md(_s("summary_it"))))
-        .otherwise(F.lit("")),
-        F.lit("\n\n" + fixed.CHAT_SENIORITY), md(_s("seniority")),
-        F.lit("\n" + fixed.CHAT_CONTRACT), md(_s("contract_type")),
-        F.lit("\n" + fixed.CHAT_LANGUAGE), md(_s("language")),
-        F.lit("\n" + fixed.CHAT_RANK), _s("job_post_quality_rank"), F.lit(" ("),
-        F.coalesce(F.col("job_post_quality_score").cast("string"), F.lit("0")), F.lit("/100)"),
-        F.when(F.size(tags) > 0, F.concat(F.lit("\n" + fixed.CHAT_TAGS), _hashtags(tags))).otherwise(F.lit("")),
-        F.lit("\n\n" + fixed.CHAT_APPLY + "("), _s("source_url"), F.lit(")\n"))
+    return template.compile_template(fixed.CHAT_LAYOUT, LAYOUT_FIELDS)
+
+
+def user_layout(source: str) -> Callable[[DataFrame], Column]:
+    """A user's template text as a layout; raises ``TemplateError`` if it cannot be compiled."""
+    return template.layout(source, LAYOUT_FIELDS)
 
 
 LAYOUT_FIELDS = {
@@ -100,7 +46,8 @@ LAYOUT_FIELDS = {
 
 
 def render_messages(analyzed: DataFrame, layout: str | Callable[[DataFrame], Column] = "default") -> DataFrame:
-    """One message per analysed item; ``layout`` = default, chat or a function.
+    """One message per analysed item; ``layout`` = default, chat or a function
+    (:func:`user_layout` makes one of a template).
     Fields the input lacks render as empty."""
     for name, typ in LAYOUT_FIELDS.items():
         if name not in analyzed.columns:

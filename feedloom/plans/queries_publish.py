@@ -51,16 +51,15 @@ def _hashtags_sql(lst: str) -> str:
 def _sql_chat() -> str:
     nl = "chr(10)"
     role = f"CASE WHEN coalesce(role, '') <> '' THEN {O.md('role')} ELSE {O.md('title')} END"
-    msg = (f"{O.q(fixed.CHAT_FRAME_TOP)} || {nl} || {O.q(fixed.CHAT_ROLE + '*')} || {role} || '*' || {nl}"
-           f" || {O.q(fixed.CHAT_COMPANY)} || {O.md('company')} || {nl} || {O.q(fixed.CHAT_LOCATION)} || {O.md('location')}"
-           f" || {nl} || {O.q(fixed.CHAT_SALARY)} || {O.md('salary')} || {nl} || {O.q(fixed.CHAT_FRAME_BOTTOM)}"
-           f" || CASE WHEN len(tech_stack) > 0 THEN {nl} || {nl} || {O.q(fixed.CHAT_STACK)} || {_hashtags_sql('tech_stack')} ELSE '' END"
-           f" || CASE WHEN coalesce(summary_it, '') <> '' THEN {nl} || {nl} || {O.q(fixed.CHAT_SUMMARY)} || {nl} || {O.md('summary_it')} ELSE '' END"
-           f" || {nl} || {nl} || {O.q(fixed.CHAT_SENIORITY)} || {O.md('seniority')} || {nl} || {O.q(fixed.CHAT_CONTRACT)}"
-           f" || {O.md('contract_type')} || {nl} || {O.q(fixed.CHAT_LANGUAGE)} || {O.md('language')} || {nl}"
-           f" || {O.q(fixed.CHAT_RANK)} || job_post_quality_rank || ' (' || CAST(job_post_quality_score AS VARCHAR) || '/100)'"
-           f" || CASE WHEN len(tags) > 0 THEN {nl} || {O.q(fixed.CHAT_TAGS)} || {_hashtags_sql('tags')} ELSE '' END"
-           f" || {nl} || {nl} || {O.q(fixed.CHAT_APPLY + '(')} || source_url || ')' || {nl}")
+    line = "━" * 22
+    msg = (f"'┏{line}' || {nl} || '┃ 🚀 *' || {role} || '*' || {nl} || '┃ 🏢 ' || {O.md('company')} || {nl} || '┃ 🏠 ' || {O.md('location')}"
+           f" || {nl} || '┃ 💰 ' || {O.md('salary')} || {nl} || '┗{line}'"
+           f" || CASE WHEN len(tech_stack) > 0 THEN {nl} || {nl} || '🧩 *Stack:*' || {_hashtags_sql('tech_stack')} ELSE '' END"
+           f" || CASE WHEN coalesce(summary_it, '') <> '' THEN {nl} || {nl} || '📝 *Sintesi:*  ' || {nl} || {O.md('summary_it')} ELSE '' END"
+           f" || {nl} || {nl} || '├ 📈 ' || {O.md('seniority')} || {nl} || '├ 🏷 ' || {O.md('contract_type')} || {nl} || '├ 🌍 ' || {O.md('language')}"
+           f" || {nl} || '└ ⭐ ' || job_post_quality_rank || ' (' || CAST(job_post_quality_score AS VARCHAR) || '/100)'"
+           f" || CASE WHEN len(tags) > 0 THEN {nl} || '🏷' || {_hashtags_sql('tags')} ELSE '' END"
+           f" || {nl} || {nl} || '🔗 [candidati](' || source_url || ')' || {nl}")
     return O.with_(O.v_analyzed()) + f"SELECT id, {msg} AS message FROM v_analyzed"
 
 
@@ -70,6 +69,26 @@ def q_render_chat(spark: SparkSession, sf: str) -> DataFrame:
     return P.render_messages(V.v_analyzed(spark, sf), "chat").select("id", "message")
 
 
+_USER = """{{/* a user's own layout */}}{{$who := or .Company "?"}}{{if and .Role (ne .Seniority "unknown")}}{{.Role | md}} [{{.Seniority}}]
+{{- else if .Role}}{{md .Role}}{{else}}-{{end}} @ {{$who}}: {{len .Tags}} {{range $i, $t := .Tags}}{{if not $i}}first {{end}}{{tgtag $t}};{{else}}none{{end}}
+{{- if eq .JobPostQualityScore 100}} full{{end}}"""
+
+
+def _sql_user() -> str:
+    tag = f"list_transform(coalesce(tags, []), lambda t, i: CASE WHEN i = 1 THEN 'first ' ELSE '' END || {O.norm_tag('t')} || ';')"
+    return O.with_(O.v_analyzed()) + f"""SELECT id, CASE WHEN coalesce(role, '') = '' THEN '-'
+    WHEN coalesce(seniority, '') <> 'unknown' THEN {O.md('role')} || ' [' || coalesce(seniority, '') || ']' ELSE {O.md('role')} END
+  || ' @ ' || CASE WHEN coalesce(company, '') = '' THEN '?' ELSE company END || ': ' || len(coalesce(tags, [])) || ' '
+  || CASE WHEN len(coalesce(tags, [])) = 0 THEN 'none' ELSE array_to_string({tag}, '') END
+  || CASE WHEN job_post_quality_score = 100 THEN ' full' ELSE '' END AS message FROM v_analyzed"""
+
+
+@register("render_user", _sql_user)
+def q_render_user(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's template with variables, pipes, conditions and loops."""
+    return P.render_messages(V.v_analyzed(spark, sf), P.user_layout(_USER)).select("id", "message")
+
+
 @register("file_records", lambda: _sql_chat().replace(
     "SELECT id, ", "SELECT '2024-01-31T00:00:00Z' || chr(10) || ", 1).replace(
     " AS message FROM v_analyzed", " || chr(10) || chr(10) || '---' || chr(10) || chr(10) AS value, DATE '2024-01-31' AS date FROM v_analyzed"))
