@@ -9,13 +9,15 @@ aggregated side.  Per-lane top-n uses the two-stage ranking of
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import fixed
 from feedloom.functions import text as T
 from feedloom.operators.ingest import top_n_per_group
-from feedloom.session import ts_lit
+from feedloom.session import reliable_checkpoint, scratch_path, ts_lit
 
 
 def _domain(spark: SparkSession, name: str, values: list[str]) -> DataFrame:
@@ -308,28 +310,58 @@ def stage_latency(items: DataFrame) -> DataFrame:
         F.round(F.min("s"), 6).alias("min_s"), F.round(F.max("s"), 6).alias("max_s"))
 
 
-def exact_percentiles(df: DataFrame, group: str, value: str, shares: dict[str, float], buckets: int = 256) -> DataFrame:
+#: Distinct values that are counted up in one task, and splitters of a round.
+PERCENTILE_VALUES, SPLITTERS = 50_000, 63
+#: Groups up to which the open ranges are joined map-side (their number is counted).
+FEW_GROUPS = 10_000
+
+
+def exact_percentiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
     """Discrete percentiles per group: the smallest value whose cumulative
     count reaches ``ceil(share * n)``.
 
-    Equal values are counted before the shuffle.  A group's values are cut
-    into ``buckets`` equal ranges between its least and greatest value; counts
-    per range find the one that holds the rank, and only that range's distinct
-    values are then counted up, so no group is ever sorted whole."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ends = counts.groupBy(group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n"))
-    part = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets),
-                                                       F.lit(buckets - 1))).otherwise(F.lit(0))
-    placed = counts.join(ends, group).withColumn("_b", part)
-    before = Window.partitionBy(group).orderBy("_b")
-    ranges = placed.groupBy(group, "_b").agg(F.sum("_c").alias("_m")).select(
-        group, "_b", (F.sum("_m").over(before) - F.col("_m")).alias("_before"), F.sum("_m").over(before).alias("_upto"))
-    asked = ends.select(group, "n", F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.ceil(F.lit(q) * F.col("n") - 1e-9).alias("rank"))
-                                                        for k, q in shares.items()])).alias("q")).select(group, "n", "q.*")
-    hit = asked.join(ranges, group).filter((F.col("rank") > F.col("_before")) & (F.col("rank") <= F.col("_upto")))
-    inside = placed.select(group, "_b", "_v", "_c").join(hit, [group, "_b"])
+    Equal values are counted before the shuffle.  For every (group, share) a
+    range of values is open, at first all.  While one holds more than
+    PERCENTILE_VALUES distinct values, splitters at their approximate quantiles
+    (a sketch, so that a long tail is only one of the parts) cut it, counts per
+    part find the one that holds the rank, and that becomes the range.  What is
+    left is counted up by one window."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    df.filter(F.col(value).isNotNull()).groupBy(group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    totals = counts.groupBy(group).agg(F.sum("_c").alias("n"), F.count(F.lit(1)).alias("_m"))
+    kind = counts.schema["_v"].dataType
+    names = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.ceil(F.lit(q) * F.col("n") - 1e-9).alias("rank")) for k, q in shares.items()]))
+    open_ = reliable_checkpoint(totals.select(group, "n", "_m", names.alias("q")).select(
+        group, "n", "_m", "q.*", F.lit(None).cast(kind).alias("_lo"), F.lit(None).cast(kind).alias("_hi"), F.lit(0).cast("long").alias("_before")))
+    few = open_.count() <= FEW_GROUPS
+
+    def inside() -> DataFrame:
+        """The distinct values of the open ranges, above ``_lo`` up to ``_hi``."""
+        ranges = open_.withColumnRenamed(group, "_g")
+        met = counts.join(F.broadcast(ranges) if few else ranges, counts[group].eqNullSafe(F.col("_g")))
+        return met.filter((F.col("_lo").isNull() | (F.col("_v") > F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi"))))
+
+    def splitters(rows: DataFrame) -> DataFrame:
+        """About evenly spaced values of every range, by a sketch: partial aggregates, whatever a range holds."""
+        return rows.groupBy(group, "name").agg(F.sort_array(F.array_distinct(F.percentile_approx(
+            "_v", [i / (SPLITTERS + 1) for i in range(1, SPLITTERS + 1)], 2000))).alias("_s"))
+
+    while (open_.agg(F.max("_m")).first()[0] or 0) > PERCENTILE_VALUES:
+        wide = inside().filter(F.col("_m") > PERCENTILE_VALUES)
+        cuts = reliable_checkpoint(splitters(wide)).withColumnsRenamed({group: "_sg", "name": "_sn"})
+        cut = wide.join(F.broadcast(cuts) if few else cuts, wide[group].eqNullSafe(F.col("_sg")) & (wide["name"] == F.col("_sn")))
+        part = cut.withColumn("_b", F.size(F.filter("_s", lambda x: x < F.col("_v"))))
+        sums = part.groupBy(group, "name", "_b").agg(*[F.first(c).alias(c) for c in ("n", "rank", "_lo", "_hi", "_before", "_s")],
+                                                     F.sum("_c").alias("_sum"), F.count(F.lit(1)).alias("_k"))
+        upto = F.sum("_sum").over(Window.partitionBy(group, "name").orderBy("_b"))
+        hit = sums.withColumn("_upto", F.col("_before") + upto).filter((F.col("_upto") >= F.col("rank")) & (F.col("_upto") - F.col("_sum") < F.col("rank")))
+        narrowed = hit.select(group, "n", F.col("_k").alias("_m"), "name", "rank", F.coalesce(F.get("_s", F.col("_b") - 1), "_lo").alias("_lo"),
+                              F.coalesce(F.get("_s", F.col("_b")), "_hi").alias("_hi"), (F.col("_upto") - F.col("_sum")).alias("_before"))
+        open_ = reliable_checkpoint(open_.filter(F.col("_m") <= PERCENTILE_VALUES).unionByName(narrowed))
     w = Window.partitionBy(group, "name").orderBy("_v")
-    reached = inside.withColumn("_cum", F.col("_before") + F.sum("_c").over(w)).filter(F.col("_cum") >= F.col("rank"))
+    reached = inside().withColumn("_cum", F.col("_before") + F.sum("_c").over(w)).filter(F.col("_cum") >= F.col("rank"))
     return reached.groupBy(group).agg(F.max("n").alias("n"), *[F.min(F.when(F.col("name") == k, F.col("_v"))).alias(k) for k in shares])
 
 
@@ -338,6 +370,94 @@ def stage_latency_p95(items: DataFrame) -> DataFrame:
     return exact_percentiles(_stage_durations(items), "stage", "s", {"p50_s": 0.5, "p95_s": 0.95})
 
 
+#: Growth of a sketch's buckets; an estimate is within (GAMMA - 1) / (GAMMA + 1) of its value, about 1 %.
+GAMMA = 1.02
+
+
+def latency_sketch(samples: DataFrame, series: str, ts: str, value: str, gamma: float = GAMMA) -> DataFrame:
+    """The stored aggregate ``(series, minute, bucket, n)``.
+
+    Bucket ``i`` holds the values above ``gamma ** (i - 1)`` up to ``gamma **
+    i``; values at or below 0 are in the null bucket.  Sketches of any rows are
+    merged by adding ``n``; nulls do not count."""
+    v = F.col(value).cast("double")
+    return samples.filter(v.isNotNull() & F.col(ts).isNotNull()).groupBy(
+        F.col(series).alias("series"), F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz").alias("minute"),
+        F.when(v > 0, F.ceil(F.round(F.log(v) / F.lit(math.log(gamma)), 9))).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_sketches(*sketches: DataFrame) -> DataFrame:
+    """One sketch of the rows of all."""
+    every = sketches[0]
+    for s in sketches[1:]:
+        every = every.unionByName(s)
+    return every.groupBy("series", "minute", "bucket").agg(F.sum("n").alias("n"))
+
+
+def window_quantiles(sketch: DataFrame, shares: dict[str, float], minutes: int = 5, gamma: float = GAMMA) -> DataFrame:
+    """Quantiles per series and window of ``minutes``, one window a minute, from
+    the sketch alone.  A quantile is its bucket's middle, within the sketch's
+    relative error of the smallest value whose cumulative count reaches
+    ``ceil(share * n)``.  A (series, window) has at most as many rows as buckets."""
+    windows = sketch.select("series", F.explode(F.transform(F.sequence(F.lit(1), F.lit(minutes)), lambda k: F.col("minute") + F.make_dt_interval(mins=k))).alias("until"),
+                            "bucket", "n").groupBy("series", "until", "bucket").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("series", "until")
+    up = windows.withColumn("total", F.sum("n").over(w)).withColumn("cum", F.sum("n").over(w.orderBy(F.col("bucket").asc_nulls_first())))
+    middle = F.coalesce(F.lit(2 / (gamma + 1)) * F.pow(F.lit(gamma), F.col("bucket")), F.lit(0.0))
+    reached = [F.min(F.when(F.col("cum") >= F.ceil(F.lit(q) * F.col("total") - 1e-9), middle)).alias(k) for k, q in shares.items()]
+    return up.groupBy("series", "until").agg(F.max("total").alias("n"), *reached)
+
+
+def stage_latency_windows(items: DataFrame, minutes: int = 5) -> DataFrame:
+    """p50 and p95 per stage and window, the dashboard's panels, from per-minute sketches."""
+    secs = lambda a, b: (F.unix_micros(F.col(b).cast("timestamp")) - F.unix_micros(F.col(a).cast("timestamp"))) / 1e6
+    st = F.explode(F.array(*[F.struct(F.lit(name).alias("stage"), F.col(b).alias("at"), secs(a, b).alias("s")) for name, a, b in (
+        ("analyze", "created_at", "analyzed_at"), ("dispatch", "analyzed_at", "dispatched_at"), ("end_to_end", "created_at", "dispatched_at"))]))
+    samples = items.select(st.alias("x")).select("x.*")
+    return window_quantiles(latency_sketch(samples, "stage", "at", "s"), {"p50_s": 0.5, "p95_s": 0.95}, minutes)
+
+
+def counter_rates(samples: DataFrame, series: str, ts: str, value: str, order: str | None = None, minutes: int = 5) -> DataFrame:
+    """Per-second rate of cumulative counters, one window of ``minutes`` a minute.
+
+    A value below the one before is a reset: the counter began again at 0.  A
+    window's increase is that from its first to its last sample, extended to the
+    window's edges: on each side by the time to the edge if that is below 1.1
+    average distances between samples, else by half of one, and at the start
+    never below 0.  Windows with fewer than two samples, or all at one time,
+    have no rate.  Samples of one time go by ``order``; rows with a null series,
+    time or value do not count.
+
+    Samples become one pane a (series, minute); a pane's increase is summed
+    inside it, the steps between panes come from its neighbours, and windows are
+    frames over panes: no sample is copied into windows."""
+    t = (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6)
+    rows = samples.select(F.col(series).alias("series"), t.alias("t"), F.col(value).cast("double").alias("v"), (F.col(order) if order else F.lit(0)).alias("o")) \
+        .filter("series is not null and t is not null and v is not null").withColumn("pane", F.floor(F.col("t") / 60))
+    step = lambda now, was: F.when(was.isNull(), F.lit(0.0)).when(now < was, now).otherwise(now - was)
+    place = F.struct("t", "o", "v")
+    inner = rows.withColumn("d", step(F.col("v"), F.lag("v").over(Window.partitionBy("series", "pane").orderBy("t", "o", "v"))))
+    panes = inner.groupBy("series", "pane").agg(F.min(place).alias("a"), F.max(place).alias("z"), F.count(F.lit(1)).alias("n"), F.sum("d").alias("d"))
+    by_pane = Window.partitionBy("series").orderBy("pane")
+    linked = panes.withColumn("link", step(F.col("a.v"), F.lag("z.v").over(by_pane)))
+    frame = by_pane.rangeBetween(-(minutes - 1), 0)
+    # windows end with every minute up to the last that still holds a pane
+    ends = linked.select("series", F.explode(F.sequence(F.col("pane"), F.col("pane") + (minutes - 1))).alias("pane")).distinct()
+    full = ends.join(linked, ["series", "pane"], "left")
+    first = lambda c: F.first(c, ignorenulls=True).over(frame)
+    seen = full.select("series", "pane", F.sum("n").over(frame).alias("n"), first("a").alias("a"), F.last("z", ignorenulls=True).over(frame).alias("z"),
+                       (F.sum(F.col("d") + F.col("link")).over(frame) - first("link")).alias("up"))
+    sampled = F.col("z.t") - F.col("a.t")
+    mean = sampled / (F.col("n") - 1)
+    to_start, to_end = F.col("a.t") - (F.col("pane") - (minutes - 1)) * 60, (F.col("pane") + 1) * 60 - F.col("z.t")
+    to_zero = F.when((F.col("up") > 0) & (F.col("a.v") >= 0), sampled * F.col("a.v") / F.col("up"))
+    to_start = F.least(to_start, F.coalesce(to_zero, to_start))
+    reach = sampled + F.when(to_start < mean * 1.1, to_start).otherwise(mean / 2) + F.when(to_end < mean * 1.1, to_end).otherwise(mean / 2)
+    return seen.filter((F.col("n") > 1) & (sampled > 0)).select(
+        "series", F.timestamp_seconds((F.col("pane") + 1) * 60).cast("timestamp_ntz").alias("until"), "n", F.col("up").alias("increase"),
+        (F.col("up") * reach / sampled / (60.0 * minutes)).alias("per_second"))
+
+
 # ---------------------------------------------------------------- G13 / G14 / G15
 def job_counters(outcomes: DataFrame) -> DataFrame:
     """Counts by (stage, outcome, reason)."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import text as T
@@ -486,6 +486,50 @@ def q_stage_latency_p95(spark: SparkSession, sf: str) -> DataFrame:
     return M.stage_latency_p95(V.v_status(spark, sf))
 
 
+@register("stage_latency_windows", lambda: _w(O.v_status(), _lat_sql().replace(" AS stage, ", " AS stage, created_at, analyzed_at, dispatched_at, ")) + """,
+a AS (SELECT stage, CASE WHEN stage = 'analyze' THEN analyzed_at ELSE dispatched_at END AS ended, s FROM d WHERE s IS NOT NULL),
+b AS (SELECT stage, date_trunc('minute', ended) AS minute, CASE WHEN s > 0 THEN CAST(ceil(round(ln(s) / ln(1.02), 9)) AS INTEGER) END AS bucket, count(*) AS n
+  FROM a WHERE ended IS NOT NULL GROUP BY 1, 2, 3),
+w AS (SELECT stage, minute + to_minutes(k) AS until, bucket, sum(n) AS n FROM b, range(1, 6) r(k) GROUP BY 1, 2, 3),
+u AS (SELECT *, sum(n) OVER (PARTITION BY stage, until) AS total, sum(n) OVER (PARTITION BY stage, until ORDER BY bucket NULLS FIRST) AS cum,
+  coalesce(2 / 2.02 * pow(1.02, bucket), 0) AS middle FROM w)
+SELECT stage AS series, until, CAST(max(total) AS BIGINT) AS n, round(min(middle) FILTER (WHERE cum >= ceil(0.5 * total - 1e-9)), 6) AS p50_s,
+  round(min(middle) FILTER (WHERE cum >= ceil(0.95 * total - 1e-9)), 6) AS p95_s FROM u GROUP BY stage, until""")
+def q_stage_latency_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Five-minute p50 and p95 per stage, one window a minute, from per-minute sketches."""
+    return M.stage_latency_windows(V.v_status(spark, sf)).select("series", "until", "n", F.round("p50_s", 6).alias("p50_s"), F.round("p95_s", 6).alias("p95_s"))
+
+
+@register("counter_rates", lambda: """WITH e AS (SELECT event_type AS series, epoch_us(CAST(ts AS TIMESTAMP)) / 1e6 AS t, event_id AS o,
+    row_number() OVER (PARTITION BY event_type, epoch_us(CAST(ts AS TIMESTAMP)) // 21600000000 ORDER BY ts, event_id) AS v FROM events),
+w AS (SELECT *, CAST(floor(t / 60) AS BIGINT) + k AS pane FROM e, range(5) r(k)),
+x AS (SELECT *, lag(v) OVER (PARTITION BY series, pane ORDER BY t, o) AS pv FROM w),
+g AS (SELECT series, pane, count(*) AS n, min(t) AS t1, max(t) AS t2, list(v ORDER BY t, o)[1] AS v1,
+  CAST(sum(CASE WHEN pv IS NULL THEN 0 WHEN v < pv THEN v ELSE v - pv END) AS DOUBLE) AS up FROM x GROUP BY series, pane),
+f AS (SELECT *, t2 - t1 AS sampled, (t2 - t1) / (n - 1) AS mean, (pane + 1) * 60 - t2 AS to_end,
+  least(t1 - (pane - 4) * 60, CASE WHEN up > 0 THEN (t2 - t1) * v1 / up ELSE t1 - (pane - 4) * 60 END) AS to_start FROM g WHERE n > 1 AND t2 > t1)
+SELECT series, TIMESTAMP '1970-01-01 00:00:00' + to_seconds((pane + 1) * 60) AS until, n, up AS increase,
+  round(up * (sampled + CASE WHEN to_start < mean * 1.1 THEN to_start ELSE mean / 2 END
+                      + CASE WHEN to_end < mean * 1.1 THEN to_end ELSE mean / 2 END) / sampled / 300.0, 6) AS per_second FROM f""")
+def q_counter_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates of counters that restart every six hours, from cumulative samples."""
+    e = read_table(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
+    block = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 21600000000)
+    samples = e.withColumn("value", F.row_number().over(Window.partitionBy("event_type", block).orderBy("ts", "event_id")))
+    return M.counter_rates(samples, "event_type", "ts", "value", "event_id").withColumn("per_second", F.round("per_second", 6))
+
+
+@register("stage_latency_tail", lambda: _w(O.v_status(), _lat_sql()) + """
+, t AS (SELECT stage, CASE WHEN s = max(s) OVER (PARTITION BY stage) THEN s * 1e6 ELSE s END AS s FROM d WHERE s IS NOT NULL)
+SELECT stage, count(*) AS n, quantile_disc(s, 0.5) AS p50_s, quantile_disc(s, 0.95) AS p95_s, quantile_disc(s, 1.0) AS most_s FROM t GROUP BY stage""")
+def q_stage_latency_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact percentiles where the largest latencies are a million times as large."""
+    d = M._stage_durations(V.v_status(spark, sf))
+    most = d.groupBy("stage").agg(F.max("s").alias("m"))
+    tail = d.join(most, "stage").select("stage", F.when(F.col("s") == F.col("m"), F.col("s") * 1e6).otherwise(F.col("s")).alias("s"))
+    return M.exact_percentiles(tail, "stage", "s", {"p50_s": 0.5, "p95_s": 0.95, "most_s": 1.0})
+
+
 @register("sla_report", lambda: _w(O.v_status()) + """
 SELECT week, items, dispatched, dispatched_5m, with_payload,
   CASE WHEN dispatched > 0 THEN round(dispatched_5m / dispatched, 6) END AS share_5m,
