@@ -117,28 +117,34 @@ def _fold_sorted(src: DataFrame, key: str) -> DataFrame:
             .mapInPandas(_fold_queue, SNAPSHOT_SCHEMA))
 
 
-def enqueue_segments(log: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Tag each event with the seq of the latest enqueue at or before it (null
-    before the first enqueue), as a distributed scan: range-partition by
-    (item, ts, seq) and checkpoint; running max inside (partition, item);
-    the carry from earlier partitions comes from a small per-(partition,
-    item) summary.  A hot item spans many partitions, never one task."""
+def running_last(log: DataFrame, mark: Column, partitions: int | None = None) -> DataFrame:
+    """Each row with ``_mark``, the latest non-null ``mark`` (a struct that
+    begins with ``ts, seq``) of its item at or before it, as a distributed scan:
+    range-partition by (item, ts, seq) and checkpoint; running max inside
+    (partition, item); the carry from earlier partitions comes from a small
+    per-(partition, item) summary.  A hot item spans many partitions, never one
+    task."""
     spark = log.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = reliable_checkpoint(log.repartitionByRange(n, "item_id", "ts", "seq")
                                .withColumn("_pid", F.spark_partition_id()))
-    mark = F.when(F.col("action") == "enqueue", F.struct("ts", "seq"))
     w = Window.partitionBy("_pid", "item_id").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     local = part.withColumn("_m", F.max(mark).over(w))
     summary = local.groupBy("_pid", "item_id").agg(F.max(mark).alias("_last"))
     ws = Window.partitionBy("item_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("_carry", F.max("_last").over(ws)).select("_pid", "item_id", "_carry")
-    j = local.join(summary, ["_pid", "item_id"])
-    seg = F.coalesce(F.col("_m"), F.col("_carry"))
-    return j.withColumn("seg", F.when(seg.isNotNull(), F.concat_ws(
+    return local.join(summary, ["_pid", "item_id"]).withColumn("_mark", F.coalesce(F.col("_m"), F.col("_carry"))).drop("_pid", "_m", "_carry")
+
+
+def enqueue_segments(log: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Tag each event with the seq of the latest enqueue at or before it (null
+    before the first enqueue)."""
+    marked = running_last(log, F.when(F.col("action") == "enqueue", F.struct("ts", "seq")), partitions)
+    seg = F.col("_mark")
+    return marked.withColumn("seg", F.when(seg.isNotNull(), F.concat_ws(
         ":", F.lpad(F.unix_micros(seg["ts"].cast("timestamp")).cast("string"), 20, "0"),
-        F.lpad(seg["seq"].cast("string"), 20, "0")))).drop("_pid", "_m", "_carry")
+        F.lpad(seg["seq"].cast("string"), 20, "0")))).drop("_mark")
 
 
 def queue_snapshot(log: DataFrame, partitions: int | None = None, segmented: bool = True) -> DataFrame:
@@ -216,6 +222,34 @@ def item_status(log: DataFrame) -> DataFrame:
     )
 
 
+def item_record(log: DataFrame) -> DataFrame:
+    """F2 with everything a write leaves on the item: status, error and time of
+    the last write that applied; ``analyzed_at`` and the stored payload of the
+    last ANALYZED write that applied (requeues keep both) and
+    ``first_analyzed_at``; ``dispatched_at``, cleared by NEW writes and requeues,
+    and ``first_dispatched_at``.
+
+    Log as for :func:`item_status`, with an optional ``payload``.  ANALYZED and
+    FAILED writes apply unless the latest NEW, DISPATCHED or requeue write
+    before them is DISPATCHED."""
+    again = F.coalesce(F.col("requeue"), F.lit(False)) if "requeue" in log.columns else F.lit(False)
+    rows = log.select("item_id", "ts", "seq", "status", F.coalesce("error", F.lit("")).alias("error"), again.alias("requeue"),
+                      F.col("payload") if "payload" in log.columns else F.lit(None).cast("string").alias("payload"))
+    always = F.col("status").isin("NEW", "DISPATCHED") | F.col("requeue")
+    marked = running_last(rows, F.when(always, F.struct("ts", "seq", "status")))
+    applied = marked.filter(always | F.coalesce(F.col("_mark.status") != "DISPATCHED", F.lit(True)))
+    at, here = F.struct("ts", "seq"), F.struct("ts", "seq", "status", "error")
+    analyzed, sent = (F.col("status") == "ANALYZED") & ~F.col("requeue"), F.col("status") == "DISPATCHED"
+    agg = applied.groupBy("item_id").agg(
+        F.max(here).alias("l"), F.max(F.when(analyzed, F.col("ts"))).alias("analyzed_at"), F.min(F.when(analyzed, F.col("ts"))).alias("first_analyzed_at"),
+        F.max(F.when(analyzed & F.col("payload").isNotNull(), F.struct("ts", "seq", "payload"))).alias("p"),
+        F.max(F.when((F.col("status") == "NEW") | F.col("requeue"), at)).alias("c"), F.max(F.when(sent, at)).alias("d"),
+        F.min(F.when(sent, F.col("ts"))).alias("first_dispatched_at"))
+    return agg.select("item_id", "l.status", F.col("l.error").alias("last_error"), F.col("l.ts").alias("updated_at"), "analyzed_at", "first_analyzed_at",
+                      F.col("p.payload").alias("analyzed_payload_json"),
+                      F.when(F.col("c").isNull() | (F.col("d") > F.col("c")), F.col("d.ts")).alias("dispatched_at"), "first_dispatched_at")
+
+
 # ---------------------------------------------------------------- F3
 def claim_batch(snapshot: DataFrame, n: int, now, worker: str, lease_minutes: int = 2) -> DataFrame:
     """the ``n`` oldest claimable items (QUEUED or expired lease) -> claim events.
@@ -324,6 +358,20 @@ def analyzed_projection(analyzed: DataFrame) -> DataFrame:
     return last
 
 
+def store_analyzed(items: DataFrame, analyzed: DataFrame, now, payload: str = "payload_json") -> DataFrame:
+    """``items`` after the analysed records were stored: those that are not
+    DISPATCHED become ANALYZED with the record's payload, the enqueue time, and
+    no error; the others, and items without a record, stay as they are."""
+    now = ts_lit(now)
+    last = analyzed.filter(T.trim_space(F.coalesce(F.col("id"), F.lit(""))) != "").groupBy("id").agg(
+        F.max_by(F.col(payload), F.struct("created_at", payload)).alias("_payload"))
+    j = items.join(last, "id", "left")
+    hit = F.col("_payload").isNotNull() & (F.coalesce(F.col("status"), F.lit("")) != "DISPATCHED")
+    new = {"status": F.lit("ANALYZED"), "analyzed_at": now, "analyzed_payload_json": F.col("_payload"), "analyzed_enqueued_at": now, "last_error": F.lit(""),
+           "updated_at": now}
+    return j.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in items.columns])
+
+
 # ---------------------------------------------------------------- F8
 def apply_receipts(receipts: DataFrame) -> DataFrame:
     """F8: processed receipts -> DISPATCHED status writes (url or id required)."""
@@ -387,6 +435,14 @@ def feed_admin(changes: DataFrame, feeds: DataFrame) -> DataFrame:
     return j.filter(exists).select("feed_url", enabled.alias("enabled"))
 
 
+def feed_admin_state(changes: DataFrame, state: DataFrame) -> DataFrame:
+    """the feed state that is left: a removal also removes the feed's state
+    up to then, and adding the feed again does not bring it back."""
+    gone = changes.filter(F.col("op") == "remove").groupBy("feed_url").agg(F.max("ts").alias("_at")).withColumnRenamed("feed_url", "_url")
+    later = F.col("updated_at").isNotNull() & (F.col("updated_at") > F.col("_at"))
+    return state.join(gone, (F.col("feed_url") == F.col("_url")) & ~later, "left_anti")
+
+
 # ---------------------------------------------------------------- F12
 def item_status_lookup(ids: DataFrame, items: DataFrame) -> DataFrame:
     """id -> status, last_error and times; unknown ids are flagged."""

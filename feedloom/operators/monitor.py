@@ -464,6 +464,13 @@ def job_counters(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("stage", "outcome", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def scrape_failures(excerpts: DataFrame, extractor: str) -> DataFrame:
+    """Page fetches of items with a URL that gave no excerpt, by extractor
+    and reason, from C5's ``excerpt_reason``."""
+    failed = excerpts.filter((F.col("excerpt_reason") != "") & (T.trim_space(F.coalesce(F.col("url"), F.lit(""))) != ""))
+    return failed.groupBy(F.lit(extractor).alias("extractor"), F.col("excerpt_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def sla_report(items: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
     """Per ISO week: share dispatched within 5 minutes of creation, and
     the share of items with a stored payload (completeness of the required

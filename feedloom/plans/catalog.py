@@ -165,6 +165,7 @@ from feedloom.plans import queries_enrich  # noqa: E402,F401  (registers enrichm
 from feedloom.plans import queries_publish  # noqa: E402,F401  (registers publish queries)
 from feedloom.plans import queries_sources  # noqa: E402,F401  (registers source queries)
 from feedloom.plans import queries_more  # noqa: E402,F401  (registers remaining queries)
+from feedloom.plans import queries_records  # noqa: E402,F401  (registers records and payloads)
 from feedloom.plans import queries_stream  # noqa: E402,F401  (registers the continuous jobs)
 
 

@@ -172,47 +172,99 @@ def encode_payload(raw: DataFrame) -> DataFrame:
     return raw.withColumn("payload_json", go_json_escape(F.to_json(s)))
 
 
-def queue_payloads(queue: DataFrame, payload: str = "payload_json", key: str = "item_id") -> tuple[DataFrame, DataFrame]:
-    """A5: decode queue payloads to RawItem; blank id falls back to the queue
-    key.  Returns (good, bad); bad rows keep the raw text for diversion.
-
-    The text is parsed once into a variant column; fields are then read from
-    the binary variant (per-field ``from_json`` would re-parse the text).
-    """
-    # a field of another type fails the whole payload, as a typed decoder does; absent and null fields are blank
-    texts = ("schema_version", "id", "traceparent", "tracestate", "feed_url", "source_label", "guid", "url", "title",
-             "description", "published_at", "fetched_at")
-    lists = ("links", "image_urls")
-
-    def decodes(v):
+# a field of another type fails the whole payload, as a typed decoder does; absent and null fields are blank
+_RAW_KINDS = {c: "STRING" for c in ("schema_version", "id", "traceparent", "tracestate", "feed_url", "source_label", "guid", "url", "title",
+                                    "description", "published_at", "fetched_at")} | {c: "ARRAY<STRING>" for c in ("links", "image_urls")}
+ANALYZED_TEXTS = ("schema_version", "traceparent", "tracestate", "guid", "source_url", "source_label", "title", "job_category", "role", "company", "seniority",
+                  "location", "remote_type", "contract_type", "salary", "job_post_quality_rank", "language", "summary_it")
+ANALYZED_LISTS = ("tech_stack", "tags", "job_post_missing_fields", "original_links", "original_images")
+_ANALYZED_KINDS = {c: "STRING" for c in (*ANALYZED_TEXTS, "id", "created_at")} | {c: "ARRAY<STRING>" for c in ANALYZED_LISTS} | {
+    "job_post_quality_score": "BIGINT", "confidence": "DOUBLE"}
+#: What a typed decoder takes for each kind, as the start of a variant's schema text.
+_TAKES = {"STRING": "STRING|VOID", "ARRAY<STRING>": "ARRAY<STRING>|ARRAY<VOID>|VOID", "BIGINT": "BIGINT|VOID", "DOUBLE": "BIGINT|DECIMAL|DOUBLE|FLOAT|VOID"}
+
+
+def _decoded(queue: DataFrame, payload: str, kinds: dict[str, str]) -> DataFrame:
+    """``_v``, the payload parsed once into a variant, and ``_ok``, whether it is an object whose fields are of their kinds."""
+    def fits(v):
         def kind(path):
             return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
         typed = F.lit(True)
-        for c in texts:
-            typed = typed & F.coalesce(kind(f"$.{c}").isin("STRING", "VOID"), F.lit(True))
-        for c in lists:
-            typed = typed & F.coalesce(kind(f"$.{c}").isin("ARRAY<STRING>", "ARRAY<VOID>", "VOID"), F.lit(True))
+        for c, k in kinds.items():
+            typed = typed & F.coalesce(kind(f"$.{c}").rlike(f"^(?:{_TAKES[k]})"), F.lit(True))
         # the whole value's schema text settles nearly every row; only odd ones are tested field by field
-        odd = f"[<, `](?:{'|'.join(texts)})`?: (?!STRING|VOID)|[<, `](?:{'|'.join(lists)})`?: (?!ARRAY<STRING>|ARRAY<VOID>|VOID)"
+        odd = "|".join(f"[<, `](?:{'|'.join(c for c in kinds if kinds[c] == k)})`?: (?!{_TAKES[k]})" for k in sorted(set(kinds.values())))
         return T._let(F.schema_of_variant(v), lambda s: F.when(~F.coalesce(s.startswith("OBJECT"), F.lit(False)), F.lit(False))
                       .when(~s.rlike(odd), F.lit(True)).otherwise(typed))
 
     # the text is parsed once for the test, whatever the optimizer does with the filter
-    q = queue.withColumn("_ok", T._let(F.try_parse_json(F.col(payload)), decodes)).withColumn("_v", F.try_parse_json(F.col(payload)))
-    v = F.col("_v")
+    return queue.withColumn("_ok", T._let(F.try_parse_json(F.col(payload)), fits)).withColumn("_v", F.try_parse_json(F.col(payload)))
+
+
+def _text(name: str) -> Column:
+    return F.coalesce(F.try_variant_get("_v", f"$.{name}", "string"), F.lit(""))
+
+
+def _list(name: str) -> Column:
+    return F.coalesce(F.try_variant_get("_v", f"$.{name}", "array<string>"), F.array().cast("array<string>"))
+
+
+def _id(key: str) -> Column:
+    return F.when(T.trim_space(_text("id")) != "", _text("id")).otherwise(F.col(key).cast("string")).alias("id")
 
-    def s(name):
-        return F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), F.lit(""))
 
-    def a(name):
-        return F.coalesce(F.try_variant_get(v, f"$.{name}", "array<string>"), F.array().cast("array<string>"))
+def analyzed_payloads(queue: DataFrame, payload: str = "payload_json", key: str = "item_id") -> tuple[DataFrame, DataFrame]:
+    """A5 for the dispatch queue: decode payloads to AnalyzedItem; blank id
+    falls back to the queue key.  Returns (good, bad); bad rows keep the raw
+    text for diversion.  Absent numbers are 0, an unreadable time is null."""
+    q = _decoded(queue, payload, _ANALYZED_KINDS)
+    good = q.filter("_ok").select(
+        key, _id(key), *[_text(c).alias(c) for c in ANALYZED_TEXTS], *[_list(c).alias(c) for c in ANALYZED_LISTS],
+        F.coalesce(F.try_variant_get("_v", "$.job_post_quality_score", "int"), F.lit(0)).alias("job_post_quality_score"),
+        F.coalesce(F.try_variant_get("_v", "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
+        parse_times(F.try_variant_get("_v", "$.created_at", "string")).alias("created_at"))
+    bad = q.filter(~F.coalesce("_ok", F.lit(False))).select(key, F.col(payload).alias("raw_payload"), F.lit("invalid_dispatch_payload").alias("reason"))
+    return good, bad
+
+
+def encode_analyzed(analyzed: DataFrame) -> DataFrame:
+    """A6 for the dispatch queue: AnalyzedItem -> JSON text; ``omitempty`` fields are left out when empty."""
+    there = set(analyzed.columns)
+
+    def field(name):
+        if name in ANALYZED_LISTS:
+            c = F.coalesce(F.col(name), F.array().cast("array<string>")) if name in there else F.array().cast("array<string>")
+            return (c if name == "tech_stack" else F.when(F.size(c) > 0, c)).alias(name)
+        if name == "job_post_quality_score":
+            return (F.coalesce(F.col(name), F.lit(0)) if name in there else F.lit(0)).alias(name)
+        if name == "confidence":
+            return (F.coalesce(F.col(name).cast("double"), F.lit(0.0)) if name in there else F.lit(0.0)).alias(name)
+        if name == "created_at":
+            return (rfc3339(F.col(name)) if name in there else F.lit("0001-01-01T00:00:00Z")).alias(name)
+        c = F.coalesce(F.col(name), F.lit("")) if name in there else F.lit("v1" if name == "schema_version" else "")
+        return (F.when(c != "", c) if name in ("traceparent", "tracestate", "guid", "source_label") else c).alias(name)
+
+    names = ["schema_version", "id", "traceparent", "tracestate", "guid", "source_url", "source_label", "title", "job_category", "role", "company", "seniority",
+             "location", "remote_type", "tech_stack", "tags", "contract_type", "salary", "job_post_quality_score", "job_post_quality_rank",
+             "job_post_missing_fields", "language", "summary_it", "original_links", "original_images", "confidence", "created_at"]
+    return analyzed.withColumn("payload_json", go_json_escape(F.to_json(F.struct(*[field(n) for n in names]))))
+
 
+def queue_payloads(queue: DataFrame, payload: str = "payload_json", key: str = "item_id") -> tuple[DataFrame, DataFrame]:
+    """A5: decode queue payloads to RawItem; blank id falls back to the queue
+    key.  Returns (good, bad); bad rows keep the raw text for diversion.
+
+    The text is parsed once into a variant column; fields are then read from
+    the binary variant (per-field ``from_json`` would re-parse the text).
+    """
+    q = _decoded(queue, payload, _RAW_KINDS)
+    v, s, a = F.col("_v"), _text, _list
     good = q.filter("_ok").select(
         key, *[s(c).alias(c) for c in ("schema_version", "traceparent", "tracestate", "feed_url", "source_label", "guid",
                                        "url", "title", "description")],
         *[a(c).alias(c) for c in ("links", "image_urls")],
-        F.when(T.trim_space(s("id")) != "", s("id")).otherwise(F.col(key).cast("string")).alias("id"),
+        _id(key),
         parse_times(F.try_variant_get(v, "$.published_at", "string")).alias("published_at"),
         parse_times(F.try_variant_get(v, "$.fetched_at", "string")).alias("fetched_at"))
     bad = q.filter(~F.col("_ok")).select(key, F.col(payload).alias("raw_payload"),
