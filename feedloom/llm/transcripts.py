@@ -208,7 +208,8 @@ def transcripts_of(conversations: DataFrame) -> DataFrame:
     A conversation's marker style depends on its id; every ninth turn or so
     has lost its marker.  ``(conv_id, part, text, lines)``: ``lines`` holds the
     true roles.  Null texts are empty, null roles stay unmarked, turns of one
-    number go by role and text, null conversations are one."""
+    number go by role and text; a turn without a conversation is a transcript
+    of its own, however many there are."""
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES))).cast("int")
     marks = F.array(*[F.create_map(*[F.lit(x) for kv in s.items() for x in kv]) for s in STYLES])
     unmarked = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(9)) == 0
@@ -216,7 +217,9 @@ def transcripts_of(conversations: DataFrame) -> DataFrame:
     turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role",
                                  F.concat(mark, F.coalesce("text", F.lit(""))).alias("said")) \
         .withColumn("part", F.floor(F.coalesce("turn", F.lit(0)) / PART_TURNS))
-    grouped = turns.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "said"))).alias("t"))
+    one = F.struct("turn", "role", "said")
+    grouped = turns.filter("conv_id is not null").groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(one)).alias("t")) \
+        .unionByName(turns.filter("conv_id is null").select("conv_id", "part", F.array(one).alias("t")))
     lines = F.flatten(F.transform("t", lambda t: F.transform(F.split(t["said"], "\n"), lambda x, i: F.struct(
         t["role"].alias("role"), (i == 0).alias("begins"), x.alias("line")))))
     return grouped.select("conv_id", "part", F.array_join(F.transform("t", lambda t: t["said"]), "\n").alias("text"),

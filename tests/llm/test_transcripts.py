@@ -59,6 +59,12 @@ def test_edge_cases(spark):
     assert T.format_chats(raw, T.fit(raw)).count() == 3
 
 
+def test_turns_without_a_conversation_are_not_one_group(spark):
+    df = spark.createDataFrame([(None if i % 3 == 0 else i // 9, i % 9, "user", f"t{i}") for i in range(900)], "conv_id long, turn long, role string, text string")
+    raw = T.transcripts_of(df).collect()
+    assert max(len(r.roles) for r in raw) <= 9 and sum(r.conv_id is None for r in raw) == 300 and sum(len(r.roles) for r in raw) == 900
+
+
 def test_query_recovers_held_out_roles(spark):
     got = Q.queries()["op3_chat_format"](spark, "/root/testdata/sf0.01").collect()
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
