@@ -321,9 +321,9 @@ def mine(df: DataFrame, scale: int = SCALE, anchors: int = ANCHORS, positives: i
 MINE_SQL = """
 with v as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-         list_transform(embedding, x -> floor(256 * x::double)) as v
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
   from embeddings
-  where label is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 pairs as (
   select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as other_id, list_dot_product(a.v, b.v)::bigint as score
   from v a join v b on b.vec_id <> a.vec_id where a.vec_id % 100 = 0),
