@@ -325,14 +325,15 @@ def v_responses() -> str:
     con = f"CASE WHEN {k} = 1 THEN 'tbd' ELSE {_pick(V.RESP_CONTRACT, 'doc_id')} END"
     sal = f"CASE WHEN {k} = 1 THEN 'n/a' WHEN {k} = 8 THEN 'competitive' ELSE {_pick(V.RESP_SALARY, 'doc_id')} END"
     stack = f"CASE WHEN {k} = 1 THEN '[\"none\"]' ELSE {_pick(V.RESP_STACK, 'doc_id')} END"
-    role = f"CASE WHEN {k} = 4 THEN '42' ELSE '\"Engineer ' || CAST(doc_id AS VARCHAR) || '\"' END"
+    t = "regexp_replace(coalesce(text, ''), '[\"\\\\\\x00-\\x1f]+', ' ', 'g')"
+    role = f"CASE WHEN {k} = 4 THEN '42' ELSE '\"' || substr({t}, 1, 40) || '\"' END"
     company = f"CASE WHEN {k} = 5 THEN '' ELSE ',\"company\":\"Company ' || source || '\"' END"
     lang = "CASE WHEN doc_id % 3 <> 0 THEN lang ELSE '' END"
     full = (f"'{{\"job_category\":\"' || {_pick(V.RESP_CATEGORIES, 'doc_id')} || '\",\"role\":' || {role} || {company}"
             f" || ',\"seniority\":\"' || {sen} || '\",\"location\":\"' || {loc} || '\",\"remote_type\":\"remote\",\"tech_stack\":'"
             f" || {stack} || ',\"tags\":' || {_pick(V.RESP_TAGS, 'doc_id')} || ',\"contract_type\":\"' || {con}"
-            f" || '\",\"salary\":\"' || {sal} || '\",\"language\":\"' || {lang} || '\",\"summary_it\":\"Sintesi '"
-            f" || CAST(doc_id AS VARCHAR) || '\",\"confidence\":' || {_pick(V.RESP_CONFIDENCE, k)} || '}}'")
+            f" || '\",\"salary\":\"' || {sal} || '\",\"language\":\"' || {lang} || '\",\"summary_it\":\"'"
+            f" || substr({t}, 41, 400) || '\",\"confidence\":' || {_pick(V.RESP_CONFIDENCE, k)} || '}}'")
     return f"""v_responses AS (
   SELECT CAST(doc_id AS VARCHAR) AS item_id,
          CASE WHEN {k} = 6 THEN substr({full}, 1, 60)
@@ -399,15 +400,16 @@ def _pick_list(lists: list, idx: str) -> str:
 def v_analyzed() -> str:
     url = "'https://' || source || '.example.org/job/' || CAST(doc_id AS VARCHAR)"
     score = "(doc_id % 6) * 20"
+    t = "regexp_replace(coalesce(text, ''), '[ \\t\\r\\n]+', ' ', 'g')"
     return f"""v_analyzed AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, source AS source_label, {url} AS source_url,
-    'Title ' || CAST(doc_id AS VARCHAR) AS title,
+    substr({t}, 1, 60) AS title,
     {_pick(['Programmazione', 'Devops & Sysadmin', 'Marketing', 'Altri ruoli'], 'doc_id')} AS job_category,
-    CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'Dev_' || CAST(doc_id AS VARCHAR) || ' *lead*' END AS role,
+    CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'Dev_' || substr({t}, 1, 30) || ' *lead*' END AS role,
     'ACME [' || source || ']' AS company,
     {_pick(V.AN_SENIORITY, 'doc_id')} AS seniority, {_pick(V.AN_LOCATION, 'doc_id')} AS location,
     'remote' AS remote_type, {_pick(V.AN_CONTRACT, 'doc_id')} AS contract_type, {_pick(V.AN_SALARY, 'doc_id')} AS salary,
-    CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'Sintesi `x` ' || CAST(doc_id AS VARCHAR) END AS summary_it,
+    CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'Sintesi `x` ' || substr({t}, 61, 500) END AS summary_it,
     lang AS language, {_pick_list(V.AN_STACKS, 'doc_id')} AS tech_stack, {_pick_list(V.AN_TAGS, 'doc_id')} AS tags,
     CASE WHEN doc_id % 4 = 0 THEN CAST([] AS VARCHAR[]) ELSE [{url}, {url} || '/apply'] END AS original_links,
     CASE WHEN doc_id % 5 = 0 THEN ['https://img.example.org/' || source || '.png'] ELSE CAST([] AS VARCHAR[]) END AS original_images,

@@ -168,11 +168,17 @@ def _pick(values: list, idx) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)).cast("int") + 1)
 
 
+def _plain_text() -> F.Column:
+    """A document's text without quotes, backslashes and control characters."""
+    return F.regexp_replace(F.coalesce("text", F.lit("")), '["\\\\\\x00-\\x1f]+', " ")
+
+
 def v_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model responses, one per document: JSON text with injected faults by
-    doc_id mod 11 (1 placeholders, 2/3/9/10 confidence text, 4 numeric role,
-    5 no company, 6 truncated, 7 code fence, 8 vague salary)."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    """Model responses, one per document: JSON text, role and summary from the
+    document's, with injected faults by doc_id mod 11 (1 placeholders, 2/3/9/10
+    confidence text, 4 numeric role, 5 no company, 6 truncated, 7 code fence, 8
+    vague salary)."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", _plain_text().alias("t"))
     k = F.col("doc_id") % 11
     ph = k == 1
     sen = F.when(ph, "N/A").otherwise(_pick(RESP_SENIORITY, F.col("doc_id")))
@@ -180,15 +186,15 @@ def v_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     con = F.when(ph, "tbd").otherwise(_pick(RESP_CONTRACT, F.col("doc_id")))
     sal = F.when(ph, "n/a").when(k == 8, "competitive").otherwise(_pick(RESP_SALARY, F.col("doc_id")))
     stack = F.when(ph, '["none"]').otherwise(_pick(RESP_STACK, F.col("doc_id")))
-    role = F.when(k == 4, F.lit("42")).otherwise(F.concat(F.lit('"Engineer '), F.col("doc_id").cast("string"), F.lit('"')))
+    role = F.when(k == 4, F.lit("42")).otherwise(F.concat(F.lit('"'), F.substring("t", 1, 40), F.lit('"')))
     company = F.when(k == 5, F.lit("")).otherwise(F.concat(F.lit(',"company":"Company '), F.col("source"), F.lit('"')))
     lang = F.when(F.col("doc_id") % 3 != 0, F.col("lang")).otherwise(F.lit(""))
     full = F.concat(
         F.lit('{"job_category":"'), _pick(RESP_CATEGORIES, F.col("doc_id")), F.lit('","role":'), role, company,
         F.lit(',"seniority":"'), sen, F.lit('","location":"'), loc, F.lit('","remote_type":"remote","tech_stack":'),
         stack, F.lit(',"tags":'), _pick(RESP_TAGS, F.col("doc_id")), F.lit(',"contract_type":"'), con,
-        F.lit('","salary":"'), sal, F.lit('","language":"'), lang, F.lit('","summary_it":"Sintesi '),
-        F.col("doc_id").cast("string"), F.lit('","confidence":'), _pick(RESP_CONFIDENCE, k), F.lit("}"))
+        F.lit('","salary":"'), sal, F.lit('","language":"'), lang, F.lit('","summary_it":"'),
+        F.substring("t", 41, 400), F.lit('","confidence":'), _pick(RESP_CONFIDENCE, k), F.lit("}"))
     content = (F.when(k == 6, F.substring(full, 1, 60))
                .when(k == 7, F.concat(F.lit("```json\n"), full, F.lit("\n```")))
                .otherwise(full))
@@ -223,21 +229,21 @@ def _pick_list(lists: list, idx) -> F.Column:
 
 
 def v_analyzed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Analysed items (one per document) with markdown-sensitive text for rendering."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    """Analysed items (one per document): title, role and summary from its text, the rest markdown-sensitive for rendering."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.regexp_replace(F.coalesce("text", F.lit("")), "[ \t\r\n]+", " ").alias("t"))
     i = F.col("doc_id")
     url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/job/"), i.cast("string"))
     score = (i % 6) * 20
     return d.select(
         i.cast("string").alias("id"), F.col("source").alias("source_label"), url.alias("source_url"),
-        F.concat(F.lit("Title "), i.cast("string")).alias("title"),
+        F.substring("t", 1, 60).alias("title"),
         _pick(["Programmazione", "Devops & Sysadmin", "Marketing", "Altri ruoli"], i).alias("job_category"),
-        F.when(i % 10 == 0, F.lit("")).otherwise(F.concat(F.lit("Dev_"), i.cast("string"), F.lit(" *lead*"))).alias("role"),
+        F.when(i % 10 == 0, F.lit("")).otherwise(F.concat(F.lit("Dev_"), F.substring("t", 1, 30), F.lit(" *lead*"))).alias("role"),
         F.concat(F.lit("ACME ["), F.col("source"), F.lit("]")).alias("company"),
         _pick(AN_SENIORITY, i).alias("seniority"), _pick(AN_LOCATION, i).alias("location"),
         F.lit("remote").alias("remote_type"), _pick(AN_CONTRACT, i).alias("contract_type"),
         _pick(AN_SALARY, i).alias("salary"),
-        F.when(i % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("Sintesi `x` "), i.cast("string"))).alias("summary_it"),
+        F.when(i % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("Sintesi `x` "), F.substring("t", 61, 500))).alias("summary_it"),
         F.col("lang").alias("language"),
         _pick_list(AN_STACKS, i).alias("tech_stack"), _pick_list(AN_TAGS, i).alias("tags"),
         F.when(i % 4 == 0, F.array().cast("array<string>")).otherwise(
