@@ -60,7 +60,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     the recovered turns whose role and order are the true ones."""
     raw = transcripts.transcripts_of(table(spark, sf_dir, "conversations"))
     model = transcripts.fit(raw.filter(crc_mod("conv_id", 5) != 0))
-    found = transcripts.format_chats(raw.select("conv_id", "part", "text", "roles"), model)
+    found = transcripts.format_chats(raw.select("conv_id", "part", "text", "roles"), model, parts=("conv_id", "part"))
     got = F.transform("turns", lambda t: t["role"])
     right = F.size(F.filter(F.arrays_zip(got.alias("g"), F.col("row.roles").alias("r")), lambda x: x["g"] == x["r"]))
     return found.select("row.conv_id", "row.part", F.coalesce(crc_mod("row.conv_id", 5) == 0, F.lit(False)).alias("held_out"),

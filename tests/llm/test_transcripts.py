@@ -65,6 +65,37 @@ def test_turns_without_a_conversation_are_not_one_group(spark):
     assert max(len(r.roles) for r in raw) <= 9 and sum(r.conv_id is None for r in raw) == 300 and sum(len(r.roles) for r in raw) == 900
 
 
+def test_parts_are_parsed_as_one_transcript(spark):
+    rnd, model = random.Random(8), T.Hmm.default()
+    line = lambda: rnd.choice(["User: ", "Assistant: ", "", "", "Kim: ", "Q: "]) + " ".join(["word"] * rnd.randrange(1, 12)) + rnd.choice(["", "?"])
+    convs = {c: [[line() for _ in range(rnd.randrange(1, 9))] for _ in range(rnd.choice([1, 2, 3, 30]))] for c in range(40)}
+    convs[7] = [[line()] for _ in range(300)]  # most parts are of one conversation
+    rows = [(c, 3 * k - 5, "\n".join(lines)) for c, parts in convs.items() for k, lines in enumerate(parts)]
+    rows += [(None, 0, "User: a"), (None, 1, "User: b"), (50, None, "User: c"), (51, 0, None), (51, 1, "  "), (51, 2, "User: d")]
+    rnd.shuffle(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", 9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        df = spark.createDataFrame(rows, "conv_id long, part int, text string")
+        got = {(r.row.conv_id, r.row.part): r for r in T.format_chats(df, model, parts=("conv_id", "part")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    assert len(got) == len(rows)
+    for c, parts in convs.items():
+        whole = [T.see(x)[0] for lines in parts for x in lines]
+        path = [T.STATES[s] for s in model.viterbi(whole)]
+        at = 0
+        for k, lines in enumerate(parts):
+            mine = path[at:at + len(lines)]
+            want = [role for i, (role, begins) in enumerate(mine) if begins or i == 0]
+            assert [t.role for t in got[c, 3 * k - 5].turns] == want, (c, k)
+            at += len(lines)
+    assert [len(got[k].turns) for k in ((None, 0), (50, None), (51, 0), (51, 1), (51, 2))] == [1, 1, 0, 0, 1]
+    alone = T.format_chats(df.filter("conv_id = 7"), model).collect()  # without their context, parts look otherwise
+    assert sum([t.role for t in r.turns] != [t.role for t in got[7, r.row.part].turns] for r in alone) > 5
+
+
 def test_query_recovers_held_out_roles(spark):
     got = Q.queries()["op3_chat_format"](spark, "/root/testdata/sf0.01").collect()
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
