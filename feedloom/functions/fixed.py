@@ -82,9 +82,6 @@ CONFIDENCE_LABELS = {
     "molto bassa": 0.1, "very low": 0.1,
 }
 
-# --- fixed values: quality checks, in check order ---------------------------
-QUALITY_FIELDS = ["seniority", "location", "contract_type", "salary", "tech_stack"]
-
 # --- fixed values: required keys of the extraction response ----------------
 RESPONSE_KEYS = [
     "job_category", "role", "company", "seniority", "location", "remote_type",
@@ -103,18 +100,6 @@ C1_REPLACEMENTS = {
     0x9E: "ž", 0x9F: "Ÿ",
 }
 
-# --- fixed values: text time layouts, first match wins ----------------------
-# (Spark datetime patterns for RFC3339 with/without fraction, Go's default
-# time.String() with zone, and plain "yyyy-MM-dd HH:mm:ss[.fff]".)
-TIME_LAYOUTS = [
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS Z",
-    "yyyy-MM-dd HH:mm:ss Z",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
-]
-
 # --- fixed values: extraction prompts (Python format fields in braces) ------
 SYSTEM_MESSAGE = "Sei un analizzatore annunci lavoro. Rispondi solo JSON valido."
 PROMPT_FULL = """Analizza il seguente annuncio lavoro e restituisci SOLO JSON valido con i campi:
@@ -167,7 +152,6 @@ ERROR_CLASSES = [
 ]
 DEFAULT_ERROR_CLASS = "llm_request_failed"
 SAMPLER_INIT_ERROR = "failed to initialize samplers"
-TRUNCATED_JSON_ERROR = "unexpected end of json input"
 MISSING_REQUIRED = "missing required analyzed fields"
 
 # --- fixed values: message layouts -------------------------------------------
@@ -235,6 +219,9 @@ CHAT_LAYOUT = """┏━━━━━━━━━━━━━━━━━━━━
 FILE_SEPARATOR = "\n\n---\n\n"
 PARSE_ENTITIES_ERROR = "can't parse entities"
 
+# --- fixed values: feed health reasons ---------------------------------------
+FEED_DISABLED, FEED_BROKEN = "feed disabilitato", "feed in errore (cooldown attivo)"
+
 # --- fixed values: synthetic posting generator pools ------------------------
 SYNTH_COMPANIES = ["Acme Cloud", "Nimbus Labs", "Northstar Data", "Pixel Orbit", "Atlas Metrics"]
 SYNTH_ROLES = ["Senior Go Backend Engineer", "Staff Platform Engineer", "DevOps Engineer (Kubernetes)",

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.functions import fixed
 from feedloom.functions import text as T
 from feedloom.sources import feeds as S
 from feedloom.session import checkpoint_dir, reliable_checkpoint, ship_package, ts_lit
@@ -41,7 +42,7 @@ POISON, RETRY = "poison_item: analysis_failed: ", "analysis_failed: "
 
 def poisoned(error: str, delivery_count: int, max_attempts: int) -> bool:
     """F4's decision for one failed claim: no further delivery."""
-    return "missing required analyzed fields" in error.strip().lower() or delivery_count >= max_attempts
+    return fixed.MISSING_REQUIRED in error.strip().lower() or delivery_count >= max_attempts
 
 
 def queue_step(s: dict | None, iid, a, w, t, lease_until, reason, max_attempts: int | None = None) -> dict | None:
@@ -278,7 +279,7 @@ def quarantine(failures: DataFrame, snapshot: DataFrame, max_attempts: int = 3)
     """
     j = failures.join(snapshot.select("item_id", "delivery_count", "lease_owner"), "item_id", "left")
     msg = F.lower(T.trim_space(F.coalesce(F.col("error"), F.lit(""))))
-    q = msg.contains("missing required analyzed fields") | (
+    q = msg.contains(fixed.MISSING_REQUIRED) | (
         F.coalesce(F.col("delivery_count"), F.lit(0)) >= max_attempts)
     return j.select(
         "item_id",
@@ -515,9 +516,3 @@ def cascade_orphans(items: DataFrame, queue: DataFrame) -> tuple[DataFrame, Data
     i = items.select(F.col("id").alias("item_id"))
     return queue.join(i, "item_id", "left_anti"), items.join(
         q.withColumnRenamed("item_id", "id"), "id", "left_anti")
-
-
-def lease_expired(c_state: Column, c_until: Column, now) -> Column:
-    """Lease test used by claims and monitors."""
-    return (c_state == "LEASED") & c_until.isNotNull() & (c_until <= ts_lit(now))
-

@@ -155,8 +155,8 @@ def feed_report(feeds: DataFrame, state: DataFrame, items: DataFrame, now) -> Da
     f = feeds_with_state(feeds, state).join(counts, "feed_url", "left")
     broken = F.col("down_until").isNotNull() & (F.col("down_until") > now)
     health = F.when(~F.col("enabled"), "disabled").when(broken, "broken").otherwise("ok")
-    reason = (F.when(~F.col("enabled"), "feed disabilitato")
-              .when(broken, "feed in errore (cooldown attivo)").otherwise(""))
+    reason = (F.when(~F.col("enabled"), fixed.FEED_DISABLED)
+              .when(broken, fixed.FEED_BROKEN).otherwise(""))
     return f.select("feed_url", "enabled", "failure_count", "down_until",
                     health.alias("health_status"), reason.alias("health_reason"),
                     T.source_label(F.col("feed_url")).alias("source_label"),

@@ -102,3 +102,21 @@ def test_page_bodies_are_whole(spark, tmp_path):
     texts = {r._txt[-5:] for r in N.page_excerpts(pages, 0).collect()}
     assert texts == {"later"}  # one row per url, the latest fetch
     assert len(N.page_excerpts(pages, 0, body_bytes=262144).collect()[0]._txt) < 262144
+
+
+def test_page_and_message_sinks(spark, tmp_path):
+    from feedloom.operators import publish as P
+    from feedloom.sources import tables as TB
+    pages = spark.createDataFrame([("https://x/1", "<p>a\nb</p>", 1), ("https://x/2", None, 2)], "url string, html string, n int")
+    for _ in range(2):
+        TB.write_pages(pages, str(tmp_path / "pages"))
+    back = spark.read.parquet(str(tmp_path / "pages"))
+    assert back.columns == ["url", "html"] and sorted((r.url, r.html) for r in back.collect()) == sorted([("https://x/1", "<p>a\nb</p>"), ("https://x/2", None)] * 2, key=str)
+    rendered = spark.createDataFrame([("one\ntwo",), ("three",)], "message string")
+    P.write_messages(rendered, str(tmp_path / "out"), "2024-01-31 10:00:00")
+    P.write_messages(rendered.limit(1), str(tmp_path / "out"), "2024-02-01 10:00:00")
+    text = {r.date.isoformat(): "" for r in spark.read.text(str(tmp_path / "out")).select("date").distinct().collect()}
+    for r in spark.read.text(str(tmp_path / "out"), wholetext=True).collect():
+        text[r.date.isoformat()] += r.value
+    assert set(text) == {"2024-01-31", "2024-02-01"}
+    assert "2024-01-31T10:00:00Z\none\ntwo\n\n---\n\n" in text["2024-01-31"] and text["2024-01-31"].count("---") == 2 and text["2024-02-01"].count("---") == 1
