@@ -83,13 +83,13 @@ class LeaseQueue(StatefulProcessor):
         before = None if before is None else dict(before)
         for t, _, a, w, lease_until, reason in sorted(due, key=lambda e: e[:2]):
             s = L.queue_step(s, iid, a, w, t, lease_until, reason, self.max_attempts)
-        if s is not None and s["updated_at"] + self.ttl_ms * 1000 <= at:
+        forgotten = s is not None and s["updated_at"] + self.ttl_ms * 1000 <= at
+        if forgotten:
             self.control.clear()
-            s = None
         elif s is not None and s != before:
             self.control.update(tuple(s[f] for f in FIELDS))
-        self._schedule(s, at)
-        if s is not None and (seen or s != before):
+        self._schedule(None if forgotten else s, at)
+        if s is not None and ((seen and not forgotten) or s != before):
             shown = dict(s)
             if s["state"] == "LEASED" and s["lease_until"] is not None and s["lease_until"] <= at:
                 # the control keeps the owner, who may still complete before another worker claims
@@ -135,9 +135,10 @@ def lease_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour", max_
     return out.select("item_id", *(F.timestamp_micros(f).alias(f) if f in _TIMES else F.col(f) for f in FIELDS))
 
 
-def replay(log: DataFrame, late_hours: int = 1, batches: int = 4, **how) -> DataFrame:
+def replay(log: DataFrame, late_hours: int = 1, batches: int = 4, ttl_hours: int = 10 ** 6, **how) -> DataFrame:
     """The queue stream over a stored log, landed in ``batches`` parts that interleave in time,
-    with a last tick that lets the watermark pass all events.  One row per item: its last."""
+    with a last tick that lets the watermark pass all events.  One row per item: its last.
+    No item is forgotten meanwhile, as in the batch fold."""
     spark: SparkSession = log.sparkSession
     land, out, state = (scratch_path(spark) for _ in range(3))
     cols = ["item_id", "ts", "seq", "action", "worker", "lease_until", "reason"]
@@ -157,7 +158,7 @@ def replay(log: DataFrame, late_hours: int = 1, batches: int = 4, **how) -> Data
 
     def run(b, bid):
         b.withColumn("batch", F.lit(bid)).write.mode("overwrite").parquet(f"{out}/batch_id={bid}")
-    queue = lease_queue(src, late=f"{late_hours} hours", hold=True, **how)
+    queue = lease_queue(src, late=f"{late_hours} hours", ttl_hours=ttl_hours, hold=True, **how)
     q = queue.writeStream.foreachBatch(run).outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start()
     q.awaitTermination()
     rows = spark.read.parquet(f"{out}/batch_id=*")

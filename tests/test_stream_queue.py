@@ -66,6 +66,12 @@ def test_items_are_forgotten_after_the_retention(spark, tmp_path):
     assert s.feed([event("x", 202, "enqueue")])[-1] == ("x", "QUEUED", None, 0, "")
 
 
+def test_an_old_item_is_shown_once_before_it_is_forgotten(spark):
+    log = spark.createDataFrame([event("old", 0, "enqueue"), event("new", 6000, "enqueue")], SCHEMA)
+    for ttl in (1, 10 ** 6):
+        assert sorted((r.item_id, r.state) for r in Q.replay(log, ttl_hours=ttl).collect()) == [("new", "QUEUED"), ("old", "QUEUED")]
+
+
 def log_rows(rnd, n):
     rows = []
     for seq in range(n):
