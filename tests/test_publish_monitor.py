@@ -153,3 +153,10 @@ def test_block_selectors_and_scoring(spark):
     assert {r.page_id: r.markdown for r in N.page_markdown(more).collect()}[4] == "related jobs"
     # "related jobs" without "about the job" is penalised; the two salary blocks tie -> first one wins
     assert best[1].selector_rank == 3 and best[2].text == "only body"
+
+
+def test_pace_of_a_long_queue_in_one_partition(spark):
+    n = 1500  # 1,499 places of two seconds are more microseconds than an int holds
+    q = spark.range(n).selectExpr("cast(id as string) AS item_id", "'d' AS dest", "timestamp_ntz '2024-01-01 00:00:00' AS ready_at")
+    sent = sorted(r.send_at for r in P.pace(q, 30, partitions=1).collect())
+    assert sent == [dt.datetime(2024, 1, 1) + dt.timedelta(seconds=2 * i) for i in range(n)]
