@@ -4,10 +4,16 @@ Each item's control record is one value in a RocksDB state store.  Events are
 applied with the transition of the batch fold; timers on the event-time
 watermark do what no event says: a lease that has run out puts its item back
 into the queue, and an item untouched for the retention time is forgotten.
+
+Every call into the state store is a round trip, so an item costs a fixed few
+a micro-batch whatever its number of events: the control record also holds the
+timers that are set, and events that wait are kept as JSON arrays of up to
+CHUNK events.  Events and controls go in and out as JSON, one column each.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,18 +29,18 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 FIELDS = ["state", "lease_owner", "lease_until", "delivery_count", "enqueued_at", "done_at", "last_error", "updated_at"]
 _TIMES = ("lease_until", "enqueued_at", "done_at", "updated_at")
 _TYPES = {f: "long" if f in _TIMES else "int" if f == "delivery_count" else "string" for f in FIELDS}
-CONTROL_SCHEMA = ", ".join(f"{f} {t}" for f, t in _TYPES.items())
-EVENT_SCHEMA = "ts long, seq long, action string, worker string, lease_until long, reason string"
-_EVENT = ["ts", "seq", "action", "worker", "lease_until", "reason"]
-OUT_SCHEMA = f"item_id string, {CONTROL_SCHEMA}"
-
-
-def _none(v):
-    return None if v is None or pd.isna(v) else v
+_FIELDS_SCHEMA = ", ".join(f"{f} {t}" for f, t in _TYPES.items())
+#: The control's fields (without a ``state``: no item yet) and its timers in milliseconds.
+CONTROL_SCHEMA = f"{_FIELDS_SCHEMA}, forget_at long, lease_at long, wait_at long"
+WAITING_SCHEMA = "events string"
+OUT_SCHEMA = f"item_id string, {_FIELDS_SCHEMA}"
+#: Waiting events in one value of the state store.
+CHUNK = 10_000
 
 
-def _whole(v):
-    return None if v is None or pd.isna(v) else int(v)
+def _ms(micros: int) -> int:
+    """The first whole millisecond that is not before a time."""
+    return -(-micros // 1000)
 
 
 class LeaseQueue(StatefulProcessor):
@@ -50,66 +56,76 @@ class LeaseQueue(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.control = handle.getValueState("control", CONTROL_SCHEMA)
-        self.waiting = handle.getListState("waiting", EVENT_SCHEMA)
+        self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
+
+    def _keep(self, events: list[str]) -> None:
+        for i in range(0, len(events), CHUNK):
+            self.waiting.appendValue((f"[{','.join(events[i:i + CHUNK])}]",))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        at = timerValues.getCurrentWatermarkInMs() * 1000
-        due = []
+        now = timerValues.getCurrentWatermarkInMs()
+        due, first = [], None
         for pdf in rows:
-            events = [(int(t), int(q), _none(a), _none(w), _whole(u), _none(r)) for t, q, a, w, u, r in pdf[_EVENT].itertuples(index=False, name=None)]
-            if self.hold:
-                self.waiting.appendList([e for e in events if e[0] > at])
-                due += [e for e in events if e[0] <= at]
-            else:
-                due += events
-        yield from self._advance(key[0], due, at, seen=not self.hold)
+            later = []
+            for ts, event in zip(pdf["ts"].tolist(), pdf["event"].tolist()):
+                if self.hold and ts > now * 1000:
+                    later.append(event)
+                    first = ts if first is None else min(first, ts)
+                else:
+                    due.append(json.loads(event))
+            self._keep(later)
+        held = self.control.get()
+        times = [t for t in (held and held[-1], None if first is None else _ms(first)) if t is not None]
+        yield from self._advance(key[0], held, due, now, not self.hold, min(times, default=None))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = timerValues.getCurrentWatermarkInMs() * 1000
-        due = []
-        if self.hold:
+        now = timerValues.getCurrentWatermarkInMs()
+        held, due = self.control.get(), []
+        wait_at = held and held[-1]
+        if wait_at is not None and wait_at <= now:
             rest = []
-            for e in self.waiting.get():
-                (due if e[0] <= at else rest).append(tuple(e))
-            if due:
-                self.waiting.clear()
-                if rest:
-                    self.waiting.put(rest)
-        yield from self._advance(key[0], due, at, seen=True)
-
-    def _advance(self, iid, due, at, seen) -> Iterator[pd.DataFrame]:
-        held = self.control.get()
-        before = s = None if held is None else {"item_id": iid, **dict(zip(FIELDS, held))}
-        before = None if before is None else dict(before)
-        for t, _, a, w, lease_until, reason in sorted(due, key=lambda e: e[:2]):
-            s = L.queue_step(s, iid, a, w, t, lease_until, reason, self.max_attempts)
-        forgotten = s is not None and s["updated_at"] + self.ttl_ms * 1000 <= at
-        if forgotten:
-            self.control.clear()
-        elif s is not None and s != before:
-            self.control.update(tuple(s[f] for f in FIELDS))
-        self._schedule(None if forgotten else s, at)
+            for (chunk,) in self.waiting.get():
+                for e in json.loads(chunk):
+                    (due if e["ts"] <= now * 1000 else rest).append(e)
+            self.waiting.clear()
+            self._keep([json.dumps(e) for e in rest])
+            wait_at = min((_ms(e["ts"]) for e in rest), default=None)
+        yield from self._advance(key[0], held, due, now, True, wait_at, fired=expiredTimerInfo.getExpiryTimeInMs())
+
+    def _advance(self, iid, held, due, now, seen, wait_at, fired=None) -> Iterator[pd.DataFrame]:
+        before = None if held is None or held[0] is None else {"item_id": iid, **dict(zip(FIELDS, held))}
+        s = None if before is None else dict(before)
+        for e in sorted(due, key=lambda e: (e["ts"], e["seq"])):
+            s = L.queue_step(s, iid, *(e.get(k) for k in ("action", "worker", "ts", "lease_until", "reason")), self.max_attempts)
+        forgotten = s is not None and s["updated_at"] + self.ttl_ms * 1000 <= now * 1000
+        left = None if forgotten else s
+        timers = (*self._timers(left, now), wait_at)
+        self._schedule({*held[len(FIELDS):]} if held else set(), {*timers}, fired)
+        new = (*((left[f] for f in FIELDS) if left else [None] * len(FIELDS)), *timers)
+        if left is None and wait_at is None:
+            if held is not None:
+                self.control.clear()
+        elif new != held:
+            self.control.update(new)
         if s is not None and ((seen and not forgotten) or s != before):
             shown = dict(s)
-            if s["state"] == "LEASED" and s["lease_until"] is not None and s["lease_until"] <= at:
+            if s["state"] == "LEASED" and s["lease_until"] is not None and s["lease_until"] <= now * 1000:
                 # the control keeps the owner, who may still complete before another worker claims
                 shown.update(state="QUEUED", lease_owner=None, lease_until=None)
-            yield pd.DataFrame([[iid, *(shown[f] for f in FIELDS)]], columns=["item_id", *FIELDS]).astype(
-                {f: "Int64" if t == "long" else "Int32" if t == "int" else object for f, t in _TYPES.items()})
-
-    def _schedule(self, s, at) -> None:
-        wanted = set()
-        if s is not None:
-            wanted.add(s["updated_at"] + self.ttl_ms * 1000)
-            if s["state"] == "LEASED" and s["lease_until"] is not None:
-                wanted.add(s["lease_until"])
-        if self.hold:
-            wanted.add(min((e[0] for e in self.waiting.get()), default=0))
-        wanted = {-(-t // 1000) for t in wanted if t > at}
-        known = set(self.handle.listTimers())
-        for t in known - wanted:
+            yield pd.DataFrame({"control": [json.dumps(shown)]})
+
+    def _timers(self, s, now) -> tuple[int | None, int | None]:
+        """When the item is forgotten and when its lease runs out, if that is to come."""
+        if s is None:
+            return None, None
+        forget = _ms(s["updated_at"] + self.ttl_ms * 1000)
+        lease = _ms(s["lease_until"]) if s["state"] == "LEASED" and s["lease_until"] is not None else now
+        return forget if forget > now else None, lease if lease > now else None
+
+    def _schedule(self, known: set, wanted: set, fired: int | None) -> None:
+        for t in known - wanted - {None, fired}:
             self.handle.deleteTimer(t)
-        for t in wanted - known:
+        for t in wanted - known - {None}:
             self.handle.registerTimer(t)
 
     def close(self) -> None:
@@ -127,12 +143,13 @@ def lease_queue(log: DataFrame, ttl_hours: int = 168, late: str = "1 hour", max_
     spark = log.sparkSession
     ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    src = log.select(F.coalesce("item_id", F.lit("")).alias("item_id"), F.col("ts").cast("timestamp").alias("at"),
-                     F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), F.col("seq").cast("long").alias("seq"), "action", "worker",
-                     F.unix_micros(F.col("lease_until").cast("timestamp")).alias("lease_until"), "reason").withWatermark("at", late)
+    micros = {c: F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in ("ts", "lease_until")}
+    event = F.to_json(F.struct(micros["ts"], F.col("seq").cast("long").alias("seq"), "action", "worker", micros["lease_until"], "reason"))
+    src = log.select(F.coalesce("item_id", F.lit("")).alias("item_id"), F.col("ts").cast("timestamp").alias("at"), micros["ts"],
+                     event.alias("event")).withWatermark("at", late)
     out = src.groupBy("item_id").transformWithStateInPandas(
-        statefulProcessor=LeaseQueue(ttl_hours * 3600 * 1000, max_attempts, hold), outputStructType=OUT_SCHEMA, outputMode="Update", timeMode="EventTime")
-    return out.select("item_id", *(F.timestamp_micros(f).alias(f) if f in _TIMES else F.col(f) for f in FIELDS))
+        statefulProcessor=LeaseQueue(ttl_hours * 3600 * 1000, max_attempts, hold), outputStructType="control string", outputMode="Update", timeMode="EventTime")
+    return out.select(F.from_json("control", OUT_SCHEMA).alias("c")).select("c.*").select("item_id", *(F.timestamp_micros(f).alias(f) if f in _TIMES else F.col(f) for f in FIELDS))
 
 
 def replay(log: DataFrame, late_hours: int = 1, batches: int = 4, ttl_hours: int = 10 ** 6, **how) -> DataFrame:
