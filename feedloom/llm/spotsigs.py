@@ -15,16 +15,15 @@ import hashlib
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import arrow_map, corpus, keep, slices, stored
 from feedloom.llm.simhash_vp import components
-from feedloom.session import ship_package
 
 #: Common words that anchor signatures (English, German, French, Spanish).
 ANCHORS = frozenset("""a an and are as at be by for from in is it of on or that the this to was were will with
@@ -37,8 +36,13 @@ CHAIN = 2
 THRESHOLD = 0.8
 #: Sampled ids per range of documents in id order.
 SAMPLE_PER_RANGE = 16
-#: Sets of one signature compared in one task.
+#: Sets of one signature and length partition that meet all others of it in one block.
 BUCKET = 500
+#: Sets, at most about, whose signatures are counted to order them, and how many of the most frequent ones are told apart.
+SAMPLE_SETS = 50_000
+FREQUENT = 65_536
+#: Turns in which each set is compared with so many next ones of a bucket.
+TURNS, NEXT = 2, 2
 #: Values counted before it is asked again whether the threshold is in reach.
 COUNTED = 32
 
@@ -202,26 +206,62 @@ def pruned_jaccard(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return both >= need
 
 
-def _bucket_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Spanning links among the sets of one signature (and pair of blocks);
-    sets already in one group are not compared again."""
-    pdf = pdf.drop_duplicates("fid").sort_values(["n", "fid"])
-    sets, fid, n = list(pdf["sigs"]), pdf["fid"].tolist(), pdf["n"].to_numpy()
-    group, links = list(range(len(sets))), []
-    members: dict[int, list[int]] = {}
-    for i in range(len(sets)):
-        joined = {i}
-        for root in list(members):
-            for j in reversed(members[root]):
-                if n[j] < threshold * n[i]:
-                    break
-                if pruned_jaccard(sets[j], sets[i], threshold):
-                    links.append((fid[i], fid[j]))
-                    joined.add(root)
-                    break
-        merged = sorted(m for r in joined for m in (members.pop(r, []) if r != i else [i]))
-        members[i] = merged
-    return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+def frequent(sets: DataFrame) -> np.ndarray:
+    """The FREQUENT most frequent signatures of about SAMPLE_SETS sets, rarest first.  They only steer the
+    order in which sets meet on their signatures; any order leads to the same groups."""
+    share = min(1.0, SAMPLE_SETS / max(1, sets.count()))
+    picked = sets.filter(F.pmod("fid", F.lit(1_000_000)) < share * 1_000_000).select(F.explode("sigs").alias("sig"))
+    top = picked.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").orderBy(F.desc("df"), "sig").limit(FREQUENT).collect()
+    return np.array([r.sig for r in reversed(top)], dtype=np.int64)
+
+
+def _place_stage(hot: np.ndarray, threshold: float):
+    """Rows of the signatures on which sets meet: a pair above the threshold shares one of
+    the first n - ceil(t n) + 1, in one order for all sets (signatures that are not frequent come first)."""
+    by_value = np.argsort(hot)
+    known, ranks = hot[by_value], by_value + 1
+
+    def run(batches):
+        for b in slices(batches):
+            n = pc.list_value_length(b.column("sigs")).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = b.column("sigs").flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(n)), n)
+            rank = np.zeros(len(values), dtype=np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+                rank = np.where(known[at] == values, ranks[at], 0)
+            pos = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
+            taken = pos < (n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1)[row]
+            sig, row, pos = values[np.lexsort((values, rank, row))][taken], row[taken], pos[taken]
+            part = np.floor(np.log(n) / -math.log(threshold) + 1e-9).astype(np.int64)[row]
+            fid = b.column("fid").to_numpy(zero_copy_only=False)[row]
+            for own in (True, False):
+                yield pa.record_batch([pa.array((part + (not own)) << 32 | sig), pa.array(fid), pa.array(n[row].astype(np.int32)), pa.array(pos.astype(np.int32)),
+                                       pa.array(np.full(len(row), own))], names=["bucket", "fid", "n", "pos", "own"])
+
+    return run
+
+
+def _in_reach(a: Column, b: Column, threshold: float) -> Column:
+    """Whether two sets of different groups that meet on their first common signature can reach the threshold by
+    length and place.  Sets of one partition meet in its own bucket, not once more in the one above."""
+    need = (a["n"] + b["n"]) * (threshold / (1 + threshold)) - 1e-9
+    return (a["root"] != b["root"]) & (a["own"] | b["own"]) & (F.least(a["n"], b["n"]) >= F.greatest(a["n"], b["n"]) * threshold - 1e-9) \
+        & (F.least(a["n"] - a["pos"], b["n"] - b["pos"]) >= need)
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``(u, v)`` of sets that reach the threshold, each counted once."""
+    def run(batches):
+        for b in slices(batches):
+            a, z = (b.column(c) for c in ("a", "z"))
+            hit = [pruned_jaccard(a[i].values.to_numpy(zero_copy_only=False), z[i].values.to_numpy(zero_copy_only=False), threshold) for i in range(b.num_rows)]
+            yield pa.record_batch([b.column("u"), b.column("v")], names=["u", "v"]).filter(pa.array(hit, pa.bool_()))
+
+    pairs = stored(pairs.select(F.least("x.fid", "y.fid").alias("u"), F.greatest("x.fid", "y.fid").alias("v")).distinct())
+    asked = stored(sets.select("fid", "sigs").join(pairs.select(F.explode(F.array("u", "v")).alias("fid")).distinct(), "fid", "left_semi"))
+    met = pairs.join(asked.toDF("u", "a"), "u").join(asked.toDF("v", "z"), "v")
+    return arrow_map(met.select("u", "v", "a", "z"), run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,27 +271,40 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     Equal fingerprints are one set and never become pairs; empty texts are
     alike.  Null ids keep their rows (a group of them alone has a null
     component); repeated rows keep one row each; an empty table gives no rows.
-    A signature shared by more than BUCKET sets is dealt by pairs of blocks.
+
+    Sets meet in buckets of one signature and length partition, without their
+    signatures.  In TURNS turns each set is compared with the NEXT ones of its
+    buckets, in another order each turn; what that joins is a group, so that a
+    large group is not compared pair by pair.  Then all pairs of different
+    groups are.  A bucket of more than BUCKET sets is dealt by blocks.  Only
+    pairs in reach by length and place fetch their sets, once for all buckets.
     """
     prints = stored(fingerprints(docs, id_col, text_col).withColumn("fid", F.xxhash64("sigs")))
-    sets = stored(prints.groupBy("fid").agg(F.min("did").alias("first_id"), F.first("sigs").alias("sigs")).withColumn("n", F.size("sigs")))
-    each = sets.filter("n > 0").select("fid", "n", F.explode("sigs").alias("sig"))
-    seen = each.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    # rarest signatures first; a pair above the threshold shares one of the first n - ceil(t n) + 1
-    ranked = each.join(seen, "sig", "left").withColumn(
-        "r", F.row_number().over(Window.partitionBy("fid").orderBy(F.coalesce("df", F.lit(1)), "sig")))
-    prefix = ranked.filter((F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1) & F.col("df").isNotNull())
-    part = F.floor(F.log(F.col("n").cast("double")) / -math.log(threshold) + 1e-9).cast("int")
-    placed = prefix.withColumn("part", F.explode(F.array(part, part + 1)))
-    size = placed.groupBy("part", "sig").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    blocks = F.ceil(F.col("m") / BUCKET).cast("int")
-    mine = F.pmod(F.col("fid"), blocks).cast("int")
-    dealt = placed.join(size, ["part", "sig"]).withColumn("blocks", blocks).withColumn("mine", mine) \
-        .select("fid", "part", "sig", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, mine) as lo, greatest(x, mine) as hi))")).alias("b")) \
-        .join(sets.select("fid", "n", "sigs"), "fid")
-    ship_package(docs.sparkSession)
-    links = dealt.groupBy("part", "sig", "b").applyInPandas(lambda pdf: _bucket_links(pdf, threshold), "u long, v long")
-    found = components(links)
+    sets = stored(prints.groupBy("fid").agg(F.min("did").alias("first_id"), F.first("sigs").alias("sigs")))
+    # smaller sets have no other set above the threshold
+    several = sets.filter(F.size("sigs") >= (F.size("sigs") + 1) * threshold - 1e-9).filter("size(sigs) > 0").select("fid", "sigs")
+    places = arrow_map(several, _place_stage(frequent(several), threshold), "bucket long, fid long, n int, pos int, own boolean")
+    met, groups = places.select("bucket", F.struct("fid", "n", "pos", "own", F.col("fid").alias("root")).alias("x")), None
+    for turn in range(TURNS):
+        line = Window.partitionBy("bucket").orderBy(*([] if turn else ["x.n"]), F.xxhash64("x.fid", "bucket", F.lit(turn)))
+        beside = met.withColumns({f"y{k}": F.lead("x", k).over(line) for k in range(1, NEXT + 1)} | {"last": F.lag("x").over(line)})
+        # sets that are alone in a bucket meet nothing there
+        met = stored(beside.filter("y1 is not null or last is not null").select("bucket", "x", F.filter(
+            F.array(*[f"y{k}" for k in range(1, NEXT + 1)]), lambda y: y.isNotNull() & _in_reach(F.col("x"), y, threshold)).alias("ys")))
+        links = _alike(met.select("x", F.explode("ys").alias("y")), sets, threshold)
+        edges = links if groups is None else groups.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links)
+        groups = components(edges)
+        grouped = met.select("bucket", "x.fid", "x.n", "x.pos", "x.own").join(groups.withColumnRenamed("node", "fid"), "fid", "left").withColumn("root", F.coalesce("root", "fid"))
+        # all pairs of at most NEXT + 1 sets were compared above
+        mixed = grouped.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("own").alias("any")) \
+            .filter(f"m > {NEXT + 1} and lo < hi and any").select("bucket", F.ceil(F.col("m") / BUCKET).cast("int").alias("blocks"))
+        dealt = stored(grouped.join(mixed, "bucket").select("bucket", "blocks", F.struct("fid", "n", "pos", "own", "root").alias("x")))
+        met = dealt.drop("blocks")
+    one = dealt.withColumn("block", F.pmod("x.fid", "blocks").cast("int")).drop("blocks")
+    other = dealt.select("bucket", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.col("x").alias("y"))
+    across = one.join(other, ["bucket", "block"]).filter(_in_reach(F.col("x"), F.col("y"), threshold) & F.expr("x.n < y.n or x.n = y.n and x.fid < y.fid"))
+    links = _alike(across.select("x", "y"), sets, threshold)
+    found = components(groups.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
     rooted = sets.join(found.withColumnRenamed("node", "fid"), "fid", "left").select("fid", "first_id", F.coalesce("root", "fid").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = keep(rooted.join(least, "root").select("fid", "component_id"))

@@ -134,6 +134,46 @@ def test_groups_match_brute_force(spark, monkeypatch):
     assert got == dict(enumerate(comp))
 
 
+def near_copies(rnd, groups, copies, edits):
+    words = [f"w{i}" for i in range(400)]
+    out = []
+    for _ in range(groups):
+        base = [w for _ in range(rnd.randrange(4, 50)) for w in ("the", rnd.choice(words), rnd.choice(words))]
+        for _ in range(copies):
+            t = list(base)
+            for _ in range(rnd.randrange(edits)):
+                t[3 * rnd.randrange(len(t) // 3) + 1] = rnd.choice(words)
+            out.append(" ".join(t))
+    return out
+
+
+def test_a_large_group_is_not_compared_pair_by_pair(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(S, "_alike", lambda pairs, *a, f=S._alike: asked.append(pairs.distinct().count()) or f(pairs, *a))
+    rnd = random.Random(4)
+    base = [f"{w} x{i} y{i}" for i in range(100) for w in ("the",)]
+    texts = [" ".join(c if j != k else f"the new{i} one{i}" for j, c in enumerate(base)) for i, k in ((i, rnd.randrange(100)) for i in range(400))]
+    rows = S.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(rows) == 400 and {r.component_id for r in rows} == {0}
+    assert sum(asked) < 40 * 400  # of 79,800 pairs, once for a few next ones of each bucket
+
+
+def test_groups_of_far_copies_in_small_blocks(spark, monkeypatch):
+    for name, value in (("BUCKET", 3), ("TURNS", 1), ("NEXT", 1), ("FREQUENT", 20)):
+        monkeypatch.setattr(S, name, value)
+    texts = near_copies(random.Random(5), 12, 25, 9)
+    sets = [slow_signatures(t) for t in texts]
+    comp = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if comp[a] != comp[b] and jaccard(sets[a], sets[b]) >= .8:
+            lo, hi = sorted((comp[a], comp[b]))
+            comp = [lo if c == hi else c for c in comp]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[3]), (7, texts[7]), (None, "alone the one two")]
+    got = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [*enumerate(comp), (None, comp[3]), (7, comp[7]), (None, None)]
+    assert sorted(map(str, ((r.did, r.component_id) for r in got))) == sorted(map(str, want))
+
+
 def test_query(spark):
     got = Q.queries()["op2_spotsigs"](spark, "/root/testdata/sf0.001").collect()
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
